@@ -36,14 +36,14 @@ def tolerant_timestamp(frame: DataFrame, column: str) -> Column:
 
 
 def cast_columns(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Replace the named columns by their tolerant casts."""
-    return frame.withColumns({name: tolerant(name, kind) for name, kind in types.items()})
+    """Replace the named columns by their tolerant casts; a column that has its type already stays as it is."""
+    have = dict(frame.dtypes)
+    return frame.withColumns({name: tolerant(name, kind) for name, kind in types.items() if have[name] != kind})
 
 
 def cast_to_schema(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast every column the schema knows, leave the others."""
-    wanted = {f.name: f.dataType.simpleString() for f in schema if f.name in frame.columns}
-    return cast_columns(frame, {name: kind for name, kind in wanted.items() if frame.schema[name].dataType.simpleString() != kind})
+    return cast_columns(frame, {f.name: f.dataType.simpleString() for f in schema if f.name in frame.columns})
 
 
 def as_text(frame: DataFrame, columns: Iterable[str]) -> DataFrame:

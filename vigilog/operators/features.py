@@ -1,7 +1,7 @@
 """Feature pipelines.
 
-One multi-column indexer and one multi-column encoder replace a stage per column: the columns that come
-out are the same, and fitting takes two passes over the data (labels, then scale) instead of one per stage.
+The labels of all columns are counted in one scan, so fitting takes two passes over the data (labels, then
+scale) instead of one per column and stage; the columns that come out are those of a stage per column.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +17,52 @@ from vigilog.schema import EVENT, EventColumns
 
 LABEL = "label"
 
+#: Labels of a column travel to every task inside the fitted model, so there may only be so many.
+MOST_LABELS = 100_000
 
-def frequency_indexer(columns: Sequence[str], outputs: Sequence[str]) -> StringIndexer:
-    """Index by descending frequency, ties by value; unseen and NULL share one extra index."""
-    return StringIndexer(inputCols=list(columns), outputCols=list(outputs), handleInvalid="keep")
 
+def label_lists(rows: DataFrame, columns: Sequence[str], by_frequency: bool, most: int = MOST_LABELS) -> list[list[str]]:
+    """The values of every column, NULL left out, by descending frequency or by value; ties by value.
 
-def code_indexer(columns: Sequence[str], outputs: Sequence[str]) -> StringIndexer:
-    """Index by ascending value; unseen values get the number of labels."""
-    return StringIndexer(inputCols=list(columns), outputCols=list(outputs), stringOrderType="alphabetAsc", handleInvalid="keep")
+    One scan counts all columns, and only a checked number of labels reaches the driver.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
+    counts = rows.select(F.inline(cells)).filter(F.col("value").isNotNull()).groupBy("place", "value").agg(F.count("*").alias("cnt"))
+    order = [F.desc("cnt"), "value"] if by_frequency else ["value"]
+    found = counts.orderBy("place", *order).limit(len(columns) * most + 1).collect()
+    labels = [[row.value for row in found if row.place == i] for i in range(len(columns))]
+    large = [c for c, values in zip(columns, labels) if len(values) > most]
+    if large:
+        raise ValueError(f"more than {most} values to index in {large}")
+    return labels
+
+
+def stored_indexer(labels: Sequence[Sequence[str]], columns: Sequence[str], outputs: Sequence[str]) -> PipelineModel:
+    """Indexers made from label lists, one per column; unseen values and NULL share one extra index.
+
+    The multi-column model cannot be built from lists of unequal length: PySpark pads them with NULL labels.
+    """
+    return PipelineModel(
+        stages=[
+            StringIndexerModel.from_labels(list(values), inputCol=column, outputCol=output, handleInvalid="keep")
+            for values, column, output in zip(labels, columns, outputs)
+        ]
+    )
+
+
+def indexer_labels(indexer: PipelineModel) -> dict[str, list[str]]:
+    """The labels of every column an indexer was made for."""
+    return {stage.getInputCol(): list(stage.labels) for stage in indexer.stages}
+
+
+def frequency_indexer(rows: DataFrame, columns: Sequence[str], outputs: Sequence[str]) -> PipelineModel:
+    """Index by descending frequency, ties by value."""
+    return stored_indexer(label_lists(rows, columns, by_frequency=True), columns, outputs)
+
+
+def code_indexer(rows: DataFrame, columns: Sequence[str], outputs: Sequence[str]) -> PipelineModel:
+    """Index by ascending value."""
+    return stored_indexer(label_lists(rows, columns, by_frequency=False), columns, outputs)
 
 
 def unit_scaler(source: str, target: str) -> StandardScaler:
@@ -33,26 +70,20 @@ def unit_scaler(source: str, target: str) -> StandardScaler:
     return StandardScaler(inputCol=source, outputCol=target, withMean=False, withStd=True)
 
 
-def feature_pipeline(cols: EventColumns = EVENT) -> Pipeline:
-    """Index, one-hot encode, assemble and scale; the target becomes ``label``.
+def fit_features(rows: DataFrame, cols: EventColumns = EVENT) -> PipelineModel:
+    """Index, one-hot encode, assemble and scale complete cases; the target becomes ``label``.
 
     The target index also keeps a place for unseen values, so a classifier sees one class more.
     """
     indexed = [f"{c}_indexed" for c in cols.categorical]
     encoded = [f"{c}_encoded" for c in cols.categorical]
-    return Pipeline(
-        stages=[
-            frequency_indexer([*cols.categorical, cols.attack], [*indexed, LABEL]),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded),
-            VectorAssembler(inputCols=[*cols.numeric, *encoded], outputCol="raw_features", handleInvalid="error"),
-            unit_scaler("raw_features", "features"),
-        ]
-    )
-
-
-def fit_features(rows: DataFrame, cols: EventColumns = EVENT) -> PipelineModel:
-    """Fit on complete cases."""
-    return feature_pipeline(cols).fit(rows)
+    stages = [
+        frequency_indexer(rows, [*cols.categorical, cols.attack], [*indexed, LABEL]),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded),
+        VectorAssembler(inputCols=[*cols.numeric, *encoded], outputCol="raw_features", handleInvalid="error"),
+        unit_scaler("raw_features", "features"),
+    ]
+    return Pipeline(stages=stages).fit(rows)
 
 
 def feature_sample(rows: DataFrame, model: PipelineModel, n: int = 5) -> DataFrame:
@@ -65,10 +96,3 @@ def code_or_zero(column: str, encoders: dict[str, Sequence[str]]) -> Column:
         return F.lit(0)
     labels = F.array(*[F.lit(label) for label in encoders[column]])
     return (F.array_position(labels, F.col(column)) - 1).cast("int")
-
-
-def stored_indexer(encoders: dict[str, Sequence[str]], columns: Sequence[str], outputs: Sequence[str]) -> StringIndexerModel:
-    """An indexer made from label lists."""
-    return StringIndexerModel.from_arrays_of_labels(
-        [list(encoders[c]) for c in columns], inputCols=list(columns), outputCols=list(outputs), handleInvalid="keep"
-    )

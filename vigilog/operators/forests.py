@@ -8,7 +8,7 @@ from pyspark.ml.feature import IndexToString, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.operators.features import LABEL, code_indexer, stored_indexer
+from vigilog.operators.features import LABEL, code_indexer, indexer_labels, stored_indexer
 from vigilog.operators.splitting import SEED
 from vigilog.schema import EVENT, EventColumns
 
@@ -34,12 +34,12 @@ def fit_code_forest(
     are ``depth`` deep at most (Spark allows 30); every level is a pass over the data.
     """
     codes = code_columns(cols)
-    indexer = code_indexer([*cols.categorical, cols.attack], [*codes, LABEL]).fit(filled)
-    labels = dict(zip([*cols.categorical, cols.attack], indexer.labelsArray))
+    indexer = code_indexer(filled, [*cols.categorical, cols.attack], [*codes, LABEL])
+    labels = indexer_labels(indexer)
     assembler = VectorAssembler(inputCols=[*cols.numeric, *codes], outputCol="features")
 
     # No target is missing here, so the label is declared without the indexer's extra place for unseen values.
-    classes = {"ml_attr": {"type": "nominal", "name": LABEL, "vals": list(labels[cols.attack])}}
+    classes = {"ml_attr": {"type": "nominal", "name": LABEL, "vals": labels[cols.attack]}}
     coded = indexer.transform(filled).withColumns({c: F.col(c).cast("int") for c in codes}).withMetadata(LABEL, classes)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed, maxDepth=depth
@@ -47,15 +47,14 @@ def fit_code_forest(
 
     return PipelineModel(
         stages=[
-            stored_indexer(labels, cols.categorical, codes),
+            stored_indexer([labels[c] for c in cols.categorical], cols.categorical, codes),
             assembler,
             forest,
-            IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=list(labels[cols.attack])),
+            IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=labels[cols.attack]),
         ]
     )
 
 
 def encoders_of(scorer: PipelineModel) -> dict[str, list[str]]:
     """The category labels a code forest was fitted on."""
-    indexer = scorer.stages[0]
-    return {c: list(labels) for c, labels in zip(indexer.getInputCols(), indexer.labelsArray)}
+    return indexer_labels(scorer.stages[0])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from vigilog.operators.counting import histogram
 from vigilog.operators.forests import PREDICTED
 from vigilog.operators.ranking import latest, top
 from vigilog.operators.rollup import mean, only, rollup, summed
-from vigilog.operators.scoring import CONFIDENCE
+from vigilog.operators.scoring import CONFIDENCE, score_events
 from vigilog.schema import EVENT, EventColumns
 
 TOP_SOURCES = 10
@@ -62,21 +63,41 @@ def rolled_sources(rolled: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
     return top(counts.select("source", F.col("events").alias("event_count")), n, F.desc("event_count"), F.asc("source"))
 
 
-def recent_columns(cols: EventColumns = EVENT) -> list[str]:
-    return [cols.emitted, cols.source_ip, cols.attack, cols.severity, cols.protocol, cols.anomaly, PREDICTED, CONFIDENCE]
+def serving_rows(rolled: DataFrame, n: int = TOP_SOURCES) -> DataFrame:
+    """What the datasets need of a rollup: the cube, and of the addresses only the most frequent."""
+    addresses = only(rolled, SOURCES).filter(F.col("source").isNotNull())
+    return only(rolled, CUBE).unionByName(top(addresses, n, F.desc("events"), F.asc("source")))
 
 
-def recent_events(events: DataFrame, arrival: Sequence[str], cols: EventColumns = EVENT, n: int = LATEST_ROWS) -> DataFrame:
-    """The last rows by arrival, the columns of the table that exist."""
-    return project_existing(latest(events, arrival, n), recent_columns(cols))
+def recent_columns(cols: EventColumns = EVENT) -> list[str]:
+    return [cols.emitted, cols.source_ip, cols.attack, cols.severity, cols.protocol, cols.anomaly, PREDICTED, CONFIDENCE]
 
 
-def dashboard(events: DataFrame, rolled: DataFrame, arrival: Sequence[str], cols: EventColumns = EVENT) -> dict[str, DataFrame]:
+def recent_events(
+    events: DataFrame,
+    arrival: Sequence[str],
+    cols: EventColumns = EVENT,
+    scorer: PipelineModel | None = None,
+    n: int = LATEST_ROWS,
+) -> DataFrame:
+    """The last rows by arrival, scored if there is a model, in the columns of the table that exist."""
+    return project_existing(score_events(latest(events, arrival, n), scorer, cols), recent_columns(cols))
+
+
+def dashboard(
+    events: DataFrame,
+    rolled: DataFrame,
+    arrival: Sequence[str],
+    cols: EventColumns = EVENT,
+    scorer: PipelineModel | None = None,
+) -> dict[str, DataFrame]:
     """Every dataset by name. ``rolled`` is a written rollup or the latest snapshot of a live one.
 
-    A chart whose column is missing is left out.
+    A chart whose column is missing is left out. With a model the charts show the values it saw; predictions
+    are computed for the latest rows alone, since no other dataset needs them.
     """
     have = events.columns
+    seen = score_events(events, scorer, cols)
     datasets = {"kpis": rolled_kpis(rolled)}
     if cols.attack in have:
         datasets["attack_share"] = rolled_share(rolled, "attack")
@@ -87,8 +108,8 @@ def dashboard(events: DataFrame, rolled: DataFrame, arrival: Sequence[str], cols
     if cols.traffic_type in have:
         datasets["traffic_share"] = rolled_share(rolled, "traffic")
     if cols.anomaly in have:
-        datasets["anomaly_histogram"] = histogram(events, cols.anomaly)
+        datasets["anomaly_histogram"] = histogram(seen, cols.anomaly)
     if cols.source_ip in have:
         datasets["top_sources"] = rolled_sources(rolled)
-    datasets["recent"] = recent_events(events, [c for c in arrival if c in have], cols)
+    datasets["recent"] = recent_events(events, [c for c in arrival if c in have], cols, scorer)
     return datasets

@@ -211,9 +211,9 @@ def stream_ingest(spark, sf_dir):
     return stored.select(_row_id(), *[F.col(c).alias(name) for c, name in names.items()])
 
 
-def _after_stream(spark: SparkSession, totals: DataFrame) -> DataFrame:
+def _after_stream(spark: SparkSession, totals: DataFrame, cut=None) -> DataFrame:
     folder = work_folder(spark, "live")
-    start_snapshots(totals, folder, work_folder(spark, "live-checkpoint")).awaitTermination()
+    start_snapshots(totals, folder, work_folder(spark, "live-checkpoint"), cut=cut).awaitTermination()
     return latest_snapshot(spark, folder, totals)
 
 
@@ -224,7 +224,7 @@ def live_counts(spark, sf_dir):
 
 
 def _live_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_stream(spark, board.dashboard_rollup(sec_all(stream_events(spark, sf_dir)), VIEW))
+    return _after_stream(spark, board.dashboard_rollup(sec_all(stream_events(spark, sf_dir)), VIEW), board.serving_rows)
 
 
 def live_kpis(spark, sf_dir):
@@ -254,34 +254,34 @@ def live_histogram(spark, sf_dir):
 
 def freq_index(spark, sf_dir):
     rows = _complete(spark, sf_dir)
-    model = features.frequency_indexer([VIEW.protocol], ["idx"]).fit(rows)
+    model = features.frequency_indexer(rows, [VIEW.protocol], ["idx"])
     return model.transform(rows).select(VIEW.protocol, "idx").distinct()
 
 
 def label_index(spark, sf_dir):
     rows = _complete(spark, sf_dir)
-    model = features.frequency_indexer([VIEW.attack], [features.LABEL]).fit(rows)
+    model = features.frequency_indexer(rows, [VIEW.attack], [features.LABEL])
     return model.transform(rows).select("event_id", features.LABEL)
 
 
 def lex_index(spark, sf_dir):
     rows = fill_missing(_all(spark, sf_dir), VIEW)
-    model = features.code_indexer([VIEW.protocol], ["code"]).fit(rows)
+    model = features.code_indexer(rows, [VIEW.protocol], ["code"])
     return model.transform(rows).select(VIEW.protocol, "code").distinct()
 
 
 def category_codes(spark, sf_dir):
     rows = fill_missing(_all(spark, sf_dir), VIEW)
     codes = [f"{c}_enc" for c in VIEW.categorical]
-    model = features.code_indexer([*VIEW.categorical, VIEW.attack], [*codes, features.LABEL]).fit(rows)
+    model = features.code_indexer(rows, [*VIEW.categorical, VIEW.attack], [*codes, features.LABEL])
     coded = model.transform(rows)
     return coded.select("event_id", *[F.col(c).cast("int").alias(c) for c in [*codes, features.LABEL]])
 
 
 def code_names(spark, sf_dir):
     rows = fill_missing(_all(spark, sf_dir), VIEW)
-    model = features.code_indexer([VIEW.attack], [features.LABEL]).fit(rows)
-    names = IndexToString(inputCol=features.LABEL, outputCol="name", labels=list(model.labelsArray[0]))
+    model = features.code_indexer(rows, [VIEW.attack], [features.LABEL])
+    names = IndexToString(inputCol=features.LABEL, outputCol="name", labels=features.indexer_labels(model)[VIEW.attack])
     return names.transform(model.transform(rows)).select("event_id", "name")
 
 
@@ -294,10 +294,10 @@ def stored_codes(spark, sf_dir):
 
 def one_hot(spark, sf_dir):
     rows = _complete(spark, sf_dir)
-    indexed = features.frequency_indexer([VIEW.protocol], ["idx"]).fit(rows).transform(rows)
+    indexed = features.frequency_indexer(rows, [VIEW.protocol], ["idx"]).transform(rows)
     encoder = features.OneHotEncoder(inputCols=["idx"], outputCols=["encoded"])
-    slots = vector_to_array("encoded")
-    return encoder.fit(indexed).transform(indexed).select("event_id", *[slots[i].alias(f"p{i}") for i in range(3)])
+    slots = encoder.fit(indexed).transform(indexed).select("event_id", vector_to_array("encoded").alias("slots"))
+    return slots.select("event_id", *[F.col("slots")[i].alias(f"p{i}") for i in range(3)])
 
 
 def scaled_measure(spark, sf_dir):
@@ -311,8 +311,8 @@ SLOTS = 15
 
 
 def _vector_slots(featured: DataFrame) -> DataFrame:
-    slots = vector_to_array("features")
-    return featured.select("event_id", features.LABEL, *[F.round(slots[i], 4).alias(f"f{i}") for i in range(SLOTS)])
+    slots = featured.select("event_id", features.LABEL, vector_to_array("features").alias("slots"))
+    return slots.select("event_id", features.LABEL, *[F.round(F.col("slots")[i], 4).alias(f"f{i}") for i in range(SLOTS)])
 
 
 def feature_vector(spark, sf_dir):

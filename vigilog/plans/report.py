@@ -70,7 +70,7 @@ def section_rows(events: DataFrame, cols: EventColumns = EVENT) -> DataFrame:
         share(HOURS, hour.cast("string")),
     )
     shares = F.when(F.col("set_no") == 0, cube).otherwise(F.array(share(SOURCES, F.col("source"))))
-    nothing = events.sparkSession.range(1).select(
+    nothing = events.sparkSession.range(0, 1, 1, 1).select(
         F.lit(0).alias("section"), text.alias("key1"), text.alias("key2"), *[F.lit(0).alias(c) for c in SUMS]
     )
     grouped = (
@@ -111,14 +111,14 @@ def report_lines(events: DataFrame, cols: EventColumns = EVENT, digits: int | No
         as_column = [v if isinstance(v, Column) else F.lit(v) for v in (section, place)]
         return F.struct(as_column[0].alias("section"), as_column[1].alias("ord"), words.alias("line"))
 
-    headings = [line(0, 0, F.concat(F.lit(OPENING), F.format_number("events", 0)))]
-    for number, title in TITLES.items():
-        if number == HOURS:
-            continue
-        headings += [line(number, place, F.lit(words)) for place, words in ((-4, ""), (-3, RULE), (-2, title), (-1, RULE))]
-    trend = [line(HOURS, place, F.lit(words)) for place, words in ((-4, ""), (-3, RULE), (-2, TITLES[HOURS]), (-1, RULE))]
-    skipped = [line(HOURS, -4, F.lit("")), line(HOURS, -3, F.lit(NO_TREND))]
-    closing = [line(HOURS + 1, -4, F.lit("")), line(HOURS + 1, -3, F.lit(CLOSING))]
+    def heading(number: int, *words: str) -> list[Column]:
+        return [line(number, place, F.lit(w)) for place, w in enumerate(["", *words], start=-4)]
+
+    opening = F.array(line(0, 0, F.concat(F.lit(OPENING), F.format_number("events", 0))))
+    headings = [h for number, title in TITLES.items() if number != HOURS for h in heading(number, RULE, title, RULE)]
+    closing = heading(HOURS + 1, CLOSING)
+    with_trend = F.array(*headings, *heading(HOURS, RULE, TITLES[HOURS], RULE), *closing)
+    without_trend = F.array(*headings, *heading(HOURS, NO_TREND), *closing)
 
     section = F.col("section")
     key1, key2, events_, packet, anomaly = (F.col(c) for c in ("key1", "key2", "events", "avg_packet", "avg_anomaly"))
@@ -129,8 +129,8 @@ def report_lines(events: DataFrame, cols: EventColumns = EVENT, digits: int | No
         .otherwise(row_line(key1, events_))
     )
     lines = (
-        F.when((section == 0) & (F.col("timed") > 0), F.array(*headings, *trend, *closing))
-        .when(section == 0, F.array(*headings, *skipped, *closing))
+        F.when((section == 0) & (F.col("timed") > 0), F.concat(opening, with_trend))
+        .when(section == 0, F.concat(opening, without_trend))
         .otherwise(F.array(line(section, F.col("ord"), F.concat(F.lit("  "), body))))
     )
     return rows.select(F.inline(lines))

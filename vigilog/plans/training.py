@@ -14,6 +14,7 @@ from vigilog.operators.forests import PREDICTED, TREES, fit_code_forest, fit_fea
 from vigilog.operators.scoring import score_events
 from vigilog.operators.splitting import hash_split, random_split
 from vigilog.schema import EVENT, EventColumns
+from vigilog.session import spread, written
 
 
 @dataclass(frozen=True)
@@ -26,9 +27,15 @@ class Trained:
     confusion: DataFrame
 
 
-def split_rows(rows: DataFrame, key: str | None) -> tuple[DataFrame, DataFrame]:
-    """By row key where there is one, else at random."""
-    return hash_split(rows, key) if key else random_split(rows)
+def split_rows(rows: DataFrame, cols: EventColumns, key: str | None) -> tuple[DataFrame, DataFrame]:
+    """Training and hold-out rows: by row key where there is one, else at random.
+
+    The columns that are needed go to a table first: fitting reads them a dozen times, and a split drawn
+    from a table stays the same when a task is run again.
+    """
+    wanted = [*([key] if key else []), *cols.numeric, *cols.categorical, cols.attack]
+    table = written(spread(rows.select(*wanted)), "learning")
+    return hash_split(table, key) if key else random_split(table)
 
 
 def train_feature_forest(
@@ -43,7 +50,7 @@ def train_feature_forest(
     Without a saved ``pipeline`` the features are fitted on the training rows only, so the hold-out rows
     influence neither indices nor scale.
     """
-    train, test = split_rows(complete_cases(events, cols), key)
+    train, test = split_rows(complete_cases(events, cols), cols, key)
     pipeline = pipeline or fit_features(train, cols)
     forest = fit_feature_forest(pipeline.transform(train).select(LABEL, "features"), trees)
     scored = forest.transform(pipeline.transform(test))
@@ -54,7 +61,7 @@ def train_code_forest(
     events: DataFrame, cols: EventColumns = EVENT, key: str | None = None, trees: int = TREES, depth: int = 10
 ) -> Trained:
     """The forest on category codes, under the fill policy: the model that scores live events."""
-    train, test = split_rows(fill_missing(events, cols), key)
+    train, test = split_rows(fill_missing(events, cols), cols, key)
     scorer = fit_code_forest(train, cols, trees, depth=depth)
     scored = score_events(test, scorer, cols)
     return Trained(scorer, None, scored, confusion(scored, cols.attack, PREDICTED))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
@@ -36,3 +36,16 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="vigilog-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a Parquet table in the work folder: computed once, and safe from lost executors."""
+    path = work_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """The frame over all cores when its input is too small to occupy them; a large input is left as it lies."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

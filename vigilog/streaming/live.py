@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,15 +12,30 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilog.sources.csv_events import or_empty
 
 
-def start_snapshots(totals: DataFrame, folder: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Write the whole aggregate after every micro-batch as a snapshot of its own.
+def start_snapshots(
+    totals: DataFrame,
+    folder: str,
+    checkpoint: str,
+    every: str | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Write the aggregate after every micro-batch as a snapshot of its own.
 
-    ``totals`` is a grouped stream. Readers of an older snapshot are not disturbed, and a batch delivered
+    ``totals`` is a grouped stream; ``cut`` keeps of it what readers need, so that a state with many keys is
+    not written out whole each time. Readers of an older snapshot are not disturbed, and a batch delivered
     again rewrites the same one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/snapshot={batch_id}")
+        target = f"{folder}/snapshot={batch_id}"
+        if cut is None:
+            batch.write.mode("overwrite").parquet(target)
+            return
+        batch.persist()  # a cut may read the batch more than once, the state must be read once
+        try:
+            cut(batch).write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

@@ -80,5 +80,6 @@ def histogram(frame: DataFrame, column: str, bins: int = 40, weight: str | None
     width = (high - low) / bins
     place = F.coalesce(F.floor(F.try_divide(F.col(column) - low, width)), F.lit(0))
     rows = F.count("*") if weight is None else F.sum(weight)
-    counts = values.groupBy(F.least(F.lit(bins - 1), place).cast("int").alias("bin")).agg(rows.alias("cnt"))
+    placed = values.withColumn("bin", F.least(F.lit(bins - 1), place).cast("int"))
+    counts = placed.groupBy("bin").agg(rows.alias("cnt"))
     return counts.select("bin", (low + F.col("bin") * width).alias("bin_start"), "cnt")

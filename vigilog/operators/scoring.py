@@ -20,23 +20,34 @@ def confidence_pct(probability: str = "probability") -> Column:
     return F.bround(F.array_max(vector_to_array(F.col(probability))) * 100, 1)
 
 
+def scorable(events: DataFrame, cols: EventColumns = EVENT) -> bool:
+    """Whether the frame has every feature column."""
+    return set(cols.numeric + cols.categorical) <= set(events.columns)
+
+
+def values_seen(events: DataFrame, scorer: PipelineModel | None, cols: EventColumns = EVENT) -> DataFrame:
+    """The events with the values a model sees: numbers with 0 for missing, and the encoder's first label for
+    a category it does not know. Unchanged where nothing is scored.
+    """
+    if scorer is None or not scorable(events, cols):
+        return events
+    encoders = encoders_of(scorer)
+    return events.withColumns(
+        {c: F.coalesce(tolerant(c, "double"), F.lit(0.0)) for c in cols.numeric}
+        | {c: known_or_first(c, encoders[c]) for c in cols.categorical}
+    )
+
+
 def score_events(events: DataFrame, scorer: PipelineModel | None, cols: EventColumns = EVENT) -> DataFrame:
     """Add the predicted attack and its confidence.
 
     Without a model the rows pass through. A frame that lacks a feature column gets ``Error`` and 0.0. The
-    scored frame carries the values the model saw: numbers with 0 for missing, and categories in which an
-    unseen value is replaced by the encoder's first label.
+    scored frame carries the values the model saw.
     """
     if scorer is None:
         return events
-    if not set(cols.numeric + cols.categorical) <= set(events.columns):
+    if not scorable(events, cols):
         return events.withColumns({PREDICTED: F.lit("Error"), CONFIDENCE: F.lit(0.0)})
-
-    encoders = encoders_of(scorer)
-    seen = events.withColumns(
-        {c: F.coalesce(tolerant(c, "double"), F.lit(0.0)) for c in cols.numeric}
-        | {c: known_or_first(c, encoders[c]) for c in cols.categorical}
-    )
     codes = code_columns(cols)
-    scored = scorer.transform(seen).withColumn(CONFIDENCE, confidence_pct())
+    scored = scorer.transform(values_seen(events, scorer, cols)).withColumn(CONFIDENCE, confidence_pct())
     return scored.select(*events.columns, *[F.col(c).cast("int").alias(c) for c in codes], PREDICTED, CONFIDENCE)

@@ -13,7 +13,7 @@ from vigilog.operators.counting import histogram
 from vigilog.operators.forests import PREDICTED
 from vigilog.operators.ranking import latest, top
 from vigilog.operators.rollup import mean, only, rollup, summed
-from vigilog.operators.scoring import CONFIDENCE, score_events
+from vigilog.operators.scoring import CONFIDENCE, score_events, values_seen
 from vigilog.schema import EVENT, EventColumns
 
 TOP_SOURCES = 10
@@ -97,7 +97,7 @@ def dashboard(
     are computed for the latest rows alone, since no other dataset needs them.
     """
     have = events.columns
-    seen = score_events(events, scorer, cols)
+    seen = values_seen(events, scorer, cols)
     datasets = {"kpis": rolled_kpis(rolled)}
     if cols.attack in have:
         datasets["attack_share"] = rolled_share(rolled, "attack")

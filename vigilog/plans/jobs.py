@@ -9,7 +9,7 @@ from vigilog.functions.casts import NA_TOKENS
 from vigilog.operators.cleaning import complete_cases
 from vigilog.operators.evaluation import printed_report
 from vigilog.operators.features import feature_sample, fit_features
-from vigilog.operators.scoring import score_events
+from vigilog.operators.scoring import score_events, values_seen
 from vigilog.plans.dashboard import dashboard, dashboard_rollup, serving_rows
 from vigilog.plans.report import report_lines
 from vigilog.plans.training import train_code_forest, train_feature_forest
@@ -90,7 +90,7 @@ def run_dashboard(spark: SparkSession, source: str, output: str, models: str | N
     if events.isEmpty():
         return {}
     scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None
-    rolled = written(dashboard_rollup(score_events(events, scorer)), "rollup")
+    rolled = written(dashboard_rollup(values_seen(events, scorer)), "rollup")
     arrival = [c for c in ARRIVAL if c in events.columns] or [EVENT.timestamp]
     datasets = dashboard(events, rolled, arrival, scorer=scorer)
     for name, frame in datasets.items():

@@ -1,4 +1,8 @@
-"""The two attack classifiers. Both forests are Spark ML's: trees grow level by level across executors."""
+"""The two attack classifiers. Both forests are Spark ML's: trees grow level by level across executors.
+
+On every level each partition sends statistics for all open nodes (a few KB per node, 50 trees times up to
+2^depth nodes), so that shuffle grows with the number of partitions, not of rows. ``few_partitions`` bounds it.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +17,10 @@ from vigilog.operators.splitting import SEED
 from vigilog.schema import EVENT, EventColumns
 
 TREES = 50
+
+#: Levels of the code forest. Spark's default is 5 and its limit 30; every level is a pass over the rows.
+CODE_DEPTH = 8
+
 PREDICTED = "Predicted_Attack"
 
 
@@ -20,18 +28,23 @@ def code_columns(cols: EventColumns = EVENT) -> list[str]:
     return [f"{c}_enc" for c in cols.categorical]
 
 
+def few_partitions(rows: DataFrame) -> DataFrame:
+    """At most four partitions per core, without a shuffle."""
+    return rows.coalesce(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def fit_feature_forest(featured: DataFrame, trees: int = TREES, seed: int = SEED) -> RandomForestClassificationModel:
     """The forest on scaled one-hot features."""
-    return RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed).fit(featured)
+    forest = RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed)
+    return forest.fit(few_partitions(featured))
 
 
 def fit_code_forest(
-    filled: DataFrame, cols: EventColumns = EVENT, trees: int = TREES, seed: int = SEED, depth: int = 10
+    filled: DataFrame, cols: EventColumns = EVENT, trees: int = TREES, seed: int = SEED, depth: int = CODE_DEPTH
 ) -> PipelineModel:
     """The forest on numbers and alphabetical category codes, as one pipeline that ends in the attack's name.
 
-    ``filled`` follows the fill policy. The codes enter as plain numbers, not as nominal categories. Trees
-    are ``depth`` deep at most (Spark allows 30); every level is a pass over the data.
+    ``filled`` follows the fill policy. The codes enter as plain numbers, not as nominal categories.
     """
     codes = code_columns(cols)
     indexer = code_indexer(filled, [*cols.categorical, cols.attack], [*codes, LABEL])
@@ -43,7 +56,7 @@ def fit_code_forest(
     coded = indexer.transform(filled).withColumns({c: F.col(c).cast("int") for c in codes}).withMetadata(LABEL, classes)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed, maxDepth=depth
-    ).fit(assembler.transform(coded))
+    ).fit(few_partitions(assembler.transform(coded)))
 
     return PipelineModel(
         stages=[

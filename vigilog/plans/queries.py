@@ -19,7 +19,7 @@ from vigilog.plans.event_view import VIEW, canonical_log, read_events, sec_all,
 from vigilog.plans.report import report_lines, section_lines
 from vigilog.plans.training import train_code_forest, train_feature_forest
 from vigilog.schema import EVENT, EVENT_SCHEMA
-from vigilog.session import work_folder
+from vigilog.session import spread, work_folder
 from vigilog.sinks.models import load_pipeline, save_model
 from vigilog.sources.csv_events import read_csv_events, stream_csv_events, typed_events
 from vigilog.sources.event_store import read_event_store
@@ -383,7 +383,7 @@ def forest_report(spark, sf_dir):
 def scored_events(spark, sf_dir):
     events = _all(spark, sf_dir)
     scorer = train_code_forest(events, VIEW, key="event_id").pipeline
-    return score_events(events, scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
+    return score_events(spread(events), scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
 
 
 def scored_stream(spark, sf_dir):

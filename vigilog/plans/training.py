@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from vigilog.operators.cleaning import complete_cases, fill_missing
 from vigilog.operators.evaluation import confusion
 from vigilog.operators.features import LABEL, fit_features
-from vigilog.operators.forests import PREDICTED, TREES, fit_code_forest, fit_feature_forest
+from vigilog.operators.forests import CODE_DEPTH, PREDICTED, TREES, fit_code_forest, fit_feature_forest
 from vigilog.operators.scoring import score_events
 from vigilog.operators.splitting import hash_split, random_split
 from vigilog.schema import EVENT, EventColumns
@@ -58,7 +58,7 @@ def train_feature_forest(
 
 
 def train_code_forest(
-    events: DataFrame, cols: EventColumns = EVENT, key: str | None = None, trees: int = TREES, depth: int = 10
+    events: DataFrame, cols: EventColumns = EVENT, key: str | None = None, trees: int = TREES, depth: int = CODE_DEPTH
 ) -> Trained:
     """The forest on category codes, under the fill policy: the model that scores live events."""
     train, test = split_rows(fill_missing(events, cols), cols, key)

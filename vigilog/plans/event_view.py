@@ -39,11 +39,11 @@ def raw_log(events: DataFrame) -> DataFrame:
     parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     return parsed.select(
         "event_id",
-        F.when(event % 101 == 0, "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts_raw"),
+        F.when(event % 101 == 0, "n/a").otherwise(F.substring(text(F.col("ts")), 1, 19)).alias("ts_raw"),
         F.concat(F.lit("10.0."), text(user % 7), F.lit("."), text(user)).alias("src_ip"),
         text(1024 + user).alias("src_port_raw"),
         text(1 + k).alias("dst_port_raw"),
-        F.when(event % 61 == 0, None).when(k % 3 == 0, "TCP").when(k % 3 == 1, "UDP").otherwise("ICMP").alias("protocol"),
+        F.when(event % 61 != 0, F.when(k % 3 == 0, "TCP").when(k % 3 == 1, "UDP").otherwise("ICMP")).alias("protocol"),
         F.when(event % 89 == 0, "").otherwise(text(64 + user * 9)).alias("packet_raw"),
         F.when(k % 2 == 0, "Data").otherwise("Control").alias("packet_type"),
         F.when(user % 3 == 0, "HTTP").when(user % 3 == 1, "DNS").otherwise("FTP").alias("traffic_type"),

@@ -7,8 +7,10 @@ from vigilog.operators.forests import PREDICTED
 from vigilog.operators.scoring import CONFIDENCE
 from vigilog.plans import jobs
 from vigilog.plans.event_view import canonical_log
+from vigilog.schema import SCORED_SCHEMA
 from vigilog.session import work_folder
 from vigilog.sinks.models import model_exists
+from vigilog.sources.csv_events import read_csv_events, typed_events
 from vigilog.sources.event_store import read_event_store
 
 
@@ -40,9 +42,14 @@ def test_training_without_a_feature_pipeline_skips_the_second_forest(spark, path
     assert set(jobs.run_training(spark, paths["log"], str(tmp_path / "models"))) == {"scorer"}
 
 
-def test_scored_ingest_then_dashboard(spark, paths):
-    jobs.run_ingest(spark, paths["log"], paths["store"], paths["checkpoint"]).awaitTermination()
-    assert read_event_store(spark, paths["store"]).count() == 1000
+def test_scored_ingest_then_dashboard(spark, paths, rows):
+    jobs.run_ingest(spark, paths["log"], paths["store"], paths["checkpoint"], max_files=1, models=paths["models"]).awaitTermination()
+    stored = read_event_store(spark, paths["store"], SCORED_SCHEMA)
+    assert stored.count() == 1000 and stored.select("batch_id").distinct().count() == 2
+    assert stored.filter(F.col(PREDICTED).isNull() | F.col(CONFIDENCE).isNull()).isEmpty()
+    read = typed_events(read_csv_events(spark, paths["log"]))
+    columns = ["User Information", "Source Port", "Protocol", "Anomaly Scores", "Payload Data"]
+    assert rows(stored, *columns) == rows(read, *columns)  # predictions leave the events as they are
     charts = jobs.run_dashboard(spark, paths["store"], paths["charts"], paths["models"])
     assert set(charts) == {
         "kpis", "attack_share", "protocol_counts", "severity_counts", "traffic_share", "anomaly_histogram", "top_sources", "recent",
@@ -53,6 +60,16 @@ def test_scored_ingest_then_dashboard(spark, paths):
     assert charts["anomaly_histogram"].agg(F.sum("cnt")).first()[0] == 1000  # missing scores were seen as 0
 
 
+def test_charts_of_missing_columns_are_left_out(events):
+    from vigilog.plans.dashboard import dashboard, dashboard_rollup
+    from vigilog.plans.event_view import VIEW, sec_all
+
+    log = sec_all(events).drop(VIEW.severity, VIEW.anomaly, VIEW.source_ip)
+    charts = dashboard(log, dashboard_rollup(log, VIEW), ["event_id"], VIEW)
+    assert set(charts) == {"kpis", "attack_share", "protocol_counts", "traffic_share", "recent"}
+    assert charts["recent"].columns == [VIEW.attack, VIEW.protocol] and charts["kpis"].first().high_severity == 0
+
+
 def test_dashboard_without_a_model(spark, paths, tmp_path):
     charts = jobs.run_dashboard(spark, paths["log"], str(tmp_path / "charts"))
     assert PREDICTED not in charts["recent"].columns

@@ -73,6 +73,18 @@ def test_restart_reads_only_new_files(feed):
     assert feed.users() == [f"{i:03d}" for i in range(10)]
 
 
+def test_a_running_stream_takes_files_as_they_come(feed):
+    feed.drop("a.csv", numbered(0, 5))
+    query = start_ingest(feed.events(), feed.store, feed.checkpoint, every="100 milliseconds")
+    try:
+        query.processAllAvailable()
+        feed.drop("b.csv", numbered(5, 5))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert len(feed.users()) == 10
+
+
 def test_rows_appended_to_a_read_file_are_not_seen(feed):
     feed.drop("a.csv", numbered(0, 5))
     feed.ingest()

@@ -26,6 +26,7 @@ def arguments() -> argparse.Namespace:
     live = stage("live", "dashboard counts kept over dropped CSV files", "drops", "snapshots", "checkpoint")
     for command in (ingest, live):
         command.add_argument("--every", help="trigger interval; without it, take what is there and stop")
+        command.add_argument("--max-files", type=int, help="files per micro-batch")
     ingest.add_argument("--models", help="score with the model saved there")
     stage("features", "fit and save the feature pipeline", "source", "models")
     stage("train", "train, evaluate and save the classifiers", "source", "models")

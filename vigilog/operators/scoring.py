@@ -51,3 +51,11 @@ def score_events(events: DataFrame, scorer: PipelineModel | None, cols: EventCol
     codes = code_columns(cols)
     scored = scorer.transform(values_seen(events, scorer, cols)).withColumn(CONFIDENCE, confidence_pct())
     return scored.select(*events.columns, *[F.col(c).cast("int").alias(c) for c in codes], PREDICTED, CONFIDENCE)
+
+
+def add_predictions(events: DataFrame, scorer: PipelineModel | None, cols: EventColumns = EVENT) -> DataFrame:
+    """As ``score_events``, but every column keeps its own value: what a store should hold."""
+    if scorer is None:
+        return events
+    carried = events.withColumn("event_as_read", F.struct(*events.columns))
+    return score_events(carried, scorer, cols).select("event_as_read.*", PREDICTED, CONFIDENCE)

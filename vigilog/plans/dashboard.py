@@ -46,8 +46,9 @@ def rolled_kpis(rolled: DataFrame, digits: int = 3) -> DataFrame:
 
 
 def rolled_counts(rolled: DataFrame, key: str) -> DataFrame:
-    """Rows per value of a category, NULL left out."""
-    return only(rolled, CUBE).filter(F.col(key).isNotNull()).groupBy(key).agg(summed())
+    """Rows per value of a category, NULL left out, most frequent first."""
+    counts = only(rolled, CUBE).filter(F.col(key).isNotNull()).groupBy(key).agg(summed())
+    return counts.orderBy(F.desc("cnt"), key)
 
 
 def rolled_share(rolled: DataFrame, key: str) -> DataFrame:

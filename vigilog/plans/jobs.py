@@ -9,7 +9,7 @@ from vigilog.functions.casts import NA_TOKENS
 from vigilog.operators.cleaning import complete_cases
 from vigilog.operators.evaluation import printed_report
 from vigilog.operators.features import feature_sample, fit_features
-from vigilog.operators.scoring import score_events, values_seen
+from vigilog.operators.scoring import add_predictions, values_seen
 from vigilog.plans.dashboard import dashboard, dashboard_rollup, serving_rows
 from vigilog.plans.report import report_lines
 from vigilog.plans.training import train_code_forest, train_feature_forest
@@ -26,7 +26,7 @@ PIPELINE, FOREST, SCORER = "feature_pipeline", "spark_rf_model", "scorer"
 
 
 def is_csv(source: str) -> bool:
-    return source.rstrip("/").endswith((".csv", ".csv.gz", "csv"))
+    return source.rstrip("/").endswith(("csv", "csv.gz"))
 
 
 def read_log(spark: SparkSession, source: str, na_tokens=()) -> DataFrame:
@@ -44,17 +44,26 @@ def run_report(spark: SparkSession, source: str, output: str) -> DataFrame:
 
 
 def run_ingest(
-    spark: SparkSession, drops: str, store: str, checkpoint: str, every: str | None = None, models: str | None = None
+    spark: SparkSession,
+    drops: str,
+    store: str,
+    checkpoint: str,
+    every: str | None = None,
+    max_files: int | None = None,
+    models: str | None = None,
 ) -> StreamingQuery:
-    """Start appending dropped CSV files to the event store, scored if there is a model."""
+    """Start appending dropped CSV files to the event store, with predictions if there is a model."""
     scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None
-    events = stamp_arrival(stream_csv_events(spark, drops))
-    return start_ingest(score_events(events, scorer), store, checkpoint, every)
+    events = stamp_arrival(stream_csv_events(spark, drops, max_files=max_files))
+    return start_ingest(add_predictions(events, scorer), store, checkpoint, every)
 
 
-def run_live(spark: SparkSession, drops: str, snapshots: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def run_live(
+    spark: SparkSession, drops: str, snapshots: str, checkpoint: str, every: str | None = None, max_files: int | None = None
+) -> StreamingQuery:
     """Start keeping the dashboard's counts over dropped CSV files."""
-    return start_snapshots(dashboard_rollup(stream_csv_events(spark, drops)), snapshots, checkpoint, every, serving_rows)
+    events = stream_csv_events(spark, drops, max_files=max_files)
+    return start_snapshots(dashboard_rollup(events), snapshots, checkpoint, every, serving_rows)
 
 
 def learning_rows(spark: SparkSession, source: str, na_tokens=()) -> DataFrame:
@@ -94,5 +103,5 @@ def run_dashboard(spark: SparkSession, source: str, output: str, models: str | N
     arrival = [c for c in ARRIVAL if c in events.columns] or [EVENT.timestamp]
     datasets = dashboard(events, rolled, arrival, scorer=scorer)
     for name, frame in datasets.items():
-        frame.coalesce(1).write.mode("overwrite").parquet(f"{output}/{name}")
+        frame.write.mode("overwrite").parquet(f"{output}/{name}")
     return {name: spark.read.parquet(f"{output}/{name}") for name in datasets}

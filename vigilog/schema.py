@@ -58,6 +58,11 @@ ARRIVAL_SCHEMA = T.StructType(
 )
 STORE_SCHEMA = T.StructType([*EVENT_SCHEMA, *ARRIVAL_SCHEMA])
 
+#: Event columns followed by those that scoring adds.
+SCORED_SCHEMA = T.StructType(
+    [*EVENT_SCHEMA, T.StructField("Predicted_Attack", T.StringType()), T.StructField("Confidence_Pct", T.DoubleType())]
+)
+
 
 def as_strings(schema: T.StructType) -> T.StructType:
     """The same columns, every one of them a string."""

@@ -85,6 +85,17 @@ def test_live_counts_over_drops(spark, paths):
     assert spark.read.parquet(paths["live"]).filter("set_no = 0").agg(F.sum("events")).first()[0] == 1000
 
 
+def test_dashboard_from_live_snapshots_equals_a_pass_over_the_log(spark, paths, rows, tmp_path):
+    live, again = (
+        jobs.run_dashboard(spark, paths["log"], str(tmp_path / name), snapshots=snapshots)
+        for name, snapshots in (("live", paths["live"]), ("again", None))
+    )
+    assert set(live) == set(again)
+    for name in set(live) - {"recent", "kpis"}:
+        assert rows(live[name]) == rows(again[name])
+    assert live["kpis"].first() == again["kpis"].first()
+
+
 def test_work_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     folder = work_folder(spark, "x")

@@ -27,11 +27,12 @@ def arguments() -> argparse.Namespace:
     for command in (ingest, live):
         command.add_argument("--every", help="trigger interval; without it, take what is there and stop")
         command.add_argument("--max-files", type=int, help="files per micro-batch")
-    ingest.add_argument("--models", help="score with the model saved there")
+        command.add_argument("--models", help="use the model saved there")
     stage("features", "fit and save the feature pipeline", "source", "models")
     stage("train", "train, evaluate and save the classifiers", "source", "models")
     charts = stage("dashboard", "every dashboard dataset as Parquet", "source", "output")
-    charts.add_argument("--models", help="score with the model saved there")
+    charts.add_argument("--models", help="use the model saved there")
+    charts.add_argument("--snapshots", help="take the counts from the live snapshots there")
     return parser.parse_args()
 
 

@@ -20,7 +20,7 @@ from vigilog.sinks.text_report import write_lines
 from vigilog.sources.csv_events import or_empty, read_csv_events, stream_csv_events, typed_events
 from vigilog.sources.event_store import ARRIVAL, read_event_store
 from vigilog.streaming.ingest import stamp_arrival, start_ingest
-from vigilog.streaming.live import start_snapshots
+from vigilog.streaming.live import latest_snapshot, start_snapshots
 
 PIPELINE, FOREST, SCORER = "feature_pipeline", "spark_rf_model", "scorer"
 
@@ -59,11 +59,18 @@ def run_ingest(
 
 
 def run_live(
-    spark: SparkSession, drops: str, snapshots: str, checkpoint: str, every: str | None = None, max_files: int | None = None
+    spark: SparkSession,
+    drops: str,
+    snapshots: str,
+    checkpoint: str,
+    every: str | None = None,
+    max_files: int | None = None,
+    models: str | None = None,
 ) -> StreamingQuery:
-    """Start keeping the dashboard's counts over dropped CSV files."""
+    """Start keeping the dashboard's counts over dropped CSV files, of the values the model sees if there is one."""
+    scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None
     events = stream_csv_events(spark, drops, max_files=max_files)
-    return start_snapshots(dashboard_rollup(events), snapshots, checkpoint, every, serving_rows)
+    return start_snapshots(dashboard_rollup(values_seen(events, scorer)), snapshots, checkpoint, every, serving_rows)
 
 
 def learning_rows(spark: SparkSession, source: str, na_tokens=()) -> DataFrame:
@@ -93,13 +100,19 @@ def run_training(spark: SparkSession, source: str, models: str) -> dict[str, Dat
     return reports
 
 
-def run_dashboard(spark: SparkSession, source: str, output: str, models: str | None = None) -> dict[str, DataFrame]:
-    """Compute every dashboard dataset once and write each as Parquet; nothing for an empty log."""
+def run_dashboard(
+    spark: SparkSession, source: str, output: str, models: str | None = None, snapshots: str | None = None
+) -> dict[str, DataFrame]:
+    """Compute every dashboard dataset once and write each as Parquet; nothing for an empty log.
+
+    The counts come from the last of the live ``snapshots`` where these are given, else from one pass over the log.
+    """
     events = read_log(spark, source, NA_TOKENS)
     if events.isEmpty():
         return {}
     scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None
-    rolled = written(dashboard_rollup(values_seen(events, scorer)), "rollup")
+    counted = dashboard_rollup(values_seen(events, scorer))
+    rolled = latest_snapshot(spark, snapshots, counted) if snapshots else written(counted, "rollup")
     arrival = [c for c in ARRIVAL if c in events.columns] or [EVENT.timestamp]
     datasets = dashboard(events, rolled, arrival, scorer=scorer)
     for name, frame in datasets.items():

@@ -7,4 +7,5 @@ from pyspark.sql import DataFrame
 
 def write_lines(lines: DataFrame, path: str) -> None:
     """Write ``line`` in (section, ord) order as one text file; for reports, whose sections are cut to n rows."""
-    lines.orderBy("section", "ord").select("line").coalesce(1).write.mode("overwrite").text(path)
+    one_file = lines.repartition(1).sortWithinPartitions("section", "ord")
+    one_file.select("line").write.mode("overwrite").text(path)

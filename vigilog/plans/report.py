@@ -7,7 +7,7 @@ whose limit Spark applies before the shuffle, so no task receives a whole sectio
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilog.functions.casts import tolerant_timestamp
@@ -50,90 +50,80 @@ def _partials(events: DataFrame, cols: EventColumns) -> DataFrame:
     return rollup(typed, [["attack", "severity", "protocol", "hour"], ["source"]], ["packet", "anomaly"])
 
 
+def _share(section: int, key1: str = "CAST(NULL AS STRING)", key2: str = "CAST(NULL AS STRING)") -> str:
+    """What one rollup row adds to a section, as SQL: one expression is built much faster than a hundred columns."""
+    return f"struct({section} AS section, {key1} AS key1, {key2} AS key2, {', '.join(SUMS)})"
+
+
 def section_rows(events: DataFrame, cols: EventColumns = EVENT) -> DataFrame:
     """``section, ord, key1, key2`` with counts and means: section 0 is the total, 1 to 7 the analyses."""
-    text = F.lit(None).cast("string")
-    timed = F.when(F.col("hour").isNotNull(), F.col("events")).otherwise(0)
-
-    def share(section: int, key1: Column = text, key2: Column = text) -> Column:
-        sums = [F.col(c) if c != "timed" else timed.alias(c) for c in SUMS]
-        return F.struct(F.lit(section).alias("section"), key1.alias("key1"), key2.alias("key2"), *sums)
-
-    attack, severity, protocol, hour = (F.col(c) for c in ("attack", "severity", "protocol", "hour"))
-    cube = F.array(
-        share(0),
-        share(ATTACKS, attack),
-        share(SEVERITIES, severity),
-        share(PROTOCOLS, protocol),
-        share(ANOMALIES, attack),
-        share(CROSS, severity, protocol),
-        share(HOURS, hour.cast("string")),
-    )
-    shares = F.when(F.col("set_no") == 0, cube).otherwise(F.array(share(SOURCES, F.col("source"))))
-    nothing = events.sparkSession.range(0, 1, 1, 1).select(
-        F.lit(0).alias("section"), text.alias("key1"), text.alias("key2"), *[F.lit(0).alias(c) for c in SUMS]
+    cube = [
+        _share(0),
+        _share(ATTACKS, "attack"),
+        _share(SEVERITIES, "severity"),
+        _share(PROTOCOLS, "protocol"),
+        _share(ANOMALIES, "attack"),
+        _share(CROSS, "severity", "protocol"),
+        _share(HOURS, "CAST(hour AS STRING)"),
+    ]
+    shares = f"inline(IF(set_no = 0, array({', '.join(cube)}), array({_share(SOURCES, 'source')})))"
+    nothing = events.sparkSession.range(0, 1, 1, 1).selectExpr(
+        "0 AS section", "CAST(NULL AS STRING) AS key1", "CAST(NULL AS STRING) AS key2", *[f"0 AS {c}" for c in SUMS]
     )
     grouped = (
         _partials(events, cols)
-        .select(F.inline(shares))
-        .filter((F.col("section") != HOURS) | F.col("key1").isNotNull())
+        .withColumn("timed", F.expr("IF(hour IS NULL, 0, events)"))
+        .selectExpr(shares)
+        .filter(f"section <> {HOURS} OR key1 IS NOT NULL")
         .unionByName(nothing)  # an empty log still has its total, 0
         .groupBy("section", "key1", "key2")
         .agg(*[F.sum(c).alias(c) for c in SUMS])
-        .withColumn("avg_packet", F.try_divide("packet_sum", "packet_n"))
-        .withColumn("avg_anomaly", F.try_divide("anomaly_sum", "anomaly_n"))
+        .withColumns(
+            {
+                "avg_packet": F.try_divide("packet_sum", "packet_n"),
+                "avg_anomaly": F.try_divide("anomaly_sum", "anomaly_n"),
+            }
+        )
     )
 
-    section = F.col("section")
-    first = F.when(section == CROSS, F.col("key1"))
-    second = (
-        F.when(section == ANOMALIES, F.col("avg_anomaly"))
-        .when(section == HOURS, -F.col("key1").try_cast("double"))
-        .otherwise(F.col("events").cast("double"))
+    first = F.expr(f"IF(section = {CROSS}, key1, NULL)")
+    second = F.expr(
+        f"CASE section WHEN {ANOMALIES} THEN avg_anomaly WHEN {HOURS} THEN -try_cast(key1 AS DOUBLE) ELSE CAST(events AS DOUBLE) END"
     )
     order = Window.partitionBy("section").orderBy(first.asc_nulls_first(), second.desc_nulls_last(), "key1", "key2")
-    limit = F.lit(1)
-    for number, rows in LIMITS.items():
-        limit = F.when(section == number, rows).otherwise(limit)
-    ranked = grouped.withColumn("ord", F.row_number().over(order)).filter(F.col("ord") <= max(LIMITS.values()))
-    return ranked.filter(F.col("ord") <= limit).select(
+    limits = " ".join(f"WHEN {number} THEN {rows}" for number, rows in LIMITS.items())
+    ranked = grouped.withColumn("ord", F.row_number().over(order)).filter(f"ord <= {max(LIMITS.values())}")
+    return ranked.filter(f"ord <= CASE section {limits} ELSE 1 END").select(
         "section", "ord", "key1", "key2", "events", "timed", "avg_packet", "avg_anomaly"
     )
 
 
+def _heading(number: int, *words: str) -> str:
+    """Heading lines of a section as SQL; a blank line comes first."""
+    lines = [f"struct({number} AS section, {place} AS ord, '{w}' AS line)" for place, w in enumerate(["", *words], start=-4)]
+    return f"array({', '.join(lines)})"
+
+
 def report_lines(events: DataFrame, cols: EventColumns = EVENT, digits: int | None = None) -> DataFrame:
     """The report as ``section, ord, line``; headings have negative ``ord``. ``digits`` rounds the means."""
     rows = section_rows(events, cols)
     if digits is not None:
         rows = rows.withColumns({c: F.round(c, digits) for c in ("avg_packet", "avg_anomaly")})
 
-    def line(section: int | Column, place: int | Column, words: Column) -> Column:
-        as_column = [v if isinstance(v, Column) else F.lit(v) for v in (section, place)]
-        return F.struct(as_column[0].alias("section"), as_column[1].alias("ord"), words.alias("line"))
-
-    def heading(number: int, *words: str) -> list[Column]:
-        return [line(number, place, F.lit(w)) for place, w in enumerate(["", *words], start=-4)]
-
-    opening = F.array(line(0, 0, F.concat(F.lit(OPENING), F.format_number("events", 0))))
-    headings = [h for number, title in TITLES.items() if number != HOURS for h in heading(number, RULE, title, RULE)]
-    closing = heading(HOURS + 1, CLOSING)
-    with_trend = F.array(*headings, *heading(HOURS, RULE, TITLES[HOURS], RULE), *closing)
-    without_trend = F.array(*headings, *heading(HOURS, NO_TREND), *closing)
-
+    headings = ", ".join(_heading(number, RULE, title, RULE) for number, title in TITLES.items() if number != HOURS)
+    trend = f"IF(timed > 0, {_heading(HOURS, RULE, TITLES[HOURS], RULE)}, {_heading(HOURS, NO_TREND)})"
+    opening = f"array(struct(0 AS section, 0 AS ord, concat('{OPENING}', format_number(events, 0)) AS line))"
     section = F.col("section")
-    key1, key2, events_, packet, anomaly = (F.col(c) for c in ("key1", "key2", "events", "avg_packet", "avg_anomaly"))
+    key1, key2, counted, packet, anomaly = (F.col(c) for c in ("key1", "key2", "events", "avg_packet", "avg_anomaly"))
     body = (
-        F.when(section == PROTOCOLS, row_line(key1, events_, packet))
+        F.when(section == PROTOCOLS, row_line(key1, counted, packet))
         .when(section == ANOMALIES, row_line(key1, anomaly))
-        .when(section == CROSS, row_line(key1, key2, events_))
-        .otherwise(row_line(key1, events_))
+        .when(section == CROSS, row_line(key1, key2, counted))
+        .otherwise(row_line(key1, counted))
     )
-    lines = (
-        F.when((section == 0) & (F.col("timed") > 0), F.concat(opening, with_trend))
-        .when(section == 0, F.concat(opening, without_trend))
-        .otherwise(F.array(line(section, F.col("ord"), F.concat(F.lit("  "), body))))
+    return rows.withColumn("line", F.concat(F.lit("  "), body)).selectExpr(
+        f"inline(IF(section = 0, concat({opening}, {headings}, {trend}, {_heading(HOURS + 1, CLOSING)}), array(struct(section, ord, line))))"
     )
-    return rows.select(F.inline(lines))
 
 
 def section_lines(section: str, frame: DataFrame) -> DataFrame:

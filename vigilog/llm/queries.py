@@ -8,20 +8,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigilog.llm.byte_bpe import round_trip
 from vigilog.llm.decontamination import contained_items
+from vigilog.llm.kd_shards import shard_digests
+from vigilog.llm.kneser_ney import language_scores
+from vigilog.llm.main_text import extracted
 from vigilog.llm.near_duplicates import near_duplicates
 from vigilog.llm.quality_classifier import quality_scores
 from vigilog.llm.quality_rules import quality_verdicts
 from vigilog.llm.shared import table
+from vigilog.llm.token_files import token_digests
+from vigilog.llm.url_rules import url_verdicts
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
+def kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_digests(table(spark, sf_dir, "documents"), shards=40)
+
+
+def rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,7 +61,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality_classifier,
+    "op2_kneser_ney": language_model,
+    "op3_kd_tree_shards": kd_tree_shards,
+    "op4_rans_token_files": rans_token_files,
     "op5_quality_rules": quality_rules,
+    "op6_url_rules": url_rules,
+    "op7_main_text": main_text,
     "op8_near_duplicates": minhash_near_duplicates,
     "op9_byte_bpe": byte_level_bpe,
     "op10_benchmark_decontamination": benchmark_decontamination,

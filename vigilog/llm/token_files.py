@@ -32,19 +32,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vigilog.llm.rans import LANES, Table, scaled
 from vigilog.llm.shared import stored, work_folder
-from vigilog.llm.token_tables import TokenTable
-from vigilog.llm.words import as_bytes, pieces
+from vigilog.llm.token_tables import HashedTable
+from vigilog.llm.words import as_bytes, pieces, word_stretches
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 256 * LANES
-FILE_BYTES = 24 << 20  # of text, on average
+FILE_BYTES = 16 << 20  # of text, on average
+MOST_CORES = 150_000
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks without the apostrophe, which can begin a token with letters
 MAGIC = b"vgl-rans"
 MANIFEST = "part int, file string, n_docs long, n_ids long, bytes long"
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space: no token crosses it, so every word is encoded by itself."""
+    """Ids of whole texts by a tokenizer that drops white space: no token crosses it, so every word is encoded by itself.
+
+    Words are told apart by 64-bit hashes. Ids are below 2**16.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,25 +57,52 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words = TokenTable(self._encode)
-
-    def _encode(self, words: list[bytes]) -> Iterator[list[int]]:
-        for at in range(0, len(words), 4096):
-            part = [w.decode() for w in words[at : at + 4096]]
-            for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
-                yield x.ids
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words = HashedTable(self._words)
+        self.cores: dict[str, list[int]] = {}
+
+    def _encode_each(self, parts: list[str]) -> None:
+        for text, x in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+            self.cores[text] = x.ids
+
+    def _encode_letters(self, parts: list[str]) -> None:
+        """Parts of letters alone, encoded as one text: each ends with the only token of it that closes a word."""
+        ids = self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(parts) and ends[-1] == len(ids):
+            ends = ends.tolist()
+            self.cores.update((p, ids[a:b]) for p, a, b in zip(parts, [0, *ends], ends, strict=False))
+
+    def _words(self, words: list[bytes]) -> Iterator[list[int]]:
+        """Ids of words. A word is cut before the marks it ends with, as the tokenizer cuts letters from marks; either
+        part is encoded once for all words that have it."""
+        cut, wanted = [], set()
+        if len(self.cores) > MOST_CORES:
+            self.cores.clear()
+        for word in words:
+            text = word.decode()
+            core = text.rstrip(MARKS)
+            parts = (core, text[len(core) :]) if core and core[-1].isalpha() and len(core) < len(text) else (text,)
+            cut.append(parts)
+            wanted.update(p for p in parts if p not in self.cores)
+        letters = [p for p in wanted if p.lower().isalpha()]
+        for at in range(0, len(letters), 1000):
+            self._encode_letters(letters[at : at + 1000])
+        self._encode_each([p for p in wanted if p not in self.cores])
+        for parts in cut:
+            yield self.cores[parts[0]] if len(parts) == 1 else self.cores[parts[0]] + self.cores[parts[1]]
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, each with the end id, and how many each has."""
-        words, counts = [], []
-        for text in texts:
-            text = text or b""
-            own = (text.lower() if text.isascii() else text).split()
-            words += own
-            counts.append(len(own))
-        ids, sizes = self.words.tokens(words)
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)] if counts else np.empty(0, np.int64)
-        return np.insert(ids, ends, END_ID), np.diff(ends, prepend=0) + 1
+        counts, found = np.zeros(len(texts), dtype=np.int64), []
+        for first, data, hashes, starts, ends, bounds in word_stretches(texts, fold=False):
+            ids, sizes = self.words.tokens(hashes, lambda i, d=data, a=starts, b=ends: d[a[i] : b[i]].tobytes())
+            counts[first : first + len(bounds) - 1] += np.diff(np.concatenate([[0], np.cumsum(sizes)])[bounds])
+            found.append(ids)
+        ids = np.concatenate(found) if found else np.empty(0, np.uint16)
+        return np.insert(ids, np.cumsum(counts), END_ID), counts + 1
 
 
 @lru_cache(1)
@@ -158,7 +190,7 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None) -> DataFr
         own, found, sizes, doc_ids = _encoder(path), [], [], []
         for batch in pieces(batches, "text", most=1 << 21):
             ids, counts = own.encode(as_bytes(batch.column("text")))
-            found.append(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids)
+            found.append(ids)
             sizes.append(counts)
             doc_ids += batch.column("doc_id").to_pylist()
         if not doc_ids:

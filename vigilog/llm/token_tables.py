@@ -47,3 +47,37 @@ def spans(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np
     ends = np.cumsum(sizes)
     places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
     return values[places], sizes
+
+
+class HashedTable:
+    """Token ids by the 64-bit hash of a word: sorted arrays instead of words, so a task can remember millions of them."""
+
+    def __init__(self, encode: Callable[[list[bytes]], Iterable[Sequence[int]]], most: int = 2_000_000):
+        self.encode, self.most = encode, most
+        self._start()
+
+    def _start(self) -> None:
+        self.keys, self.rows = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.ids, self.ends = array("H"), array("I", [0])
+
+    def tokens(self, hashes: np.ndarray, word: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of hashed words one after the other, and how many each has; ``word(i)`` gives the word of hash ``i``."""
+        if len(self.keys) > self.most:
+            self._start()
+        keys, firsts, back = np.unique(hashes, return_index=True, return_inverse=True)
+        places = np.searchsorted(self.keys, keys)
+        there = np.zeros(len(keys), bool)
+        if len(self.keys):
+            there = self.keys[np.minimum(places, len(self.keys) - 1)] == keys
+        rows = np.empty(len(keys), np.int32)
+        rows[there] = self.rows[places[there]]
+        new = np.flatnonzero(~there)
+        rows[new] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(new))
+        for ids in self.encode([word(i) for i in firsts[new].tolist()]):
+            self.ids.extend(ids)
+            self.ends.append(len(self.ids))
+        self.keys = np.insert(self.keys, places[new], keys[new])
+        self.rows = np.insert(self.rows, places[new], rows[new])
+        ends = np.array(self.ends, dtype=np.int64)
+        own = rows[back]
+        return spans(np.array(self.ids, dtype=np.uint16), ends[own], ends[own + 1] - ends[own])

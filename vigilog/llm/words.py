@@ -8,6 +8,8 @@ gives the hashes of all its words at once. Two words share a hash with a chance
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,7 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_EXACT = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]
 _BASE = int(_random.integers(1, 2**62)) * 4 + 1
 _SPACE = np.zeros(256, dtype=bool)
@@ -42,24 +45,24 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def hashed_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word in a stretch of bytes."""
+def hashed_words(data: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word in a stretch of bytes; without ``fold``, A-Z differ from a-z."""
     n = len(data)
     if not n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     up, down = (_UP, _DOWN) if n <= STRETCH else (_powers(_BASE, n), _powers(pow(_BASE, -1, 2**64), n))
     padded = np.ones(n + 2, dtype=bool)
     padded[1:-1] = _SPACE[data]
     edges = np.flatnonzero(padded[1:] != padded[:-1])
     starts, ends = edges[::2], edges[1::2]
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts]), starts
+    np.cumsum((_BYTE if fold else _EXACT)[data] * up[:n], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts]), starts, ends
 
 
-def _long_words(text: bytes) -> np.ndarray:
-    """Hashes of one text longer than a stretch, cut at white space; a longer word is hashed in one piece."""
-    data, found, at = np.frombuffer(text, dtype=np.uint8), [], 0
+def _cuts(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A text in stretches that end at white space; a word longer than a stretch stays whole."""
+    at = 0
     while at < len(data):
         end = min(at + STRETCH, len(data))
         while end < len(data):
@@ -68,33 +71,53 @@ def _long_words(text: bytes) -> np.ndarray:
                 end = max(at, end - STRETCH) + int(gaps[-1]) + 1
                 break
             end = min(end + STRETCH, len(data))
-        found.append(hashed_words(data[at:end])[0])
+        yield data[at:end]
         at = end
-    return np.concatenate(found)
-
 
-def word_runs(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Runs of texts as (number of the first text, word hashes, bounds).
 
-    The words of text ``first + i`` of a run are ``hashes[bounds[i]:bounds[i + 1]]``. A null text counts as empty.
-    """
+def _groups(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int]]:
+    """Spans of texts that make a stretch together; a longer text by itself."""
     at = 0
     while at < len(texts):
         size, end = 0, at
         while end < len(texts) and (size := size + len(texts[end] or b"") + 1) <= STRETCH:
             end += 1
-        if end == at:
-            words = _long_words(texts[at] or b"")
-            yield at, words, np.array([0, len(words)])
-            at += 1
-            continue
-        run = [x or b"" for x in texts[at:end]]
-        hashes, starts = hashed_words(np.frombuffer(b"\n".join(run), dtype=np.uint8))
-        begins = np.cumsum([0] + [len(x) + 1 for x in run])
-        yield at, hashes, np.searchsorted(starts, begins)
+        end = max(end, at + 1)
+        yield at, end
         at = end
 
 
+def word_stretches(texts: Sequence[bytes | None], fold: bool = True) -> Iterator[tuple]:
+    """Stretches as (number of the first text, bytes, word hashes, starts, ends, bounds of the texts in the words).
+
+    A text longer than a stretch comes as several, each with that text alone.
+    """
+    for at, end in _groups(texts):
+        run = [x or b"" for x in texts[at:end]]
+        if len(run) == 1 and len(run[0]) > STRETCH:
+            for data in _cuts(np.frombuffer(run[0], dtype=np.uint8)):
+                found = hashed_words(data, fold)
+                yield at, data, *found, np.array([0, len(found[0])])
+        else:
+            data = np.frombuffer(b"\n".join(run), dtype=np.uint8)
+            hashes, starts, ends = hashed_words(data, fold)
+            yield at, data, hashes, starts, ends, np.searchsorted(starts, np.cumsum([0] + [len(x) + 1 for x in run]))
+
+
+def word_runs(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of texts as (number of the first text, word hashes, bounds); a long text is one run.
+
+    The words of text ``first + i`` of a run are ``hashes[bounds[i]:bounds[i + 1]]``. A null text counts as empty.
+    """
+    for first, parts in groupby(word_stretches(texts), key=itemgetter(0)):
+        runs = [(hashes, bounds) for _, _, hashes, _, _, bounds in parts]
+        if len(runs) == 1:
+            yield first, *runs[0]
+        else:
+            words = np.concatenate([hashes for hashes, _ in runs])
+            yield first, words, np.array([0, len(words)])
+
+
 def shingle_run(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``width``-word shingles of a run and their bounds; a text with fewer words has one, of them all."""
     counts = np.diff(bounds)

@@ -38,8 +38,8 @@ from vigilog.llm.words import as_bytes, pieces, word_stretches
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 256 * LANES
-FILE_BYTES = 16 << 20  # of text, on average
-MOST_CORES = 150_000
+FILE_BYTES = 10 << 20  # of text, on average
+MOST_CORES = 50_000
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks without the apostrophe, which can begin a token with letters
 MAGIC = b"vgl-rans"
 MANIFEST = "part int, file string, n_docs long, n_ids long, bytes long"
@@ -48,7 +48,8 @@ MANIFEST = "part int, file string, n_docs long, n_ids long, bytes long"
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space: no token crosses it, so every word is encoded by itself.
 
-    Words are told apart by 64-bit hashes. Ids are below 2**16.
+    Words are told apart by 64-bit hashes, and marks behind a letter count as a word of their own, which the tokenizer
+    cuts off as well. Ids are below 2**16.
     """
 
     def __init__(self, path: str):
@@ -60,44 +61,47 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words = HashedTable(self._words)
+        self.words = HashedTable(self._words, most=1_000_000)
         self.cores: dict[str, list[int]] = {}
 
-    def _encode_each(self, parts: list[str]) -> None:
-        for text, x in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.cores[text] = x.ids
-
-    def _encode_letters(self, parts: list[str]) -> None:
-        """Parts of letters alone, encoded as one text: each ends with the only token of it that closes a word."""
-        ids = self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids
+    def _letters(self, parts: list[str]) -> list[list[int]]:
+        """Ids of parts of letters alone, encoded as one text: each ends with the only token of it that closes a word."""
+        ids = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) == len(parts) and ends[-1] == len(ids):
             ends = ends.tolist()
-            self.cores.update((p, ids[a:b]) for p, a, b in zip(parts, [0, *ends], ends, strict=False))
-
-    def _words(self, words: list[bytes]) -> Iterator[list[int]]:
-        """Ids of words. A word is cut before the marks it ends with, as the tokenizer cuts letters from marks; either
-        part is encoded once for all words that have it."""
-        cut, wanted = [], set()
-        if len(self.cores) > MOST_CORES:
-            self.cores.clear()
-        for word in words:
-            text = word.decode()
-            core = text.rstrip(MARKS)
-            parts = (core, text[len(core) :]) if core and core[-1].isalpha() and len(core) < len(text) else (text,)
-            cut.append(parts)
-            wanted.update(p for p in parts if p not in self.cores)
-        letters = [p for p in wanted if p.lower().isalpha()]
-        for at in range(0, len(letters), 1000):
-            self._encode_letters(letters[at : at + 1000])
-        self._encode_each([p for p in wanted if p not in self.cores])
-        for parts in cut:
-            yield self.cores[parts[0]] if len(parts) == 1 else self.cores[parts[0]] + self.cores[parts[1]]
+            return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _core(self, text: str) -> list[int]:
+        ids = self.cores.get(text)
+        if ids is None:
+            if len(self.cores) >= MOST_CORES:
+                self.cores.clear()
+            ids = self.cores[text] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return ids
+
+    def _word(self, text: str) -> list[int]:
+        """Ids of a word, cut before the marks it ends with if they follow a letter, as the tokenizer cuts it."""
+        core = text.rstrip(MARKS)
+        if core and core[-1].isalpha() and len(core) < len(text):
+            return self._core(core) + self._core(text[len(core) :])
+        return self._core(text)
+
+    def _words(self, words: list[bytes]) -> list[list[int]]:
+        texts = [w.decode() for w in words]
+        out: list = [None] * len(texts)
+        letters = [i for i, t in enumerate(texts) if t.isalpha()]
+        for at in range(0, len(letters), 4000):
+            part = letters[at : at + 4000]
+            for i, ids in zip(part, self._letters([texts[i] for i in part]), strict=True):
+                out[i] = ids
+        return [self._word(t) if ids is None else ids for t, ids in zip(texts, out, strict=True)]
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, each with the end id, and how many each has."""
         counts, found = np.zeros(len(texts), dtype=np.int64), []
-        for first, data, hashes, starts, ends, bounds in word_stretches(texts, fold=False):
+        for first, data, hashes, starts, ends, bounds in word_stretches(texts, exact=True):
             ids, sizes = self.words.tokens(hashes, lambda i, d=data, a=starts, b=ends: d[a[i] : b[i]].tobytes())
             counts[first : first + len(bounds) - 1] += np.diff(np.concatenate([[0], np.cumsum(sizes)])[bounds])
             found.append(ids)

@@ -23,6 +23,12 @@ _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _EXACT = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]
 _BASE = int(_random.integers(1, 2**62)) * 4 + 1
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[33:127] = True
+_MARK[48:58] = _MARK[39] = False  # digits and the apostrophe
+_MARK &= ~_LETTER
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(SPACES)] = True
 _GRAM = np.uint64(int(_random.integers(1, 2**62)) * 4 + 1)
@@ -45,8 +51,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def hashed_words(data: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of every word in a stretch of bytes; without ``fold``, A-Z differ from a-z."""
+def hashed_words(data: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word in a stretch of bytes.
+
+    With ``exact``, A-Z differ from a-z, and a word is also cut where an ASCII mark (no apostrophe) follows an ASCII letter.
+    """
     n = len(data)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -55,8 +64,11 @@ def hashed_words(data: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.nd
     padded[1:-1] = _SPACE[data]
     edges = np.flatnonzero(padded[1:] != padded[:-1])
     starts, ends = edges[::2], edges[1::2]
+    if exact:
+        cuts = np.flatnonzero(_MARK[data[1:]] & _LETTER[data[:-1]]) + 1
+        starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((_BYTE if fold else _EXACT)[data] * up[:n], out=sums[1:])
+    np.cumsum((_EXACT if exact else _BYTE)[data] * up[:n], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * down[starts]), starts, ends
 
 
@@ -87,7 +99,7 @@ def _groups(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_stretches(texts: Sequence[bytes | None], fold: bool = True) -> Iterator[tuple]:
+def word_stretches(texts: Sequence[bytes | None], exact: bool = False) -> Iterator[tuple]:
     """Stretches as (number of the first text, bytes, word hashes, starts, ends, bounds of the texts in the words).
 
     A text longer than a stretch comes as several, each with that text alone.
@@ -96,11 +108,11 @@ def word_stretches(texts: Sequence[bytes | None], fold: bool = True) -> Iterator
         run = [x or b"" for x in texts[at:end]]
         if len(run) == 1 and len(run[0]) > STRETCH:
             for data in _cuts(np.frombuffer(run[0], dtype=np.uint8)):
-                found = hashed_words(data, fold)
+                found = hashed_words(data, exact)
                 yield at, data, *found, np.array([0, len(found[0])])
         else:
             data = np.frombuffer(b"\n".join(run), dtype=np.uint8)
-            hashes, starts, ends = hashed_words(data, fold)
+            hashes, starts, ends = hashed_words(data, exact)
             yield at, data, hashes, starts, ends, np.searchsorted(starts, np.cumsum([0] + [len(x) + 1 for x in run]))
 
 

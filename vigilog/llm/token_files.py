@@ -216,55 +216,43 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None) -> DataFr
     return stored(ordered.mapInArrow(write, MANIFEST), folder, "manifest")
 
 
-def read_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens`` and ``ids`` of every document in the files of a manifest, a file at a time per task."""
+def read_files(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` and, unless left out, ``ids`` of every document in the files.
+
+    ``start`` counts the ids of all documents before; ``ids_crc32`` is the CRC-32 of the ids as unsigned 32-bit integers. A
+    task reads a file at a time and holds a document, a block and a batch of a million ids.
+    """
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)]
+        names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+        if with_ids:
+            ends = np.cumsum([0] + [r[2] for r in rows]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[4] for r in rows]).astype(np.int32))))
+            names.append("ids")
+        return pa.record_batch(columns, names=names)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, place = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for name, start in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist(), strict=True):
+                rows, n = [], 0
                 with store.open_input_file(f"{place}/{name}") as file:
                     own = TokenFile(file)
                     for i, ids in enumerate(own.documents()):
-                        yield None if own.no_id[i] else int(own.doc_ids[i]), start, ids
-                        start += len(ids)
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held, n = ["doc_id", "start", "n_tokens", "ids"], [], 0
-
-        def batch_of(held):
-            ends = np.cumsum([0] + [len(x[2]) for x in held]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[2] for x in held]).astype(np.int32)))
-            sizes = pa.array([len(x[2]) for x in held], pa.int64())
-            return pa.record_batch([pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int64()), sizes, ids], names=names)
-
-        for row in read(batches):
-            held.append(row)
-            n += len(row[2])
-            if n > 1 << 20:
-                yield batch_of(held)
-                held, n = [], 0
-        if held:
-            yield batch_of(held)
+                        doc_id = None if own.no_id[i] else int(own.doc_ids[i])
+                        rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes()), *([ids] if with_ids else [])))
+                        start, n = start + len(ids), n + len(ids)
+                        if n > 1 << 20:
+                            yield batch_of(rows)
+                            rows, n = [], 0
+                if rows:
+                    yield batch_of(rows)
 
     before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.select("part", "file", F.coalesce(before, F.lit(0)).alias("before"))
     files = files.repartition(max(1, manifest.count()), "part").select("file", "before")
-    return files.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids array<int>")
-
-
-def _check(ids: pa.Array) -> pa.Array:
-    return pa.array([zlib.crc32(np.asarray(x.values).astype("<u4").tobytes()) for x in ids], pa.int64())
-
-
-def with_checksums(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens`` and ``ids_crc32``, the CRC-32 of a document's ids as unsigned 32-bit integers."""
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), _check(batch.column("ids"))], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return documents.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
@@ -273,4 +261,4 @@ def token_digests(docs: DataFrame) -> DataFrame:
     An empty table gives no file and no rows. Other columns are ignored.
     """
     folder = work_folder(docs.sparkSession, "token-files")
-    return with_checksums(read_files(write_files(docs, folder), folder))
+    return read_files(write_files(docs, folder), folder, with_ids=False)

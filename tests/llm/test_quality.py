@@ -36,7 +36,7 @@ def test_base_counts(documents, awkward):
 
 
 def test_the_verdict_does_not_hang_on_the_order(documents):
-    text = qr.m.text_of(F.col("text"))
+    text = qr.Facts.of(qr.m.text_of(F.col("text")))
     forth = documents.select("doc_id", qr.first_failure(text, qr.RULES).isNull().alias("kept"))
     back = documents.select("doc_id", qr.first_failure(text, qr.RULES[::-1]).isNull().alias("kept"))
     want = sorted(map(tuple, forth.collect()))

@@ -21,49 +21,51 @@ REPEATED_PERCENT = 20
 
 
 @dataclass(frozen=True)
-class Rule:
-    """``fails(text)`` is true for a text (not null) that the rule rejects."""
-
-    name: str
-    fails: Callable[[Column], Column]
-
+class Facts:
+    """A text (not null) and its counts, each an expression of the text or a column that has it already."""
 
-def _n_words(text: Column) -> Column:
-    return F.size(m.words_of(text))
+    text: Column
+    n_words: Column
+    n_chars: Column
+    n_symbols: Column
 
+    @staticmethod
+    def of(text: Column, n_words: Column | None = None) -> Facts:
+        return Facts(text, F.size(m.words_of(text)) if n_words is None else n_words, _chars(text), m.count_of(text, m.SYMBOLS))
 
-def _per_word(count: Callable[[Column], Column], most: float) -> Callable[[Column], Column]:
-    return lambda text: count(text) > most * _n_words(text)
 
+@dataclass(frozen=True)
+class Rule:
+    """``fails(facts)`` is true for a text that the rule rejects."""
 
-def _word_length(text: Column) -> Column:
-    return m.bound(_n_words(text), lambda n: (_chars(text) > 25 * n) | (_chars(text) < 2 * n))
+    name: str
+    fails: Callable[[Facts], Column]
 
 
 def _chars(text: Column) -> Column:
     return F.length(F.translate(text, m.GAPS, ""))
 
 
-def _repeated(text: Column) -> Column:
-    return m.bound(m.words_of(text), lambda w: 100 * m.repeated_words(w) > REPEATED_PERCENT * F.size(w))
+def _repeated(x: Facts) -> Column:
+    return m.bound(m.words_of(x.text), lambda w: 100 * m.repeated_words(w) > REPEATED_PERCENT * F.size(w))
 
 
-def _dup_lines(text: Column) -> Column:
-    return m.bound(m.lines_of(text), lambda x: 2 * (F.size(x) - F.size(F.array_distinct(x))) > F.size(x))
+def _dup_lines(x: Facts) -> Column:
+    return m.bound(m.lines_of(x.text), lambda y: 2 * (F.size(y) - F.size(F.array_distinct(y))) > F.size(y))
 
 
-def _capitals(text: Column) -> Column:
-    upper = m.count_of(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    return upper > m.count_of(text, "abcdefghijklmnopqrstuvwxyz")
+def _capitals(x: Facts) -> Column:
+    upper = m.count_of(x.text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    return upper > m.count_of(x.text, "abcdefghijklmnopqrstuvwxyz")
 
 
 RULES = (
-    Rule("few_words", lambda text: _n_words(text) < FEWEST_WORDS),
+    Rule("few_words", lambda x: x.n_words < FEWEST_WORDS),
     Rule("repeated_words", _repeated),
-    Rule("symbols", _per_word(lambda text: m.count_of(text, m.SYMBOLS), 0.25)),
-    Rule("exclamations", _per_word(lambda text: m.count_of(text, "!"), 0.25)),
+    Rule("symbols", lambda x: x.n_symbols > 0.25 * x.n_words),
+    Rule("exclamations", lambda x: m.count_of(x.text, "!") > 0.25 * x.n_words),
     Rule("capitals", _capitals),
-    Rule("word_length", _word_length),
+    Rule("word_length", lambda x: (x.n_chars > 25 * x.n_words) | (x.n_chars < 2 * x.n_words)),
     Rule("dup_lines", _dup_lines),
 )
 
@@ -87,7 +89,7 @@ def ordered(rules: Sequence[Rule], docs: DataFrame, rows: int = SAMPLE_ROWS) ->
         idle = _seconds(sample, F.length("text") > 0)[0]
         found = []
         for r in rules:
-            seconds, rejected = _seconds(sample, r.fails(F.col("text")))
+            seconds, rejected = _seconds(sample, r.fails(Facts.of(F.col("text"))))
             found.append({"rule": r, "seconds": max(seconds - idle, 1e-4), "rejected": rejected / n})
     finally:
         sample.unpersist()
@@ -104,11 +106,11 @@ def _seconds(sample: DataFrame, fails: Column) -> tuple[float, int]:
     return best, rejected
 
 
-def first_failure(text: Column, rules: Sequence[Rule]) -> Column:
+def first_failure(facts: Facts, rules: Sequence[Rule]) -> Column:
     """The name of the first rule in order that rejects the text, else null; later rules are not evaluated."""
     branch = F.lit(None).cast("string")
     for r in reversed(rules):
-        branch = F.when(r.fails(text), F.lit(r.name)).otherwise(branch)
+        branch = F.when(r.fails(facts), F.lit(r.name)).otherwise(branch)
     return branch
 
 
@@ -119,7 +121,10 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, rows: int = SAMPLE_R
     ``rejected_by`` is replaced. An empty table stays empty. Repeated rows are judged each for itself.
     """
     order = [x["rule"] for x in ordered(rules, docs, rows)]
-    return docs.withColumn("rejected_by", first_failure(m.text_of(F.col("text")), order))
+    text = F.col("text")
+    own = docs.select(F.struct(*[c for c in docs.columns if c != "rejected_by"]).alias("row"), m.text_of(text).alias("text"))
+    own = own.select("row", "text", F.size(m.words_of(text)).alias("n_words"))
+    return own.select("row.*", first_failure(Facts.of(text, F.col("n_words")), order).alias("rejected_by"))
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
@@ -146,7 +151,8 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     rest = [x["rule"] for x in ordered(RULES[2:], docs)]
     failed = F.expr(f"n_words < {FEWEST_WORDS} or 100 * n_repeat_words > {REPEATED_PERCENT} * n_words")
     counted = text_counts(docs).withColumn("base_failed", failed)
-    judged = counted.withColumn("rejected_by", F.when(F.col("base_failed"), "base").otherwise(first_failure(F.col("text"), rest)))
+    known = Facts(F.col("text"), F.col("n_words"), F.col("word_chars"), F.col("n_symbols"))
+    judged = counted.withColumn("rejected_by", F.when(F.col("base_failed"), "base").otherwise(first_failure(known, rest)))
     return judged.select(
         *("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed".split()),
         F.col("rejected_by").isNull().alias("kept"),

@@ -25,8 +25,8 @@ from vigilog.llm.token_tables import TokenTable, spans
 from vigilog.llm.words import pieces
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MOST_PAIRS = 1_000_000
-MOST_PIECES = 150_000
+MOST_PAIRS = 300_000
+MOST_PIECES = 100_000
 
 
 class ByteBpe:
@@ -215,18 +215,31 @@ def _encoding(path: str, pattern: str) -> Callable[[Iterable[pa.RecordBatch]], I
     return encode
 
 
+def _texts_of(own: Decoder, ids: pa.Array) -> pa.Array:
+    return pa.array([own.decode(np.asarray(x.values)) if x.is_valid else None for x in ids], pa.large_binary())
+
+
 def _decoding(path: str, pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = decoder(path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                texts = [own.decode(np.asarray(x.values)) if x.is_valid else None for x in part.column("ids")]
-                yield pa.record_batch([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.large_binary())], names=["doc_id", "ids", "decoded"])
+                texts = _texts_of(own, part.column("ids"))
+                yield pa.record_batch([part.column("doc_id"), part.column("ids"), texts], names=["doc_id", "ids", "decoded"])
 
     return decode
 
 
+def _both(path: str, pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Encoding and decoding in one worker, so that a task has one of them."""
+
+    def both(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoding(path, pattern)(_encoding(path, pattern)(batches))
+
+    return both
+
+
 def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every row of ``docs`` (doc_id, text; others are ignored).
 
@@ -246,7 +259,8 @@ def decoded(ids: DataFrame, path: str | None = None, pattern: str = public_token
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of the ids of every row, encoded and decoded again."""
-    both = decoded(encoded(docs))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    both = rows.mapInArrow(_both(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN), "doc_id long, ids array<int>, decoded binary")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

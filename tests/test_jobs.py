@@ -33,7 +33,7 @@ def test_features_then_training(spark, paths):
 
 
 def test_training_without_a_feature_pipeline_skips_the_second_forest(spark, paths, tmp_path, monkeypatch):
-    monkeypatch.setattr(jobs, "train_code_forest", lambda rows: train_small(rows))
+    monkeypatch.setattr(jobs, "train_code_forest", lambda rows, trees, depth: train_small(rows))
     from vigilog.plans.training import train_code_forest
 
     def train_small(rows):

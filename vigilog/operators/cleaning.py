@@ -13,6 +13,17 @@ from vigilog.schema import EVENT, EventColumns
 UNKNOWN = "Unknown"
 
 
+def number(column: str) -> Column:
+    """The column as a double, NULL where it is malformed or not a number."""
+    return F.nanvl(tolerant(column, "double"), F.lit(None).cast("double"))
+
+
+def present(column: str, kind: str) -> Column:
+    """Whether a cell holds a value: not NULL, and of a fraction not NaN."""
+    value = F.nanvl(column, F.lit(None).cast("double")) if kind in ("float", "double") else F.col(column)
+    return value.isNotNull()
+
+
 def with_target(events: DataFrame, target: str) -> DataFrame:
     """The rows that have a target value."""
     return events.filter(F.col(target).isNotNull())
@@ -40,14 +51,14 @@ def complete_cases(events: DataFrame, cols: EventColumns = EVENT) -> DataFrame:
 
 
 def fill_missing(events: DataFrame, cols: EventColumns = EVENT) -> DataFrame:
-    """The *fill* policy: malformed or missing numbers become 0, missing categories and targets ``Unknown``.
+    """The *fill* policy: malformed, missing or NaN numbers become 0, missing categories and targets ``Unknown``.
 
     Columns the frame lacks are passed over.
     """
     numbers = [c for c in cols.numeric if c in events.columns]
     texts = [c for c in [*cols.categorical, cols.attack] if c in events.columns]
     return events.withColumns(
-        {c: F.coalesce(tolerant(c, "double"), F.lit(0.0)) for c in numbers}
+        {c: F.coalesce(number(c), F.lit(0.0)) for c in numbers}
         | {c: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for c in texts}
     )
 

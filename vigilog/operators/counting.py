@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilog.operators.cleaning import present
 from vigilog.schema import EVENT, EventColumns
 
 
@@ -39,6 +40,12 @@ def hourly_counts(frame: DataFrame, ts: str, name: str = "events") -> DataFrame:
     return group_counts(timed, F.hour(ts).alias("hour"), name=name)
 
 
+def _value(events: DataFrame, column: str) -> Column:
+    """The column with NULL for NaN."""
+    kind = dict(events.dtypes).get(column)
+    return F.nanvl(column, F.lit(None).cast("double")) if kind in ("float", "double") else F.col(column)
+
+
 def kpis(events: DataFrame, cols: EventColumns = EVENT, digits: int = 3) -> DataFrame:
     """One row of headline numbers; a column the frame lacks gives 0."""
 
@@ -50,7 +57,7 @@ def kpis(events: DataFrame, cols: EventColumns = EVENT, digits: int = 3) -> Data
         F.count("*").alias("total_logs"),
         metric(cols.attack, F.count_distinct(cols.attack), no_rows).alias("attack_types"),
         metric(cols.severity, F.count_if(F.col(cols.severity) == "High"), no_rows).alias("high_severity"),
-        metric(cols.anomaly, F.round(F.avg(cols.anomaly), digits), F.lit(0.0)).alias("avg_anomaly"),
+        metric(cols.anomaly, F.round(F.avg(_value(events, cols.anomaly)), digits), F.lit(0.0)).alias("avg_anomaly"),
     )
 
 
@@ -58,8 +65,9 @@ def quality_counts(events: DataFrame, ts: str, cols: EventColumns = EVENT) -> Da
     """How many rows are loaded, have a target, have a time, and are complete with a target: one pass."""
     needed = [*cols.numeric, *cols.categorical, cols.attack]
     complete = F.lit(True)
+    kinds = dict(events.dtypes)
     for column in needed:
-        complete = complete & F.col(column).isNotNull()
+        complete = complete & present(column, kinds[column])
     return events.agg(
         F.count("*").alias("loaded"),
         F.count(cols.attack).alias("with_target"),

@@ -1,7 +1,7 @@
 """The two attack classifiers. Both forests are Spark ML's: trees grow level by level across executors.
 
 On every level each partition sends statistics for all open nodes (a few KB per node, 50 trees times up to
-2^depth nodes), so that shuffle grows with the number of partitions, not of rows. ``few_partitions`` bounds it.
+2^depth nodes), so that shuffle grows with the number of partitions. The input's own partitions are used.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from vigilog.schema import EVENT, EventColumns
 
 TREES = 50
 
-#: Levels of the code forest. Spark's default is 5 and its limit 30; every level is a pass over the rows.
-CODE_DEPTH = 8
+#: Levels of the code forest, Spark's limit. Every level is a pass over the rows.
+CODE_DEPTH = 30
 
 PREDICTED = "Predicted_Attack"
 
@@ -28,15 +28,10 @@ def code_columns(cols: EventColumns = EVENT) -> list[str]:
     return [f"{c}_enc" for c in cols.categorical]
 
 
-def few_partitions(rows: DataFrame) -> DataFrame:
-    """At most four partitions per core, without a shuffle."""
-    return rows.coalesce(4 * rows.sparkSession.sparkContext.defaultParallelism)
-
-
 def fit_feature_forest(featured: DataFrame, trees: int = TREES, seed: int = SEED) -> RandomForestClassificationModel:
     """The forest on scaled one-hot features."""
     forest = RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed)
-    return forest.fit(few_partitions(featured))
+    return forest.fit(featured)
 
 
 def fit_code_forest(
@@ -56,7 +51,7 @@ def fit_code_forest(
     coded = indexer.transform(filled).withColumns({c: F.col(c).cast("int") for c in codes}).withMetadata(LABEL, classes)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed, maxDepth=depth
-    ).fit(few_partitions(assembler.transform(coded)))
+    ).fit(assembler.transform(coded))
 
     return PipelineModel(
         stages=[

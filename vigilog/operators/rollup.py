@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 def rollup(events: DataFrame, sets: Sequence[Sequence[str]], measures: Sequence[str]) -> DataFrame:
-    """Row count, and sum and non-null count of every measure, for each grouping set.
+    """Row count, and sum and count of every measure without NULL and NaN, for each grouping set.
 
     ``set_no`` tells the rows of the sets apart; keys outside a row's set are NULL.
     """
@@ -22,7 +22,9 @@ def rollup(events: DataFrame, sets: Sequence[Sequence[str]], measures: Sequence[
     set_no = F.lit(None).cast("int")
     for bit, number in bits.items():
         set_no = F.when(F.col("gid") == bit, number).otherwise(set_no)
-    partials = [column for m in measures for column in (F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))]
+    kinds = dict(events.dtypes)
+    value = {m: F.nanvl(m, F.lit(None).cast("double")) if kinds[m] in ("float", "double") else F.col(m) for m in measures}
+    partials = [column for m, v in value.items() for column in (F.sum(v).alias(f"{m}_sum"), F.count(v).alias(f"{m}_n"))]
     grouped = events.groupingSets([list(s) for s in sets], *keys).agg(
         F.grouping_id().alias("gid"), F.count("*").alias("events"), *partials
     )

@@ -7,8 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.functions.casts import tolerant
-from vigilog.operators.cleaning import known_or_first
+from vigilog.operators.cleaning import known_or_first, number
 from vigilog.operators.forests import PREDICTED, code_columns, encoders_of
 from vigilog.schema import EVENT, EventColumns
 
@@ -33,8 +32,8 @@ def values_seen(events: DataFrame, scorer: PipelineModel | None, cols: EventColu
         return events
     encoders = encoders_of(scorer)
     return events.withColumns(
-        {c: F.coalesce(tolerant(c, "double"), F.lit(0.0)) for c in cols.numeric}
-        | {c: known_or_first(c, encoders[c]) for c in cols.categorical}
+        {c: F.coalesce(number(c), F.lit(0.0)) for c in cols.numeric}
+        | {c: known_or_first(c, encoders[c]) for c in cols.categorical if c in encoders}
     )
 
 

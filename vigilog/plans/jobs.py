@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.casts import NA_TOKENS
+from vigilog.operators.forests import CODE_DEPTH, TREES
 from vigilog.operators.cleaning import complete_cases
 from vigilog.operators.evaluation import printed_report
 from vigilog.operators.features import feature_sample, fit_features
@@ -86,15 +87,17 @@ def run_features(spark: SparkSession, source: str, models: str) -> DataFrame:
     return feature_sample(rows, pipeline)
 
 
-def run_training(spark: SparkSession, source: str, models: str) -> dict[str, DataFrame]:
+def run_training(
+    spark: SparkSession, source: str, models: str, trees: int = TREES, depth: int = CODE_DEPTH
+) -> dict[str, DataFrame]:
     """Train and save both classifiers; returns their reports. The second needs the saved feature pipeline."""
-    coded = train_code_forest(learning_rows(spark, source, NA_TOKENS))
+    coded = train_code_forest(learning_rows(spark, source, NA_TOKENS), trees=trees, depth=depth)
     save_model(coded.pipeline, f"{models}/{SCORER}")
     reports = {SCORER: printed_report(coded.confusion)}
 
     pipeline = load_pipeline(spark, f"{models}/{PIPELINE}")
     if pipeline is not None:
-        trained = train_feature_forest(learning_rows(spark, source), pipeline=pipeline)
+        trained = train_feature_forest(learning_rows(spark, source), pipeline=pipeline, trees=trees)
         save_model(trained.forest, f"{models}/{FOREST}")
         reports[FOREST] = printed_report(trained.confusion)
     return reports

@@ -83,9 +83,9 @@ def _feature_vector() -> str:
         + " ".join(f"JOIN i_{c} ON s.{c} = i_{c}.v" for c in columns)
         + "),\nd AS (SELECT "
         + ", ".join(f"STDDEV_SAMP(x{i}) AS s{i}" for i in numbers)
-        + " FROM x)\nSELECT x.event_id, x.label, "
-        + ", ".join(f"ROUND(CASE WHEN s{i} = 0 THEN 0 ELSE x{i} / s{i} END, 4) AS f{i}" for i in numbers)
-        + " FROM x CROSS JOIN d"
+        + f" FROM x)\nSELECT x.event_id, x.label, CAST(UNNEST(RANGE({len(slots)})) AS INT) AS slot, UNNEST(["
+        + ", ".join(f"ROUND(CASE WHEN s{i} = 0 THEN 0 ELSE x{i} / s{i} END, 4)" for i in numbers)
+        + "]) AS value FROM x CROSS JOIN d"
     )
 
 
@@ -210,8 +210,8 @@ SELECT event_id, CAST(CASE WHEN protocol = 'TCP' THEN 1 ELSE 0 END AS INT) AS pr
     "q_one_hot": """
 WITH i AS (SELECT protocol, ROW_NUMBER() OVER (ORDER BY c DESC, protocol) - 1 AS idx
  FROM (SELECT protocol, COUNT(*) AS c FROM sec_complete GROUP BY protocol) t)
-SELECT s.event_id, CAST(CASE WHEN i.idx = 0 THEN 1 ELSE 0 END AS DOUBLE) AS p0, CAST(CASE WHEN i.idx = 1 THEN 1 ELSE 0 END AS DOUBLE) AS p1,
- CAST(CASE WHEN i.idx = 2 THEN 1 ELSE 0 END AS DOUBLE) AS p2 FROM sec_complete s JOIN i ON s.protocol = i.protocol""",
+SELECT s.event_id, CAST(j.idx AS INT) AS slot, CAST(CASE WHEN i.idx = j.idx THEN 1 ELSE 0 END AS DOUBLE) AS value
+FROM sec_complete s JOIN i ON s.protocol = i.protocol CROSS JOIN i j""",
     "q_scaled_measure": """
 SELECT s.event_id, ROUND(s.anomaly / m.sd, 4) AS anomaly_scaled
 FROM sec_complete s CROSS JOIN (SELECT STDDEV_SAMP(anomaly) AS sd FROM sec_complete) m""",

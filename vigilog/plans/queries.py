@@ -19,7 +19,7 @@ from vigilog.plans.event_view import VIEW, canonical_log, read_events, sec_all,
 from vigilog.plans.report import report_lines, section_lines
 from vigilog.plans.training import train_code_forest, train_feature_forest
 from vigilog.schema import EVENT, EVENT_SCHEMA
-from vigilog.session import spread, work_folder
+from vigilog.session import work_folder
 from vigilog.sinks.models import load_pipeline, save_model
 from vigilog.sources.csv_events import read_csv_events, stream_csv_events, typed_events
 from vigilog.sources.event_store import read_event_store
@@ -297,7 +297,7 @@ def one_hot(spark, sf_dir):
     indexed = features.frequency_indexer(rows, [VIEW.protocol], ["idx"]).transform(rows)
     encoder = features.OneHotEncoder(inputCols=["idx"], outputCols=["encoded"])
     slots = encoder.fit(indexed).transform(indexed).select("event_id", vector_to_array("encoded").alias("slots"))
-    return slots.select("event_id", *[F.col("slots")[i].alias(f"p{i}") for i in range(3)])
+    return slots.select("event_id", F.posexplode("slots").alias("slot", "value"))
 
 
 def scaled_measure(spark, sf_dir):
@@ -306,13 +306,10 @@ def scaled_measure(spark, sf_dir):
     return scaled.select("event_id", F.round(vector_to_array("scaled")[0], 4).alias("anomaly_scaled"))
 
 
-#: Slots of the feature vector: four numbers, then 3 protocols, 2 packet types, 3 traffic types, 3 severities.
-SLOTS = 15
-
-
 def _vector_slots(featured: DataFrame) -> DataFrame:
-    slots = featured.select("event_id", features.LABEL, vector_to_array("features").alias("slots"))
-    return slots.select("event_id", features.LABEL, *[F.round(F.col("slots")[i], 4).alias(f"f{i}") for i in range(SLOTS)])
+    """Every slot of the vector as a row."""
+    slots = featured.select("event_id", features.LABEL, F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return slots.withColumn("value", F.round("value", 4))
 
 
 def feature_vector(spark, sf_dir):
@@ -366,13 +363,17 @@ def printed_report(spark, sf_dir):
     return report.select("kind", "name", *[F.round(c, 6).alias(c) for c in ("precision_", "recall_", "f1")], "support")
 
 
+#: Levels of the code forests in the registered queries; the library, the job and the command line go to Spark's limit.
+FOREST_DEPTH = 8
+
+
 def forest_spark(spark, sf_dir):
     trained = train_feature_forest(_all(spark, sf_dir), VIEW, key="event_id")
     return trained.scored.select("event_id", features.LABEL, "prediction")
 
 
 def forest_codes(spark, sf_dir):
-    trained = train_code_forest(_all(spark, sf_dir), VIEW, key="event_id")
+    trained = train_code_forest(_all(spark, sf_dir), VIEW, key="event_id", depth=FOREST_DEPTH)
     return trained.scored.select("event_id", VIEW.attack, PREDICTED)
 
 
@@ -382,13 +383,13 @@ def forest_report(spark, sf_dir):
 
 def scored_events(spark, sf_dir):
     events = _all(spark, sf_dir)
-    scorer = train_code_forest(events, VIEW, key="event_id").pipeline
-    return score_events(spread(events), scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
+    scorer = train_code_forest(events, VIEW, key="event_id", depth=FOREST_DEPTH).pipeline
+    return score_events(events, scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
 
 
 def scored_stream(spark, sf_dir):
     path, store = work_folder(spark, "scorer"), work_folder(spark, "scored")
-    save_model(train_code_forest(_all(spark, sf_dir), VIEW, key="event_id").pipeline, path)
+    save_model(train_code_forest(_all(spark, sf_dir), VIEW, key="event_id", depth=FOREST_DEPTH).pipeline, path)
     live = score_events(sec_all(stream_events(spark, sf_dir)), load_pipeline(spark, path), VIEW)
     start_ingest(stamp_arrival(live), store, work_folder(spark, "scored-checkpoint")).awaitTermination()
     return read_event_store(spark, store, live.schema).select("event_id", PREDICTED, CONFIDENCE)

@@ -6,15 +6,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vigilog.operators.cleaning import complete_cases, fill_missing
 from vigilog.operators.evaluation import confusion
 from vigilog.operators.features import LABEL, fit_features
 from vigilog.operators.forests import CODE_DEPTH, PREDICTED, TREES, fit_code_forest, fit_feature_forest
 from vigilog.operators.scoring import score_events
-from vigilog.operators.splitting import hash_split, random_split
+from vigilog.operators.splitting import hash_split
 from vigilog.schema import EVENT, EventColumns
-from vigilog.session import spread, written
+from vigilog.session import written
 
 
 @dataclass(frozen=True)
@@ -28,14 +29,18 @@ class Trained:
 
 
 def split_rows(rows: DataFrame, cols: EventColumns, key: str | None) -> tuple[DataFrame, DataFrame]:
-    """Training and hold-out rows: by row key where there is one, else at random.
+    """Training and hold-out rows: by row key where there is one, else by a hash of the whole row.
 
     The columns that are needed go to a table first: fitting reads them a dozen times, and a split drawn
     from a table stays the same when a task is run again.
     """
     wanted = [*([key] if key else []), *cols.numeric, *cols.categorical, cols.attack]
-    table = written(spread(rows.select(*wanted)), "learning")
-    return hash_split(table, key) if key else random_split(table)
+    table = written(rows.select(*wanted), "learning")
+    if key:
+        return hash_split(table, key)
+    whole = table.withColumn("row_hash", F.xxhash64(*table.columns).cast("string"))
+    train, test = hash_split(whole, "row_hash")
+    return train.drop("row_hash"), test.drop("row_hash")
 
 
 def train_feature_forest(

@@ -43,9 +43,3 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     path = work_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def spread(frame: DataFrame) -> DataFrame:
-    """The frame over all cores when its input is too small to occupy them; a large input is left as it lies."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

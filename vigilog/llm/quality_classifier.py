@@ -62,12 +62,17 @@ class Discriminant:
         return 1 / (1 + F.exp(-F.greatest(F.least(log_odds, F.lit(700.0)), F.lit(-700.0))))
 
 
+def with_statistics(docs: DataFrame, *carried: Column) -> DataFrame:
+    """The carried columns and the statistics of each whole text."""
+    text, names = F.col("text"), [f"carried_{i}" for i in range(len(carried))]
+    base = docs.select(*[c.alias(n) for c, n in zip(carried, names, strict=True)], m.text_of(text).alias("text"))
+    base = base.select(*names, "text", m.words_of(text).alias("words"), m.lines_of(text).alias("lines"))
+    return base.select(*names, *[c.cast("double").alias(n) for n, c in statistics(text).items()])
+
+
 def text_statistics(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the statistics of each whole text."""
-    text = F.col("text")
-    base = docs.select("doc_id", m.text_of(text).alias("text"))
-    base = base.select("doc_id", "text", m.words_of(text).alias("words"), m.lines_of(text).alias("lines"))
-    return base.select("doc_id", *[c.cast("double").alias(n) for n, c in statistics(text).items()])
+    return with_statistics(docs, F.col("doc_id")).withColumnRenamed("carried_0", "doc_id")
 
 
 def fit(rows: DataFrame, names: tuple[str, ...], label: str) -> Discriminant:
@@ -128,14 +133,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text the classifier predicts to be of quality 1, with all their columns.
 
-    Learns as ``quality_scores`` does; the texts are then scored in place, without a shuffle.
+    Learns as ``quality_scores`` does. The rows are written once with their statistics, so that each text is measured
+    once; learning reads the statistics alone, and no text is shuffled.
     """
     folder = work_folder(docs.sparkSession, "quality-classifier")
     known = labels.select("doc_id", F.col("quality").alias("label")).where(~held_out(F.col("doc_id")))
-    rows = stored(text_statistics(docs), folder, "statistics")
+    measured = with_statistics(docs, F.struct(*docs.columns)).withColumnRenamed("carried_0", "row")
+    rows = stored(measured, folder, "measured")
     names = tuple(rows.columns[1:])
-    model = fit(rows.join(known, "doc_id"), names, "label")
-    own = docs.select(F.struct(*docs.columns).alias("row"), m.text_of(F.col("text")).alias("text"))
-    own = own.select("row", "text", m.words_of(F.col("text")).alias("words"), m.lines_of(F.col("text")).alias("lines"))
-    own = own.select("row", *[c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()])
-    return own.where(model.score() >= CUT).select("row.*")
+    model = fit(rows.select(F.col("row.doc_id").alias("doc_id"), *names).join(known, "doc_id"), names, "label")
+    return rows.where(model.score() >= CUT).select("row.*")

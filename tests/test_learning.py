@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -96,6 +97,15 @@ def test_scored_rows_carry_what_the_model_saw(spark, events, coded):
     assert 0 < row[CONFIDENCE] <= 100 and row[CONFIDENCE] == round(row[CONFIDENCE], 1)
 
 
+def test_a_category_without_an_encoder_gets_code_0(events, coded):
+    first, *rest = coded.pipeline.stages
+    known = PipelineModel([s for s in first.stages if s.getInputCol() != VIEW.protocol])
+    given = sec_all(events).limit(20)
+    scored = score_events(given, PipelineModel([known, *rest]), VIEW)
+    assert {r.protocol_enc for r in scored.collect()} == {0}
+    assert {r[VIEW.protocol] for r in scored.collect()} == {r[VIEW.protocol] for r in given.collect()}
+
+
 def test_scores_survive_saving(spark, events, coded, rows, tmp_path):
     save_model(coded.pipeline, str(tmp_path / "scorer"))
     loaded = load_pipeline(spark, str(tmp_path / "scorer"))

@@ -31,6 +31,14 @@ def test_plain_file_stays_splittable(spark, csv):
     assert read_csv_events(spark, path).count() == 2
 
 
+def test_a_quote_inside_an_unquoted_cell_is_no_line_break(spark, tmp_path):
+    plain, broken = tmp_path / "plain.csv", tmp_path / "broken.csv"
+    plain.write_text('a,b\n5" disk,1\n"x,""y""",2\n"",""\n')
+    broken.write_text('a,b\n1,"two ""\nlines"\n')
+    assert not records_span_lines(spark, str(plain))
+    assert records_span_lines(spark, str(broken))
+
+
 def test_all_strings_by_default_and_inferred_on_request(spark, csv):
     path = csv(PLAIN)
     assert {kind for _, kind in read_csv_events(spark, path).dtypes} == {"string"}

@@ -36,6 +36,15 @@ def arguments() -> argparse.Namespace:
     charts = stage("dashboard", "every dashboard dataset as Parquet", "source", "output")
     charts.add_argument("--models", help="use the model saved there")
     charts.add_argument("--snapshots", help="take the counts from the live snapshots there")
+    for command in stages.choices.values():
+        streamed = command in (ingest, live)
+        command.add_argument(
+            "--multiline",
+            action=argparse.BooleanOptionalAction,
+            default=True if streamed else None,
+            help="whether CSV cells may hold line breaks, which makes a file one task"
+            + ("" if streamed else "; by default a scan of the text finds out"),
+        )
     return parser.parse_args()
 
 

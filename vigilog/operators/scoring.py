@@ -30,7 +30,7 @@ def values_seen(events: DataFrame, scorer: PipelineModel | None, cols: EventColu
     """
     if scorer is None or not scorable(events, cols):
         return events
-    encoders = encoders_of(scorer)
+    encoders = encoders_of(scorer)  # a category without one keeps its values
     return events.withColumns(
         {c: F.coalesce(number(c), F.lit(0.0)) for c in cols.numeric}
         | {c: known_or_first(c, encoders[c]) for c in cols.categorical if c in encoders}
@@ -41,14 +41,17 @@ def score_events(events: DataFrame, scorer: PipelineModel | None, cols: EventCol
     """Add the predicted attack and its confidence.
 
     Without a model the rows pass through. A frame that lacks a feature column gets ``Error`` and 0.0. The
-    scored frame carries the values the model saw.
+    scored frame carries the values the model saw. A category for which the model has no encoder gets code 0.
     """
     if scorer is None:
         return events
     if not scorable(events, cols):
         return events.withColumns({PREDICTED: F.lit("Error"), CONFIDENCE: F.lit(0.0)})
     codes = code_columns(cols)
-    scored = scorer.transform(values_seen(events, scorer, cols)).withColumn(CONFIDENCE, confidence_pct())
+    encoders = encoders_of(scorer)
+    uncoded = {code: F.lit(0.0) for c, code in zip(cols.categorical, codes) if c not in encoders}
+    seen = values_seen(events, scorer, cols).withColumns(uncoded)
+    scored = scorer.transform(seen).withColumn(CONFIDENCE, confidence_pct())
     return scored.select(*events.columns, *[F.col(c).cast("int").alias(c) for c in codes], PREDICTED, CONFIDENCE)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilog.functions.casts import NA_TOKENS
+from vigilog.functions.casts import NA_TOKENS, blank_tokens
 from vigilog.operators.forests import CODE_DEPTH, TREES
 from vigilog.operators.cleaning import complete_cases
 from vigilog.operators.evaluation import printed_report
@@ -30,16 +30,21 @@ def is_csv(source: str) -> bool:
     return source.rstrip("/").endswith(("csv", "csv.gz"))
 
 
-def read_log(spark: SparkSession, source: str, na_tokens=()) -> DataFrame:
-    """Typed events from CSV files (a path that ends in ``csv``) or from an event store; empty when absent."""
+def read_log(spark: SparkSession, source: str, na_tokens=(), multiline: bool | None = None) -> DataFrame:
+    """Typed events from CSV files (a path that ends in ``csv``) or from an event store; empty when absent.
+
+    Text among ``na_tokens`` is missing in either; ``multiline`` is for CSV alone.
+    """
     if is_csv(source):
-        return typed_events(or_empty(lambda: read_csv_events(spark, source, na_tokens=na_tokens), spark, STATIC_SCHEMA))
-    return read_event_store(spark, source)
+        read = lambda: read_csv_events(spark, source, multiline=multiline, na_tokens=na_tokens)
+        return typed_events(or_empty(read, spark, STATIC_SCHEMA))
+    stored = read_event_store(spark, source)
+    return blank_tokens(stored, na_tokens) if na_tokens else stored
 
 
-def run_report(spark: SparkSession, source: str, output: str) -> DataFrame:
+def run_report(spark: SparkSession, source: str, output: str, multiline: bool | None = None) -> DataFrame:
     """Write the grouped report as text and return its lines."""
-    lines = written(report_lines(read_log(spark, source)), "report")
+    lines = written(report_lines(read_log(spark, source, multiline=multiline)), "report")
     write_lines(lines, output)
     return lines
 
@@ -52,10 +57,11 @@ def run_ingest(
     every: str | None = None,
     max_files: int | None = None,
     models: str | None = None,
+    multiline: bool = True,
 ) -> StreamingQuery:
     """Start appending dropped CSV files to the event store, with predictions if there is a model."""
     scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None
-    events = stamp_arrival(stream_csv_events(spark, drops, max_files=max_files))
+    events = stamp_arrival(stream_csv_events(spark, drops, multiline=multiline, max_files=max_files))
     return start_ingest(add_predictions(events, scorer), store, checkpoint, every)
 
 
@@ -67,50 +73,64 @@ def run_live(
     every: str | None = None,
     max_files: int | None = None,
     models: str | None = None,
+    multiline: bool = True,
 ) -> StreamingQuery:
-    """Start keeping the dashboard's counts over dropped CSV files, of the values the model sees if there is one."""
+    """Start keeping the dashboard's counts over dropped CSV files, of the values the model sees if there is one.
+
+    The same texts are missing as in ``run_dashboard``.
+    """
     scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None
-    events = stream_csv_events(spark, drops, max_files=max_files)
+    events = stream_csv_events(spark, drops, multiline=multiline, max_files=max_files, na_tokens=NA_TOKENS)
     return start_snapshots(dashboard_rollup(values_seen(events, scorer)), snapshots, checkpoint, every, serving_rows)
 
 
-def learning_rows(spark: SparkSession, source: str, na_tokens=()) -> DataFrame:
+def learning_rows(spark: SparkSession, source: str, na_tokens=(), multiline: bool | None = None) -> DataFrame:
     """Features and target alone."""
-    return read_log(spark, source, na_tokens).select(*EVENT.numeric, *EVENT.categorical, EVENT.attack)
+    return read_log(spark, source, na_tokens, multiline).select(*EVENT.numeric, *EVENT.categorical, EVENT.attack)
 
 
-def run_features(spark: SparkSession, source: str, models: str) -> DataFrame:
+def run_features(spark: SparkSession, source: str, models: str, multiline: bool | None = None) -> DataFrame:
     """Fit and save the feature pipeline; returns a few transformed rows."""
-    rows = written(complete_cases(learning_rows(spark, source)), "features")
+    rows = written(complete_cases(learning_rows(spark, source, multiline=multiline)), "features")
     pipeline = fit_features(rows)
     save_model(pipeline, f"{models}/{PIPELINE}")
     return feature_sample(rows, pipeline)
 
 
 def run_training(
-    spark: SparkSession, source: str, models: str, trees: int = TREES, depth: int = CODE_DEPTH
+    spark: SparkSession,
+    source: str,
+    models: str,
+    trees: int = TREES,
+    depth: int = CODE_DEPTH,
+    multiline: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Train and save both classifiers; returns their reports. The second needs the saved feature pipeline."""
-    coded = train_code_forest(learning_rows(spark, source, NA_TOKENS), trees=trees, depth=depth)
+    coded = train_code_forest(learning_rows(spark, source, NA_TOKENS, multiline), trees=trees, depth=depth)
     save_model(coded.pipeline, f"{models}/{SCORER}")
     reports = {SCORER: printed_report(coded.confusion)}
 
     pipeline = load_pipeline(spark, f"{models}/{PIPELINE}")
     if pipeline is not None:
-        trained = train_feature_forest(learning_rows(spark, source), pipeline=pipeline, trees=trees)
+        trained = train_feature_forest(learning_rows(spark, source, multiline=multiline), pipeline=pipeline, trees=trees)
         save_model(trained.forest, f"{models}/{FOREST}")
         reports[FOREST] = printed_report(trained.confusion)
     return reports
 
 
 def run_dashboard(
-    spark: SparkSession, source: str, output: str, models: str | None = None, snapshots: str | None = None
+    spark: SparkSession,
+    source: str,
+    output: str,
+    models: str | None = None,
+    snapshots: str | None = None,
+    multiline: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Compute every dashboard dataset once and write each as Parquet; nothing for an empty log.
 
     The counts come from the last of the live ``snapshots`` where these are given, else from one pass over the log.
     """
-    events = read_log(spark, source, NA_TOKENS)
+    events = read_log(spark, source, NA_TOKENS, multiline)
     if events.isEmpty():
         return {}
     scorer = load_pipeline(spark, f"{models}/{SCORER}") if models else None

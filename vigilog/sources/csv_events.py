@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigilog.functions.casts import blank_tokens, cast_to_schema
-from vigilog.schema import EVENT_SCHEMA, STATIC_SCHEMA
+from vigilog.schema import EVENT_SCHEMA, STATIC_SCHEMA, as_strings
 
 #: Quoted cells may hold commas, doubled quotes and line breaks.
 QUOTING = {"header": "true", "quote": '"', "escape": '"'}
@@ -21,11 +21,12 @@ _NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 def records_span_lines(spark: SparkSession, path: str) -> bool:
     """Whether some quoted cell holds a line break.
 
-    Such a cell leaves an odd number of quotes on the line it starts on. The text scan is splittable and
-    stops at the first such line.
+    Such a cell opens with a quote and is not closed on its line; a quote inside an unquoted cell counts for
+    nothing. The text scan is splittable and stops at the first such line.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    undoubled = F.replace(F.col("value"), F.lit('""'), F.lit(""))
+    unquoted = F.regexp_replace(undoubled, '(^|,)"[^"]*"(?=,|$)', ",")
+    return not spark.read.text(path).filter(unquoted.rlike('(^|,)"')).isEmpty()
 
 
 def read_csv_events(
@@ -73,13 +74,16 @@ def stream_csv_events(
     schema: T.StructType = EVENT_SCHEMA,
     multiline: bool = True,
     max_files: int | None = None,
+    na_tokens: Iterable[str] = (),
 ) -> DataFrame:
-    """The CSV files dropped into a folder, as a stream.
+    """The CSV files dropped into a folder, as a stream of rows parsed as the batch parses them: read as text,
+    cells among ``na_tokens`` made NULL, then cast to ``schema``.
 
     Every file is read once: producers must drop whole new files, rows appended to a file already read are
     not seen. Turn ``multiline`` off for feeds without line breaks in cells, so that large files split.
     """
-    reader = spark.readStream.schema(schema).options(**QUOTING).option("multiLine", multiline)
+    reader = spark.readStream.schema(as_strings(schema)).options(**QUOTING).option("multiLine", multiline)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder)
+    frame, tokens = reader.csv(folder), list(na_tokens)
+    return cast_to_schema(blank_tokens(frame, tokens) if tokens else frame, schema)

@@ -5,11 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilog.sources.csv_events import or_empty
+#: Snapshots that stay, so that readers of an older one can finish.
+KEPT = 10
+
+
+def committed_snapshots(spark: SparkSession, folder: str) -> list[str]:
+    """The folders of whole snapshots, the last one first; one that is still being written has no marker yet.
+
+    A stream started over with a new checkpoint counts its batches from 0 again under a new id, so the time of
+    the commit decides, and the batch number among those of the same time.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    markers = hadoop.Path(f"{folder}/stream_id=*/snapshot=*/_SUCCESS")
+    found = markers.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(markers) or []
+    snapshots = [(f.getModificationTime(), f.getPath().getParent()) for f in found]
+    snapshots.sort(key=lambda x: (x[0], int(x[1].getName().rpartition("=")[2])), reverse=True)
+    return [path.toString() for _, path in snapshots]
+
+
+def prune_snapshots(spark: SparkSession, folder: str, keep: int = KEPT) -> None:
+    """Delete all but the last ``keep`` whole snapshots."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for old in committed_snapshots(spark, folder)[keep:]:
+        path = hadoop.Path(old)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def start_snapshots(
@@ -18,8 +39,9 @@ def start_snapshots(
     checkpoint: str,
     every: str | None = None,
     cut: Callable[[DataFrame], DataFrame] | None = None,
+    keep: int = KEPT,
 ) -> StreamingQuery:
-    """Write the aggregate after every micro-batch as a snapshot of its own.
+    """Write the aggregate after every micro-batch as a snapshot of its own, and keep the last ``keep``.
 
     ``totals`` is a grouped stream; ``cut`` keeps of it what readers need, so that a state with many keys is
     not written out whole each time. Readers of an older snapshot are not disturbed, and a batch delivered
@@ -27,15 +49,18 @@ def start_snapshots(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{folder}/snapshot={batch_id}"
+        spark = batch.sparkSession
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target = f"{folder}/stream_id={stream_id}/snapshot={batch_id}"
         if cut is None:
             batch.write.mode("overwrite").parquet(target)
-            return
-        batch.persist()  # a cut may read the batch more than once, the state must be read once
-        try:
-            cut(batch).write.mode("overwrite").parquet(target)
-        finally:
-            batch.unpersist()
+        else:
+            batch.persist()  # a cut may read the batch more than once, the state must be read once
+            try:
+                cut(batch).write.mode("overwrite").parquet(target)
+            finally:
+                batch.unpersist()
+        prune_snapshots(spark, folder, keep)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
@@ -48,8 +73,8 @@ def start_snapshots(
 
 
 def latest_snapshot(spark: SparkSession, folder: str, totals: DataFrame) -> DataFrame:
-    """The last snapshot written (older ones are pruned by folder), empty before the first."""
-    schema = T.StructType([*totals.schema, T.StructField("snapshot", T.LongType())])
-    written = or_empty(lambda: spark.read.schema(schema).parquet(folder), spark, schema)
-    newest = written.agg(F.max("snapshot").alias("newest")).scalar()
-    return written.filter(F.col("snapshot") == newest).drop("snapshot")
+    """The last whole snapshot, read alone; empty before the first."""
+    written = committed_snapshots(spark, folder)
+    if not written:
+        return spark.createDataFrame([], totals.schema)
+    return spark.read.schema(totals.schema).parquet(written[0])

@@ -5,9 +5,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from llm_helpers import words
+from llm_helpers import LLM_SMALL, words
 
-from vigilog.llm import kneser_ney as kn
+from vigilog.llm import kneser_ney as kn, queries
 from vigilog.llm.shared import work_folder
 
 
@@ -87,3 +87,57 @@ def test_awkward_rows(spark, awkward, empty):
     none = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
     found = kn.language_scores(none).collect()
     assert {r.train_tokens for r in found} == {0} and {r.score for r in found} == {0.0}
+
+
+class BruteOfOrder:
+    """Any order by its definition: raw counts at the top, numbers of different words before at the orders below."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        padded = [["<begin>"] * (order - 1) + [*words(t), None] for t in texts]
+        grams = Counter(tuple(t[i : i + order]) for t in padded for i in range(len(t) - order + 1))
+        self.levels = {order: grams}
+        for m in range(order - 1, 0, -1):
+            self.levels[m] = Counter(g[1:] for g in self.levels[m + 1])
+        self.d = {m: discounts(c.values()) for m, c in self.levels.items()}
+        self.vocabulary = {g[-1] for g in grams}
+        self.of = defaultdict(lambda: [0, 0])
+        for m, c in self.levels.items():
+            for g, n in c.items():
+                self.of[g[:-1]][0] += n
+                self.of[g[:-1]][1] += self.d[m][min(n, 3)]
+
+    def p(self, context, w):
+        m = len(context) + 1
+        lower = self.p(context[1:], w) if context else 1 / (len(self.vocabulary) + 1)
+        if context not in self.of:
+            return lower
+        n, (total, spare) = self.levels[m][(*context, w)], self.of[context]
+        return (n - self.d[m][min(n, 3)] if n else 0) / total + spare / total * lower
+
+    def score(self, text):
+        t = ["<begin>"] * (self.order - 1) + [*words(text), None]
+        return sum(math.log10(self.p(tuple(t[i : i + self.order - 1]), t[i + self.order - 1])) for i in range(len(t) - self.order + 1))
+
+
+@pytest.mark.parametrize(("order", "shard_bytes"), [(3, 20_000), (4, 1 << 24)])
+def test_higher_orders(documents, awkward, monkeypatch, order, shard_bytes):
+    """Contexts of several words, spread or not, over many shards or one."""
+    monkeypatch.setattr(kn, "HELD_TOKENS", 5000)
+    docs = documents.select("doc_id", "text").union(awkward.select("doc_id", "text").where("doc_id <> 8"))
+    docs = docs.withColumn("held_out", kn.held_out(docs.doc_id))
+    rows = docs.collect()
+    brute = BruteOfOrder([r.text for r in rows if not r.held_out], order)
+    assert sum(brute.p(("of", "the", "a")[: order - 1], w) for w in [*brute.vocabulary, "never seen"]) == pytest.approx(1)
+    model = kn.train(docs.where("not held_out").select("text"), work_folder(documents.sparkSession, "test"), shard_bytes, order)
+    found = sorted((str(r.doc_id), r.score) for r in kn.scored(docs, model).collect())
+    want = sorted((str(r.doc_id), brute.score(r.text)) for r in rows)
+    assert [d for d, _ in found] == [d for d, _ in want]
+    assert [x for _, x in found] == pytest.approx([x for _, x in want], rel=1e-6)
+
+
+def test_the_query_looks_further_back_than_one_word(spark, documents):
+    """The registered query tells apart what a bigram model cannot."""
+    found = {r.doc_id: r.score for r in queries.QUERIES["op2_kneser_ney"](spark, LLM_SMALL).collect()}
+    bigram = {r.doc_id: r.score for r in kn.language_scores(documents).collect()}
+    assert found.keys() == bigram.keys() and sum(abs(found[i] - bigram[i]) > 0.01 for i in found) > len(found) / 2

@@ -1,16 +1,19 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark and stored as sorted hash arrays.
+"""An interpolated modified Kneser-Ney model of any order from 2, counted in Spark and stored as sorted hash arrays.
 
-Counting is two rounds of the same kind: a task hashes its texts, sums equal keys, and hands each shard its sorted keys
+Counting is rounds of the same kind: a task hashes its texts, sums equal keys, and hands each shard its sorted keys
 as one binary row; the task that gets a shard merges them and writes arrays sorted by key. A shard is given by the top
 bits of the key, so a reader knows the file of a key without any list of files. Keys are 64-bit hashes.
 
 * words: word hash -> count
-* grams: hash of (context, word) -> count, beside contexts: word hash -> total and numbers of words seen once, twice, more
+* grams of each order: hash of (context, word) -> count (highest order) or number of different words before (lower ones),
+  beside contexts: context hash -> total and numbers of words seen once, twice, more
 * continuations: word hash -> number of different contexts
 
-Grams are sharded by their context, so a shard knows the whole of it. A context with more than 1 in ``HOT`` of all
-tokens is spread over all shards by its words instead; its parts (``HOT`` contexts at most) are summed up separately and travel
-with the scoring task. Workers map the arrays into memory and look up the sorted keys of a slice of texts at once.
+Grams of every order are sharded by the last word of their context, so a shard knows the whole of a context and all words
+before a gram: the lower orders are counted where the highest one is merged. A last word with more than 1 in ``HOT`` of
+all tokens is spread over all shards by the word that follows; the sums of its contexts are dealt once more, by context.
+Workers map the arrays into memory and look up the sorted keys of a slice of texts at once. Before a text stand as many
+begin tokens as a context has words.
 """
 
 from __future__ import annotations
@@ -54,11 +57,15 @@ def token_runs(texts: list[bytes | None]) -> Iterator[tuple[int, Array, Array]]:
         yield first, np.insert(hashes, bounds[1:], END), bounds + np.arange(len(bounds))
 
 
-def contexts_of(tokens: Array, bounds: Array) -> Array:
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[bounds[:-1]] = BEGIN
-    return before
+def contexts_of(tokens: Array, starts: Array, order: int, begin: int = BEGIN) -> list[Array]:
+    """The ``order`` - 1 tokens before each token, the nearest first; ``starts`` are the places where texts start."""
+    out = [tokens]
+    for _ in range(order - 1):
+        before = np.empty_like(tokens)
+        before[1:] = out[-1][:-1]
+        before[starts] = begin
+        out.append(before)
+    return out[1:]
 
 
 def summed(keys: Array, weights: Array | None = None) -> tuple[Array, Array, Array]:
@@ -70,14 +77,30 @@ def summed(keys: Array, weights: Array | None = None) -> tuple[Array, Array, Arr
     return keys[firsts], sums.astype(np.int64), order[firsts]
 
 
-def gram_keys(contexts: Array, words: Array, bits: int, hot: Array) -> Array:
-    """The key of each gram: top bits of the context, or of the pair for a hot context, then bits of the pair."""
-    keys = mixed(contexts * _PAIR + words)
+def _context_hashes(context: list[Array]) -> Array:
+    out = context[0]
+    for x in context[1:]:
+        out = mixed(out * _PAIR + x)
+    return out
+
+
+def gram_keys(context: list[Array], words: Array, bits: int, hot: Array) -> Array:
+    """The key of each gram: top bits of the last word of the context, or of its pair with the word if it is hot, then bits of all."""
+    keys = mixed(_context_hashes(context) * _PAIR + words)
+    if not bits:
+        return keys
+    top = np.uint64(64 - bits)
+    own = np.where(found_in(hot, context[0])[1], mixed(context[0] * _PAIR + words), context[0])
+    return (own >> top << top) | (keys >> np.uint64(bits))
+
+
+def context_keys(context: list[Array], bits: int, spread: Array) -> Array:
+    """The key of each context, in the shard of its last word unless that is spread."""
+    keys = mixed(_context_hashes(context))
     if not bits:
         return keys
     top = np.uint64(64 - bits)
-    own = (contexts >> top << top) | (keys >> np.uint64(bits))
-    return np.where(found_in(hot, contexts)[1], keys, own) if len(hot) else own
+    return np.where(spread, keys, (context[0] >> top << top) | (keys >> np.uint64(bits)))
 
 
 def found_in(sorted_keys: Array, keys: Array) -> tuple[Array, Array]:
@@ -116,39 +139,42 @@ def _rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 
 def _token_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Array, Array]]:
-    """Contexts and tokens of the texts, some ``HELD_TOKENS`` at a time."""
-    held, n = [], 0
+    """Tokens of the texts, some ``HELD_TOKENS`` at a time, and the places where texts start."""
+    held, starts, n = [], [], 0
     for batch in pieces(batches, "text", most=1 << 22):
         for _, tokens, bounds in token_runs(as_bytes(batch.column("text"))):
-            held.append((contexts_of(tokens, bounds), tokens))
+            held.append(tokens)
+            starts.append(bounds[:-1] + n)
             n += len(tokens)
             if n >= HELD_TOKENS:
-                yield np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
-                held, n = [], 0
+                yield np.concatenate(held), np.concatenate(starts)
+                held, starts, n = [], [], 0
     if held:
-        yield np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+        yield np.concatenate(held), np.concatenate(starts)
 
 
 def _count_words(bits: int) -> Callable:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens in _token_blocks(batches):
+        for tokens, _ in _token_blocks(batches):
             keys, counts, _ = summed(tokens)
             yield _rows([(s, _packed(keys[at], counts[at].astype("<u4"))) for s, at in _by_shard(keys, bits)])
 
     return count
 
 
-def _count_grams(bits: int, hot: Array) -> Callable:
+def _count_grams(order: int, bits: int, hot: Array) -> Callable:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for contexts, tokens in _token_blocks(batches):
-            keys, counts, at = summed(gram_keys(contexts, tokens, bits, hot))
-            contexts, tokens, rows = contexts[at], tokens[at], []
+        for tokens, starts in _token_blocks(batches):
+            words, codes = np.unique(np.append(tokens, BEGIN), return_inverse=True)
+            codes = codes.astype("<u4")
+            columns = [codes[:-1], *contexts_of(codes[:-1], starts, order, codes[-1])]
+            keys, counts, at = summed(gram_keys([words[x] for x in columns[1:]], tokens, bits, hot))
+            columns, rows = [x[at] for x in columns], []
             for shard, span in _by_shard(keys, bits):
-                order = np.argsort(contexts[span])  # a context is written once
-                own = contexts[span][order]
-                firsts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                runs = np.diff(np.append(firsts, len(own))).astype("<u4")
-                rows.append((shard, _packed(own[firsts], runs, tokens[span][order], counts[span][order].astype("<u4"))))
+                own = [x[span] for x in columns]
+                by_pair = np.argsort((own[1].astype(np.uint64) << np.uint64(32)) | own[0])  # equal words side by side
+                known, places = np.unique(np.concatenate([x[by_pair] for x in own]), return_inverse=True)  # a word is written once
+                rows.append((shard, _packed(words[known], places.astype("<u4"), counts[span][by_pair].astype("<u4"))))
             yield _rows(rows)
 
     return count
@@ -159,14 +185,20 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
         yield from zip(batch.column("shard").to_pylist(), batch.column("blob").to_pylist(), strict=True)
 
 
-def _save(folder: str, name: str, *arrays: Array) -> None:
-    """Writes a shard's arrays under a name of its own, then moves them in place, so that a repeated task does no harm."""
+def _save(folder: str, name: str, keys: Array, *values: Array) -> None:
+    """Writes a shard's arrays under a name of its own, then moves them in place, so that a repeated task does no harm.
+
+    Before them stands the number of bytes of a value, 4 if all fit.
+    """
+    width = 4 if all(int(v.max(initial=0)) < 1 << 32 for v in values) else 8
     store, place = fs.FileSystem.from_uri(folder)
     store.create_dir(place, recursive=True)
     own = f"{place}/.{name}-{uuid.uuid4().hex}"
     with store.open_output_stream(own) as out:
-        for x in arrays:
-            out.write(x.tobytes())
+        out.write(np.array([width], "<u8").tobytes())
+        out.write(keys.astype("<u8").tobytes())
+        for v in values:
+            out.write(v.astype(f"<u{width}").tobytes())
     store.move(own, f"{place}/{name}")
 
 
@@ -189,7 +221,7 @@ def _merge_words(folder: str, name: str, bits: int) -> Callable:
         keys, counts, _ = summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64))
         rows = []
         for shard, at in _by_shard(keys, bits):
-            _save(folder, f"{name}-{shard:07d}", keys[at], counts[at].astype("<u8"))
+            _save(folder, f"{name}-{shard:07d}", keys[at], counts[at])
             many = np.flatnonzero(counts[at] * HOT > counts[at].sum())
             rows.append(("shard", shard, _packed(keys[at][many], counts[at][many].astype("<u4")), *_stats(counts[at])))
         yield _merged(rows)
@@ -197,31 +229,57 @@ def _merge_words(folder: str, name: str, bits: int) -> Callable:
     return merge
 
 
-def _merge_grams(folder: str, bits: int, hot: Array) -> Callable:
+def _merge_grams(folder: str, order: int, bits: int, hot: Array) -> Callable:
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, words, counts = [], [], []
+        columns, counts = [[] for _ in range(order)], []
         for _, blob in _blobs(batches):
-            own, runs, w, n = _unpacked(blob, "knkn")
-            contexts.append(np.repeat(own, runs))
-            words.append(w)
+            known, places, n = _unpacked(blob, "knn")
+            for column, x in zip(columns, places.reshape(order, -1), strict=True):
+                column.append(known[x])
             counts.append(n.astype(np.int64))
-        if not contexts:
+        if not counts:
             return
-        contexts, words = np.concatenate(contexts), np.concatenate(words)
-        keys, counts, at = summed(gram_keys(contexts, words, bits, hot), np.concatenate(counts))
-        contexts, words = contexts[at], words[at]
-        for shard, span in _by_shard(keys, bits):
-            n = counts[span]
-            _save(folder, f"grams-{shard:07d}", keys[span], n.astype("<u8"))
-            own, _, _ = summed(contexts[span])
-            place = np.searchsorted(own, contexts[span])
-            sums = np.stack([np.bincount(place, x, len(own)) for x in (n, n == 1, n == 2, n > 2)]).astype("<u8")
-            spread = found_in(hot, own)[1]
-            _save(folder, f"contexts-{shard:07d}", own[~spread], *sums[:, ~spread])
-            rows = [("shard", shard, _packed(own[spread], *sums[:, spread]), *_stats(n))]
-            following, times, _ = summed(words[span])
-            rows += [("word", s, _packed(following[i], times[i].astype("<u4")), *[0] * 6) for s, i in _by_shard(following, bits)]
-            yield _merged(rows)
+        words, *context = [np.concatenate(x) for x in columns]
+        counts, columns = np.concatenate(counts), None
+        for level in range(order, 1, -1):
+            keys, counts, at = summed(gram_keys(context, words, bits, hot), counts)
+            words, context = words[at], [x[at] for x in context]
+            yield from _level(folder, level, bits, hot, keys, words, context, counts)
+            counts, context = None, context[:-1]  # a gram counts once for the one without its first word
+        for _, span in _by_shard(keys, bits):
+            own, times, _ = summed(words[span])
+            yield _merged([("word", s, _packed(own[i], times[i].astype("<u4")), *[0] * 6) for s, i in _by_shard(own, bits)])
+
+    return merge
+
+
+def _level(folder: str, level: int, bits: int, hot: Array, keys: Array, words: Array, context: list[Array], counts: Array) -> Iterator[pa.RecordBatch]:
+    """Writes the grams of an order and their contexts; the sums of contexts that are spread become rows."""
+    for shard, span in _by_shard(keys, bits):
+        n, of = counts[span], [x[span] for x in context]
+        _save(folder, f"grams{level}-{shard:07d}", keys[span], n)
+        spread = found_in(hot, of[0])[1]
+        rows = [(f"shard{level}", shard, b"", *_stats(n))]
+        for mine in (~spread, spread):
+            own, place = np.unique(context_keys([x[mine] for x in of], bits, spread[mine]), return_inverse=True)
+            sums = [np.bincount(place, x[mine], len(own)).astype("<u8") for x in (n, n == 1, n == 2, n > 2)]
+            if mine is spread:
+                rows += [("context", s, _packed(np.array([level], "<u4"), own[i], *(x[i] for x in sums)), *[0] * 6) for s, i in _by_shard(own, bits)]
+            else:
+                _save(folder, f"contexts{level}-{shard:07d}", own, *sums)
+        yield _merged(rows)
+
+
+def _merge_spread(folder: str, bits: int) -> Callable:
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_unpacked(blob, "nkkkkk") for _, blob in _blobs(batches)]
+        for level in sorted({int(p[0][0]) for p in parts}):
+            keys, *sums = (np.concatenate([p[i] for p in parts if p[0][0] == level]) for i in range(1, 6))
+            own, place = np.unique(keys, return_inverse=True)
+            sums = [np.bincount(place, x, len(own)).astype("<u8") for x in sums]
+            for shard, at in _by_shard(own, bits):
+                _save(folder, f"spread{level}-{shard:07d}", own[at], *(x[at] for x in sums))
+                yield _rows([(shard, b"")])
 
     return merge
 
@@ -235,8 +293,8 @@ class Counts:
     discounts: tuple[float, float, float]
 
     @staticmethod
-    def of(merged: DataFrame) -> Counts:
-        r = merged.where("kind = 'shard'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "n0", "n1", "n2", "n3", "n4")]).first()
+    def of(merged: DataFrame, kind: str = "shard") -> Counts:
+        r = merged.where(F.col("kind") == kind).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "n0", "n1", "n2", "n3", "n4")]).first()
         n = [r[f"n{i}"] for i in range(5)]
         if min(n[1:]) == 0:  # too few counts to estimate from
             return Counts(r["total"], n[0], (0.5, 0.75, 0.9))
@@ -258,9 +316,10 @@ def _mapped(folder: str, name: str, columns: int) -> tuple[Array, ...]:
     if not isinstance(store, fs.LocalFileSystem):  # a copy beside the worker
         path = os.path.join(tempfile.mkdtemp(prefix="model-"), name)
         fs.copy_files(f"{place}/{name}", path, source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
-    n = os.path.getsize(path) // (8 * columns)
-    data = np.memmap(path, "<u8", "r", shape=(columns, n)) if n else np.empty((columns, 0), "<u8")
-    return tuple(data)
+    data = np.memmap(path, np.uint8, "r")
+    width = int(data[:8].view("<u8")[0])
+    n = (len(data) - 8) // (8 + width * (columns - 1))
+    return data[8 : 8 + 8 * n].view("<u8"), *data[8 + 8 * n :].view(f"<u{width}").reshape(columns - 1, n)
 
 
 @dataclass(frozen=True)
@@ -268,10 +327,9 @@ class Model:
     folder: str
     bits: int
     words: Counts
-    grams: Counts
+    grams: tuple[Counts, ...]  # of order 2, 3 and so on
     continuations: Counts
     hot: Array  # sorted
-    hot_sums: Array  # total and numbers of words seen once, twice, more, for each hot context
     spare: float  # what the discounts leave to the uniform distribution
 
     def look_up(self, name: str, keys: Array, columns: int = 1) -> Array:
@@ -284,23 +342,28 @@ class Model:
                 row[at][there] = v[places[there]]
         return out
 
-    def scores(self, tokens: Array, contexts: Array) -> tuple[Array, Array, Array]:
+    @property
+    def order(self) -> int:
+        return len(self.grams) + 1
+
+    def scores(self, tokens: Array, context: list[Array]) -> tuple[Array, Array, Array]:
         """Log10 probability of each token by the base and by the model, and its training count."""
-        words, back = np.unique(np.concatenate([tokens, contexts]), return_inverse=True)
-        at, before = back[: len(tokens)], back[len(tokens) :]
+        words, at = np.unique(tokens, return_inverse=True)
         count, kinds = self.look_up("words", words)[0], self.words.different + 1
         base = np.log10((count + 0.5) / (self.words.total + 0.5 * kinds))
-        lower = self._lower(self.look_up("continuations", words)[0], kinds)
-
-        sums = self.look_up("contexts", words, 4)
-        if len(self.hot):
-            place, there = found_in(self.hot, words)
-            sums[:, there] = self.hot_sums[:, place[there]]
-        keys, gram = np.unique(gram_keys(contexts, tokens, self.bits, self.hot), return_inverse=True)
-        n = self.look_up("grams", keys)[0][gram]
-        total = np.maximum(sums[0], 1).astype(float)
-        spare = np.where(sums[0] > 0, np.asarray(self.grams.discounts) @ sums[1:] / total, 1.0)
-        p = np.where(n > 0, self.grams.left(n), 0.0) / total[before] + spare[before] * lower[at]
+        p = self._lower(self.look_up("continuations", words)[0], kinds)[at]
+        spread = found_in(self.hot, context[0])[1]
+        for level, grams in enumerate(self.grams, 2):
+            own = context[: level - 1]
+            keys, gram = np.unique(gram_keys(own, tokens, self.bits, self.hot), return_inverse=True)
+            n = self.look_up(f"grams{level}", keys)[0][gram]
+            total, share = np.ones(len(tokens)), np.ones(len(tokens))
+            for name, mine in (("contexts", ~spread), ("spread", spread)):
+                keys, place = np.unique(context_keys([x[mine] for x in own], self.bits, spread[mine]), return_inverse=True)
+                sums = self.look_up(f"{name}{level}", keys, 4)
+                total[mine] = np.maximum(sums[0], 1)[place]
+                share[mine] = np.where(sums[0] > 0, np.asarray(grams.discounts) @ sums[1:] / np.maximum(sums[0], 1), 1.0)[place]
+            p = np.where(n > 0, grams.left(n), 0.0) / total + share * p
         return base[at], np.log10(p), count[at]
 
     def _lower(self, contexts: Array, kinds: int) -> Array:
@@ -311,8 +374,10 @@ class Model:
         return left / own.total + self.spare / kinds
 
 
-def train(texts: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> Model:
+def train(texts: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, order: int = 2) -> Model:
     """The model of the rows of ``texts`` (text), its arrays below ``folder``."""
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, size / shard_bytes)))))
     shards = 1 << bits
@@ -323,18 +388,15 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> Mode
     candidates = [_unpacked(bytes(r[0]), "kn") for r in words.where("kind = 'shard'").select("blob").toLocalIterator()]
     hot = np.sort(np.concatenate([[BEGIN], *(k[n.astype(np.int64) * HOT > known.total] for k, n in candidates)]).astype(np.uint64))
 
-    grams = stored(dealt(texts.mapInArrow(_count_grams(bits, hot), _COUNTED)).mapInArrow(_merge_grams(folder, bits, hot), _MERGED), folder, "gram-stats")
-    hot_sums = np.zeros((4, len(hot)), dtype=np.int64)
-    for r in grams.where("kind = 'shard'").select("blob").toLocalIterator():  # HOT contexts a row at most
-        own, *sums = _unpacked(bytes(r[0]), "kkkkk")
-        hot_sums[:, np.searchsorted(hot, own)] += np.array(sums, dtype=np.int64).reshape(4, -1)
+    grams = stored(dealt(texts.mapInArrow(_count_grams(order, bits, hot), _COUNTED)).mapInArrow(_merge_grams(folder, order, bits, hot), _MERGED), folder, "gram-stats")
+    stored(dealt(grams.where("kind = 'context'").select("shard", "blob")).mapInArrow(_merge_spread(folder, bits), _COUNTED), folder, "spread-stats")
 
     following = dealt(grams.where("kind = 'word'").select("shard", "blob"))
     following = stored(following.mapInArrow(_merge_words(folder, "continuations", bits), _MERGED), folder, "continuation-stats")
     lower = Counts.of(following)
     r = following.where("kind = 'shard'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0", "n1", "n2")]).first()
     spare = lower.discounts[0] * r["n1"] + lower.discounts[1] * r["n2"] + lower.discounts[2] * (r["n0"] - r["n1"] - r["n2"])
-    return Model(folder, bits, known, Counts.of(grams), lower, hot, hot_sums, spare / lower.total if lower.total else 1.0)
+    return Model(folder, bits, known, tuple(Counts.of(grams, f"shard{i}") for i in range(2, order + 1)), lower, hot, spare / lower.total if lower.total else 1.0)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -345,7 +407,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in pieces(batches, "text", most=1 << 22):
             found = np.zeros((4, batch.num_rows))
             for first, tokens, bounds in token_runs(as_bytes(batch.column("text"))):
-                base, own, count = model.scores(tokens, contexts_of(tokens, bounds))
+                base, own, count = model.scores(tokens, contexts_of(tokens, bounds[:-1], model.order))
                 span = slice(first, first + len(bounds) - 1)
                 found[:, span] = [np.diff(bounds), *(np.add.reduceat(x, bounds[:-1]) for x in (count > 0, base, own))]
             n, n_known, base, own = found
@@ -356,8 +418,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text", "held_out").mapInArrow(rows, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def language_scores(docs: DataFrame) -> DataFrame:
-    """Trains on the rows of ``docs`` (doc_id, text) outside the held-out fold and scores all rows.
+def language_scores(docs: DataFrame, order: int = 2) -> DataFrame:
+    """Trains a model of the order on the rows of ``docs`` (doc_id, text) outside the held-out fold and scores all rows.
 
     A null or empty text is the end token alone. Rows that repeat a doc_id count and are scored each by itself; a null
     doc_id is held out. Without training rows every token has the probability 1 / (V + 1) with V = 0. An empty table
@@ -366,4 +428,4 @@ def language_scores(docs: DataFrame) -> DataFrame:
     folder = work_folder(docs.sparkSession, "kneser-ney")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
-    return scored(rows, train(rows.where("not held_out").select("text"), folder))
+    return scored(rows, train(rows.where("not held_out").select("text"), folder, order=order))

@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_scores(table(spark, sf_dir, "documents"))
+    return language_scores(table(spark, sf_dir, "documents"), order=3)
 
 
 def kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

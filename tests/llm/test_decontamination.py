@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from random import Random
+
 from llm_helpers import shingles
 
 from vigilog.llm.decontamination import contained_items, decontaminated
@@ -49,3 +51,21 @@ def test_empty_tables(spark, documents, empty):
     assert contained_items(documents, none).count() == 0
     assert decontaminated(documents, none).count() == documents.count()
     assert contained_items(empty, _benchmark(spark, documents)).count() == 0
+
+
+def test_short_items_inside_long_documents(spark):
+    """Items of 5 to 14 words, whole or with the last word changed, also such whose halves stand apart."""
+    random = Random(7)
+    texts = [[f"w{random.randrange(5000)}" for _ in range(2500)] for _ in range(8)]
+    items = []
+    for i in range(1200):
+        at, n = random.randrange(2400), 5 + i % 10
+        own = texts[i % 8][at : at + n]
+        items.append((i, " ".join(own if i % 3 else [*own[:-1], "x"])))
+    halves = "a b c d e f g h i j k l".split()
+    texts[0] += halves[:9] + ["x"] * 300 + halves[3:]
+    items.append((2000, " ".join(halves)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, benchmark)
+    assert len(want) > 800 and (0, 2000, 8, 8) in want and got(contained_items(docs, benchmark)) == want

@@ -5,7 +5,9 @@ into windows of twice the bound, a new one at every bound, so that an item's pas
 four times its size: a short item and a long document become sets of similar size, and the Jaccard similarity of an item
 contained to 75 % with such a window is 0.17 or more. Both get ``COORDINATES`` minima. A document is a candidate for an item
 if they agree in one coordinate (64 coordinates miss a similarity of 0.17 with a chance of about 6e-6); the minima of the windows of a
-class are those of the next smaller class taken together. Candidates are confirmed where they are found, on the whole
+class are those of the next smaller class taken together. Items of ``FEW`` shingles or less are too small for a window of
+the least bound: they are looked up by their rarest shingles, of which a document that holds 75 % of an item has one at
+least, so none is missed. Candidates are confirmed where they are found, on the whole
 shingle sets of item and document.
 
 The items of one pass over the documents are broadcast, ``MOST_BYTES`` at most; more items take more passes.
@@ -26,6 +28,7 @@ WIDTH = 5
 CONTAINED = 75  # percent
 COORDINATES = 64
 LEAST_BOUND = 16
+FEW = LEAST_BOUND // 2
 MOST_BYTES = 64 << 20
 ITEM_COLUMNS = "item_id long, grams binary"
 
@@ -62,20 +65,44 @@ class ItemIndex:
         sizes = np.array([len(x) for x in self.sets])
         bounds = np.maximum(LEAST_BOUND, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
         self.classes = []
-        for bound in sorted({*bounds.tolist()}):
-            own = np.flatnonzero(bounds == bound)
+        self._look_up_few(np.flatnonzero(sizes <= FEW), sizes)
+        for bound in sorted({*bounds[sizes > FEW].tolist()}):
+            own = np.flatnonzero((bounds == bound) & (sizes > FEW))
             minima = np.array([[((self.sets[i] ^ x) * f).min() for i in own] for x, f in zip(_XOR, _FACTOR, strict=True)])
             order = np.argsort(minima, axis=1, kind="stable")
             self.classes.append(SizeClass(bound, np.take_along_axis(minima, order, axis=1), own[order]))
 
+    def _look_up_few(self, few: np.ndarray, sizes: np.ndarray) -> None:
+        """Of each small item, one shingle more than it may lack, those that the fewest items have."""
+        grams = np.concatenate([np.empty(0, np.uint64), *(self.sets[i] for i in few)])
+        owners = np.repeat(few, sizes[few])
+        _, back, counts = np.unique(grams, return_inverse=True, return_counts=True)
+        order = np.lexsort((counts[back], owners))
+        n = sizes[few]
+        place = np.arange(len(grams)) - np.repeat(np.cumsum(n) - n, n)
+        order = order[place < np.repeat(n + 1 - -(-CONTAINED * n // 100), n)]
+        order = order[np.argsort(grams[order], kind="stable")]
+        self.rare, self.rare_owners = grams[order], owners[order]
+
+    def _pairs(self, keys: np.ndarray, owners: np.ndarray, values: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Pairs (text, item), each once, for the values found in the sorted keys."""
+        low = np.searchsorted(keys, values, "left")
+        hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == values)
+        if not len(hit):
+            return np.empty((0, 2), np.int64)
+        many = np.searchsorted(keys, values[hit], "right") - low[hit]
+        ends = np.cumsum(many)
+        places = np.arange(ends[-1]) + np.repeat(low[hit] - (ends - many), many)
+        return np.unique(np.stack([np.repeat(of[hit], many), owners[places]], axis=1), axis=0)
+
     def candidates(self, grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Pairs (text, item) of a run of shingles that agree in a coordinate, each once."""
+        """Pairs (text, item) of a run of shingles that agree in a coordinate or share a rare shingle of a small item, each once."""
         counts = np.diff(bounds)
         texts = np.flatnonzero(counts)
-        if not len(texts) or not self.classes:
+        if not len(texts):
             return np.empty((0, 2), np.int64)
-        found = []
-        for k in range(COORDINATES):
+        found = [self._pairs(self.rare, self.rare_owners, grams, np.repeat(np.arange(len(counts)), counts))] if len(self.rare) else []
+        for k in range(COORDINATES if self.classes else 0):
             values = (grams ^ _XOR[k]) * _FACTOR[k]
             step, sizes, starts = 1, counts[texts], bounds[texts]
             for c in self.classes:
@@ -88,13 +115,7 @@ class ItemIndex:
                 joined = np.flatnonzero(within[1:] > 0)
                 windows[joined] = np.minimum(values[joined], values[joined + 1])
                 of = np.repeat(texts, blocks)
-                low = np.searchsorted(c.minima[k], windows, "left")
-                hit = np.flatnonzero(c.minima[k][np.minimum(low, len(c.minima[k]) - 1)] == windows)
-                if len(hit):
-                    many = np.searchsorted(c.minima[k], windows[hit], "right") - low[hit]
-                    ends = np.cumsum(many)
-                    places = np.arange(ends[-1]) + np.repeat(low[hit] - (ends - many), many)
-                    found.append(np.unique(np.stack([np.repeat(of[hit], many), c.owners[k][places]], axis=1), axis=0))
+                found.append(self._pairs(c.minima[k], c.owners[k], windows, of))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
     def contained(self, texts: list[bytes | None]) -> Iterator[tuple[int, int, int]]:

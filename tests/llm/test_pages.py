@@ -38,6 +38,22 @@ def test_other_layouts(name):
     assert main_text(AROUND[name]) == f"{TEXT}\n{TEXT} More & more."
 
 
+SHORT = "Brief words, few of them."
+PARTS = {
+    "a section of short paragraphs": f"<div class=post><section class=a><p>{TEXT * 3}</p><p>{TEXT * 3}</p></section><section class=b><p>{SHORT}</p><p>No marks here</p></section></div>",
+    "a small section like the others": f"<div><section><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p></section><section><p>{SHORT}</p></section></div>",
+    "heading and intro around a list": f"<div class=entry><h1>The title</h1><p>{SHORT}</p><ul><li>{TEXT}</li><li>{TEXT}</li><li>{TEXT}</li></ul><p>{SHORT}</p></div>",
+    "sections of the body itself": f"<section><h2>One</h2><p>{TEXT * 2}</p></section><div><section class=x><h2>Two</h2><div>{SHORT}</div></section></div>",
+}
+
+
+@pytest.mark.parametrize("name", PARTS)
+def test_sections_lists_and_headings_without_an_article(name):
+    page = f"<html><body><div class=nav><p>{SHORT}</p></div><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul>{PARTS[name]}<footer><p>{SHORT}</p></footer></body></html>"
+    blocks = (" ".join(x.split()) for x in re.split(r"<[^>]*>", PARTS[name]))
+    assert main_text(page) == "\n".join(x for x in blocks if x)
+
+
 @pytest.mark.parametrize("page", ["", "   ", "</p></div>", "<!-- <p>no</p>", "<script>never closed <p>x", "<p>" * 3000, "<nav>a</nav>"])
 def test_pages_without_text(page):
     assert main_text(page) == ""

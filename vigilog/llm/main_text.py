@@ -4,7 +4,8 @@ A page becomes a row of blocks, each with the path of block-level tags from the
 length and punctuation are summed per path; the ratio of a path is its text per block, its punctuation ratio its
 punctuation per block. Both are smoothed over the page with a Gaussian, so that a short paragraph among long ones gains
 and a lone line loses, and fused as a product. Paths above a threshold, a share of the deviation of the fused ratios, mark the content; the
-container that holds most of it gives the article, whose other blocks (heading, short lines) belong to it. What stands
+container that holds most of it gives the article, whose other blocks (heading, short lines) belong to it. Without an
+article or main element, the container is widened to all that holds headings, paragraphs or sentences. What stands
 in boilerplate (navigation, notes, forms, comments and such, by tag or class word) is never content.
 """
 
@@ -37,6 +38,7 @@ _BOILERPLATE_WORDS = frozenset(
     "breadcrumb breadcrumbs comment comments reply replies discussion cookie cookies consent notice notices popup modal newsletter subscribe "
     "signup login share social related recommended pagination pager widget toolbar".split()
 )
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd figcaption caption td th".split())
 _CLOSES_P = _BLOCKS - {"body", "html", "head"}
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
@@ -160,23 +162,35 @@ def main_text(page: str) -> str:
             mass[element] += len(b.text)
     total = sum(len(b.text) for b in core)
     container = max((e for e, m in mass.items() if m >= 0.8 * total), default=0)  # the innermost one that holds the content
-    container = _article(core, container)
+    container, whole = _article(core, container)
+    if not whole:
+        container = _widened(blocks, container)
     kept = [b for b in blocks if container in b.depth and (2 * b.linked <= len(b.text) or ratios[b.path] >= cut)]
     return "\n".join(b.text for b in kept)
 
 
-def _article(core: list[Block], container: int) -> int:
-    """The article or main element around the container if there is one, else what holds the paragraphs themselves."""
+def _article(core: list[Block], container: int) -> tuple[int, bool]:
+    """The article or main element around the container and True if there is one, else what holds the paragraphs themselves."""
     for b in core:
         if container in b.depth:
             upto = b.depth.index(container)
             for i in range(upto, 0, -1):
                 if b.path[i].split(".")[0] in ("article", "main"):
-                    return b.depth[i]
+                    return b.depth[i], True
             if b.path[upto].split(".")[0] in ("p", "li", "td", "blockquote", "pre", "h1", "h2", "h3"):
-                return b.depth[max(upto - 1, 0)]
-            return container
-    return container
+                return b.depth[max(upto - 1, 0)], False
+            return container, False
+    return container, False
+
+
+def _widened(blocks: list[Block], container: int) -> int:
+    """The least element around the container that holds all headings, paragraphs and sentences that are not mostly link."""
+    chain = next(b.depth[: b.depth.index(container) + 1] for b in blocks if container in b.depth)
+    shared = len(chain)
+    for b in blocks:
+        if 2 * b.linked <= len(b.text) and (b.path[-1].split(".")[0] in _PROSE or _PUNCTUATION.search(b.text)):
+            shared = min(shared, next((i for i, (x, y) in enumerate(zip(chain, b.depth, strict=False)) if x != y), min(len(chain), len(b.depth))))
+    return chain[shared - 1]
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -54,6 +54,19 @@ def test_sections_lists_and_headings_without_an_article(name):
     assert main_text(page) == "\n".join(x for x in blocks if x)
 
 
+LINKED = {
+    "article": f"<article><h1><a href=/t>The linked title</a></h1><p>{TEXT}</p><figure><figcaption><a href=/p>A linked caption</a></figcaption></figure><p>{TEXT}</p><h2>Sources</h2><ul><li><a href=/1>First source</a></li><li><a href=/2>Second source</a></li></ul></article>",
+    "no article": f"<div class=post><h2><a href=/t>The linked title</a></h2><p>{TEXT}</p><ul><li><a href=/1>A link amid the text</a></li></ul><p>{TEXT}</p><h2>Sources</h2><ul><li><a href=/1>First source</a></li><li><a href=/2>Second source</a></li></ul></div>",
+}
+
+
+@pytest.mark.parametrize("name", LINKED)
+def test_links_that_belong_to_the_article(name):
+    menu = "<ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul>"
+    blocks = (" ".join(x.split()) for x in re.split(r"</?(?:div|article|h\d|p|ul|li|fig\w+)[^>]*>", re.sub(r"</?a\b[^>]*>", "", LINKED[name])))
+    assert main_text(f"<html><body>{menu}{LINKED[name]}</body></html>") == "\n".join(x for x in blocks if x)
+
+
 @pytest.mark.parametrize("page", ["", "   ", "</p></div>", "<!-- <p>no</p>", "<script>never closed <p>x", "<p>" * 3000, "<nav>a</nav>"])
 def test_pages_without_text(page):
     assert main_text(page) == ""
@@ -109,3 +122,8 @@ def test_pruning_and_the_index_against_brute_force(spark):
 def test_url_table_without_rows(spark, labels):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert ur.url_verdicts(pages, labels).count() == 0
+
+
+def test_small_articles_beside_each_other():
+    articles = "".join(f"<article><h2><a href=/{i}>Title {i}</a></h2><p>Short words {i}.</p></article>" for i in range(4))
+    assert "Short words 2." in main_text(f"<body><div>{articles}</div><div><p>{TEXT * 2}</p></div></body>")

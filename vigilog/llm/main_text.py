@@ -5,7 +5,8 @@ length and punctuation are summed per path; the ratio of a path is its text per
 punctuation per block. Both are smoothed over the page with a Gaussian, so that a short paragraph among long ones gains
 and a lone line loses, and fused as a product. Paths above a threshold, a share of the deviation of the fused ratios, mark the content; the
 container that holds most of it gives the article, whose other blocks (heading, short lines) belong to it. Without an
-article or main element, the container is widened to all that holds headings, paragraphs or sentences. What stands
+article or main element, the container is widened to all that holds headings, paragraphs or sentences, and blocks that are
+mostly link are left out as menus unless they are headings or captions of the container, stand amid the content or follow a heading. What stands
 in boilerplate (navigation, notes, forms, comments and such, by tag or class word) is never content.
 """
 
@@ -38,7 +39,9 @@ _BOILERPLATE_WORDS = frozenset(
     "breadcrumb breadcrumbs comment comments reply replies discussion cookie cookies consent notice notices popup modal newsletter subscribe "
     "signup login share social related recommended pagination pager widget toolbar".split()
 )
-_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd figcaption caption td th".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TITLES = _HEADINGS | {"figcaption", "caption"}
+_PROSE = _TITLES | frozenset("p blockquote pre li dt dd td th".split())
 _CLOSES_P = _BLOCKS - {"body", "html", "head"}
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
@@ -163,9 +166,20 @@ def main_text(page: str) -> str:
     total = sum(len(b.text) for b in core)
     container = max((e for e, m in mass.items() if m >= 0.8 * total), default=0)  # the innermost one that holds the content
     container, whole = _article(core, container)
-    if not whole:
-        container = _widened(blocks, container)
-    kept = [b for b in blocks if container in b.depth and (2 * b.linked <= len(b.text) or ratios[b.path] >= cut)]
+    if whole:
+        return "\n".join(b.text for b in blocks if container in b.depth)
+    around = _widened(blocks, container)
+    blocks = [b for b in blocks if around in b.depth]
+    main = {id(b) for b in core}
+    amid = [i for i, b in enumerate(blocks) if container in b.depth and id(b) in main]
+    kept, listed = [], False
+    for i, b in enumerate(blocks):
+        tag = b.path[-1].split(".")[0]
+        linked = 2 * b.linked > len(b.text) and ratios[b.path] < cut
+        titled = tag in _TITLES and (container in b.depth or i > amid[0])
+        if not linked or titled or amid[0] < i < amid[-1] or listed:
+            kept.append(b)
+        listed = i > amid[0] and (tag in _HEADINGS or (listed and linked))
     return "\n".join(b.text for b in kept)
 
 

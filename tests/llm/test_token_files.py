@@ -75,3 +75,25 @@ def test_digests(spark, reference, documents, awkward, monkeypatch):
 
 def test_empty_table(empty):
     assert tf.token_digests(empty).count() == 0
+
+
+LITERALS = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b c", "x\n<|startoftext|>y<|endoftext|> é<|endoftext|>\u0301 don't!", "<|ENDOFTEXT|> <|endoftext |>", "plain, words", "", "漢" * 300 + " end<|endoftext|>"]
+
+
+def test_literals_of_added_tokens_are_those_tokens():
+    """As the library does it, without a switch."""
+    path = public_tokenizers.path(tf.VOCABULARY)
+    library = Tokenizer.from_file(path)
+    ids, sizes = tf.WordEncoder(path, added_tokens=True).encode([x.encode() for x in LITERALS] + [None])
+    for x, part in zip([*LITERALS, ""], np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+        assert part.tolist() == [*library.encode(x, add_special_tokens=False).ids, tf.END_ID]
+
+
+def test_digests_of_texts_with_literals(spark):
+    library, start, want = Tokenizer.from_file(public_tokenizers.path(tf.VOCABULARY)), 0, []
+    for i, text in enumerate(LITERALS):
+        ids = [*library.encode(text, add_special_tokens=False).ids, tf.END_ID]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    docs = spark.createDataFrame([*enumerate(LITERALS)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in tf.token_digests(docs).collect()) == want

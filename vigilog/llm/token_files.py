@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vigilog.llm.rans import LANES, Table, scaled
 from vigilog.llm.shared import stored, work_folder
 from vigilog.llm.token_tables import HashedTable
-from vigilog.llm.words import as_bytes, pieces, word_stretches
+from vigilog.llm.words import SPACES, as_bytes, pieces, word_stretches
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -42,22 +43,30 @@ FILE_BYTES = 10 << 20  # of text, on average
 MOST_CORES = 50_000
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks without the apostrophe, which can begin a token with letters
 MAGIC = b"vgl-rans"
+_SPACES = [bytes([c]) for c in SPACES]
+_GAP = re.compile(b"[" + SPACES + b"]")
 MANIFEST = "part int, file string, n_docs long, n_ids long, bytes long"
 
 
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space: no token crosses it, so every word is encoded by itself.
 
+    With ``added_tokens``, as the library does it, the literal of an added token (``<|endoftext|>``) is that token: words
+    that hold one go to the tokenizer whole. Without, it is text like any other.
+
     Words are told apart by 64-bit hashes, and marks behind a letter count as a word of their own, which the tokenizer
     cuts off as well. Ids are below 2**16.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        self.literal = re.compile(b"|".join(map(re.escape, added)))
+        self.added = added
+        self.tokenizer.encode_special_tokens = not added_tokens
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -100,18 +109,43 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, each with the end id, and how many each has."""
+        if not any(x and any(a in x for a in self.added) for x in texts):
+            ids, counts = self._plain(texts)
+        else:
+            parts, whole, of = [], [], []  # stretches without a literal, and the words that hold one
+            for i, x in enumerate(texts):
+                at = 0
+                while m := self.literal.search(x or b"", at):
+                    start = max(at, 1 + max(x.rfind(c, at, m.start()) for c in _SPACES))
+                    end = gap.start() if (gap := _GAP.search(x, m.end())) else len(x)
+                    parts += [x[at:start], b""]
+                    whole += [None, x[start:end]]
+                    of += [i, i]
+                    at = end
+                parts.append((x or b"")[at:])
+                whole.append(None)
+                of.append(i)
+            ids, sizes = self._plain(parts)
+            found = np.split(ids, np.cumsum(sizes)[:-1])
+            for k, word in enumerate(whole):
+                if word is not None:
+                    found[k] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype=ids.dtype)
+            ids = np.concatenate(found)
+            counts = np.bincount(of, [len(x) for x in found], len(texts)).astype(np.int64)
+        return np.insert(ids, np.cumsum(counts), END_ID), counts + 1
+
+    def _plain(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         counts, found = np.zeros(len(texts), dtype=np.int64), []
         for first, data, hashes, starts, ends, bounds in word_stretches(texts, exact=True):
             ids, sizes = self.words.tokens(hashes, lambda i, d=data, a=starts, b=ends: d[a[i] : b[i]].tobytes())
             counts[first : first + len(bounds) - 1] += np.diff(np.concatenate([[0], np.cumsum(sizes)])[bounds])
             found.append(ids)
-        ids = np.concatenate(found) if found else np.empty(0, np.uint16)
-        return np.insert(ids, np.cumsum(counts), END_ID), counts + 1
+        return np.concatenate(found) if found else np.empty(0, np.uint16), counts
 
 
 @lru_cache(1)
 def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return WordEncoder(path, added_tokens=True)
 
 
 def file_bytes(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, no_id: np.ndarray) -> bytes:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigilog.operators import evaluation, splitting
 from vigilog.operators.forests import PREDICTED, encoders_of
 from vigilog.operators.scoring import CONFIDENCE, confidence_pct, score_events
+from vigilog.plans import queries
 from vigilog.plans.event_view import VIEW, sec_all, sec_complete
 from vigilog.plans.training import train_code_forest, train_feature_forest
 from vigilog.sinks.models import load_pipeline, save_model
@@ -140,3 +141,20 @@ def test_confidence_rounds_halves_to_even(spark):
 def test_counts_do_not_compute_predictions(events, coded):
     scored = score_events(sec_all(events), coded.pipeline, VIEW).groupBy(VIEW.protocol).count()
     assert "UDF" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["q_forest_codes", "q_scored_events", "q_scored_stream"])
+def test_registered_forests_are_not_cut(name, monkeypatch):
+    """The queries train with the library's own limits."""
+
+    class Trained(Exception):
+        pass
+
+    def seen(events, cols, key=None, **limits):
+        raise Trained(limits)
+
+    for part, stand_in in {"train_code_forest": seen, "_all": lambda *_: None, "work_folder": lambda *_: ""}.items():
+        monkeypatch.setattr(queries, part, stand_in)
+    with pytest.raises(Trained) as found:
+        queries.QUERIES[name](None, "")
+    assert found.value.args == ({},)

@@ -12,9 +12,12 @@ from vigilog.llm.kd_shards import shard_digests
 from vigilog.llm.kneser_ney import language_scores
 from vigilog.llm.main_text import extracted
 from vigilog.llm.near_duplicates import near_duplicates
+from vigilog.llm.phrases import collocations
 from vigilog.llm.quality_classifier import quality_scores
 from vigilog.llm.quality_rules import quality_verdicts
+from vigilog.llm.ranked_search import ranked
 from vigilog.llm.shared import table
+from vigilog.llm.source_mix import mixed_sizes
 from vigilog.llm.token_files import token_digests
 from vigilog.llm.url_rules import url_verdicts
 
@@ -59,6 +62,18 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality_classifier,
     "op2_kneser_ney": language_model,
@@ -70,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": minhash_near_duplicates,
     "op9_byte_bpe": byte_level_bpe,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op11_source_mix": source_mix,
+    "op12_ranked_search": ranked_search,
+    "op13_phrase_collocations": phrase_collocations,
 }
 
 #: The words, lines and thresholds are those of ``quality_rules``.
@@ -122,8 +140,63 @@ SELECT dg.id AS doc_id, ig.id AS item_id, count(*)::BIGINT AS n_shared, ig.n::BI
 FROM dg JOIN ig USING (gram) GROUP BY dg.id, ig.id, ig.n HAVING 100 * count(*) >= 75 * ig.n
 """
 
+_MIX_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws(' ', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 15))::BIGINT AS key FROM documents),
+s AS (SELECT source, sum(size) AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][i % 3 + 1] AS w, sum(n) OVER () AS total FROM s),
+o AS (SELECT *, sum(w) OVER () AS ws, coalesce(sum(3 * n) OVER a, 0) AS used, coalesce(sum(w) OVER a, 0) AS gone FROM w
+    WINDOW a AS (ORDER BY n::DOUBLE / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, 3 * n * (ws - gone) <= w * (total - used) AS capped FROM o),
+t AS (SELECT *, CASE WHEN capped THEN (3 * n)::DOUBLE ELSE w::DOUBLE * (total - coalesce(sum(3 * n) FILTER (capped) OVER (), 0))::DOUBLE
+    / (sum(w) FILTER (NOT capped) OVER ())::DOUBLE END AS target FROM c),
+r AS (SELECT source, n, target, CASE WHEN n > 0 THEN floor(target / n)::BIGINT ELSE 0 END AS copies FROM t),
+x AS (SELECT doc_id, size, n, target, copies, target - copies * n AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, n::BIGINT AS source_size, target, size * (copies + CASE WHEN before < rest AND size < 2 * (rest - before) THEN 1 ELSE 0 END) AS taken FROM x
+"""
+
+_SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+k AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_words FROM d WHERE len(t) > 0),
+q AS (SELECT i, term, count(*) AS qtf FROM (SELECT i, unnest(t) AS term FROM i) GROUP BY ALL),
+p AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, k GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 75 + (25 * len(t) * n_docs) // n_words AS m FROM d, k),
+s AS (SELECT i, r, m.doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT i.item_id, rank::INT AS rank, o.doc_id, score FROM o JOIN i USING (i) WHERE rank <= 20
+"""
+
+_PHRASES_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i : array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM p, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a, string_split(phrase, ' ') AS w FROM g GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, w, k, a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.phrase, c.k, c.a, cut, x.a AS l, y.a AS r, (1000000 * c.a * c.a) // (x.a * y.a) AS score FROM c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+h AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM f WHERE k = 3)
+    GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank FROM b
+    LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE h.a IS NULL OR 100 * h.a < 50 * b.a)
+SELECT lang, rank, phrase, o.a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": _RULES_SQL,
     "op8_near_duplicates": _NEAR_SQL,
     "op10_benchmark_decontamination": _CONTAINED_SQL,
+    "op11_source_mix": _MIX_SQL,
+    "op12_ranked_search": _SEARCH_SQL,
+    "op13_phrase_collocations": _PHRASES_SQL,
 }

@@ -59,9 +59,8 @@ def test_other_thresholds_lengths_and_shards(documents, least, longest, shards):
 
 def test_few_slots_change_nothing(documents, monkeypatch):
     """Phrases that share a slot are counted too early or in vain; a small hold makes many rows for each owner."""
-    monkeypatch.setattr(phrases, "SLOTS", 64)
     monkeypatch.setattr(phrases, "HELD", 500)
-    assert found(collocations(documents)) == brute(texts(documents))
+    assert found(collocations(documents, slots=64)) == brute(texts(documents))
 
 
 def test_a_phrase_that_starts_late_is_counted_from_the_beginning(spark):

@@ -87,14 +87,14 @@ def _load(folder: str, step: int, owner: int, longest: int) -> list[Array]:
         return _unpacked(file.read(), 2 * longest)
 
 
-def _slots(keys: Array, owners: int) -> Array:
+def _slots(keys: Array, owners: int, slots: int) -> Array:
     """The slot of each key; an owner's keys have adjoining slots."""
-    own = SLOTS // owners
+    own = slots // owners
     return (keys & (owners - 1)) * own + ((keys >> 20) & (own - 1))
 
 
-def _slot(key: Column, owners: int) -> Column:
-    own = SLOTS // owners
+def _slot(key: Column, owners: int, slots: int) -> Column:
+    own = slots // owners
     return key.bitwiseAND(owners - 1) * own + F.shiftright(key, 20).bitwiseAND(own - 1)
 
 
@@ -132,11 +132,7 @@ def _grams(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[tuple]:
             yield data, starts, ends, text, langs, [x.view(np.int64) for x in keys], whole
 
 
-def _reached_tables(sent: bytes, longest: int) -> list[Array]:
-    return list(np.frombuffer(zlib.decompress(sent), np.uint8).reshape(longest - 1, SLOTS))
-
-
-def _count(step: int, shards: int, longest: int, owners: int, sent) -> Callable:
+def _count(step: int, shards: int, longest: int, owners: int, slots: int, sent) -> Callable:
     """Counts a shard's active phrases of every length; a row for each owner and length whenever enough are held."""
 
     def active(keys: list[Array], whole: list[Array], tables: list[Array]) -> Iterator[Array]:
@@ -145,7 +141,7 @@ def _count(step: int, shards: int, longest: int, owners: int, sent) -> Callable:
         else:
             yield keys[0][:0]
         for k in range(1, len(keys)):
-            reached = tables[k - 1][_slots(keys[k - 1], owners)].astype(np.int16)
+            reached = tables[k - 1][_slots(keys[k - 1], owners, slots)].astype(np.int16)
             n = len(keys[k])
             start = np.maximum(reached[:n], reached[1 : n + 1]) + 1
             yield keys[k][whole[k] & (start <= step) & (step < start + shards)]
@@ -167,7 +163,7 @@ def _count(step: int, shards: int, longest: int, owners: int, sent) -> Callable:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["owner", "length", "keys", "counts"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _reached_tables(sent.value, longest)
+        tables = list(np.frombuffer(zlib.decompress(sent.value), np.uint8).reshape(longest - 1, slots))
         held: list[list[Array]] = [[] for _ in range(longest)]
         size = 0
         for *_, keys, whole in _grams(batches, longest):
@@ -183,9 +179,9 @@ def _count(step: int, shards: int, longest: int, owners: int, sent) -> Callable:
     return count
 
 
-def _merge(folder: str, step: int, longest: int, owners: int, least: int) -> Callable:
+def _merge(folder: str, step: int, longest: int, owners: int, slots: int, least: int) -> Callable:
     """What an owner does with its rows of a step: new arrays, and the slots that have reached the threshold, a bit each."""
-    own = SLOTS // owners
+    own = slots // owners
 
     def merge(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         owner = key[0].as_py()
@@ -202,7 +198,7 @@ def _merge(folder: str, step: int, longest: int, owners: int, least: int) -> Cal
                 state[k], state[longest + k] = _summed(keys, counts)
             if k < longest - 1:
                 reached = np.zeros(own, bool)
-                reached[_slots(state[k][state[longest + k] >= least], owners) - owner * own] = True
+                reached[_slots(state[k][state[longest + k] >= least], owners, slots) - owner * own] = True
                 bits.append(np.packbits(reached).tobytes())
         _save(folder, step, owner, state)
         return pa.table({"owner": pa.array([owner], pa.int32()), "bits": pa.array([b"".join(bits)], pa.binary())})
@@ -223,7 +219,7 @@ def _frequent(folder: str, step: int, longest: int, least: int) -> Callable:
     return rows
 
 
-def _texts(longest: int, owners: int, sent) -> Callable:
+def _texts(longest: int, owners: int, slots: int, sent) -> Callable:
     """Texts and parts of the phrases of two words and more whose slot is wanted; each once for a task's slice."""
     schema = pa.schema([("key", pa.int64()), ("length", pa.int32()), ("lang", pa.string()), ("phrase", pa.string()), *[(n, pa.list_(pa.int64())) for n in ("lefts", "rights", "inner")]])
     lower = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -234,7 +230,7 @@ def _texts(longest: int, owners: int, sent) -> Callable:
         for data, starts, ends, text, langs, keys, whole in _grams(batches, longest):
             raw, mine = data.tobytes().translate(lower), [seen]
             for k in range(1, longest):
-                places = np.flatnonzero(whole[k] & wanted[_slots(keys[k], owners)])
+                places = np.flatnonzero(whole[k] & wanted[_slots(keys[k], owners, slots)])
                 found, first = np.unique(keys[k][places], return_index=True)
                 new = ~np.isin(found, seen, assume_unique=True)
                 found, at = found[new], places[first[new]]
@@ -259,18 +255,18 @@ def _texts(longest: int, owners: int, sent) -> Callable:
     return rows
 
 
-def count_phrases(shards: DataFrame, folder: str, n_shards: int, owners: int, longest: int, least: int) -> DataFrame:
+def count_phrases(shards: DataFrame, folder: str, n_shards: int, owners: int, longest: int, least: int, slots: int = SLOTS) -> DataFrame:
     """``key``, ``length`` and ``n`` of all phrases of up to ``longest`` words with ``n`` >= ``least``, stored."""
     spark = shards.sparkSession
     states = f"{folder}/owners"
-    tables = np.full((longest - 1, SLOTS), NEVER, np.uint8)
+    tables = np.full((longest - 1, slots), NEVER, np.uint8)
     none = spark.range(owners, numPartitions=1).selectExpr("cast(id as int) owner", "0 length", "cast(null as binary) keys", "cast(null as binary) counts")
-    step, own, last = 0, SLOTS // owners, n_shards - 1
+    step, own, last = 0, slots // owners, n_shards - 1
     while step <= last:
         sent = spark.sparkContext.broadcast(zlib.compress(tables.tobytes(), 1))
         shard = shards.where(F.col("shard") == step % n_shards).select("lang", "text")
-        counted = shard.mapInArrow(_count(step, n_shards, longest, owners, sent), _COUNTED).union(none)
-        merged = counted.groupBy("owner").applyInArrow(_merge(states, step, longest, owners, least), "owner int, bits binary")
+        counted = shard.mapInArrow(_count(step, n_shards, longest, owners, slots, sent), _COUNTED).union(none)
+        merged = counted.groupBy("owner").applyInArrow(_merge(states, step, longest, owners, slots, least), "owner int, bits binary")
         for row in merged.collect():  # SLOTS bits for each length
             reached = np.unpackbits(np.frombuffer(row.bits, np.uint8)).reshape(longest - 1, own).astype(bool)
             part = tables[:, row.owner * own : (row.owner + 1) * own]
@@ -286,18 +282,18 @@ def count_phrases(shards: DataFrame, folder: str, n_shards: int, owners: int, lo
     return stored(final, folder, "frequent")
 
 
-def find_texts(shards: DataFrame, frequent: DataFrame, folder: str, n_shards: int, owners: int, longest: int) -> DataFrame:
+def find_texts(shards: DataFrame, frequent: DataFrame, folder: str, n_shards: int, owners: int, longest: int, slots: int = SLOTS) -> DataFrame:
     """``frequent`` phrases of two words and more with their language, text and parts; shards are read until all are found."""
     spark = shards.sparkSession
     missing, found = frequent.where("length > 1"), None
     for i in range(n_shards):
-        slots = missing.select(_slot(F.col("key"), owners).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()
-        if not len(slots):
+        open_slots = missing.select(_slot(F.col("key"), owners, slots).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()
+        if not len(open_slots):
             break
-        bits = np.zeros(SLOTS, bool)
-        bits[slots] = True
+        bits = np.zeros(slots, bool)
+        bits[open_slots] = True
         sent = spark.sparkContext.broadcast(zlib.compress(np.packbits(bits).tobytes(), 1))
-        texts = shards.where(F.col("shard") == i).select("lang", "text").mapInArrow(_texts(longest, owners, sent), _PHRASE)
+        texts = shards.where(F.col("shard") == i).select("lang", "text").mapInArrow(_texts(longest, owners, slots, sent), _PHRASE)
         part = texts.dropDuplicates(["key"]).join(missing.select("key", F.col("n").alias("a")), "key")
         part = stored(part, folder, f"texts-{i}")
         sent.destroy()
@@ -324,7 +320,7 @@ def scored(found: DataFrame, frequent: DataFrame, totals: DataFrame, top: int) -
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, n_shards: int = SHARDS) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, n_shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """The best phrases of 2 to ``longest`` words of each language: ``lang, rank, phrase, a, l, r, n, score``.
 
     A phrase lies within a piece; ``a`` is how often, ``l`` and ``r`` how often the parts at its worst cut, ``n`` the words of
@@ -348,5 +344,5 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
         return spark.createDataFrame([], _RESULT)
     owners = 1 << min(int(log2(MOST_OWNERS)), max(3, round(log2(max(1, size / OWNER_BYTES)))))
     totals = shards.groupBy("lang").agg(F.sum("words").alias("n"))
-    frequent = count_phrases(shards, folder, n_shards, owners, longest, least)
-    return scored(find_texts(shards, frequent, folder, n_shards, owners, longest), frequent, totals, top)
+    frequent = count_phrases(shards, folder, n_shards, owners, longest, least, slots)
+    return scored(find_texts(shards, frequent, folder, n_shards, owners, longest, slots), frequent, totals, top)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from vigilog.llm import phrases
@@ -63,6 +64,20 @@ def test_few_slots_change_nothing(documents, monkeypatch):
     assert found(collocations(documents, slots=64)) == brute(texts(documents))
 
 
+def test_parts_of_many_phrases():
+    """Several stretches of texts: every phrase keeps its own keys."""
+    texts = sorted(f"word{i} and{'' if i % 3 else ' more'}".encode() for i in range(150_000))
+    joined = b"\n".join(texts)
+    blobs = pa.table({"size": [len(joined)], "texts": [pa.compress(joined, codec="zstd", asbytes=True)]})
+    found = phrases._parts_of(3)((pa.scalar(0), pa.scalar("en")), blobs).to_pylist()
+    assert sorted(r["phrase"].encode() for r in found) == texts and len({r["key"] for r in found}) == len(texts)
+    by = {r["phrase"]: r for r in found}
+    for r in found[:1000] + found[-1000:]:
+        words = r["phrase"].split()
+        assert len(r["lefts"]) == len(r["rights"]) == len(words) - 1 and len(r["inner"]) == (2 if len(words) == 3 else 0)
+        assert r["rights"][-1] in {by["word1 and"]["rights"][0], by["word0 and more"]["rights"][-1]}
+
+
 def test_a_phrase_that_starts_late_is_counted_from_the_beginning(spark):
     rows = [(i, ("x y z " if i % 4 == 3 else "x . y . z ") * 3, "en") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)

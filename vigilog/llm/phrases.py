@@ -45,36 +45,50 @@ MOST_OWNERS = 1 << 15
 SLOTS = 1 << 23
 NEVER = 255
 HELD = 4_000_000  # phrases counted at once by a task
+HELD_TEXT = 64 << 20  # bytes of texts held at once by a task
+SALTS = 32
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
 
 _COUNTED = "owner int, length int, keys binary, counts binary"
-_PHRASE = "key long, length int, lang string, phrase string, lefts array<long>, rights array<long>, inner array<long>"
+_TEXTS = "owner int, lang string, size long, texts binary"
+_PHRASE = "key long, lang string, phrase string, lefts array<long>, rights array<long>, inner array<long>"
 _RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 Array = np.ndarray
 
 
-def _packed(arrays: list[Array]) -> bytes:
-    parts = [pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in arrays]
-    sizes = np.array([[x.nbytes, len(p)] for x, p in zip(arrays, parts, strict=True)], dtype="<u8")
-    return sizes.tobytes() + b"".join(parts)
+def _packed(values: Array) -> bytes:
+    """Whole numbers byte by byte, the first bytes of all before the second ones, compressed: small numbers take next to nothing."""
+    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpacked(blob: bytes, n: int) -> list[Array]:
-    sizes, at, out = np.frombuffer(blob, "<u8", 2 * n).reshape(n, 2).tolist(), 16 * n, []
-    for whole, size in sizes:
-        out.append(np.frombuffer(pa.decompress(blob[at : at + size], whole, codec="zstd", asbytes=True), np.int64))
-        at += size
-    return out
+def _unpacked(blob: bytes) -> Array:
+    n = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(-1).astype(np.int64)
 
 
-def _save(folder: str, step: int, owner: int, arrays: list[Array]) -> None:
+def _packed_keys(keys: Array) -> bytes:
+    """Sorted keys as differences."""
+    return _packed(np.diff(keys, prepend=np.int64(0)))
+
+
+def _unpacked_keys(blob: bytes) -> Array:
+    return np.cumsum(_unpacked(blob))
+
+
+def _save(folder: str, step: int, owner: int, state: list[Array]) -> None:
     """An owner's file of a step, written under a name of its own and then moved in place."""
+    n = len(state) // 2
+    parts = [_packed_keys(x) for x in state[:n]] + [_packed(x) for x in state[n:]]
     store, place = fs.FileSystem.from_uri(f"{folder}/step-{step}")
     store.create_dir(place, recursive=True)
     own = f"{place}/.{owner}-{uuid.uuid4().hex}"
     with store.open_output_stream(own) as out:
-        out.write(_packed(arrays))
+        out.write(np.array([len(x) for x in parts], "<u8").tobytes())
+        for part in parts:
+            out.write(part)
     store.move(own, f"{place}/{owner}")
 
 
@@ -84,7 +98,9 @@ def _load(folder: str, step: int, owner: int, longest: int) -> list[Array]:
         return [np.empty(0, np.int64)] * (2 * longest)
     store, place = fs.FileSystem.from_uri(f"{folder}/step-{step}")
     with store.open_input_stream(f"{place}/{owner}") as file:
-        return _unpacked(file.read(), 2 * longest)
+        sizes = np.frombuffer(file.read(16 * longest), "<u8").tolist()
+        blobs = [file.read(size) for size in sizes]
+    return [_unpacked_keys(x) for x in blobs[:longest]] + [_unpacked(x) for x in blobs[longest:]]
 
 
 def _slots(keys: Array, owners: int, slots: int) -> Array:
@@ -151,12 +167,12 @@ def _count(step: int, shards: int, longest: int, owners: int, slots: int, sent)
         for length, parts in enumerate(held, 1):
             keys, counts = _summed(np.concatenate([*parts, np.empty(0, np.int64)]))
             order = np.argsort(keys & (owners - 1), kind="stable")
-            keys, counts = keys[order], counts[order].astype(np.uint32)
+            keys, counts = keys[order], counts[order]
             own = keys & (owners - 1)
             cuts = np.flatnonzero(np.diff(own)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
                 if b > a:
-                    out.append((int(own[a]), length, keys[a:b].tobytes(), counts[a:b].tobytes()))
+                    out.append((int(own[a]), length, _packed_keys(keys[a:b]), _packed(counts[a:b])))
         if out:
             columns = list(zip(*out, strict=True))
             types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -189,12 +205,12 @@ def _merge(folder: str, step: int, longest: int, owners: int, slots: int, least:
         new: list[list[tuple]] = [[] for _ in range(longest)]
         for r in rows.to_pylist():
             if r["length"]:
-                new[r["length"] - 1].append((np.frombuffer(r["keys"], np.int64), np.frombuffer(r["counts"], np.uint32)))
+                new[r["length"] - 1].append((_unpacked_keys(r["keys"]), _unpacked(r["counts"])))
         bits = []
         for k in range(longest):
             if new[k]:
                 keys = np.concatenate([state[k], *[x[0] for x in new[k]]])
-                counts = np.concatenate([state[longest + k], *[x[1].astype(np.int64) for x in new[k]]])
+                counts = np.concatenate([state[longest + k], *[x[1] for x in new[k]]])
                 state[k], state[longest + k] = _summed(keys, counts)
             if k < longest - 1:
                 reached = np.zeros(own, bool)
@@ -220,13 +236,20 @@ def _frequent(folder: str, step: int, longest: int, least: int) -> Callable:
 
 
 def _texts(longest: int, owners: int, slots: int, sent) -> Callable:
-    """Texts and parts of the phrases of two words and more whose slot is wanted; each once for a task's slice."""
-    schema = pa.schema([("key", pa.int64()), ("length", pa.int32()), ("lang", pa.string()), ("phrase", pa.string()), *[(n, pa.list_(pa.int64())) for n in ("lefts", "rights", "inner")]])
+    """The phrases of two words and more whose slot is wanted: for each owner and language their sorted texts, each once."""
+    schema = pa.schema([("owner", pa.int32()), ("lang", pa.string()), ("size", pa.int64()), ("texts", pa.binary())])
     lower = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
+    def blobs(held: dict[tuple[int, str], list[bytes]]) -> Iterator[pa.RecordBatch]:
+        rows = [(*key, b"\n".join(sorted(phrases))) for key, phrases in held.items()]
+        if rows:
+            owner, lang, texts = zip(*rows, strict=True)
+            packed = [pa.compress(x, codec="zstd", asbytes=True) for x in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((owner, lang, map(len, texts), packed), schema.types, strict=True)], schema=schema)
+
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(zlib.decompress(sent.value), np.uint8)).astype(bool)
-        seen = np.empty(0, np.int64)
+        seen, held, size = np.empty(0, np.int64), {}, 0
         for data, starts, ends, text, langs, keys, whole in _grams(batches, longest):
             raw, mine = data.tobytes().translate(lower), [seen]
             for k in range(1, longest):
@@ -234,23 +257,51 @@ def _texts(longest: int, owners: int, slots: int, sent) -> Callable:
                 found, first = np.unique(keys[k][places], return_index=True)
                 new = ~np.isin(found, seen, assume_unique=True)
                 found, at = found[new], places[first[new]]
-                if not len(found):
-                    continue
                 mine.append(found)
-                spans = [(starts[at + i].tolist(), ends[at + i].tolist()) for i in range(k + 1)]
-                phrases = [" ".join(raw[a:b].decode() for a, b in words) for words in zip(*[zip(*span, strict=True) for span in spans], strict=True)]
-                lefts = np.stack([keys[c][at] for c in range(k)], 1)
-                rights = np.stack([keys[k - 1 - c][at + c + 1] for c in range(k)], 1)
-                inner = [keys[n][at + i] for n in range(1, k) for i in range(k + 1 - n)]
-                lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64())) for x in (lefts, rights)]
-                inside = np.stack(inner, 1) if inner else np.empty((len(at), 0), np.int64)
-                offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * inside.shape[1])
-                lists.append(pa.ListArray.from_arrays(offsets, pa.array(inside.ravel())))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array(np.full(len(at), k + 1, np.int32)), pa.array([langs[i] for i in text[at].tolist()], pa.string()), pa.array(phrases, pa.string()), *lists],
-                    schema=schema,
-                )
+                spans = [zip(starts[at + i].tolist(), ends[at + i].tolist(), strict=True) for i in range(k + 1)]
+                own = (found & (owners - 1)).tolist()
+                for owner, i, words in zip(own, text[at].tolist(), zip(*spans, strict=True), strict=True):
+                    phrase = b" ".join([raw[a:b] for a, b in words])
+                    held.setdefault((owner, langs[i]), []).append(phrase)
+                    size += len(phrase)
             seen = np.sort(np.concatenate(mine))
+            if size >= HELD_TEXT:
+                yield from blobs(held)
+                seen, held, size = np.empty(0, np.int64), {}, 0
+        yield from blobs(held)
+
+    return rows
+
+
+def _parts_of(longest: int) -> Callable:
+    """An owner's different texts, with the key of each and of its parts."""
+    lists = pa.list_(pa.int64())
+    schema = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("lefts", lists), ("rights", lists), ("inner", lists)])
+
+    def rows(key: tuple[pa.Scalar, ...], blobs: pa.Table) -> pa.Table:
+        lang = key[1].as_py()
+        texts = [pa.decompress(r["texts"], r["size"], codec="zstd", asbytes=True).split(b"\n") for r in blobs.select(["size", "texts"]).to_pylist()]
+        phrases = pa.chunked_array([pa.array(x, pa.binary()) for x in texts]).unique().to_pylist()
+        batch = pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary())], ["lang", "text"])
+        out, at = [], 0
+        for _, _, _, text, _, keys, _ in _grams([batch], longest):
+            n = np.bincount(text - text[0])  # no phrase is without a word
+            starts, own = np.cumsum(n) - n, phrases[at : at + len(n)]
+            at += len(n)
+            for k in range(1, longest):
+                of = np.flatnonzero(n == k + 1)
+                place = starts[of]
+                lefts = np.stack([keys[c][place] for c in range(k)], 1)
+                rights = np.stack([keys[k - 1 - c][place + c + 1] for c in range(k)], 1)
+                inner = [keys[m][place + i] for m in range(1, k) for i in range(k + 1 - m)]
+                inner = np.stack(inner, 1) if inner else np.empty((len(of), 0), np.int64)
+                arrays = []
+                for part in (lefts, rights, inner):
+                    offsets = pa.array(np.arange(len(of) + 1, dtype=np.int32) * part.shape[1])
+                    arrays.append(pa.ListArray.from_arrays(offsets, pa.array(part.ravel())))
+                names = pa.array([own[i].decode() for i in of.tolist()], pa.string())
+                out.append(pa.Table.from_arrays([pa.array(keys[k][place]), pa.array([lang] * len(of), pa.string()), names, *arrays], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
 
     return rows
 
@@ -293,8 +344,9 @@ def find_texts(shards: DataFrame, frequent: DataFrame, folder: str, n_shards: in
         bits = np.zeros(slots, bool)
         bits[open_slots] = True
         sent = spark.sparkContext.broadcast(zlib.compress(np.packbits(bits).tobytes(), 1))
-        texts = shards.where(F.col("shard") == i).select("lang", "text").mapInArrow(_texts(longest, owners, slots, sent), _PHRASE)
-        part = texts.dropDuplicates(["key"]).join(missing.select("key", F.col("n").alias("a")), "key")
+        texts = shards.where(F.col("shard") == i).select("lang", "text").mapInArrow(_texts(longest, owners, slots, sent), _TEXTS)
+        phrases = texts.groupBy("owner", "lang").applyInArrow(_parts_of(longest), _PHRASE)
+        part = phrases.join(missing.select("key", F.col("n").alias("a")), "key")
         part = stored(part, folder, f"texts-{i}")
         sent.destroy()
         found = part if found is None else found.unionByName(part)
@@ -315,8 +367,12 @@ def scored(found: DataFrame, frequent: DataFrame, totals: DataFrame, top: int) -
     covered = found.select(F.explode("inner").alias("key"), "a").groupBy("key").agg(F.max("a").alias("longer"))
     kept = found.select("key", "lang", "phrase", "a").join(covered, "key", "left").where("longer is null or 100 * longer < 50 * a")
     rows = kept.join(lowest, "key").join(totals.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # A language is cut in parts first, so that not the best of every task meet in one.
+    rows = rows.withColumn("salt", F.pmod("key", F.lit(SALTS)))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    cut = rows.withColumn("place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("place") <= top)
+    last = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = cut.withColumn("rank", last.cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
@@ -337,7 +393,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     texts = texts.select("*", F.regexp_count("text", F.lit(WORD)).cast("long").alias("words"), F.octet_length("text").cast("long").alias("bytes"))
     dealt = texts.where("words > 0").withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(n_shards)).cast("int"))
     path = f"{folder}/shards"
-    dealt.write.partitionBy("shard").parquet(path)
+    dealt.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     shards = spark.read.schema(dealt.schema).parquet(path)
     size = shards.agg(F.sum("bytes")).first()[0]
     if not size:

@@ -40,12 +40,13 @@ LEAST = 10
 LONGEST = 3
 TOP = 2000
 SHARDS = 4
-OWNER_BYTES = 64 << 20  # of text for each owner, on average
+OWNER_BYTES = 32 << 20  # of text for each owner, on average
 MOST_OWNERS = 1 << 15
 SLOTS = 1 << 23
 NEVER = 255
-HELD = 4_000_000  # phrases counted at once by a task
-HELD_TEXT = 64 << 20  # bytes of texts held at once by a task
+HELD = 3_000_000  # phrases counted at once by a task
+HELD_TEXT = 8 << 20  # bytes of texts held at once by a task, and keys of those it has sent
+HELD_KEYS = 8_000_000
 SALTS = 32
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
 
@@ -267,7 +268,9 @@ def _texts(longest: int, owners: int, slots: int, sent) -> Callable:
             seen = np.sort(np.concatenate(mine))
             if size >= HELD_TEXT:
                 yield from blobs(held)
-                seen, held, size = np.empty(0, np.int64), {}, 0
+                held, size = {}, 0
+            if len(seen) > HELD_KEYS:  # a phrase may be sent twice by a task
+                seen = np.empty(0, np.int64)
         yield from blobs(held)
 
     return rows
@@ -280,8 +283,9 @@ def _parts_of(longest: int) -> Callable:
 
     def rows(key: tuple[pa.Scalar, ...], blobs: pa.Table) -> pa.Table:
         lang = key[1].as_py()
-        texts = [pa.decompress(r["texts"], r["size"], codec="zstd", asbytes=True).split(b"\n") for r in blobs.select(["size", "texts"]).to_pylist()]
-        phrases = pa.chunked_array([pa.array(x, pa.binary()) for x in texts]).unique().to_pylist()
+        sent = zip(blobs.column("size").to_pylist(), blobs.column("texts"), strict=True)
+        texts = [pa.array(pa.decompress(x.as_py(), n, codec="zstd", asbytes=True).split(b"\n"), pa.binary()) for n, x in sent]
+        phrases = pa.chunked_array(texts).unique().to_pylist()
         batch = pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary())], ["lang", "text"])
         out, at = [], 0
         for _, _, _, text, _, keys, _ in _grams([batch], longest):

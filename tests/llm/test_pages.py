@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from llm_helpers import LLM_SMALL
 from pyspark.sql import functions as F
 
+from vigilog.llm import main_text as main_text_module
 from vigilog.llm import url_rules as ur
 from vigilog.llm.main_text import extracted, main_text
 
@@ -25,6 +27,37 @@ def test_articles_of_the_test_pages(spark):
         assert r.text == want[r.page_id] and r.n_chars == len(r.text)
 
 
+def stripped(page: str) -> str:
+    """The page without class, id and role, and with div for every tag that says what it holds."""
+    return re.sub(r"<(/?)(article|main|nav|footer|aside|header)\b", r"<\1div", re.sub(r' (class|id|role)="[^"]*"', "", page))
+
+
+def shared_words(pages: list[str]) -> tuple[float, float, int]:
+    """Recall and precision by words of the articles, and how many are exact, over pages that are stripped."""
+    hit = got = want = exact = 0
+    for page in pages:
+        theirs, ours = article(page), main_text(stripped(page))
+        a, b = Counter(theirs.split()), Counter(ours.split())
+        hit, got, want, exact = hit + sum((a & b).values()), got + sum(b.values()), want + sum(a.values()), exact + (theirs == ours)
+    return hit / want, hit / got, exact
+
+
+def test_the_ratios_find_the_article_without_any_name(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    recall, precision, exact = shared_words(pages)
+    assert recall == 1 and precision > 0.99 and exact > 0.88 * len(pages)
+    monkeypatch.setattr(main_text_module, "fused_ratios", lambda blocks: defaultdict(lambda: 1.0))
+    _, worse, fewer = shared_words(pages)
+    assert fewer < exact and worse < precision
+
+
+def test_a_known_word_is_a_prior_and_no_verdict():
+    """An article inside an element that carries such a word is found; the same word beside it marks what to leave out."""
+    inner = "".join(f"<p>{TEXT * 3}</p>" for _ in range(4))
+    page = f"<body><div>Some line.</div><div class='content-sidebar-wrap'>{inner}<div class=related><p>{TEXT}</p></div></div></body>"
+    assert main_text(page) == "\n".join([TEXT * 3] * 4)
+
+
 TEXT = "A first long sentence, with marks and enough words to be one. And a second; it goes on, and on."
 AROUND = {
     "plain body": f"<body><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul><div class=story><p>{TEXT}<p>{TEXT} More &amp; more.</div><footer>Fine print, all rights.</footer>",

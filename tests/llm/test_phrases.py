@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -64,12 +65,19 @@ def test_few_slots_change_nothing(documents, monkeypatch):
     assert found(collocations(documents, slots=64)) == brute(texts(documents))
 
 
+def grams(text: bytes):
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], ["lang", "text"])
+    return list(phrases._grams([batch], 3))
+
+
 def test_parts_of_many_phrases():
     """Several stretches of texts: every phrase keeps its own keys."""
     texts = sorted(f"word{i} and{'' if i % 3 else ' more'}".encode() for i in range(150_000))
     joined = b"\n".join(texts)
     blobs = pa.table({"size": [len(joined)], "texts": [pa.compress(joined, codec="zstd", asbytes=True)]})
-    found = phrases._parts_of(3)((pa.scalar(0), pa.scalar("en")), blobs).to_pylist()
+    keys = {k: np.sort(np.concatenate([x[5][k][x[6][k]] for x in grams(joined)])) for k in range(3)}
+    state = [keys[k] for k in range(3)] + [np.where(np.arange(len(keys[k])) >= 0, 10, 0) for k in range(3)]
+    found = phrases._parts_of(lambda owner: state, 3, 10)((pa.scalar(0), pa.scalar("en")), blobs).to_pylist()
     assert sorted(r["phrase"].encode() for r in found) == texts and len({r["key"] for r in found}) == len(texts)
     by = {r["phrase"]: r for r in found}
     for r in found[:1000] + found[-1000:]:

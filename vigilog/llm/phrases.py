@@ -43,6 +43,7 @@ SHARDS = 4
 OWNER_BYTES = 32 << 20  # of text for each owner, on average
 MOST_OWNERS = 1 << 15
 SLOTS = 1 << 23
+TEXT_SLOTS = 1 << 26  # bits
 NEVER = 255
 HELD = 3_000_000  # phrases counted at once by a task
 HELD_TEXT = 8 << 20  # bytes of texts held at once by a task, and keys of those it has sent
@@ -52,7 +53,7 @@ _JOIN = np.uint64(0xD6E8FEB86659FD93)
 
 _COUNTED = "owner int, length int, keys binary, counts binary"
 _TEXTS = "owner int, lang string, size long, texts binary"
-_PHRASE = "key long, lang string, phrase string, lefts array<long>, rights array<long>, inner array<long>"
+_PHRASE = "key long, a long, lang string, phrase string, lefts array<long>, rights array<long>, inner array<long>"
 _RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 Array = np.ndarray
@@ -110,11 +111,6 @@ def _slots(keys: Array, owners: int, slots: int) -> Array:
     return (keys & (owners - 1)) * own + ((keys >> 20) & (own - 1))
 
 
-def _slot(key: Column, owners: int, slots: int) -> Column:
-    own = slots // owners
-    return key.bitwiseAND(owners - 1) * own + F.shiftright(key, 20).bitwiseAND(own - 1)
-
-
 def _summed(keys: Array, counts: Array | None = None) -> tuple[Array, Array]:
     """Different keys in order, and how often each occurs or the sum of its counts."""
     if counts is None:
@@ -249,7 +245,7 @@ def _texts(longest: int, owners: int, slots: int, sent) -> Callable:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((owner, lang, map(len, texts), packed), schema.types, strict=True)], schema=schema)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(zlib.decompress(sent.value), np.uint8)).astype(bool)
+        wanted = np.unpackbits(np.frombuffer(zlib.decompress(sent.value), np.uint8), bitorder="little").view(bool)
         seen, held, size = np.empty(0, np.int64), {}, 0
         for data, starts, ends, text, langs, keys, whole in _grams(batches, longest):
             raw, mine = data.tobytes().translate(lower), [seen]
@@ -276,13 +272,16 @@ def _texts(longest: int, owners: int, slots: int, sent) -> Callable:
     return rows
 
 
-def _parts_of(longest: int) -> Callable:
-    """An owner's different texts, with the key of each and of its parts."""
+def _parts_of(counts: Callable[[int], list[Array]], longest: int, least: int) -> Callable:
+    """An owner's different texts with the keys of each and of its parts, and its count; those below the threshold go.
+
+    ``counts`` loads an owner's arrays.
+    """
     lists = pa.list_(pa.int64())
-    schema = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("lefts", lists), ("rights", lists), ("inner", lists)])
+    schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("lefts", lists), ("rights", lists), ("inner", lists)])
 
     def rows(key: tuple[pa.Scalar, ...], blobs: pa.Table) -> pa.Table:
-        lang = key[1].as_py()
+        lang, state = key[1].as_py(), counts(key[0].as_py())
         sent = zip(blobs.column("size").to_pylist(), blobs.column("texts"), strict=True)
         texts = [pa.array(pa.decompress(x.as_py(), n, codec="zstd", asbytes=True).split(b"\n"), pa.binary()) for n, x in sent]
         phrases = pa.chunked_array(texts).unique().to_pylist()
@@ -294,6 +293,10 @@ def _parts_of(longest: int) -> Callable:
             at += len(n)
             for k in range(1, longest):
                 of = np.flatnonzero(n == k + 1)
+                found = keys[k][starts[of]]
+                at_key = np.minimum(np.searchsorted(state[k], found), max(len(state[k]) - 1, 0))
+                often = (state[k][at_key] == found) & (state[longest + k][at_key] >= least) if len(state[k]) else np.zeros(len(of), bool)
+                of, a = of[often], state[longest + k][at_key[often]]
                 place = starts[of]
                 lefts = np.stack([keys[c][place] for c in range(k)], 1)
                 rights = np.stack([keys[k - 1 - c][place + c + 1] for c in range(k)], 1)
@@ -304,14 +307,14 @@ def _parts_of(longest: int) -> Callable:
                     offsets = pa.array(np.arange(len(of) + 1, dtype=np.int32) * part.shape[1])
                     arrays.append(pa.ListArray.from_arrays(offsets, pa.array(part.ravel())))
                 names = pa.array([own[i].decode() for i in of.tolist()], pa.string())
-                out.append(pa.Table.from_arrays([pa.array(keys[k][place]), pa.array([lang] * len(of), pa.string()), names, *arrays], schema=schema))
+                out.append(pa.Table.from_arrays([pa.array(keys[k][place]), pa.array(a), pa.array([lang] * len(of), pa.string()), names, *arrays], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
 
     return rows
 
 
-def count_phrases(shards: DataFrame, folder: str, n_shards: int, owners: int, longest: int, least: int, slots: int = SLOTS) -> DataFrame:
-    """``key``, ``length`` and ``n`` of all phrases of up to ``longest`` words with ``n`` >= ``least``, stored."""
+def count_phrases(shards: DataFrame, folder: str, n_shards: int, owners: int, longest: int, least: int, slots: int = SLOTS) -> tuple[DataFrame, Callable[[int], list[Array]]]:
+    """``key``, ``length`` and ``n`` of all phrases of up to ``longest`` words with ``n`` >= ``least``, and what loads an owner's counts."""
     spark = shards.sparkSession
     states = f"{folder}/owners"
     tables = np.full((longest - 1, slots), NEVER, np.uint8)
@@ -334,28 +337,39 @@ def count_phrases(shards: DataFrame, folder: str, n_shards: int, owners: int, lo
             last = max(last, int(tables[tables != NEVER].max()) + n_shards)
         step += 1
     final = spark.range(owners, numPartitions=max(1, min(owners, 1000))).mapInArrow(_frequent(states, step - 1, longest, least), "key long, length int, n long")
-    return stored(final, folder, "frequent")
+    last_step = step - 1
+    return stored(final, folder, "frequent"), lambda owner: _load(states, last_step, owner, longest)
+
+
+def _marked(keys: DataFrame, owners: int, slots: int) -> Array:
+    """The slots of keys as bits; what reaches the driver are bitmaps of ``slots`` bits together."""
+    own = slots // owners
+    slot = F.col("key").bitwiseAND(owners - 1) * own + F.shiftright("key", 20).bitwiseAND(own - 1) + 1  # bitmaps count from 1
+    bitmap = F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    out = np.zeros(max(slots, 1 << 15) // 8, np.uint8)
+    for row in keys.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(bitmap).collect():
+        out[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
+    return out
 
 
-def find_texts(shards: DataFrame, frequent: DataFrame, folder: str, n_shards: int, owners: int, longest: int, slots: int = SLOTS) -> DataFrame:
-    """``frequent`` phrases of two words and more with their language, text and parts; shards are read until all are found."""
+def find_texts(shards: DataFrame, frequent: DataFrame, folder: str, counts: Callable, n_shards: int, owners: int, longest: int, least: int, slots: int = TEXT_SLOTS) -> DataFrame:
+    """The ``frequent`` phrases of two words and more with language, text and parts; shards are read until all are found."""
     spark = shards.sparkSession
-    missing, found = frequent.where("length > 1"), None
+    missing, found = frequent.where("length > 1").select("key"), None
     for i in range(n_shards):
-        open_slots = missing.select(_slot(F.col("key"), owners, slots).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()
-        if not len(open_slots):
+        bits = _marked(missing, owners, slots)
+        if not bits.any():
             break
-        bits = np.zeros(slots, bool)
-        bits[open_slots] = True
-        sent = spark.sparkContext.broadcast(zlib.compress(np.packbits(bits).tobytes(), 1))
+        sent = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
         texts = shards.where(F.col("shard") == i).select("lang", "text").mapInArrow(_texts(longest, owners, slots, sent), _TEXTS)
-        phrases = texts.groupBy("owner", "lang").applyInArrow(_parts_of(longest), _PHRASE)
-        part = phrases.join(missing.select("key", F.col("n").alias("a")), "key")
+        part = texts.groupBy("owner", "lang").applyInArrow(_parts_of(counts, longest, least), _PHRASE)
+        if i:  # a phrase of an earlier shard can share its slot with one that is still missing
+            part = part.join(missing, "key", "left_semi")
         part = stored(part, folder, f"texts-{i}")
         sent.destroy()
         found = part if found is None else found.unionByName(part)
         missing = stored(missing.join(part.select("key"), "key", "left_anti"), folder, f"missing-{i}")
-    return found if found is not None else spark.createDataFrame([], f"{_PHRASE}, a long")
+    return found if found is not None else spark.createDataFrame([], _PHRASE)
 
 
 def scored(found: DataFrame, frequent: DataFrame, totals: DataFrame, top: int) -> DataFrame:
@@ -404,5 +418,5 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
         return spark.createDataFrame([], _RESULT)
     owners = 1 << min(int(log2(MOST_OWNERS)), max(3, round(log2(max(1, size / OWNER_BYTES)))))
     totals = shards.groupBy("lang").agg(F.sum("words").alias("n"))
-    frequent = count_phrases(shards, folder, n_shards, owners, longest, least, slots)
-    return scored(find_texts(shards, frequent, folder, n_shards, owners, longest, slots), frequent, totals, top)
+    frequent, counts = count_phrases(shards, folder, n_shards, owners, longest, least, slots)
+    return scored(find_texts(shards, frequent, folder, counts, n_shards, owners, longest, least, 8 * slots), frequent, totals, top)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vigilog.functions.casts import as_text, blank_tokens, cast_columns, cast_to_schema, tolerant, tolerant_timestamp
+from vigilog.functions.casts import blank_tokens, cast_columns, cast_to_schema, tolerant, tolerant_timestamp
 from vigilog.functions.keys import hash_bucket
 from vigilog.functions.text import row_line
 from vigilog.schema import EVENT_SCHEMA, as_strings
@@ -59,10 +59,6 @@ def test_row_line_spells_null(spark):
     assert frame.select(row_line(*[F.col(c) for c in frame.columns])).first()[0] == "High | NULL | 3"
 
 
-def test_as_text(spark):
-    assert as_text(spark.createDataFrame([(1,)], "n int"), ["n"]).first()[0] == "1"
-
-
 def test_hash_bucket_is_the_md5_prefix(spark):
     import hashlib
 

@@ -1,5 +1,5 @@
 from vigilog.operators.cleaning import (
-    complete_cases, fill_missing, known_or_first, project_existing, report_rows, with_target,
+    complete_cases, fill_missing, project_existing, report_rows, with_target,
 )
 from vigilog.schema import EVENT
 
@@ -40,12 +40,6 @@ def test_report_rows(spark):
     assert with_target(log, EVENT.attack).count() == 2
 
 
-def test_unseen_and_missing_fall_back_to_the_first_label(spark):
-    frame = spark.createDataFrame([("UDP",), ("zzz",), (None,)], "p string")
-    assert [r[0] for r in frame.select(known_or_first("p", ["TCP", "UDP"])).collect()] == ["UDP", "TCP", "TCP"]
-    assert [r[0] for r in frame.select(known_or_first("p", ["TCP", "Unknown"])).collect()] == ["TCP", "TCP", "Unknown"]
-
-
 def test_projection_skips_missing_columns(spark):
     frame = spark.createDataFrame([(1, 2)], "b int, a int")
     assert project_existing(frame, ["a", "x", "b"]).columns == ["a", "b"]

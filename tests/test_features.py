@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vigilog.operators import features
 from vigilog.plans.event_view import VIEW, sec_complete
-from vigilog.sinks.models import load_pipeline, save_model
+from vigilog.sinks.models import commit_version, current_version, load_pipeline, new_version, save_model
 
 
 def numbers(frame, column):
@@ -75,13 +75,6 @@ def test_constant_slot_scales_to_zero(spark):
     assert numbers(scaled, "s") == [(0.0, round(1 / 2**0.5, 9)), (0.0, round(3 / 2**0.5, 9))]
 
 
-def test_codes_from_stored_labels(spark):
-    frame = spark.createDataFrame([("b", "q"), ("a", "r")], "v string, w string")
-    encoders = {"v": ["a", "b"]}
-    codes = frame.select(features.code_or_zero("v", encoders).alias("v"), features.code_or_zero("w", encoders).alias("w"))
-    assert [tuple(r) for r in codes.collect()] == [(1, 0), (0, 0)]
-
-
 def test_saved_pipeline_gives_the_same_vectors(spark, complete, tmp_path):
     fitted, path = features.fit_features(complete, VIEW), str(tmp_path / "pipeline")
     save_model(fitted, path)
@@ -95,5 +88,24 @@ def test_no_saved_pipeline(spark, tmp_path):
 
 
 def test_sample(complete):
-    sample = features.feature_sample(complete, features.fit_features(complete, VIEW))
-    assert sample.columns == ["label", "features"] and sample.count() == 5
+    fitted = features.fit_features(complete, VIEW)
+    assert {"label", "features"} <= set(features.feature_sample(complete, fitted).columns)
+    first = features.feature_sample(complete, fitted, 3, order=[F.desc("event_id")])
+    assert [r.event_id for r in first.collect()] == [r.event_id for r in complete.orderBy(F.desc("event_id")).limit(3).collect()]
+
+
+def test_a_model_that_is_being_replaced_is_not_seen(spark, complete, tmp_path):
+    """Readers take the last version whose marker is there, and keep its files while newer ones come."""
+    path, fitted = str(tmp_path / "pipeline"), features.fit_features(complete, VIEW)
+    save_model(fitted, path)
+    reader = load_pipeline(spark, path).transform(complete)
+    half = new_version(spark, path)
+    fitted.write().save(f"{half}/model")  # no marker yet
+    assert current_version(spark, path).endswith("version=1")
+    commit_version(spark, half)
+    assert current_version(spark, path).endswith("version=2")
+    assert reader.count() == complete.count()
+    for _ in range(3):
+        save_model(fitted, path)
+    left = sorted(p.name for p in (tmp_path / "pipeline").iterdir())
+    assert left == ["version=3", "version=4", "version=5"] and current_version(spark, path).endswith("version=5")

@@ -1,17 +1,16 @@
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from vigilog.operators import evaluation, splitting
-from vigilog.operators.forests import PREDICTED, encoders_of
+from vigilog.operators import evaluation, forests, splitting
+from vigilog.operators.forests import PREDICTED, CodeForest, add_votes, load_forest
 from vigilog.operators.scoring import CONFIDENCE, confidence_pct, score_events
 from vigilog.plans import queries
 from vigilog.plans.event_view import VIEW, sec_all, sec_complete
 from vigilog.plans.training import train_code_forest, train_feature_forest
-from vigilog.sinks.models import load_pipeline, save_model
+from vigilog.sinks.models import current_version, save_model
 
 
 @pytest.fixture(scope="module")
@@ -78,15 +77,20 @@ def test_report_with_a_class_that_is_only_predicted(spark):
     assert printed["weighted avg"].recall_ == pytest.approx(1 / 3)
 
 
-def test_code_forest_names_attacks(coded):
+def test_code_forest_names_attacks(spark, coded):
     classes = {r[0] for r in coded.scored.select(PREDICTED).distinct().collect()}
     assert classes <= {"view", "click", "error", "purchase", "signup", "Unknown"}
-    assert coded.pipeline.stages[2].numClasses == 6  # five attacks and Unknown
-    assert encoders_of(coded.pipeline)[VIEW.protocol] == ["ICMP", "TCP", "UDP", "Unknown"]
+    assert coded.pipeline.classes == ["Unknown", "click", "error", "purchase", "signup", "view"]
+    known = coded.pipeline.labels(spark).filter(F.col("column") == VIEW.protocol).orderBy("idx").collect()
+    assert [r.value for r in known] == ["ICMP", "TCP", "UDP", "Unknown"]
+
+
+def test_the_hold_out_rows_are_exactly_a_fifth(events, coded):
+    assert coded.scored.count() == 200 and events.count() == 1000
 
 
 def test_codes_enter_the_forest_as_plain_numbers(coded):
-    assert "in {" not in coded.pipeline.stages[2].toDebugString
+    assert "in {" not in coded.pipeline.part(coded.pipeline.parts[0][0]).toDebugString
 
 
 def test_scored_rows_carry_what_the_model_saw(spark, events, coded):
@@ -98,26 +102,51 @@ def test_scored_rows_carry_what_the_model_saw(spark, events, coded):
     assert 0 < row[CONFIDENCE] <= 100 and row[CONFIDENCE] == round(row[CONFIDENCE], 1)
 
 
-def test_a_category_without_an_encoder_gets_code_0(events, coded):
-    first, *rest = coded.pipeline.stages
-    known = PipelineModel([s for s in first.stages if s.getInputCol() != VIEW.protocol])
+def test_a_category_without_labels_gets_code_0(spark, events, coded, tmp_path):
+    folder, forest = str(tmp_path / "forest"), coded.pipeline
+    forest.labels(spark).filter(F.col("column") != VIEW.protocol).write.parquet(f"{folder}/labels")
+    for name, *_ in forest.parts:
+        forest.part(name).write().save(f"{folder}/{name}")
     given = sec_all(events).limit(20)
-    scored = score_events(given, PipelineModel([known, *rest]), VIEW)
+    scored = score_events(given, CodeForest(folder, forest.classes, forest.parts), VIEW)
     assert {r.protocol_enc for r in scored.collect()} == {0}
     assert {r[VIEW.protocol] for r in scored.collect()} == {r[VIEW.protocol] for r in given.collect()}
 
 
-def test_scores_survive_saving(spark, events, coded, rows, tmp_path):
-    save_model(coded.pipeline, str(tmp_path / "scorer"))
-    loaded = load_pipeline(spark, str(tmp_path / "scorer"))
-    log = sec_all(events)
+def test_a_forest_is_read_from_its_folder(spark, events, coded, rows):
+    loaded = load_forest(spark, coded.pipeline.folder)
+    assert loaded == coded.pipeline
     columns = ["event_id", PREDICTED, CONFIDENCE]
-    assert rows(score_events(log, loaded, VIEW), *columns) == rows(score_events(log, coded.pipeline, VIEW), *columns)
+    assert rows(score_events(sec_all(events), loaded, VIEW), *columns) == rows(score_events(sec_all(events), coded.pipeline, VIEW), *columns)
+
+
+def test_parts_and_passes_vote_as_one_forest(spark, events, coded, rows, monkeypatch):
+    """Trees of two batches, scored in one pass and in one pass for each part."""
+    monkeypatch.setattr(forests, "MOST_BATCH", 2)
+    split = train_code_forest(sec_all(events), VIEW, key="event_id", trees=6, depth=3).pipeline
+    assert [t for _, t, _ in split.parts] == [2, 2, 2]
+    columns = ["event_id", PREDICTED, CONFIDENCE]
+    once = rows(score_events(sec_all(events), split, VIEW), *columns)
+    monkeypatch.setattr(forests, "NODE_BYTES", 1e15)
+    assert rows(score_events(sec_all(events), split, VIEW), *columns) == once
+
+
+def test_votes_are_those_of_the_whole_forest(spark, events):
+    trained = train_code_forest(sec_all(events), VIEW, key="event_id", trees=5, depth=4).pipeline
+    whole = RandomForestClassificationModel.load(f"{trained.folder}/{trained.parts[0][0]}")
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(Vectors.dense([1030.0, 9.0, 100.0, float(i), 0.0, 1.0, 1.0, 1.0]),) for i in range(50)], ["features"])
+    ours = add_votes(rows, trained).select("votes").collect()
+    theirs = whole.transform(rows).select("rawPrediction", "probability").collect()
+    for a, b in zip(ours, theirs, strict=True):
+        assert a.votes == pytest.approx(list(b.rawPrediction))
+        assert [v / trained.trees for v in a.votes] == pytest.approx(list(b.probability))
 
 
 def test_forest_survives_saving(spark, featured, tmp_path):
     save_model(featured.forest, str(tmp_path / "forest"))
-    loaded = RandomForestClassificationModel.load(str(tmp_path / "forest"))
+    loaded = RandomForestClassificationModel.load(f"{current_version(spark, str(tmp_path / 'forest'))}/model")
     assert loaded.toDebugString.split("\n")[1:] == featured.forest.toDebugString.split("\n")[1:]
 
 
@@ -132,10 +161,26 @@ def test_missing_column_gives_error_columns(events, coded):
 
 
 def test_confidence_rounds_halves_to_even(spark):
-    from pyspark.ml.linalg import Vectors
+    frame = spark.createDataFrame([([1.625, 1.2],), ([0.4, 3.6],)], "votes array<double>")
+    assert [r[0] for r in frame.select(confidence_pct(F.col("votes"), 4)).collect()] == [40.6, 90.0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 1000, 1003])
+def test_exact_split_sizes(spark, n):
+    rows = spark.range(n).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    train, test = splitting.exact_split(rows, "id")
+    ids = [sorted(r.id for r in side.collect()) for side in (train, test)]
+    assert len(ids[1]) == -(-n // 5) and sorted(ids[0] + ids[1]) == list(range(n))
+    again = splitting.exact_split(rows.repartition(5), "id")[1]
+    assert sorted(r.id for r in again.collect()) == ids[1]
+
 
-    frame = spark.createDataFrame([(Vectors.dense(0.40625, 0.3),), (Vectors.dense(0.1, 0.9),)], ["probability"])
-    assert [r[0] for r in frame.select(confidence_pct()).collect()] == [40.6, 90.0]
+def test_exact_split_of_tied_keys_and_equal_rows(spark):
+    """One key for all rows, and rows that are equal throughout: the size is exact all the same."""
+    rows = spark.range(503).select(F.lit("k").alias("key"), (F.col("id") % 3).alias("v"))
+    for key in ("key", None):
+        train, test = splitting.exact_split(rows, key)
+        assert (train.count(), test.count()) == (402, 101) and test.columns == ["key", "v"]
 
 
 def test_counts_do_not_compute_predictions(events, coded):
@@ -153,8 +198,8 @@ def test_registered_forests_are_not_cut(name, monkeypatch):
     def seen(events, cols, key=None, **limits):
         raise Trained(limits)
 
-    for part, stand_in in {"train_code_forest": seen, "_all": lambda *_: None, "work_folder": lambda *_: ""}.items():
+    for part, stand_in in {"train_code_forest": seen, "_all": lambda *_: None, "work_folder": lambda *_: "", "new_version": lambda *_: ""}.items():
         monkeypatch.setattr(queries, part, stand_in)
     with pytest.raises(Trained) as found:
         queries.QUERIES[name](None, "")
-    assert found.value.args == ({},)
+    assert set(found.value.args[0]) <= {"folder"}

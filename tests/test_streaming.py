@@ -6,13 +6,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigilog.operators.counting import group_counts
-from vigilog.plans.dashboard import dashboard_rollup, rolled_counts, rolled_kpis, rolled_share, rolled_sources, serving_rows
+from vigilog.operators.counting import histogram
+from vigilog.operators.grid import grid, grid_histogram, merged
+from vigilog.plans.dashboard import LIVE_ARRIVAL, dashboard_rollup, live_dashboard, live_totals, rolled_counts, rolled_kpis
 from vigilog.plans.event_view import VIEW, sec_all
-from vigilog.schema import EMITTED, EVENT_COLUMNS, EVENT_SCHEMA
-from vigilog.sources.csv_events import read_csv_events, stream_csv_events, typed_events
-from vigilog.sources.event_store import ARRIVAL, read_event_store
-from vigilog.streaming.ingest import batch_counts, batch_writer, progress_counts, stamp_arrival, start_ingest
+from vigilog.schema import EMITTED, EVENT_COLUMNS, EVENT_SCHEMA, as_strings
+from vigilog.sources.csv_events import raw_events, read_csv_events, stream_csv_events, stream_raw_csv, typed_events
+from vigilog.sources.event_store import ARRIVAL, batch_ledger, latest_rows, newest_batches, read_event_store
+from vigilog.streaming import totals as live
+from vigilog.streaming.ingest import batch_writer, progress_counts, stamp_arrival, start_ingest
 from vigilog.streaming.live import committed_snapshots, latest_snapshot, start_snapshots
+from vigilog.streaming.totals import Total, compact, newest_stream, start_totals, total_so_far, totals_writer
 
 
 class Feed:
@@ -62,7 +66,7 @@ def test_one_file_per_batch_with_counts(feed):
     query = feed.ingest(max_files=1)
     assert feed.users() == [f"{i:03d}" for i in range(40)]
     assert {k: v for k, v in progress_counts(query).items() if v} == {0: 10, 1: 10, 2: 10, 3: 10}
-    assert sorted(r.rows for r in batch_counts(feed.stored()).collect()) == [10, 10, 10, 10]
+    assert sorted(r.rows for r in batch_ledger(feed.spark, feed.store).collect()) == [10, 10, 10, 10]
     assert feed.stored().first()["Payload Data"] == 'two\nlines, "quoted"'
 
 
@@ -101,6 +105,8 @@ def test_a_batch_delivered_again_replaces_itself(spark, tmp_path):
     write(batch, 0)
     write(batch, 1)
     assert read_event_store(spark, str(tmp_path / "store")).count() == 14
+    ledger = batch_ledger(spark, str(tmp_path / "store")).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.rows, r["first"], r["last"]) for r in ledger] == [(0, 7, None, None), (1, 7, None, None)]
 
 
 def test_a_new_checkpoint_does_not_overwrite_stored_batches(feed, tmp_path):
@@ -178,7 +184,7 @@ def test_the_stream_parses_as_the_batch(spark, tmp_path, rows):
     streamed = stream_csv_events(spark, str(drops), schema=schema, na_tokens=["NA"])
     store = str(tmp_path / "typed")
     start_ingest(streamed, store, str(tmp_path / "typed-checkpoint")).awaitTermination()
-    stored = rows(spark.read.parquet(f"{store}/*/*").select(*[F.col(n).cast("string") for n in names]))
+    stored = rows(spark.read.parquet(store).select(*[F.col(n).cast("string") for n in names]))
     batch = typed_events(read_csv_events(spark, str(drops), na_tokens=["NA"]))
     assert stored == rows(batch.select(*[F.col(n).cast("string") for n in names]))
     assert ("503", None, "1.5") in stored
@@ -189,16 +195,170 @@ def test_no_snapshot_yet_is_empty(spark, tmp_path):
     assert latest_snapshot(spark, str(tmp_path / "none"), totals).isEmpty()
 
 
-def test_live_rollup_serves_every_chart(spark, feed, rows, tmp_path):
-    folder = str(tmp_path / "live")
+def test_latest_rows_come_from_the_batches_that_can_hold_them(spark, feed):
+    """Stamps tie across batches, an early batch has a late stamp, and only folders that can matter are read."""
+    for name, start, stamp in (("a", 0, "2024-01-01"), ("b", 10, "2024-01-03"), ("c", 20, "2024-01-02"), ("d", 30, "2024-01-03"), ("e", 40, "2024-01-01")):
+        feed.drop(f"{name}.csv", numbered(start, 10), emitted=stamp)
+        feed.ingest()
+    for n, batches in ((1, {1, 3}), (12, {1, 3}), (20, {1, 3}), (21, {1, 2, 3}), (31, {0, 1, 2, 3, 4}), (99, {0, 1, 2, 3, 4})):
+        assert {r.batch_id for r in newest_batches(batch_ledger(spark, feed.store), n).collect()} == batches
+        found = latest_rows(spark, feed.store, n)
+        assert found.collect() == feed.stored().orderBy(*[F.desc(c) for c in ARRIVAL]).limit(n).collect()
+        assert {f.split("batch_id=")[1][0] for f in found.inputFiles()} == {str(b) for b in batches}
+    assert latest_rows(spark, f"{feed.store}-none", 5).count() == 0
+
+
+def test_a_batch_without_its_ledger_entry_does_not_count_as_whole(spark, feed):
+    feed.drop("a.csv", numbered(0, 4))
+    feed.ingest()
+    write = batch_writer(feed.store)
+
+    class Stopped(Exception):
+        pass
+
+    def fail(*_):
+        raise Stopped
+
+    from vigilog.streaming import ingest
+
+    written = ingest.write_text
+    ingest.write_text = fail
+    try:
+        with pytest.raises(Stopped):
+            write(feed.stored().drop("stream_id", "batch_id"), 7)
+    finally:
+        ingest.write_text = written
+    assert [r.rows for r in batch_ledger(spark, feed.store).collect()] == [4]
+
+
+def test_columns_go_by_each_files_header(spark, tmp_path, rows):
+    drops = tmp_path / "drops"
+    drops.mkdir()
+    (drops / "a.csv").write_text("Protocol,Packet Length,Severity Level\nTCP,5,\"High,\n\"\"er\"\"\"\nUDP,x,Low\n")
+    (drops / "b.csv").write_text("Severity Level,Protocol,Packet Length\nLow,ICMP,7\n,TCP,503.0\n")
+    (drops / "c.csv").write_text("Protocol,Packet Length,Severity Level\n")
+    (drops / "d.csv").write_text("Packet Length,Protocol\n9,TCP\n")  # lacks a column
+    (drops / "e.csv").write_text("Severity Level,Another,Packet Length,Protocol\nLow,x,11,UDP\n")  # has one more
+    schema = T.StructType([EVENT_SCHEMA[n] for n in ("Protocol", "Packet Length", "Severity Level")])
+    want = rows(spark.createDataFrame([("TCP", 5, 'High,\n"er"'), ("UDP", None, "Low"), ("ICMP", 7, "Low"), ("TCP", 503, None), ("TCP", 9, None), ("UDP", 11, "Low")], schema))
+    batch = typed_events(read_csv_events(spark, str(drops)))
+    assert rows(batch.select(*schema.names)) == want and set(batch.columns) == {*schema.names, "Another"}
+    assert rows(typed_events(read_csv_events(spark, str(drops), schema=as_strings(schema)))) == want
+    store = str(tmp_path / "store")
+    start_ingest(stream_raw_csv(spark, str(drops), schema), store, str(tmp_path / "c"), prepare=raw_events(schema)).awaitTermination()
+    assert rows(spark.read.parquet(store), *schema.names) == want
+
+
+def test_files_with_one_header_are_read_as_they_are(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("x,y\n1,2\n")
+    plan = read_csv_events(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+class Live:
+    """The dashboard's totals of a feed."""
+
+    def __init__(self, feed, root):
+        self.feed, self.folder, self.checkpoint = feed, str(root / "totals"), str(root / "totals-checkpoint")
+
+    def run(self, checkpoint=None, **options):
+        start_totals(self.feed.events(**options), self.folder, checkpoint or self.checkpoint, live_totals()).awaitTermination()
+
+    def charts(self):
+        return live_dashboard(self.feed.spark, self.folder)
+
+
+def test_live_totals_serve_every_chart(spark, feed, rows, tmp_path):
+    job = Live(feed, tmp_path)
+    assert job.charts() == {}
     feed.drop("a.csv", [*numbered(0, 5, "High"), ("900", "", "", "")])
-    totals = dashboard_rollup(feed.events())
-    start_snapshots(totals, folder, str(tmp_path / "c"), cut=lambda rolled: serving_rows(rolled, 2)).awaitTermination()
-    rolled = latest_snapshot(spark, folder, totals)
-    assert tuple(rolled_kpis(rolled).first()) == (6, 0, 5, None)
-    assert rows(rolled_counts(rolled, "protocol")) == [("TCP", 2), ("UDP", 3)]
-    assert rows(rolled_share(rolled, "severity")) == [("High", 5, 5 / 6), (None, 1, 1 / 6)]
-    assert [tuple(r) for r in rolled_sources(rolled).collect()] == [("10.0.0.0", 2), ("10.0.0.1", 2)]
+    feed.drop("b.csv", numbered(5, 3, "Low"))
+    job.run(max_files=1)
+    feed.drop("c.csv", numbered(8, 1, "High"))
+    job.run()
+    charts = job.charts()
+    assert tuple(charts["kpis"].first()) == (10, 0, 6, None)
+    assert rows(charts["protocol_counts"]) == [("TCP", 4), ("UDP", 5)]
+    assert rows(charts["severity_counts"]) == [("High", 6), ("Low", 3)]
+    assert [tuple(r) for r in charts["top_sources"].collect()] == [("10.0.0.0", 3), ("10.0.0.1", 3), ("10.0.0.2", 3)]
+    assert charts["recent"].count() == 10 and charts["recent"].columns[:2] == [EMITTED, "Source IP Address"]
+    last = total_so_far(spark, job.folder, "recent", live_totals()["recent"]).orderBy(*[F.desc(c) for c in LIVE_ARRIVAL]).first()
+    assert last["User Information"] == "008"
+
+
+def test_a_new_checkpoint_starts_the_totals_over(spark, feed, rows, tmp_path):
+    job = Live(feed, tmp_path)
+    feed.drop("a.csv", numbered(0, 4, "High"))
+    job.run()
+    first = newest_stream(spark, job.folder)
+    feed.drop("b.csv", numbered(4, 3, "Low"))
+    job.run(checkpoint=str(tmp_path / "another"), max_files=1)
+    assert newest_stream(spark, job.folder) != first
+    assert rows(job.charts()["severity_counts"]) == [("High", 4), ("Low", 3)]
+    assert sum(r.event_count for r in job.charts()["top_sources"].collect()) == 7
+
+
+def test_a_delivered_again_batch_changes_no_total(spark, tmp_path):
+    totals = {"counts": Total(lambda b, _: group_counts(b, "k", name="n"), lambda r: r.groupBy("k").agg(F.sum("n").alias("n")))}
+    write = totals_writer(str(tmp_path / "t"), totals)
+    batch = spark.range(6).select((F.col("id") % 2).alias("k"))
+    for number in (0, 1, 1, 1):
+        write(batch, number)
+    found = total_so_far(spark, str(tmp_path / "t"), "counts", totals["counts"])
+    assert {r.k: r.n for r in found.collect()} == {0: 6, 1: 6}
+
+
+def test_unbounded_counts_are_written_per_batch_and_compacted(spark, tmp_path, monkeypatch):
+    """A batch writes its own keys alone; a base takes over what whole batches hold, but not the last one."""
+    monkeypatch.setattr(live, "PENDING", 3)
+    total = Total(lambda b, _: group_counts(b, "k", name="n"), lambda r: r.groupBy("k").agg(F.sum("n").alias("n")), bounded=False)
+    folder = tmp_path / "t"
+    write = totals_writer(str(folder), {"counts": total})
+    stream = folder / "stream_id=None"
+    for number in range(9):
+        write(spark.range(number * 10, number * 10 + 15).select(F.col("id").alias("k")), number)
+        assert spark.read.parquet(str(stream / f"batch={number}" / "counts")).count() == 15
+        found = total_so_far(spark, str(folder), "counts", total)
+        assert found.agg(F.sum("n"), F.count("*")).first()[:] == (15 * (number + 1), 10 * number + 15)
+    bases = sorted(p.name for p in stream.glob("base-counts=*"))
+    assert bases == ["base-counts=2", "base-counts=5"] and not (stream / "batch=1" / "counts").exists()
+    before = rows_of(total_so_far(spark, str(folder), "counts", total))
+    compact(spark, str(stream), "counts", total)
+    assert rows_of(total_so_far(spark, str(folder), "counts", total)) == before
+
+
+def rows_of(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_a_grid_of_parts_is_the_grid_of_all(spark, events, parts):
+    """Whatever the order in which ranges grow: bounded rows, the same cells, the same bins."""
+    values = sec_all(events).select("event_id", VIEW.anomaly)
+    wild = values.union(spark.createDataFrame([(1, -7.5e6), (2, 3e9), (3, None), (4, float("nan")), (5, float("inf")), (6, 1e-9)], values.schema))
+    for frame in (values, wild):
+        whole = grid(frame, VIEW.anomaly)
+        union = None
+        for part in range(parts):
+            own = grid(frame.filter(F.col("event_id") % parts == part), VIEW.anomaly)
+            union = own if union is None else merged(union.unionByName(own))
+        assert rows_of(union) == rows_of(whole) and whole.count() <= 4096
+        assert rows_of(grid_histogram(union)) == rows_of(grid_histogram(whole))
+        assert whole.agg(F.sum("cnt")).first()[0] == frame.filter(~F.isnan(VIEW.anomaly) & (F.abs(VIEW.anomaly) < float("inf"))).count()
+
+
+def test_a_grid_histogram_is_near_the_exact_one(events):
+    values = sec_all(events)
+    near, exact = ({r["bin"]: r.cnt for r in h.collect()} for h in (grid_histogram(grid(values, VIEW.anomaly)), histogram(values, VIEW.anomaly)))
+    assert sum(near.values()) == sum(exact.values()) and sum(abs(near.get(b, 0) - exact.get(b, 0)) for b in range(40)) <= 0.02 * sum(exact.values())
+
+
+def test_a_grid_of_nothing_and_of_one_value(spark):
+    none = spark.createDataFrame([(None,)], "v double")
+    assert grid(none, "v").count() == 0 and grid_histogram(grid(none, "v")).count() == 0 and merged(grid(none, "v")).count() == 0
+    one = grid(spark.createDataFrame([(1e300,), (1e300,)], "v double"), "v")
+    assert [r.cnt for r in one.collect()] == [2] and [(r["bin"], r.cnt) for r in grid_histogram(one).collect()] == [(0, 2)]
 
 
 def test_rollup_equals_the_plain_groups(events, rows):

@@ -46,10 +46,6 @@ def cast_to_schema(frame: DataFrame, schema: T.StructType) -> DataFrame:
     return cast_columns(frame, {f.name: f.dataType.simpleString() for f in schema if f.name in frame.columns})
 
 
-def as_text(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return frame.withColumns({name: F.col(name).cast("string") for name in columns})
-
-
 def blank_tokens(frame: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """NULL for every text cell that is one of ``tokens``."""
     tokens = list(tokens)

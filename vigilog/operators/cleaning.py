@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +63,6 @@ def fill_missing(events: DataFrame, cols: EventColumns = EVENT) -> DataFrame:
     )
 
 
-def known_or_first(column: str, labels: Sequence[str]) -> Column:
-    """``column`` where its value (NULL counts as ``Unknown``) is one of ``labels``, else the first label."""
-    value = F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
-    return F.when(value.isin(list(labels)), value).otherwise(F.lit(labels[0]))
-
-
 def project_existing(frame: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """The wanted columns that exist, in the wanted order."""
     return frame.select(*[c for c in wanted if c in frame.columns])

@@ -13,6 +13,8 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilog.operators.labels import label_table
+from vigilog.operators.ranking import top
 from vigilog.schema import EVENT, EventColumns
 
 LABEL = "label"
@@ -24,17 +26,16 @@ MOST_LABELS = 100_000
 def label_lists(rows: DataFrame, columns: Sequence[str], by_frequency: bool, most: int = MOST_LABELS) -> list[list[str]]:
     """The values of every column, NULL left out, by descending frequency or by value; ties by value.
 
-    One scan counts all columns, and only a checked number of labels reaches the driver.
+    For columns of up to ``most`` labels, which are counted before any of them reaches the driver; larger ones are
+    indexed by their label table (``labels.index_by_table``).
     """
-    cells = F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
-    counts = rows.select(F.inline(cells)).filter(F.col("value").isNotNull()).groupBy("place", "value").agg(F.count("*").alias("cnt"))
-    order = [F.desc("cnt"), "value"] if by_frequency else ["value"]
-    found = counts.orderBy("place", *order).limit(len(columns) * most + 1).collect()
-    labels = [[row.value for row in found if row.place == i] for i in range(len(columns))]
-    large = [c for c, values in zip(columns, labels) if len(values) > most]
+    table = label_table(rows, columns, by_frequency)
+    sizes = {r.column: r.n for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    large = [c for c in columns if sizes.get(c, 0) > most]
     if large:
-        raise ValueError(f"more than {most} values to index in {large}")
-    return labels
+        raise ValueError(f"more than {most} values to index in {large}: use a label table")
+    found = table.select("column", "idx", "value").collect()
+    return [[r.value for r in sorted((r for r in found if r.column == c), key=lambda r: r.idx)] for c in columns]
 
 
 def stored_indexer(labels: Sequence[Sequence[str]], columns: Sequence[str], outputs: Sequence[str]) -> PipelineModel:
@@ -60,11 +61,6 @@ def frequency_indexer(rows: DataFrame, columns: Sequence[str], outputs: Sequence
     return stored_indexer(label_lists(rows, columns, by_frequency=True), columns, outputs)
 
 
-def code_indexer(rows: DataFrame, columns: Sequence[str], outputs: Sequence[str]) -> PipelineModel:
-    """Index by ascending value."""
-    return stored_indexer(label_lists(rows, columns, by_frequency=False), columns, outputs)
-
-
 def unit_scaler(source: str, target: str) -> StandardScaler:
     """Divide every slot by its sample standard deviation, without centring; a constant slot becomes 0."""
     return StandardScaler(inputCol=source, outputCol=target, withMean=False, withStd=True)
@@ -86,13 +82,6 @@ def fit_features(rows: DataFrame, cols: EventColumns = EVENT) -> PipelineModel:
     return Pipeline(stages=stages).fit(rows)
 
 
-def feature_sample(rows: DataFrame, model: PipelineModel, n: int = 5) -> DataFrame:
-    return model.transform(rows).select(LABEL, "features").limit(n)
-
-
-def code_or_zero(column: str, encoders: dict[str, Sequence[str]]) -> Column:
-    """The code of a value already among a stored encoder's labels; 0 where no encoder is stored."""
-    if column not in encoders:
-        return F.lit(0)
-    labels = F.array(*[F.lit(label) for label in encoders[column]])
-    return (F.array_position(labels, F.col(column)) - 1).cast("int")
+def feature_sample(rows: DataFrame, model: PipelineModel, n: int = 5, order: Sequence[Column | str] = ()) -> DataFrame:
+    """A few transformed rows: the first of ``order``, or any without one."""
+    return model.transform(top(rows, n, *order) if order else rows.limit(n))

@@ -1,28 +1,43 @@
 """The two attack classifiers. Both forests are Spark ML's: trees grow level by level across executors.
 
-On every level each partition sends statistics for all open nodes (a few KB per node, 50 trees times up to
-2^depth nodes), so that shuffle grows with the number of partitions. The input's own partitions are used.
+On every level each partition sends statistics for all open nodes (a few KB per node, the trees of a batch times up to
+2^depth nodes), so that shuffle grows with the number of partitions. The input's own partitions are used, unless
+they are fewer than the cores.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+import gc
+import json
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.operators.features import LABEL, code_indexer, indexer_labels, stored_indexer
+from vigilog.operators.features import LABEL
+from vigilog.operators.labels import label_table, look_up
 from vigilog.operators.splitting import SEED
 from vigilog.schema import EVENT, EventColumns
+from vigilog.session import work_folder, written
 
 TREES = 50
 
 #: Levels of the code forest, Spark's limit. Every level is a pass over the rows.
 CODE_DEPTH = 30
 
+#: Classes a forest may have: every node holds a count for each.
+MOST_CLASSES = 1000
+
 PREDICTED = "Predicted_Attack"
 
+#: What a node of a saved forest takes on the driver, and one that is being grown; with the share of the heap they may take.
+NODE_BYTES, GROWING_BYTES, HEAP_SHARE = 300, 1500, 0.3
+MOST_BATCH = 10
+
 
 def code_columns(cols: EventColumns = EVENT) -> list[str]:
     return [f"{c}_enc" for c in cols.categorical]
@@ -34,35 +49,126 @@ def fit_feature_forest(featured: DataFrame, trees: int = TREES, seed: int = SEED
     return forest.fit(featured)
 
 
-def fit_code_forest(
-    filled: DataFrame, cols: EventColumns = EVENT, trees: int = TREES, seed: int = SEED, depth: int = CODE_DEPTH
-) -> PipelineModel:
-    """The forest on numbers and alphabetical category codes, as one pipeline that ends in the attack's name.
+@dataclass(frozen=True)
+class CodeForest:
+    """A forest on shared storage: its label table, the names of its classes, and its trees in parts of (folder name, trees, nodes)."""
+
+    folder: str
+    classes: list[str]
+    parts: list[tuple[str, int, int]] = field(default_factory=list)
+
+    @property
+    def trees(self) -> int:
+        return sum(trees for _, trees, _ in self.parts)
+
+    @property
+    def nodes(self) -> int:
+        return sum(nodes for _, _, nodes in self.parts)
+
+    def labels(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/labels")
+
+    def part(self, name: str) -> RandomForestClassificationModel:
+        model = RandomForestClassificationModel.load(f"{self.folder}/{name}")
+        return model.setFeaturesCol("features").setRawPredictionCol("raw").setProbabilityCol("").setPredictionCol("")
 
-    ``filled`` follows the fill policy. The codes enter as plain numbers, not as nominal categories.
+
+def load_forest(spark: SparkSession, folder: str) -> CodeForest:
+    about = json.loads(spark.read.text(f"{folder}/about").first().value)
+    return CodeForest(**about | {"folder": folder, "parts": [tuple(p) for p in about["parts"]]})
+
+
+def _heap(spark: SparkSession) -> float:
+    """Bytes of the driver's heap that nodes may take."""
+    return spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() * HEAP_SHARE
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """The rows in as many partitions as there are cores, if they have fewer."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, F.xxhash64(*rows.columns))
+
+
+def fit_code_forest(
+    filled: DataFrame,
+    cols: EventColumns = EVENT,
+    trees: int = TREES,
+    seed: int = SEED,
+    depth: int = CODE_DEPTH,
+    folder: str | None = None,
+    batch: int | None = None,
+) -> CodeForest:
+    """The forest on numbers and alphabetical category codes, written to ``folder``.
+
+    ``filled`` follows the fill policy. The codes enter as plain numbers, not as nominal categories. Trees grow in batches
+    of ``batch``, as many as the driver's heap holds if all rows were leaves, and at most ``MOST_BATCH``; the node of every
+    row is cached, and checkpointed where the session has a folder for it. A finished batch is saved and leaves the
+    driver, so its memory doesn't grow with the number of trees.
     """
+    spark = filled.sparkSession
+    folder = folder or work_folder(spark, "code-forest")
     codes = code_columns(cols)
-    indexer = code_indexer(filled, [*cols.categorical, cols.attack], [*codes, LABEL])
-    labels = indexer_labels(indexer)
-    assembler = VectorAssembler(inputCols=[*cols.numeric, *codes], outputCol="features")
-
-    # No target is missing here, so the label is declared without the indexer's extra place for unseen values.
-    classes = {"ml_attr": {"type": "nominal", "name": LABEL, "vals": labels[cols.attack]}}
-    coded = indexer.transform(filled).withColumns({c: F.col(c).cast("int") for c in codes}).withMetadata(LABEL, classes)
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed, maxDepth=depth
-    ).fit(assembler.transform(coded))
-
-    return PipelineModel(
-        stages=[
-            stored_indexer([labels[c] for c in cols.categorical], cols.categorical, codes),
-            assembler,
-            forest,
-            IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=labels[cols.attack]),
-        ]
-    )
-
-
-def encoders_of(scorer: PipelineModel) -> dict[str, list[str]]:
-    """The category labels a code forest was fitted on."""
-    return indexer_labels(scorer.stages[0])
+    label_table(filled, [*cols.categorical, cols.attack], by_frequency=False).write.mode("overwrite").parquet(f"{folder}/labels")
+    labels = spark.read.parquet(f"{folder}/labels")
+    named = labels.filter(F.col("column") == cols.attack).orderBy("idx").select("value").limit(MOST_CLASSES + 1)
+    classes = [r.value for r in named.collect()]
+    if len(classes) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes in {cols.attack}")
+
+    coded = filled
+    for column, code in zip([*cols.categorical, cols.attack], [*codes, LABEL]):
+        coded = look_up(coded, labels, column, code)
+    vectors = VectorAssembler(inputCols=[*cols.numeric, *codes], outputCol="features").transform(coded)
+    rows = written(_spread(vectors.select("features", F.col(LABEL).cast("double").alias(LABEL))), "coded")
+    nominal = {"ml_attr": {"type": "nominal", "name": LABEL, "num_vals": len(classes)}}
+    rows = rows.withMetadata(LABEL, nominal)
+
+    if batch is None:
+        batch = max(1, min(MOST_BATCH, int(_heap(spark) / (GROWING_BYTES * max(1, rows.count())))))
+    parts = []
+    for first in range(0, trees, batch):
+        grown = RandomForestClassifier(
+            featuresCol="features", labelCol=LABEL, numTrees=min(batch, trees - first), seed=seed + first, maxDepth=depth, cacheNodeIds=True
+        )
+        model = grown.fit(rows)
+        name = f"trees-{first}"
+        model.write().overwrite().save(f"{folder}/{name}")
+        parts.append((name, model.getNumTrees, model.totalNumNodes))
+        del model
+        gc.collect()
+    forest = CodeForest(folder, classes, parts)
+    spark.createDataFrame([(json.dumps(asdict(forest)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/about")
+    return forest
+
+
+def _passes(forest: CodeForest, spark: SparkSession) -> Iterator[list[str]]:
+    """The parts in groups that the driver can hold and send at once."""
+    most, held, size = _heap(spark) / NODE_BYTES, [], 0
+    for name, _, nodes in forest.parts:
+        if held and size + nodes > most:
+            yield held
+            held, size = [], 0
+        held.append(name)
+        size += nodes
+    yield held
+
+
+def add_votes(rows: DataFrame, forest: CodeForest) -> DataFrame:
+    """The rows with ``votes``: for each class the sum over all trees of its share of the leaf that ``features`` falls into.
+
+    A forest that the driver can't hold takes further passes; between them the rows are written, and the parts that
+    have voted are dropped. A stream has one pass, so such a forest scores inside the micro-batch.
+    """
+    passes = list(_passes(forest, rows.sparkSession))
+    if rows.isStreaming and len(passes) > 1:
+        raise ValueError("this forest is too large to score a stream row by row: score its micro-batches")
+    rows = rows.withColumn("votes", F.array_repeat(F.lit(0.0), len(forest.classes)))
+    for i, names in enumerate(passes):
+        for name in names:
+            voted = forest.part(name).transform(rows)
+            both = F.zip_with("votes", vector_to_array("raw"), lambda x, y: x + y)
+            rows = voted.withColumn("votes", both).drop("raw")
+        if i + 1 < len(passes):
+            rows = written(rows, "votes")
+            gc.collect()
+    return rows

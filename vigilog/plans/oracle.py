@@ -53,6 +53,32 @@ WITH p AS (SELECT attack_type AS y, CASE severity WHEN 'High' THEN 'error' WHEN
  c AS (SELECT s.cls, s.support, s.tp, COALESCE(s.tp / h.predicted, 0) AS prec, s.tp / s.support AS rec,
   2 * s.tp / (s.support + COALESCE(h.predicted, 0)) AS f1 FROM s LEFT JOIN h ON s.cls = h.cls)"""
 
+#: The log with some scores that are not a number, which count as missing.
+NAN_LOG = """
+WITH nan_all AS (SELECT * REPLACE (CASE WHEN event_id % 103 = 0 THEN NULL ELSE anomaly END AS anomaly) FROM sec_all)"""
+
+#: What four parts of the log hold, twenty events to a stamp; the stamp is the events' number in seconds.
+PARTS = """
+WITH parts AS (SELECT *, event_id % 4 AS part, strftime(make_timestamp((event_id // 20) * 1000000), '%Y-%m-%d %H:%M:%S') AS stamp,
+ TRY_CAST(anomaly_raw AS DOUBLE) AS anomaly FROM raw_log)"""
+
+RECENT = PARTS + """
+SELECT event_id, stamp, src_ip, attack_type, anomaly FROM parts ORDER BY stamp DESC, part DESC, event_id DESC LIMIT 15"""
+
+#: The grid: the smallest power of two, from 2 ** -20 on, with which the scores lie within 4096 cells numbered below 2 ** 52.
+GRID = """
+WITH ends AS (SELECT MIN(anomaly) AS lo, MAX(anomaly) AS hi FROM sec_all),
+ widths AS (SELECT e, FLOOR(lo / POWER(2.0::DOUBLE, e)) AS first, FLOOR(hi / POWER(2.0::DOUBLE, e)) AS last FROM ends, (SELECT UNNEST(RANGE(-20, 1000)) AS e)),
+ fine AS (SELECT * FROM widths WHERE last - first < 4096 AND GREATEST(ABS(first), ABS(last)) < POWER(2.0::DOUBLE, 52) ORDER BY e LIMIT 1),
+ placed AS (SELECT CAST(((FLOOR(anomaly / POWER(2.0::DOUBLE, e)) - first)::BIGINT * 40) // (last - first + 1)::BIGINT AS INT) AS bin, first, last, e
+  FROM sec_all, fine WHERE anomaly IS NOT NULL)
+SELECT bin, (first + CEIL(bin * (last - first + 1) / 40)) * POWER(2.0::DOUBLE, e) AS bin_start, COUNT(*) AS cnt FROM placed GROUP BY bin, first, last, e"""
+
+#: The first 60 bits of an id's MD5, by which exact splits go.
+LONG_HASH = "CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15)) AS BIGINT)"
+
+HASH_TRAIN = "CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 80"
+
 CATEGORIES = {"protocol": 3, "packet_type": 2, "traffic_type": 3, "severity": 3}
 
 
@@ -89,6 +115,17 @@ def _feature_vector() -> str:
     )
 
 
+def _first_vectors() -> str:
+    return f"SELECT * FROM ({_feature_vector()}) v WHERE event_id IN (SELECT event_id FROM sec_complete ORDER BY event_id LIMIT 5)"
+
+
+def _exact_test(rows: str) -> str:
+    """The hold-out rows of an exact split: the fifth with the smallest hashes, rounded up."""
+    return f"""
+SELECT * FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {LONG_HASH}) AS place, COUNT(*) OVER () AS n FROM {rows}) t
+WHERE place <= (n * 20 + 99) // 100"""
+
+
 def _category_codes() -> str:
     columns = [*CATEGORIES, "attack_type"]
     names = {**{c: f"{c}_enc" for c in CATEGORIES}, "attack_type": "label"}
@@ -144,6 +181,13 @@ def _report_text() -> str:
     )
 
 
+CSV_SCAN = """
+SELECT event_id, src_ip, TRY_CAST(src_port_raw AS INT) AS src_port, TRY_CAST(packet_raw AS INT) AS packet_len,
+ TRY_CAST(anomaly_raw AS DOUBLE) AS anomaly,
+ concat('{"k": ', CAST(CAST(dst_port_raw AS INT) - 1 AS VARCHAR), '},', chr(10), severity) AS payload FROM raw_log"""
+
+STORED = "SELECT event_id, src_ip, attack_type, severity FROM raw_log"
+
 BODIES = {
     "q_total": "SELECT COUNT(*) AS total FROM sec_log",
     "q_attack_distribution": "SELECT attack_type, COUNT(*) AS cnt FROM sec_log GROUP BY attack_type",
@@ -174,20 +218,30 @@ SELECT COUNT(*) AS loaded, COUNT(attack_type) AS with_target, COUNT(ts) AS with_
  (SELECT COUNT(*) FROM sec_complete) AS complete_rows FROM sec_all""",
     "q_unseen_fallback": """
 SELECT event_id, CASE WHEN COALESCE(protocol, 'Unknown') IN ('TCP', 'UDP') THEN protocol ELSE 'TCP' END AS protocol_known FROM sec_all""",
+    "q_nan_fill": NAN_LOG + " SELECT event_id, COALESCE(anomaly, 0) AS anomaly FROM nan_all",
+    "q_nan_kpis": NAN_LOG + KPIS.replace("sec_all", "nan_all"),
+    "q_nan_quality": NAN_LOG + """
+SELECT COUNT(*) AS loaded, COUNT(attack_type) AS with_target, COUNT(ts) AS with_ts,
+ (SELECT COUNT(*) FROM sec_complete WHERE event_id % 103 <> 0) AS complete_rows FROM nan_all""",
     "q_report_lines": """
 SELECT 'severity_protocol' AS section,
  concat_ws(' | ', COALESCE(severity, 'NULL'), COALESCE(protocol, 'NULL'), CAST(COUNT(*) AS STRING)) AS line
 FROM sec_log GROUP BY severity, protocol""",
     "q_report_text": _report_text(),
-    "q_csv_scan": """
-SELECT event_id, src_ip, TRY_CAST(src_port_raw AS INT) AS src_port, TRY_CAST(packet_raw AS INT) AS packet_len,
- TRY_CAST(anomaly_raw AS DOUBLE) AS anomaly,
- concat('{"k": ', CAST(CAST(dst_port_raw AS INT) - 1 AS VARCHAR), '},', chr(10), severity) AS payload FROM raw_log""",
+    "q_csv_scan": CSV_SCAN,
+    "q_csv_by_name": CSV_SCAN,
     "q_csv_inferred": """
 SELECT event_id, CAST(src_port_raw AS BIGINT) + CAST(dst_port_raw AS BIGINT) AS ports, attack_type FROM raw_log""",
     "q_csv_na_tokens": """
 SELECT event_id, NULLIF(ts_raw, 'n/a') AS ts_text, NULLIF(packet_raw, '') AS packet_text, protocol FROM raw_log""",
-    "q_stream_ingest": "SELECT event_id, src_ip, attack_type, severity FROM raw_log",
+    "q_stream_ingest": STORED,
+    "q_stream_by_name": STORED,
+    "q_stream_restart": "SELECT event_id, CAST(1 AS BIGINT) AS times, CAST(1 AS BIGINT) AS streams FROM raw_log",
+    "q_batch_counts": PARTS + """
+SELECT part AS batch_id, COUNT(*) AS rows, MIN(stamp) AS first_stamp, MAX(stamp) AS last_stamp FROM parts GROUP BY part""",
+    "q_store_recent": RECENT,
+    "q_live_recent": RECENT,
+    "q_live_grid": GRID,
     "q_live_counts": "SELECT severity, COUNT(*) AS cnt, ROUND(AVG(anomaly), 6) AS avg_anomaly FROM sec_all GROUP BY severity",
     "q_live_kpis": KPIS,
     "q_live_attack_share": SHARE.format(key="attack_type"),
@@ -203,6 +257,9 @@ SELECT s.event_id, CAST(i.idx AS DOUBLE) AS label FROM sec_complete s JOIN i_att
     "q_lex_index": """
 SELECT p AS protocol, CAST(ROW_NUMBER() OVER (ORDER BY p) - 1 AS DOUBLE) AS code
 FROM (SELECT DISTINCT COALESCE(protocol, 'Unknown') AS p FROM sec_all) t""",
+    "q_many_labels": """
+SELECT event_id, CAST(ROW_NUMBER() OVER (ORDER BY CAST(event_id AS VARCHAR)) - 1 AS DOUBLE) AS id_idx, CAST(idx AS DOUBLE) AS ip_idx
+FROM sec_all JOIN (SELECT src_ip, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, src_ip) - 1 AS idx FROM sec_all GROUP BY src_ip) i USING (src_ip)""",
     "q_category_codes": _category_codes(),
     "q_code_names": "SELECT event_id, COALESCE(attack_type, 'Unknown') AS name FROM sec_all",
     "q_stored_codes": """
@@ -217,6 +274,24 @@ SELECT s.event_id, ROUND(s.anomaly / m.sd, 4) AS anomaly_scaled
 FROM sec_complete s CROSS JOIN (SELECT STDDEV_SAMP(anomaly) AS sd FROM sec_complete) m""",
     "q_feature_vector": _feature_vector(),
     "q_saved_pipeline": _feature_vector(),
+    "q_feature_sample": _first_vectors(),
+    "q_random_split": "SELECT event_id, CAST(1 AS BIGINT) AS sides FROM sec_complete",
+    "q_exact_split": f"""
+WITH test AS ({_exact_test("sec_complete")})
+SELECT event_id, CASE WHEN event_id IN (SELECT event_id FROM test) THEN 'test' ELSE 'train' END AS split FROM sec_complete""",
+    "q_forest_spark": f"""
+WITH i AS (SELECT attack_type, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, attack_type) - 1 AS idx FROM sec_complete
+ WHERE {HASH_TRAIN} GROUP BY attack_type)
+SELECT event_id, CAST(idx AS DOUBLE) AS label, true AS known_class FROM sec_complete JOIN i USING (attack_type) WHERE NOT {HASH_TRAIN}""",
+    "q_forest_codes": f"""
+SELECT event_id, COALESCE(attack_type, 'Unknown') AS attack_type, true AS known_class FROM ({_exact_test("sec_all")}) t""",
+    "q_forest_report": f"""
+WITH c AS (SELECT attack_type, COUNT(*) AS support FROM sec_complete WHERE NOT {HASH_TRAIN} GROUP BY attack_type)
+SELECT 'class' AS kind, support, true AS in_range FROM c
+UNION ALL SELECT 'average', CAST(SUM(support) AS BIGINT), true FROM c, (SELECT UNNEST([1, 2, 3]) AS line) GROUP BY line""",
+    "q_scored_events": """
+SELECT event_id, COALESCE(protocol, 'Unknown') AS protocol, true AS known_class, true AS in_range FROM sec_all""",
+    "q_scored_stream": "SELECT event_id, protocol, true AS known_class, true AS in_range FROM sec_all",
     "q_hash_split": """
 SELECT event_id, CASE WHEN CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split
 FROM sec_complete""",

@@ -2,35 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.ml.feature import IndexToString, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilog.functions.casts import NA_TOKENS
-from vigilog.operators import counting, evaluation, features, ranking, splitting
-from vigilog.operators.cleaning import fill_missing, known_or_first
-from vigilog.operators.forests import PREDICTED
-from vigilog.operators.scoring import CONFIDENCE, score_events
+from vigilog.operators import counting, evaluation, features, labels, ranking, splitting
+from vigilog.operators.cleaning import fill_missing, project_existing
+from vigilog.operators.forests import PREDICTED, CodeForest, load_forest
+from vigilog.operators.grid import grid_histogram
+from vigilog.operators.scoring import CONFIDENCE, add_predictions, coded_events, known_codes, score_events
 from vigilog.plans import dashboard as board
 from vigilog.plans.event_view import VIEW, canonical_log, read_events, sec_all, sec_complete, sec_log, stream_events
 from vigilog.plans.report import report_lines, section_lines
 from vigilog.plans.training import train_code_forest, train_feature_forest
-from vigilog.schema import EVENT, EVENT_SCHEMA
+from vigilog.schema import EMITTED, EVENT, EVENT_COLUMNS
 from vigilog.session import work_folder
-from vigilog.sinks.models import load_pipeline, save_model
-from vigilog.sources.csv_events import read_csv_events, stream_csv_events, typed_events
-from vigilog.sources.event_store import read_event_store
+from vigilog.sinks.models import commit_version, current_version, load_pipeline, new_version, save_model
+from vigilog.sources.csv_events import QUOTING, raw_events, read_csv_events, stream_csv_events, stream_raw_csv, typed_events
+from vigilog.sources.event_store import batch_ledger, latest_rows, read_event_store
 from vigilog.streaming.ingest import stamp_arrival, start_ingest
 from vigilog.streaming.live import latest_snapshot, start_snapshots
+from vigilog.streaming.totals import Total, start_totals, total_so_far
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Rows per dropped CSV file, about 150 MB: a file with line breaks in cells is one task.
 ROWS_PER_FILE = 1_000_000
 
+#: Parts in which the log is dropped where a stream should see several batches.
+PARTS = 4
+
 
 def _all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sec_all(read_events(spark, sf_dir))
@@ -117,8 +122,8 @@ def anomaly_histogram(spark, sf_dir):
 
 
 def recent(spark, sf_dir):
-    columns = ["event_id", VIEW.source_ip, VIEW.attack, VIEW.severity, VIEW.protocol, VIEW.anomaly]
-    return ranking.latest(_all(spark, sf_dir), ["event_id"]).select(*columns)
+    columns = ["event_id", EMITTED, VIEW.source_ip, VIEW.attack, VIEW.severity, VIEW.protocol, VIEW.anomaly, PREDICTED]
+    return project_existing(ranking.latest(_all(spark, sf_dir), ["event_id"]), columns)
 
 
 # Cleaning
@@ -144,8 +149,27 @@ def quality_counts(spark, sf_dir):
 
 
 def unseen_fallback(spark, sf_dir):
-    known = known_or_first(VIEW.protocol, ["TCP", "UDP"])
-    return _all(spark, sf_dir).select("event_id", known.alias("protocol_known"))
+    rows = _all(spark, sf_dir)
+    stored = labels.label_table(rows.filter(F.col(VIEW.protocol) != "ICMP"), [VIEW.protocol], by_frequency=False)
+    return known_codes(rows, stored, VIEW.protocol, "code").select("event_id", F.col(VIEW.protocol).alias("protocol_known"))
+
+
+def _with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed log with some scores that are not a number."""
+    score = F.when(F.col("event_id") % 103 == 0, F.lit(float("nan"))).otherwise(F.col(VIEW.anomaly))
+    return _all(spark, sf_dir).withColumn(VIEW.anomaly, score)
+
+
+def nan_fill(spark, sf_dir):
+    return fill_missing(_with_nan(spark, sf_dir), VIEW).select("event_id", VIEW.anomaly)
+
+
+def nan_kpis(spark, sf_dir):
+    return counting.kpis(_with_nan(spark, sf_dir), VIEW)
+
+
+def nan_quality(spark, sf_dir):
+    return counting.quality_counts(_with_nan(spark, sf_dir), VIEW.timestamp, VIEW)
 
 
 # Report
@@ -162,21 +186,34 @@ def report_text(spark, sf_dir):
 
 # CSV sources
 
+CSV_OUT = QUOTING | {"maxRecordsPerFile": ROWS_PER_FILE}
+
 
 def _dropped_csv(spark: SparkSession, sf_dir: str) -> str:
     """The log as CSV files with the event table's header, in the shared work folder."""
     folder = work_folder(spark, "csv")
-    log = canonical_log(read_events(spark, sf_dir))
-    log.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", ROWS_PER_FILE).csv(folder)
+    canonical_log(read_events(spark, sf_dir)).write.options(**CSV_OUT).csv(folder)
     return folder
 
 
+def _dropped_in_parts(spark: SparkSession, sf_dir: str, folder: str, parts: Iterable[int], turned: bool = False) -> None:
+    """Drop the rows of some of four parts as files of their own; with ``turned``, odd parts have their columns in another order.
+
+    Twenty events at a time have one stamp, five of them in each part.
+    """
+    stamp = F.date_format(F.timestamp_seconds(F.floor(F.col("User Information").cast("bigint") / 20)), "yyyy-MM-dd HH:mm:ss")
+    log = canonical_log(read_events(spark, sf_dir)).withColumn(EMITTED, stamp)
+    for part in parts:
+        columns = EVENT_COLUMNS[::-1] if turned and part % 2 else EVENT_COLUMNS
+        rows = log.filter(F.col("User Information").cast("bigint") % PARTS == part).select(*columns)
+        rows.write.mode("append").options(**CSV_OUT).csv(folder)
+
+
 def _row_id():
     return F.col("User Information").cast("bigint").alias("event_id")
 
 
-def csv_scan(spark, sf_dir):
-    events = typed_events(read_csv_events(spark, _dropped_csv(spark, sf_dir)))
+def _scanned(events: DataFrame) -> DataFrame:
     return events.select(
         _row_id(),
         F.col(EVENT.source_ip).alias("src_ip"),
@@ -187,6 +224,16 @@ def csv_scan(spark, sf_dir):
     )
 
 
+def csv_scan(spark, sf_dir):
+    return _scanned(typed_events(read_csv_events(spark, _dropped_csv(spark, sf_dir))))
+
+
+def csv_by_name(spark, sf_dir):
+    folder = work_folder(spark, "csv")
+    _dropped_in_parts(spark, sf_dir, folder, range(PARTS), turned=True)
+    return _scanned(typed_events(read_csv_events(spark, folder)))
+
+
 def csv_inferred(spark, sf_dir):
     events = read_csv_events(spark, _dropped_csv(spark, sf_dir), infer=True)
     ports = (F.col(EVENT.source_port) + F.col(EVENT.destination_port)).cast("bigint")
@@ -202,18 +249,65 @@ def csv_na_tokens(spark, sf_dir):
 # Streaming
 
 
-def stream_ingest(spark, sf_dir):
-    store = work_folder(spark, "store")
-    events = stamp_arrival(stream_csv_events(spark, _dropped_csv(spark, sf_dir)))
-    start_ingest(events, store, work_folder(spark, "ingest-checkpoint")).awaitTermination()
-    stored = read_event_store(spark, store)
+def _stored_names(stored: DataFrame) -> DataFrame:
     names = {EVENT.source_ip: "src_ip", EVENT.attack: "attack_type", EVENT.severity: "severity"}
     return stored.select(_row_id(), *[F.col(c).alias(name) for c, name in names.items()])
 
 
-def _after_stream(spark: SparkSession, totals: DataFrame, cut=None) -> DataFrame:
+def stream_ingest(spark, sf_dir):
+    drops, store = work_folder(spark, "drops"), work_folder(spark, "store")
+    _dropped_in_parts(spark, sf_dir, drops, range(PARTS))
+    events = stamp_arrival(stream_csv_events(spark, drops, max_files=1))
+    start_ingest(events, store, work_folder(spark, "ingest-checkpoint")).awaitTermination()
+    return _stored_names(read_event_store(spark, store))
+
+
+def stream_by_name(spark, sf_dir):
+    drops, store = work_folder(spark, "drops"), work_folder(spark, "store")
+    _dropped_in_parts(spark, sf_dir, drops, range(PARTS), turned=True)
+    raw = stream_raw_csv(spark, drops, max_files=2)
+    start_ingest(raw, store, work_folder(spark, "ingest-checkpoint"), prepare=raw_events()).awaitTermination()
+    return _stored_names(read_event_store(spark, store))
+
+
+def _stored_in_turn(spark: SparkSession, sf_dir: str) -> str:
+    """A store whose stream was stopped after each of four parts, and went on from its checkpoint with the next."""
+    drops, store, checkpoint = (work_folder(spark, name) for name in ("drops", "store", "ingest-checkpoint"))
+    for part in range(PARTS):
+        _dropped_in_parts(spark, sf_dir, drops, [part])
+        start_ingest(stamp_arrival(stream_csv_events(spark, drops)), store, checkpoint).awaitTermination()
+    return store
+
+
+def store_recent(spark, sf_dir):
+    last = latest_rows(spark, _stored_in_turn(spark, sf_dir), board.LATEST_ROWS)
+    wanted = project_existing(last, ["User Information", *board.recent_columns()])
+    names = {EMITTED: "stamp", EVENT.source_ip: "src_ip", EVENT.attack: "attack_type", EVENT.anomaly: "anomaly"}
+    return wanted.select(_row_id(), *[F.col(c).alias(name) for c, name in names.items()])
+
+
+def batch_counts(spark, sf_dir):
+    ledger = batch_ledger(spark, _stored_in_turn(spark, sf_dir))
+    return ledger.select("batch_id", "rows", F.col("first").alias("first_stamp"), F.col("last").alias("last_stamp"))
+
+
+def stream_restart(spark, sf_dir):
+    """A stream that takes one file at a time is stopped as soon as it has stored a batch, and goes on from its checkpoint."""
+    drops, store, checkpoint = (work_folder(spark, name) for name in ("drops", "store", "ingest-checkpoint"))
+    _dropped_in_parts(spark, sf_dir, drops, range(PARTS))
+    events = stamp_arrival(stream_csv_events(spark, drops, max_files=1))
+    first = start_ingest(events, store, checkpoint, every="10 seconds")  # so long the second file waits
+    while first.isActive and not first.recentProgress:
+        first.awaitTermination(0.1)
+    first.stop()
+    start_ingest(events, store, checkpoint).awaitTermination()
+    ids = read_event_store(spark, store).select(_row_id(), "stream_id")
+    return ids.groupBy("event_id").agg(F.count("*").alias("times"), F.count_distinct("stream_id").alias("streams"))
+
+
+def _after_stream(spark: SparkSession, totals: DataFrame) -> DataFrame:
     folder = work_folder(spark, "live")
-    start_snapshots(totals, folder, work_folder(spark, "live-checkpoint"), cut=cut).awaitTermination()
+    start_snapshots(totals, folder, work_folder(spark, "live-checkpoint")).awaitTermination()
     return latest_snapshot(spark, folder, totals)
 
 
@@ -223,30 +317,72 @@ def live_counts(spark, sf_dir):
     return _after_stream(spark, totals).withColumn("avg_anomaly", F.round("avg_anomaly", 6))
 
 
-def _live_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_stream(spark, board.dashboard_rollup(sec_all(stream_events(spark, sf_dir)), VIEW), board.serving_rows)
+def _live_total(spark: SparkSession, sf_dir: str, name: str, total: Total | None = None) -> DataFrame:
+    """One of the dashboard's live totals (or ``total``) of the log in four files, after a stream over two of them that was
+    restarted for a third and then left for another one, with a checkpoint of its own, over all.
+    """
+    total = total or board.live_totals(VIEW)[name]
+    files, folder = work_folder(spark, "files"), work_folder(spark, "live")
+    table = read_events(spark, sf_dir)
+    checkpoint = work_folder(spark, "live-checkpoint")
+
+    def run(where: str, max_files: int | None = None) -> None:
+        found = spark.readStream.schema(table.schema)
+        events = sec_all((found.option("maxFilesPerTrigger", max_files) if max_files else found).parquet(files))
+        start_totals(events, folder, where, {name: total}).awaitTermination()
+
+    for parts in ((0, 1), (2,)):
+        for part in parts:
+            table.filter(F.col("event_id") % PARTS == part).write.mode("append").parquet(files)
+        run(checkpoint)
+    table.filter(F.col("event_id") % PARTS == PARTS - 1).write.mode("append").parquet(files)
+    run(work_folder(spark, "live-checkpoint"), max_files=1)
+    return total_so_far(spark, folder, name, total)
 
 
 def live_kpis(spark, sf_dir):
-    return board.rolled_kpis(_live_rollup(spark, sf_dir))
+    return board.rolled_kpis(_live_total(spark, sf_dir, "cube"))
 
 
 def live_attack_share(spark, sf_dir):
-    return _rounded_share(board.rolled_share(_live_rollup(spark, sf_dir), "attack")).withColumnRenamed("attack", "attack_type")
+    return _rounded_share(board.rolled_share(_live_total(spark, sf_dir, "cube"), "attack")).withColumnRenamed("attack", "attack_type")
 
 
 def live_protocol_counts(spark, sf_dir):
-    return board.rolled_counts(_live_rollup(spark, sf_dir), "protocol")
+    return board.rolled_counts(_live_total(spark, sf_dir, "cube"), "protocol")
 
 
 def live_top_sources(spark, sf_dir):
-    return board.rolled_sources(_live_rollup(spark, sf_dir)).withColumnRenamed("source", "src_ip")
+    return board.live_sources(_live_total(spark, sf_dir, "sources")).withColumnRenamed("source", "src_ip")
 
 
 def live_histogram(spark, sf_dir):
-    stream = sec_all(stream_events(spark, sf_dir))
-    values = _after_stream(spark, counting.group_counts(stream, VIEW.anomaly, name="rows"))
-    return counting.histogram(values, VIEW.anomaly, weight="rows").select("bin", "cnt")
+    """Exact bins need every distinct score: each batch's are stored apart, and the reader sums them."""
+
+    def values(batch: DataFrame, _: int) -> DataFrame:
+        return counting.group_counts(batch, VIEW.anomaly, name="rows")
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(VIEW.anomaly).agg(F.sum("rows").alias("rows"))
+
+    scores = _live_total(spark, sf_dir, "scores", Total(values, summed, bounded=False))
+    return counting.histogram(scores, VIEW.anomaly, weight="rows").select("bin", "cnt")
+
+
+def live_grid(spark, sf_dir):
+    return grid_histogram(_live_total(spark, sf_dir, "grid"))
+
+
+def live_recent(spark, sf_dir):
+    """The latest rows that a live job keeps, from drops whose stream was restarted after each."""
+    drops, folder, checkpoint = (work_folder(spark, name) for name in ("drops", "live", "live-checkpoint"))
+    recent_rows = {"recent": board.live_totals()["recent"]}
+    for part in range(PARTS):
+        _dropped_in_parts(spark, sf_dir, drops, [part], turned=True)
+        start_totals(stream_raw_csv(spark, drops), folder, checkpoint, recent_rows, prepare=raw_events()).awaitTermination()
+    last = total_so_far(spark, folder, "recent", recent_rows["recent"])
+    names = {EMITTED: "stamp", EVENT.source_ip: "src_ip", EVENT.attack: "attack_type", EVENT.anomaly: "anomaly"}
+    return last.select(_row_id(), *[F.col(c).alias(name) for c, name in names.items()])
 
 
 # Features
@@ -254,42 +390,52 @@ def live_histogram(spark, sf_dir):
 
 def freq_index(spark, sf_dir):
     rows = _complete(spark, sf_dir)
-    model = features.frequency_indexer(rows, [VIEW.protocol], ["idx"])
-    return model.transform(rows).select(VIEW.protocol, "idx").distinct()
+    table = labels.label_table(rows, [VIEW.protocol], by_frequency=True)
+    return labels.index_by_table(rows, table, VIEW.protocol, "idx").select(VIEW.protocol, "idx").distinct()
 
 
 def label_index(spark, sf_dir):
     rows = _complete(spark, sf_dir)
-    model = features.frequency_indexer(rows, [VIEW.attack], [features.LABEL])
-    return model.transform(rows).select("event_id", features.LABEL)
+    table = labels.label_table(rows, [VIEW.attack], by_frequency=True)
+    return labels.index_by_table(rows, table, VIEW.attack, features.LABEL).select("event_id", features.LABEL)
 
 
 def lex_index(spark, sf_dir):
     rows = fill_missing(_all(spark, sf_dir), VIEW)
-    model = features.code_indexer(rows, [VIEW.protocol], ["code"])
-    return model.transform(rows).select(VIEW.protocol, "code").distinct()
+    table = labels.label_table(rows, [VIEW.protocol], by_frequency=False)
+    return labels.index_by_table(rows, table, VIEW.protocol, "code").select(VIEW.protocol, "code").distinct()
+
+
+def many_labels(spark, sf_dir):
+    """Labels that grow with the log: one for every event, and the addresses."""
+    rows = _all(spark, sf_dir).select(F.col("event_id").cast("string").alias("id"), "event_id", VIEW.source_ip)
+    for column, by_frequency in (("id", False), (VIEW.source_ip, True)):
+        table = labels.label_table(rows, [column], by_frequency)
+        rows = labels.index_by_table(rows, table, column, f"{column}_idx")
+    return rows.select("event_id", "id_idx", F.col(f"{VIEW.source_ip}_idx").alias("ip_idx"))
 
 
 def category_codes(spark, sf_dir):
-    rows = fill_missing(_all(spark, sf_dir), VIEW)
-    codes = [f"{c}_enc" for c in VIEW.categorical]
-    model = features.code_indexer(rows, [*VIEW.categorical, VIEW.attack], [*codes, features.LABEL])
-    coded = model.transform(rows)
-    return coded.select("event_id", *[F.col(c).cast("int").alias(c) for c in [*codes, features.LABEL]])
+    coded = fill_missing(_all(spark, sf_dir), VIEW)
+    outputs = {c: f"{c}_enc" for c in VIEW.categorical} | {VIEW.attack: features.LABEL}
+    table = labels.label_table(coded, list(outputs), by_frequency=False)
+    for column, code in outputs.items():
+        coded = labels.look_up(coded, table, column, code)
+    return coded.select("event_id", *[F.col(c).cast("int").alias(c) for c in outputs.values()])
 
 
 def code_names(spark, sf_dir):
     rows = fill_missing(_all(spark, sf_dir), VIEW)
-    model = features.code_indexer(rows, [VIEW.attack], [features.LABEL])
-    names = IndexToString(inputCol=features.LABEL, outputCol="name", labels=features.indexer_labels(model)[VIEW.attack])
-    return names.transform(model.transform(rows)).select("event_id", "name")
+    table = labels.label_table(rows, [VIEW.attack], by_frequency=False)
+    coded = labels.look_up(rows, table, VIEW.attack, "code").select("event_id", "code")
+    return labels.names_of(coded, table, VIEW.attack, "code", "name").select("event_id", "name")
 
 
 def stored_codes(spark, sf_dir):
-    encoders = {VIEW.protocol: ["ICMP", "TCP"]}
-    known = _all(spark, sf_dir).withColumn(VIEW.protocol, known_or_first(VIEW.protocol, encoders[VIEW.protocol]))
-    codes = {c: features.code_or_zero(c, encoders) for c in (VIEW.protocol, VIEW.severity)}
-    return known.select("event_id", *[code.alias(f"{c}_enc") for c, code in codes.items()])
+    """What scoring does with a dictionary that knows two protocols and no other category."""
+    rows = _all(spark, sf_dir)
+    stored = labels.label_table(rows.filter(F.col(VIEW.protocol).isin("ICMP", "TCP")), [VIEW.protocol], by_frequency=False)
+    return coded_events(rows, stored, VIEW).select("event_id", f"{VIEW.protocol}_enc", f"{VIEW.severity}_enc")
 
 
 def one_hot(spark, sf_dir):
@@ -326,8 +472,7 @@ def saved_pipeline(spark, sf_dir):
 
 def feature_sample(spark, sf_dir):
     rows = _complete(spark, sf_dir)
-    sample = features.feature_sample(rows, features.fit_features(rows, VIEW))
-    return sample.select(features.LABEL, vector_to_array("features").cast("string").alias("features"))
+    return _vector_slots(features.feature_sample(rows, features.fit_features(rows, VIEW), order=["event_id"]))
 
 
 # Splits, learning, evaluation
@@ -338,8 +483,14 @@ def hash_split(spark, sf_dir):
 
 
 def random_split(spark, sf_dir):
+    """How many sides hold each row: the sizes of this split are chance."""
     train, test = splitting.random_split(_complete(spark, sf_dir))
-    return train.select("event_id", F.lit("train").alias("split")).union(test.select("event_id", F.lit("test").alias("split")))
+    return train.union(test).groupBy("event_id").agg(F.count("*").alias("sides"))
+
+
+def exact_split(spark, sf_dir):
+    train, test = splitting.exact_split(_complete(spark, sf_dir).select("event_id", VIEW.attack), "event_id")
+    return train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test"))).drop(VIEW.attack)
 
 
 def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,31 +515,48 @@ def printed_report(spark, sf_dir):
 
 
 def forest_spark(spark, sf_dir):
-    trained = train_feature_forest(_all(spark, sf_dir), VIEW, key="event_id")
-    return trained.scored.select("event_id", features.LABEL, "prediction")
+    """The hold-out rows: what a forest says of them has no SQL form but that it is one of its classes."""
+    scored = train_feature_forest(_all(spark, sf_dir), VIEW, key="event_id").scored
+    known = F.col("prediction").isin(*[float(i) for i in range(6)])
+    return scored.select("event_id", features.LABEL, known.alias("known_class"))
 
 
 def forest_codes(spark, sf_dir):
-    trained = train_code_forest(_all(spark, sf_dir), VIEW, key="event_id")
-    return trained.scored.select("event_id", VIEW.attack, PREDICTED)
+    scored = train_code_forest(_all(spark, sf_dir), VIEW, key="event_id").scored
+    return scored.select("event_id", VIEW.attack, F.col(PREDICTED).isNotNull().alias("known_class"))
 
 
 def forest_report(spark, sf_dir):
-    return evaluation.printed_report(train_feature_forest(_all(spark, sf_dir), VIEW, key="event_id").confusion)
+    report = evaluation.printed_report(train_feature_forest(_all(spark, sf_dir), VIEW, key="event_id").confusion)
+    shares = [F.col(c).between(0, 1) for c in ("precision_", "recall_", "f1")]
+    return report.filter("support > 0").select("kind", "support", (shares[0] & shares[1] & shares[2]).alias("in_range"))
+
+
+def _checked_scores(scored: DataFrame) -> DataFrame:
+    sure = F.col(CONFIDENCE).between(100 / 6, 100) & (F.round(CONFIDENCE, 1) == F.col(CONFIDENCE))
+    return scored.select("event_id", VIEW.protocol, F.col(PREDICTED).isNotNull().alias("known_class"), sure.alias("in_range"))
 
 
 def scored_events(spark, sf_dir):
     events = _all(spark, sf_dir)
     scorer = train_code_forest(events, VIEW, key="event_id").pipeline
-    return score_events(events, scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
+    return _checked_scores(score_events(events, scorer, VIEW))
 
 
 def scored_stream(spark, sf_dir):
-    path, store = work_folder(spark, "scorer"), work_folder(spark, "scored")
-    save_model(train_code_forest(_all(spark, sf_dir), VIEW, key="event_id").pipeline, path)
-    live = score_events(sec_all(stream_events(spark, sf_dir)), load_pipeline(spark, path), VIEW)
-    start_ingest(stamp_arrival(live), store, work_folder(spark, "scored-checkpoint")).awaitTermination()
-    return read_event_store(spark, store, live.schema).select("event_id", PREDICTED, CONFIDENCE)
+    """A scorer is trained into a new version of the model store; the stream loads the current one and scores its batches."""
+    models, store = work_folder(spark, "scorers"), work_folder(spark, "scored")
+    version = new_version(spark, models)
+    train_code_forest(_all(spark, sf_dir), VIEW, key="event_id", folder=version)
+    commit_version(spark, version)
+    scorer = load_forest(spark, current_version(spark, models))
+    events = sec_all(stream_events(spark, sf_dir))
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return stamp_arrival(add_predictions(batch, scorer, VIEW))
+
+    start_ingest(events, store, work_folder(spark, "scored-checkpoint"), prepare=prepare).awaitTermination()
+    return _checked_scores(spark.read.parquet(store))
 
 
 def unscored(spark, sf_dir):
@@ -397,9 +565,9 @@ def unscored(spark, sf_dir):
 
 
 def scoring_error(spark, sf_dir):
-    events = _all(spark, sf_dir)
-    scorer = train_code_forest(events, VIEW, key="event_id", trees=2, depth=2).pipeline
-    return score_events(events.drop(VIEW.protocol), scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
+    """A frame without a feature column is refused before the model is looked at."""
+    scorer = CodeForest(work_folder(spark, "no-forest"), [])
+    return score_events(_all(spark, sf_dir).drop(VIEW.protocol), scorer, VIEW).select("event_id", PREDICTED, CONFIDENCE)
 
 
 QUERIES: dict[str, Query] = {
@@ -424,21 +592,32 @@ QUERIES: dict[str, Query] = {
     "q_fill_policy": fill_policy,
     "q_quality_counts": quality_counts,
     "q_unseen_fallback": unseen_fallback,
+    "q_nan_fill": nan_fill,
+    "q_nan_kpis": nan_kpis,
+    "q_nan_quality": nan_quality,
     "q_report_lines": report_section,
     "q_report_text": report_text,
     "q_csv_scan": csv_scan,
     "q_csv_inferred": csv_inferred,
     "q_csv_na_tokens": csv_na_tokens,
+    "q_csv_by_name": csv_by_name,
     "q_stream_ingest": stream_ingest,
+    "q_stream_by_name": stream_by_name,
+    "q_stream_restart": stream_restart,
+    "q_batch_counts": batch_counts,
+    "q_store_recent": store_recent,
     "q_live_counts": live_counts,
     "q_live_kpis": live_kpis,
     "q_live_attack_share": live_attack_share,
     "q_live_protocol_counts": live_protocol_counts,
     "q_live_top_sources": live_top_sources,
     "q_live_histogram": live_histogram,
+    "q_live_grid": live_grid,
+    "q_live_recent": live_recent,
     "q_freq_index": freq_index,
     "q_label_index": label_index,
     "q_lex_index": lex_index,
+    "q_many_labels": many_labels,
     "q_category_codes": category_codes,
     "q_code_names": code_names,
     "q_stored_codes": stored_codes,
@@ -449,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "q_feature_sample": feature_sample,
     "q_hash_split": hash_split,
     "q_random_split": random_split,
+    "q_exact_split": exact_split,
     "q_class_report": class_report,
     "q_class_summary": class_summary,
     "q_printed_report": printed_report,

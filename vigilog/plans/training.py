@@ -11,31 +11,34 @@ from pyspark.sql import functions as F
 from vigilog.operators.cleaning import complete_cases, fill_missing
 from vigilog.operators.evaluation import confusion
 from vigilog.operators.features import LABEL, fit_features
-from vigilog.operators.forests import CODE_DEPTH, PREDICTED, TREES, fit_code_forest, fit_feature_forest
+from vigilog.operators.forests import CODE_DEPTH, PREDICTED, TREES, CodeForest, fit_code_forest, fit_feature_forest
 from vigilog.operators.scoring import score_events
-from vigilog.operators.splitting import hash_split
+from vigilog.operators.splitting import exact_split, hash_split
 from vigilog.schema import EVENT, EventColumns
 from vigilog.session import written
 
 
 @dataclass(frozen=True)
 class Trained:
-    """A fitted pipeline, its forest if that is saved apart, the scored hold-out rows and their confusion table."""
+    """A fitted pipeline or code forest, the forest if that is saved apart, the scored hold-out rows and their confusion table."""
 
-    pipeline: PipelineModel
+    pipeline: PipelineModel | CodeForest
     forest: object | None
     scored: DataFrame
     confusion: DataFrame
 
 
+def learning_columns(cols: EventColumns, key: str | None) -> list[str]:
+    return [*([key] if key else []), *cols.numeric, *cols.categorical, cols.attack]
+
+
 def split_rows(rows: DataFrame, cols: EventColumns, key: str | None) -> tuple[DataFrame, DataFrame]:
     """Training and hold-out rows: by row key where there is one, else by a hash of the whole row.
 
     The columns that are needed go to a table first: fitting reads them a dozen times, and a split drawn
     from a table stays the same when a task is run again.
     """
-    wanted = [*([key] if key else []), *cols.numeric, *cols.categorical, cols.attack]
-    table = written(rows.select(*wanted), "learning")
+    table = written(rows.select(*learning_columns(cols, key)), "learning")
     if key:
         return hash_split(table, key)
     whole = table.withColumn("row_hash", F.xxhash64(*table.columns).cast("string"))
@@ -63,10 +66,18 @@ def train_feature_forest(
 
 
 def train_code_forest(
-    events: DataFrame, cols: EventColumns = EVENT, key: str | None = None, trees: int = TREES, depth: int = CODE_DEPTH
+    events: DataFrame,
+    cols: EventColumns = EVENT,
+    key: str | None = None,
+    trees: int = TREES,
+    depth: int = CODE_DEPTH,
+    folder: str | None = None,
 ) -> Trained:
-    """The forest on category codes, under the fill policy: the model that scores live events."""
-    train, test = split_rows(fill_missing(events, cols), cols, key)
-    scorer = fit_code_forest(train, cols, trees, depth=depth)
-    scored = score_events(test, scorer, cols)
+    """The forest on category codes, under the fill policy: the model that scores live events.
+
+    The hold-out rows are exactly a fifth, rounded up. The forest is written to ``folder``, else to the work folder.
+    """
+    train, test = exact_split(fill_missing(events, cols).select(*learning_columns(cols, key)), key)
+    scorer = fit_code_forest(train, cols, trees, depth=depth, folder=folder)
+    scored = written(score_events(test, scorer, cols), "scored")
     return Trained(scorer, None, scored, confusion(scored, cols.attack, PREDICTED))

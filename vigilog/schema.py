@@ -7,34 +7,34 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # The columns of the event table in order, and the types of those that are not text.
-EVENT_COLUMNS = """
-Timestamp
-Source IP Address
-Destination IP Address
-Source Port
-Destination Port
-Protocol
-Packet Length
-Packet Type
-Traffic Type
-Payload Data
-Malware Indicators
-Anomaly Scores
-Alerts/Warnings
-Attack Type
-Attack Signature
-Action Taken
-Severity Level
-User Information
-Device Information
-Network Segment
-Geo-location Data
-Proxy Information
-Firewall Logs
-IDS/IPS Alerts
-Log Source
-Emit_Timestamp
-""".strip().split("\n")
+EVENT_COLUMNS = [
+    "Timestamp",
+    "Source IP Address",
+    "Destination IP Address",
+    "Source Port",
+    "Destination Port",
+    "Protocol",
+    "Packet Length",
+    "Packet Type",
+    "Traffic Type",
+    "Payload Data",
+    "Malware Indicators",
+    "Anomaly Scores",
+    "Alerts/Warnings",
+    "Attack Type",
+    "Attack Signature",
+    "Action Taken",
+    "Severity Level",
+    "User Information",
+    "Device Information",
+    "Network Segment",
+    "Geo-location Data",
+    "Proxy Information",
+    "Firewall Logs",
+    "IDS/IPS Alerts",
+    "Log Source",
+    "Emit_Timestamp",
+]
 NOT_TEXT = {
     "Source Port": T.IntegerType(),
     "Destination Port": T.IntegerType(),
@@ -56,7 +56,6 @@ ARRIVAL_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-STORE_SCHEMA = T.StructType([*EVENT_SCHEMA, *ARRIVAL_SCHEMA])
 
 #: Event columns followed by those that scoring adds.
 SCORED_SCHEMA = T.StructType(

@@ -1,8 +1,9 @@
-"""Lifetime totals of a stream, kept incrementally instead of re-reading the log at every refresh."""
+"""Lifetime totals of a stream over groups of a bounded number, kept as streaming state.
 
-from __future__ import annotations
+``totals`` keeps what has more groups, and what isn't a grouped sum, without state.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -38,28 +39,18 @@ def start_snapshots(
     folder: str,
     checkpoint: str,
     every: str | None = None,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
     keep: int = KEPT,
 ) -> StreamingQuery:
     """Write the aggregate after every micro-batch as a snapshot of its own, and keep the last ``keep``.
 
-    ``totals`` is a grouped stream; ``cut`` keeps of it what readers need, so that a state with many keys is
-    not written out whole each time. Readers of an older snapshot are not disturbed, and a batch delivered
-    again rewrites the same one.
+    ``totals`` is a grouped stream, every group of which is written each time. Readers of an older snapshot are not disturbed,
+    and a batch delivered again rewrites the same one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        target = f"{folder}/stream_id={stream_id}/snapshot={batch_id}"
-        if cut is None:
-            batch.write.mode("overwrite").parquet(target)
-        else:
-            batch.persist()  # a cut may read the batch more than once, the state must be read once
-            try:
-                cut(batch).write.mode("overwrite").parquet(target)
-            finally:
-                batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{folder}/stream_id={stream_id}/snapshot={batch_id}")
         prune_snapshots(spark, folder, keep)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}

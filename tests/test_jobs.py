@@ -35,7 +35,7 @@ def test_features_then_training(spark, paths):
 def test_training_without_a_feature_pipeline_skips_the_second_forest(spark, paths, tmp_path, monkeypatch):
     from vigilog.plans.training import train_code_forest
 
-    monkeypatch.setattr(jobs, "train_code_forest", lambda rows, trees, depth, folder: train_code_forest(rows, trees=2, depth=2, folder=folder))
+    monkeypatch.setattr(jobs, "train_code_forest", lambda rows, trees, folder: train_code_forest(rows, trees=2, folder=folder))
 
     assert set(jobs.run_training(spark, paths["log"], str(tmp_path / "models"))) == {"scorer"}
 

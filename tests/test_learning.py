@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -5,7 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vigilog.operators import evaluation, forests, splitting
-from vigilog.operators.forests import PREDICTED, CodeForest, add_votes, load_forest
+from vigilog.operators import trees as growing
+from vigilog.operators.forests import PREDICTED, CodeForest, load_forest
 from vigilog.operators.scoring import CONFIDENCE, confidence_pct, score_events
 from vigilog.plans import queries
 from vigilog.plans.event_view import VIEW, sec_all, sec_complete
@@ -20,7 +22,7 @@ def featured(events):
 
 @pytest.fixture(scope="module")
 def coded(events):
-    return train_code_forest(sec_all(events), VIEW, key="event_id", trees=5, depth=4)
+    return train_code_forest(sec_all(events), VIEW, key="event_id", trees=5)
 
 
 def test_hash_split_depends_on_the_key_alone(events):
@@ -89,10 +91,6 @@ def test_the_hold_out_rows_are_exactly_a_fifth(events, coded):
     assert coded.scored.count() == 200 and events.count() == 1000
 
 
-def test_codes_enter_the_forest_as_plain_numbers(coded):
-    assert "in {" not in coded.pipeline.part(coded.pipeline.parts[0][0]).toDebugString
-
-
 def test_scored_rows_carry_what_the_model_saw(spark, events, coded):
     odd = sec_all(events).limit(1).withColumns(
         {VIEW.protocol: F.lit("zzz"), VIEW.anomaly: F.lit("bad"), VIEW.packet_length: F.lit(None).cast("string")}
@@ -106,7 +104,7 @@ def test_a_category_without_labels_gets_code_0(spark, events, coded, tmp_path):
     folder, forest = str(tmp_path / "forest"), coded.pipeline
     forest.labels(spark).filter(F.col("column") != VIEW.protocol).write.parquet(f"{folder}/labels")
     for name, *_ in forest.parts:
-        forest.part(name).write().save(f"{folder}/{name}")
+        spark.read.parquet(f"{forest.folder}/{name}").write.parquet(f"{folder}/{name}")
     given = sec_all(events).limit(20)
     scored = score_events(given, CodeForest(folder, forest.classes, forest.parts), VIEW)
     assert {r.protocol_enc for r in scored.collect()} == {0}
@@ -120,28 +118,74 @@ def test_a_forest_is_read_from_its_folder(spark, events, coded, rows):
     assert rows(score_events(sec_all(events), loaded, VIEW), *columns) == rows(score_events(sec_all(events), coded.pipeline, VIEW), *columns)
 
 
-def test_parts_and_passes_vote_as_one_forest(spark, events, coded, rows, monkeypatch):
-    """Trees of two batches, scored in one pass and in one pass for each part."""
-    monkeypatch.setattr(forests, "MOST_BATCH", 2)
-    split = train_code_forest(sec_all(events), VIEW, key="event_id", trees=6, depth=3).pipeline
-    assert [t for _, t, _ in split.parts] == [2, 2, 2]
+def test_every_tree_learns_its_bag_by_heart(spark, rows):
+    """Without a depth limit a tree of rows with different features has all of its own bag right."""
+    table = spark.range(400).select(F.col("id").alias("row"), (F.col("id") * 37 % 400).cast("double").alias("f0"), (F.col("id") % 20).cast("double").alias("f1"),
+                                    (F.xxhash64("id") % 3 + 2).cast("int").alias("label"))
+    table = table.withColumn("label", F.pmod("label", F.lit(5)).cast("int"))
+    groups = growing.fit_trees(table, ["f0", "f1"], 5, range(3), 7, "", False).collect()
+    for row in groups:
+        group, bag = growing.Group(row.asDict(), 5), table.withColumn("w", growing.bag_weight(F.col("row"), F.lit(row.tree), 7)).filter("w > 0").collect()
+        x = np.array([[r.f0, r.f1] for r in bag])
+        votes = np.zeros((len(x), 5))
+        group.vote(x, votes)
+        assert votes.argmax(1).tolist() == [r.label for r in bag] and votes.max() == 1 and 200 < len(bag) < 300
+        assert len(group.feature) == row.nodes and (group.feature >= 0).sum() * 2 + 1 == row.nodes
+
+
+def test_rows_that_cannot_be_parted_share_a_leaf():
+    x, y, w = np.array([[1.0], [1.0], [1.0], [2.0]]), np.array([0, 1, 1, 2]), np.array([1.0, 1.0, 2.0, 5.0])
+    *nodes, shares = growing.grown(x, y, w, 3, 1, np.random.default_rng(0))
+    assert [n.tolist() for n in nodes] == [[0, -1, -1], [1.5, 0.0, 0.0], [1, 0, 0], [-1, -1, 2]] or nodes[0].tolist() == [0, -1, -1]
+    assert shares.tolist() == [[0.25, 0.75, 0.0]]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_splits_against_trying_every_threshold(seed):
+    rng = np.random.default_rng(seed)
+    x, y, w = rng.integers(0, 6, (60, 3)).astype(float), rng.integers(0, 4, 60), rng.integers(1, 4, 60).astype(float)
+    node = rng.integers(0, 4, 60)
+    counts = np.bincount(node * 4 + y, weights=w, minlength=16).reshape(4, 4)
+    column, cut, parted = growing._best_splits(x, y, w, node, counts, np.tile([0, 1, 2], (4, 1)), 3)
+
+    def gini(rows):
+        shares = np.bincount(y[rows], weights=w[rows]) / w[rows].sum()
+        return w[rows].sum() * (1 - (shares**2).sum())
+
+    for n in range(4):
+        own = np.flatnonzero(node == n)
+        tried = [(gini(own[x[own, c] <= v]) + gini(own[x[own, c] > v])) for c in range(3) for v in np.unique(x[own, c])[:-1]]
+        got = gini(own[x[own, column[n]] <= cut[n]]) + gini(own[x[own, column[n]] > cut[n]])
+        assert parted[n] and got == pytest.approx(min(tried))
+
+
+def test_batches_and_seeds(spark, events, rows, monkeypatch):
+    """Trees of several batches are those of one, and a seed repeats them in any layout."""
     columns = ["event_id", PREDICTED, CONFIDENCE]
-    once = rows(score_events(sec_all(events), split, VIEW), *columns)
-    monkeypatch.setattr(forests, "NODE_BYTES", 1e15)
-    assert rows(score_events(sec_all(events), split, VIEW), *columns) == once
-
-
-def test_votes_are_those_of_the_whole_forest(spark, events):
-    trained = train_code_forest(sec_all(events), VIEW, key="event_id", trees=5, depth=4).pipeline
-    whole = RandomForestClassificationModel.load(f"{trained.folder}/{trained.parts[0][0]}")
-    from pyspark.ml.linalg import Vectors
-
-    rows = spark.createDataFrame([(Vectors.dense([1030.0, 9.0, 100.0, float(i), 0.0, 1.0, 1.0, 1.0]),) for i in range(50)], ["features"])
-    ours = add_votes(rows, trained).select("votes").collect()
-    theirs = whole.transform(rows).select("rawPrediction", "probability").collect()
-    for a, b in zip(ours, theirs, strict=True):
-        assert a.votes == pytest.approx(list(b.rawPrediction))
-        assert [v / trained.trees for v in a.votes] == pytest.approx(list(b.probability))
+    log = sec_all(events)
+    once = train_code_forest(log, VIEW, key="event_id", trees=4).pipeline
+    monkeypatch.setattr(forests, "BATCH_ROWS", 1)
+    again = train_code_forest(log, VIEW, key="event_id", trees=4).pipeline
+    assert [t for _, t, _ in again.parts] == [1, 1, 1, 1] and once.trees == 4
+    assert rows(score_events(log, once, VIEW), *columns) == rows(score_events(log, again, VIEW), *columns)
+
+
+def test_a_forest_too_large_to_send_votes_the_same(spark, events, coded, rows, monkeypatch):
+    columns = ["event_id", PREDICTED, CONFIDENCE]
+    sent = rows(score_events(sec_all(events), coded.pipeline, VIEW), *columns)
+    monkeypatch.setattr(forests, "SENT_BYTES", 0)
+    assert rows(score_events(sec_all(events), coded.pipeline, VIEW), *columns) == sent
+
+
+def test_trees_that_begin_as_sparks(spark, events, monkeypatch):
+    """With few rows to a task each tree has a first tree, its groups are small, and it still learns its bag."""
+    monkeypatch.setattr(growing, "LOCAL_ROWS", 100)
+    log = sec_all(events)
+    forest = train_code_forest(log, VIEW, key="event_id", trees=3).pipeline
+    assert forest.first_trees and forest.groups(spark).groupBy("tree").count().filter("count > 4").count() == 3
+    scored = score_events(log, load_forest(spark, forest.folder), VIEW)
+    right = scored.filter(F.col(PREDICTED) == F.coalesce(F.col(VIEW.attack), F.lit("Unknown"))).count()
+    assert scored.count() == 1000 and right > 650  # a row is in the bag of most trees if it is a training row
 
 
 def test_forest_survives_saving(spark, featured, tmp_path):

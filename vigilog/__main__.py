@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 
-from vigilog.operators.forests import CODE_DEPTH, TREES
+from vigilog.operators.forests import TREES
 from vigilog.plans import jobs
 from vigilog.session import build_session
 
@@ -32,7 +32,6 @@ def arguments() -> argparse.Namespace:
     stage("features", "fit and save the feature pipeline", "source", "models")
     train = stage("train", "train, evaluate and save the classifiers", "source", "models")
     train.add_argument("--trees", type=int, default=TREES, help="trees of either forest")
-    train.add_argument("--depth", type=int, default=CODE_DEPTH, help="levels of the code forest")
     charts = stage("dashboard", "every dashboard dataset as Parquet", "source", "output")
     charts.add_argument("--models", help="use the model saved there")
     charts.add_argument("--snapshots", help="take the counts from the live snapshots there")

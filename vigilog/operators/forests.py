@@ -1,24 +1,20 @@
-"""The two attack classifiers. Both forests are Spark ML's: trees grow level by level across executors.
-
-On every level each partition sends statistics for all open nodes (a few KB per node, the trees of a batch times up to
-2^depth nodes), so that shuffle grows with the number of partitions. The input's own partitions are used, unless
-they are fewer than the cores.
-"""
+"""The two attack classifiers: Spark ML's forest on scaled vectors, and one of trees without a depth limit on category codes."""
 
 from __future__ import annotations
 
-import gc
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilog.operators.features import LABEL
+from vigilog.operators import trees as growing
 from vigilog.operators.labels import label_table, look_up
 from vigilog.operators.splitting import SEED
 from vigilog.schema import EVENT, EventColumns
@@ -26,17 +22,19 @@ from vigilog.session import work_folder, written
 
 TREES = 50
 
-#: Levels of the code forest, Spark's limit. Every level is a pass over the rows.
-CODE_DEPTH = 30
-
 #: Classes a forest may have: every node holds a count for each.
 MOST_CLASSES = 1000
 
 PREDICTED = "Predicted_Attack"
 
-#: What a node of a saved forest takes on the driver, and one that is being grown; with the share of the heap they may take.
-NODE_BYTES, GROWING_BYTES, HEAP_SHARE = 300, 1500, 0.3
-MOST_BATCH = 10
+#: Rows of all bags that are dealt at once; the trees of a batch.
+BATCH_ROWS = 1_000_000_000
+
+#: A forest is broadcast up to this size; beyond it rows and trees meet in a shuffle.
+SENT_BYTES = 256 << 20
+
+#: Parts in which the rows of a leaf are dealt in that shuffle.
+PARTS = 8
 
 
 def code_columns(cols: EventColumns = EVENT) -> list[str]:
@@ -51,26 +49,29 @@ def fit_feature_forest(featured: DataFrame, trees: int = TREES, seed: int = SEED
 
 @dataclass(frozen=True)
 class CodeForest:
-    """A forest on shared storage: its label table, the names of its classes, and its trees in parts of (folder name, trees, nodes)."""
+    """A forest on shared storage: its label table, the names of its classes, and its trees in parts of (folder name, trees, bytes).
+
+    ``first_trees`` says whether every tree begins as a saved one of Spark ML's, whose leaves the groups hang from.
+    """
 
     folder: str
     classes: list[str]
     parts: list[tuple[str, int, int]] = field(default_factory=list)
+    first_trees: bool = False
 
     @property
     def trees(self) -> int:
         return sum(trees for _, trees, _ in self.parts)
 
     @property
-    def nodes(self) -> int:
-        return sum(nodes for _, _, nodes in self.parts)
+    def size(self) -> int:
+        return sum(size for _, _, size in self.parts)
 
     def labels(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.folder}/labels")
 
-    def part(self, name: str) -> RandomForestClassificationModel:
-        model = RandomForestClassificationModel.load(f"{self.folder}/{name}")
-        return model.setFeaturesCol("features").setRawPredictionCol("raw").setProbabilityCol("").setPredictionCol("")
+    def groups(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(growing.GROUP_SCHEMA).parquet(*[f"{self.folder}/{name}" for name, *_ in self.parts])
 
 
 def load_forest(spark: SparkSession, folder: str) -> CodeForest:
@@ -78,32 +79,14 @@ def load_forest(spark: SparkSession, folder: str) -> CodeForest:
     return CodeForest(**about | {"folder": folder, "parts": [tuple(p) for p in about["parts"]]})
 
 
-def _heap(spark: SparkSession) -> float:
-    """Bytes of the driver's heap that nodes may take."""
-    return spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() * HEAP_SHARE
-
-
-def _spread(rows: DataFrame) -> DataFrame:
-    """The rows in as many partitions as there are cores, if they have fewer."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, F.xxhash64(*rows.columns))
-
-
 def fit_code_forest(
-    filled: DataFrame,
-    cols: EventColumns = EVENT,
-    trees: int = TREES,
-    seed: int = SEED,
-    depth: int = CODE_DEPTH,
-    folder: str | None = None,
-    batch: int | None = None,
+    filled: DataFrame, cols: EventColumns = EVENT, trees: int = TREES, seed: int = SEED, folder: str | None = None
 ) -> CodeForest:
-    """The forest on numbers and alphabetical category codes, written to ``folder``.
+    """The forest on numbers and alphabetical category codes, written to ``folder``; its trees grow until nothing is left to part.
 
-    ``filled`` follows the fill policy. The codes enter as plain numbers, not as nominal categories. Trees grow in batches
-    of ``batch``, as many as the driver's heap holds if all rows were leaves, and at most ``MOST_BATCH``; the node of every
-    row is cached, and checkpointed where the session has a folder for it. A finished batch is saved and leaves the
-    driver, so its memory doesn't grow with the number of trees.
+    ``filled`` follows the fill policy. The codes enter as plain numbers, not as nominal categories. Trees grow in batches,
+    as many at once as their bags have ``BATCH_ROWS`` rows together. A finished batch is a table in the folder; no tree is ever on the
+    driver. How trees grow, and what bounds a task, is told in ``trees``.
     """
     spark = filled.sparkSession
     folder = folder or work_folder(spark, "code-forest")
@@ -118,57 +101,94 @@ def fit_code_forest(
     coded = filled
     for column, code in zip([*cols.categorical, cols.attack], [*codes, LABEL]):
         coded = look_up(coded, labels, column, code)
-    vectors = VectorAssembler(inputCols=[*cols.numeric, *codes], outputCol="features").transform(coded)
-    rows = written(_spread(vectors.select("features", F.col(LABEL).cast("double").alias(LABEL))), "coded")
-    nominal = {"ml_attr": {"type": "nominal", "name": LABEL, "num_vals": len(classes)}}
-    rows = rows.withMetadata(LABEL, nominal)
-
-    if batch is None:
-        batch = max(1, min(MOST_BATCH, int(_heap(spark) / (GROWING_BYTES * max(1, rows.count())))))
-    parts = []
-    for first in range(0, trees, batch):
-        grown = RandomForestClassifier(
-            featuresCol="features", labelCol=LABEL, numTrees=min(batch, trees - first), seed=seed + first, maxDepth=depth, cacheNodeIds=True
-        )
-        model = grown.fit(rows)
-        name = f"trees-{first}"
-        model.write().overwrite().save(f"{folder}/{name}")
-        parts.append((name, model.getNumTrees, model.totalNumNodes))
-        del model
-        gc.collect()
-    forest = CodeForest(folder, classes, parts)
+    features = [f"f{i}" for i in range(len(cols.numeric) + len(codes))]
+    numbers = [F.col(c).cast("double").alias(f) for f, c in zip(features, [*cols.numeric, *codes])]
+    rows = written(coded.select(F.monotonically_increasing_id().alias("row"), *numbers, F.col(LABEL).cast("int").alias("label")), "coded")
+
+    n = rows.count()
+    first_trees, parts = n > growing.LOCAL_ROWS, []
+    batch = max(1, min(trees, BATCH_ROWS // max(1, n)))
+    for start in range(0, trees, batch):
+        some = range(start, min(start + batch, trees))
+        growing.fit_trees(rows, features, len(classes), some, seed, folder, first_trees).write.mode("overwrite").parquet(f"{folder}/trees-{start}")
+        held = spark.read.parquet(f"{folder}/trees-{start}").agg(F.sum(F.col("nodes").cast("bigint") * 17)).first()[0] or 0
+        parts.append((f"trees-{start}", len(some), held))
+    forest = CodeForest(folder, classes, parts, first_trees)
     spark.createDataFrame([(json.dumps(asdict(forest)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/about")
     return forest
 
 
-def _passes(forest: CodeForest, spark: SparkSession) -> Iterator[list[str]]:
-    """The parts in groups that the driver can hold and send at once."""
-    most, held, size = _heap(spark) / NODE_BYTES, [], 0
-    for name, _, nodes in forest.parts:
-        if held and size + nodes > most:
-            yield held
-            held, size = [], 0
-        held.append(name)
-        size += nodes
-    yield held
+_SENT: dict[str, object] = {}
+
+
+def _sent(forest: CodeForest, spark: SparkSession):
+    """The forest's groups as a broadcast variable, made once for a session."""
+    key = f"{spark.sparkContext.applicationId} {forest.folder}"
+    if key not in _SENT:
+        _SENT.clear()  # the last one used is kept
+        _SENT[key] = spark.sparkContext.broadcast([row.asDict() for row in forest.groups(spark).collect()])
+    return _SENT[key]
+
+
+def _matrix(features: pa.Array) -> np.ndarray:
+    """The rows of an array column as rows of a matrix."""
+    return features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1) if len(features) else np.empty((0, 1))
+
+
+def _voting(sent, classes: int) -> Callable:
+    @F.arrow_udf("array<double>")
+    def votes(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        groups = [growing.Group(row, classes) for row in sent.value]
+        for part in parts:
+            x = _matrix(part)
+            found = np.zeros((len(x), classes))
+            for group in groups:
+                group.vote(x, found)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * classes), pa.array(found.ravel()))
+
+    return votes
+
+
+def _vote_groups(classes: int) -> Callable:
+    def votes(key: tuple[pa.Scalar, ...], rows: pa.Table, groups: pa.Table) -> pa.Table:
+        x = _matrix(rows.column("features").combine_chunks())
+        found = np.zeros((len(x), classes))
+        for row in groups.to_pylist():
+            growing.Group(row, classes).vote(x, found)
+        place, cls = np.nonzero(found)
+        return pa.table({"vote_row": rows.column("vote_row").take(pa.array(place)), "cls": pa.array(cls.astype(np.int32)), "share": pa.array(found[place, cls])})
+
+    return votes
 
 
 def add_votes(rows: DataFrame, forest: CodeForest) -> DataFrame:
-    """The rows with ``votes``: for each class the sum over all trees of its share of the leaf that ``features`` falls into.
+    """The rows with ``votes``: for each class the sum over all trees of its share of the leaf that the array ``features`` falls into.
 
-    A forest that the driver can't hold takes further passes; between them the rows are written, and the parts that
-    have voted are dropped. A stream has one pass, so such a forest scores inside the micro-batch.
+    A forest of up to ``SENT_BYTES`` without first trees is broadcast. Of a larger one each row meets the group of every tree in a
+    shuffle; equal votes of a row are summed before they meet. A stream can't do that, so such a forest scores micro-batches.
     """
-    passes = list(_passes(forest, rows.sparkSession))
-    if rows.isStreaming and len(passes) > 1:
+    spark, classes = rows.sparkSession, len(forest.classes)
+    if forest.size <= SENT_BYTES and not forest.first_trees:
+        return rows.withColumn("votes", _voting(_sent(forest, spark), classes)("features"))
+    if rows.isStreaming:
         raise ValueError("this forest is too large to score a stream row by row: score its micro-batches")
-    rows = rows.withColumn("votes", F.array_repeat(F.lit(0.0), len(forest.classes)))
-    for i, names in enumerate(passes):
-        for name in names:
-            voted = forest.part(name).transform(rows)
-            both = F.zip_with("votes", vector_to_array("raw"), lambda x, y: x + y)
-            rows = voted.withColumn("votes", both).drop("raw")
-        if i + 1 < len(passes):
-            rows = written(rows, "votes")
-            gc.collect()
-    return rows
+    kept = written(rows.withColumn("vote_row", F.monotonically_increasing_id()), "votes")
+    asked = kept.select("vote_row", "features", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree"), F.lit(0).cast("bigint").alias("leaf"))
+    if forest.first_trees:
+        width = range(len(kept.select("features").first()[0])) if not kept.isEmpty() else range(1)
+        vectors = VectorAssembler(inputCols=[f"x{i}" for i in width], outputCol="vector").transform(
+            kept.select("vote_row", "features", *[F.get("features", F.lit(i)).alias(f"x{i}") for i in width])
+        ).select("vote_row", "features", "vector")
+        asked = None
+        for tree in range(forest.trees):
+            top = RandomForestClassificationModel.load(f"{forest.folder}/top-{tree}").setFeaturesCol("vector")
+            found = growing.leaf_of(top, vectors).select("vote_row", "features", F.lit(tree).alias("tree"), "leaf")
+            asked = found if asked is None else asked.unionByName(found)
+    # A leaf that most rows fall into is dealt in parts: each of them meets a copy of its group.
+    salted = asked.withColumn("part", F.pmod("vote_row", F.lit(PARTS)).cast("int"))
+    copies = forest.groups(spark).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    keys = ["tree", "leaf", "part"]
+    shares = salted.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(_vote_groups(classes), "vote_row bigint, cls int, share double")
+    summed = shares.groupBy("vote_row", "cls").agg(F.sum("share").alias("share")).groupBy("vote_row").agg(F.map_from_entries(F.collect_list(F.struct("cls", "share"))).alias("shares"))
+    votes = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: F.coalesce(F.try_element_at("shares", i.cast("int")), F.lit(0.0)))
+    return kept.join(summed, "vote_row").withColumn("votes", votes).drop("vote_row", "shares")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +66,8 @@ def score_events(events: DataFrame, scorer: CodeForest | None, cols: EventColumn
     codes = code_columns(cols)
     labels = scorer.labels(events.sparkSession)
     coded = coded_events(events, labels, cols)
-    voted = add_votes(VectorAssembler(inputCols=[*cols.numeric, *codes], outputCol="features").transform(coded), scorer)
+    vector = F.array(*[F.col(c).cast("double") for c in [*cols.numeric, *codes]]).alias("features")
+    voted = add_votes(coded.select(*events.columns, *codes, vector), scorer)
     winner = F.array_position("votes", F.array_max("votes"))
     predicted = F.get(F.array(*[F.lit(name) for name in scorer.classes]), (winner - 1).cast("int"))
     return voted.select(*events.columns, *codes, predicted.alias(PREDICTED), confidence_pct(F.col("votes"), scorer.trees).alias(CONFIDENCE))

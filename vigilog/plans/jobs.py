@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.casts import NA_TOKENS, blank_tokens
-from vigilog.operators.forests import CODE_DEPTH, TREES, CodeForest, load_forest
+from vigilog.operators.forests import TREES, CodeForest, load_forest
 from vigilog.operators.cleaning import complete_cases
 from vigilog.operators.evaluation import printed_report
 from vigilog.operators.features import feature_sample, fit_features
@@ -127,7 +127,6 @@ def run_training(
     source: str,
     models: str,
     trees: int = TREES,
-    depth: int = CODE_DEPTH,
     multiline: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Train and save both classifiers; returns their reports. The second needs the saved feature pipeline.
@@ -136,7 +135,7 @@ def run_training(
     """
     text = learning_text(spark, source, multiline)
     version = new_version(spark, f"{models}/{SCORER}")
-    coded = train_code_forest(learning_rows(text, NA_TOKENS), trees=trees, depth=depth, folder=version)
+    coded = train_code_forest(learning_rows(text, NA_TOKENS), trees=trees, folder=version)
     commit_version(spark, version)
     reports = {SCORER: printed_report(coded.confusion)}
 

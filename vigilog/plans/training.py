@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vigilog.operators.cleaning import complete_cases, fill_missing
 from vigilog.operators.evaluation import confusion
 from vigilog.operators.features import LABEL, fit_features
-from vigilog.operators.forests import CODE_DEPTH, PREDICTED, TREES, CodeForest, fit_code_forest, fit_feature_forest
+from vigilog.operators.forests import PREDICTED, TREES, CodeForest, fit_code_forest, fit_feature_forest
 from vigilog.operators.scoring import score_events
 from vigilog.operators.splitting import exact_split, hash_split
 from vigilog.schema import EVENT, EventColumns
@@ -70,7 +70,6 @@ def train_code_forest(
     cols: EventColumns = EVENT,
     key: str | None = None,
     trees: int = TREES,
-    depth: int = CODE_DEPTH,
     folder: str | None = None,
 ) -> Trained:
     """The forest on category codes, under the fill policy: the model that scores live events.
@@ -78,6 +77,6 @@ def train_code_forest(
     The hold-out rows are exactly a fifth, rounded up. The forest is written to ``folder``, else to the work folder.
     """
     train, test = exact_split(fill_missing(events, cols).select(*learning_columns(cols, key)), key)
-    scorer = fit_code_forest(train, cols, trees, depth=depth, folder=folder)
+    scorer = fit_code_forest(train, cols, trees, folder=folder)
     scored = written(score_events(test, scorer, cols), "scored")
     return Trained(scorer, None, scored, confusion(scored, cols.attack, PREDICTED))

@@ -23,13 +23,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, the one with the smallest id; of rows that repeat an id, one.
+    """Keeps one row of each group, the one with the smallest id, a null id being the largest.
 
-    Rows without an id are in no group and stay.
+    Groups are of rows, not of ids: a row is known by its id and text, so rows that share an id, or have none, stay unless their
+    texts are near copies of one that stays. Of rows equal in both one stays.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("string"), F.col("text").isNull(), "text")
+    keyed = docs.withColumn("row_key", key)
+    found = near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    ids = keyed.select("row_key", "doc_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first")
+    kept = found.join(ids, "row_key").groupBy("component_id").agg(first).select(F.col("first.row_key").alias("row_key"))
+    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

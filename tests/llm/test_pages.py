@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import html
+import random
 import re
+import time
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from llm_helpers import LLM_SMALL
@@ -152,6 +155,49 @@ def test_pruning_and_the_index_against_brute_force(spark):
     assert {r.url for r in ur.matched(urls, kept).collect()} == want
 
 
+def brute_rules(rows, least, confidence):
+    """Every combination of tokens that can be part of a rule, counted over all rows; of tokens in the same rows the first."""
+    n_bad = sum(bad for _, bad in rows)
+    where = {t: frozenset(i for i, (tokens, _) in enumerate(rows) if t in tokens) for t in set().union(*(r[0] for r in rows))}
+    bad = frozenset(i for i, r in enumerate(rows) if r[1])
+    useful = [t for t, own in where.items() if len(own & bad) >= least and len(own & bad) * len(rows) >= ur.LIFT * n_bad * len(own)]
+    useful = sorted(min(t for t in useful if where[t] == own) for own in {where[t] for t in useful})
+    out = set()
+    for k in range(1, len(useful) + 1):
+        for some in combinations(useful, k):
+            own = frozenset.intersection(*(where[t] for t in some))
+            if len(own & bad) >= least and len(own & bad) >= confidence * len(own):
+                out.add((some, round(len(own & bad) / len(own), 9), round(len(own & bad) / len(rows), 9)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mining_against_counting_every_combination(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(400):
+        tokens = {t for t in "abcdefgh" if rng.random() < 0.4} | {"all"}
+        tokens |= {"twin"} if "a" in tokens else set()
+        rows.append((sorted(tokens), rng.random() < (0.8 if {"a", "b"} <= tokens else 0.1 + 0.2 * ("c" in tokens))))
+    found = ur.mined_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), support=0.0, confidence=0.3).collect()
+    want = brute_rules([(set(t), b) for t, b in rows], ur.LEAST_URLS, 0.3)
+    assert {(tuple(r.tokens), round(r.confidence, 9), round(r.support, 9)) for r in found} == want and len(want) > 1
+
+
+def test_long_paths_do_not_explode(spark):
+    """Twenty common segments in each URL, some of them missing here and there; one host is bad."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        segments = [f"s{j}" for j in range(20) if rng.random() < 0.9]
+        rows.append((i, f"https://{'bad' if i % 5 == 0 else f'site{i % 7}'}.example.net/en/{'/'.join(segments)}/{i}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 5 != 0).cast("int").alias("quality"))
+    began = time.perf_counter()
+    verdicts = ur.url_verdicts(pages, labels).collect()
+    assert all((r.verdict == "block") == (r.page_id % 5 == 0) for r in verdicts) and time.perf_counter() - began < 60
+
+
 def test_url_table_without_rows(spark, labels):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert ur.url_verdicts(pages, labels).count() == 0

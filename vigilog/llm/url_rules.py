@@ -1,8 +1,11 @@
 """URL verdicts: listed rules first, then association rules between URL tokens and bad labels.
 
-Spark's FP-growth mines token combinations from the labelled URLs. A rule "these tokens, then bad" is kept if it reaches the
-support and confidence, and dropped if a rule with fewer of its tokens is as confident. Kept rules are matched by an
-inverted index: a rule is posted under its rarest token, and a URL with that token is held against the whole rule.
+Spark's FP-growth mines token combinations from the bad ones among the labelled URLs. Two things come before it, without which the
+tokens of long paths make every subset a combination: tokens that stand in the same labelled URLs are one token, the first by
+name, and a token takes part only if bad URLs are ``LIFT`` times as frequent with it as among all, so none that most URLs
+have does. A rule "these tokens, then bad" is kept if it reaches the support and confidence over all labelled URLs, and dropped
+if a rule with fewer of its tokens is as confident. Combinations and rules are held against URLs by an inverted index: each
+is posted under its rarest token, and a URL with that token is held against the whole.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from vigilog.llm.shared import stored, work_folder
 SUPPORT = 0.002
 CONFIDENCE = 0.6
 LEAST_URLS = 10  # bad URLs behind a rule
-BAD = "label=bad"
+LIFT = 1.25  # of a token by itself
 NUMBER = "#"
 
 
@@ -73,13 +76,42 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.array_compact(parts))
 
 
+def useful_tokens(held: DataFrame, n: int, n_bad: int, least: float) -> DataFrame:
+    """The tokens that can be part of a rule, from rows of ``id``, ``token`` and ``bad``; of those in the same URLs the first by name."""
+    mark = F.xxhash64("id").cast("decimal(38,0)")
+    sets = held.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), F.sum(mark).alias("sum"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("xor"))
+    useful = sets.where((F.col("n_bad") >= least) & (F.col("n_bad") * n >= F.lit(LIFT * n_bad) * F.col("n")))
+    return useful.groupBy("n", "sum", "xor").agg(F.min("token").alias("token")).select("token")
+
+
 def mined_rules(tokens: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """``tokens`` (sorted), ``confidence`` and ``support`` of the kept rules, from rows with ``tokens`` and ``bad``."""
-    items = tokens.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
-    least = LEAST_URLS / max(1, items.count())
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least)), minConfidence=confidence).fit(items)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    return rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    folder = work_folder(tokens.sparkSession, "url-mining")
+    rows = stored(tokens.select(F.monotonically_increasing_id().alias("id"), "tokens", "bad"), folder, "rows")
+    n, n_bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    least = max(LEAST_URLS, support * n)
+    held = rows.select("id", "bad", F.explode("tokens").alias("token"))
+    held = stored(held.join(useful_tokens(held, n, n_bad, least), "token", "left_semi"), folder, "held")
+    items = held.where("bad").groupBy("id").agg(F.collect_list("token").alias("items"))
+    items = stored(items.select("items"), folder, "items")
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, least / max(1, items.count()))).fit(items).freqItemsets
+    sets = stored(found.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n_bad")).where(F.col("n_bad") >= least), folder, "sets")
+    good = held.where("not bad").groupBy("id").agg(F.collect_list("token").alias("tokens"))
+    counted = holding(good, sets.withColumn("rule", F.concat_ws(" ", "tokens")), "id").groupBy("rule").agg(F.count("*").alias("n_good"))
+    rules = sets.join(counted, F.concat_ws(" ", "tokens") == F.col("rule"), "left").fillna(0, ["n_good"])
+    shares = rules.select("tokens", (F.col("n_bad") / (F.col("n_bad") + F.col("n_good"))).alias("confidence"), (F.col("n_bad") / n).alias("support"))
+    return shares.where(F.col("confidence") >= confidence)
+
+
+def holding(urls: DataFrame, rules: DataFrame, key: str) -> DataFrame:
+    """``key`` and ``rule`` for every row of ``urls`` (``key`` and ``tokens``) that holds all ``tokens`` of a ``rule``."""
+    wanted = rules.select("rule", F.col("tokens").alias("wanted"), F.explode("tokens").alias("token"))
+    held = urls.select(key, "tokens", F.explode("tokens").alias("token"))
+    counts = held.join(wanted.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    order = F.struct(F.coalesce("n", F.lit(0)), "token")
+    rarest = wanted.join(counts, "token", "left").groupBy("rule").agg(F.min_by(F.struct("token", "wanted"), order).alias("x"))
+    index = rarest.select("rule", "x.token", "x.wanted")
+    return held.join(index, "token").where(F.size(F.array_except("wanted", "tokens")) == 0).select(key, "rule")
 
 
 def pruned(rules: DataFrame) -> DataFrame:
@@ -96,12 +128,7 @@ def pruned(rules: DataFrame) -> DataFrame:
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``url`` and ``matched`` (the most confident rule) of the URLs, rows of ``url`` and ``tokens``, that hold a whole rule."""
-    wanted = rules.select("rule", "confidence", F.col("tokens").alias("wanted"), F.explode("tokens").alias("token"))
-    held = urls.select("url", "tokens", F.explode("tokens").alias("token"))
-    counts = held.join(wanted.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
-    rarest = wanted.join(counts, "token", "left").groupBy("rule").agg(F.min_by(F.struct("token", "wanted", "confidence"), F.struct(F.coalesce("n", F.lit(0)), "token")).alias("x"))
-    index = rarest.select("rule", "x.token", "x.wanted", "x.confidence")
-    hits = held.join(index, "token").where(F.size(F.array_except("wanted", "tokens")) == 0)
+    hits = holding(urls, rules, "url").join(rules.select("rule", "confidence"), "rule")
     return hits.groupBy("url").agg(F.max_by("rule", F.struct("confidence", "rule")).alias("matched"))
 
 

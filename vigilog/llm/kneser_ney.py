@@ -12,8 +12,10 @@ bits of the key, so a reader knows the file of a key without any list of files.
 Grams of every order are sharded by the last word of their context, so a shard knows the whole of a context and all words
 before a gram: the lower orders are counted where the highest one is merged. A last word with more than 1 in ``HOT`` of
 all tokens is spread over all shards by the word that follows; the sums of its contexts are dealt once more, by context.
-Workers map the arrays into memory and look up the sorted keys of a slice of texts at once. Before a text stand as many
-begin tokens as a context has words.
+A shard's file holds keys in 6 bytes, those counted once without a value and the values of the others in a byte each.
+Workers map it into memory and look up the sorted keys of a slice of texts at once. Before a text stand as many
+begin tokens as a context has words; a gram that begins with one of them counts, like all others, once for each
+different token before it, so at the lower orders once, however many texts begin with it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -120,8 +123,15 @@ def _by_shard(keys: Array, bits: int) -> Iterator[tuple[int, slice]]:
             yield int(shards[a]), slice(a, b)
 
 
+def _planes(values: Array) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: bytes that are mostly 0 compress to next to nothing."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
 def _packed(*arrays: Array) -> bytes:
-    data = np.array([len(arrays), *(x.nbytes for x in arrays)], dtype="<u8").tobytes() + b"".join(x.tobytes() for x in arrays)
+    """Arrays of 4 or 8 bytes a number; those of 8 as differences, since keys are sorted."""
+    parts = [_planes(np.diff(x, prepend=np.zeros(1, x.dtype)) if x.itemsize == 8 else x) for x in arrays]
+    data = np.array([len(arrays), *map(len, parts)], dtype="<u8").tobytes() + b"".join(parts)
     return pa.compress(data, codec="zstd", asbytes=True) + len(data).to_bytes(8, "little")
 
 
@@ -129,7 +139,10 @@ def _unpacked(blob: bytes, kinds: str) -> list[Array]:
     data = pa.decompress(blob[:-8], int.from_bytes(blob[-8:], "little"), codec="zstd", asbytes=True)
     sizes, at, out = np.frombuffer(data, "<u8", len(kinds) + 1)[1:], 8 * (len(kinds) + 1), []
     for kind, size in zip(kinds, sizes.tolist(), strict=True):
-        out.append(np.frombuffer(data, {"k": "<u8", "n": "<u4"}[kind], size // {"k": 8, "n": 4}[kind], at))
+        width = {"k": 8, "n": 4}[kind]
+        planes = np.frombuffer(data, np.uint8, size, at).reshape(width, -1)
+        values = np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1)
+        out.append(np.cumsum(values, dtype="<u8") if kind == "k" else values)
         at += size
     return out
 
@@ -174,7 +187,8 @@ def _count_grams(order: int, bits: int, hot: Array) -> Callable:
                 own = [x[span] for x in columns]
                 by_pair = np.argsort((own[1].astype(np.uint64) << np.uint64(32)) | own[0])  # equal words side by side
                 known, places = np.unique(np.concatenate([x[by_pair] for x in own]), return_inverse=True)  # a word is written once
-                rows.append((shard, _packed(words[known], places.astype("<u4"), counts[span][by_pair].astype("<u4"))))
+                places = np.diff(places.reshape(order, -1).astype("<u4"), prepend=np.zeros((order, 1), "<u4"), axis=1)
+                rows.append((shard, _packed(words[known], places.reshape(-1), counts[span][by_pair].astype("<u4"))))
             yield _rows(rows)
 
     return count
@@ -185,20 +199,39 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
         yield from zip(batch.column("shard").to_pylist(), batch.column("blob").to_pylist(), strict=True)
 
 
-def _save(folder: str, name: str, keys: Array, *values: Array) -> None:
+def _key_table(keys: Array, bits: int) -> tuple[Array, ...]:
+    """Sorted keys of a shard in 6 bytes each: where the keys of each bucket, given by the bits after the shard's, begin, then
+    the lower 4 and the next 2 bytes of every key. Shard and bucket give the upper 2 bytes at least.
+    """
+    own = max(1, 16 - bits, int(len(keys)).bit_length() - 5)
+    buckets = (keys << np.uint64(bits)) >> np.uint64(64 - own)
+    begins = np.searchsorted(buckets, np.arange((1 << own) + 1, dtype=np.uint64))
+    return begins.astype("<u4"), keys.astype("<u4"), (keys >> np.uint64(32)).astype("<u2")
+
+
+def _usual(columns: int) -> Array:
+    """The values of a key that was counted once: most keys have them, and are stored without."""
+    return np.array([1, 1, 0, 0][:columns], np.int64)
+
+
+def _save(folder: str, name: str, bits: int, keys: Array, *values: Array) -> None:
     """Writes a shard's arrays under a name of its own, then moves them in place, so that a repeated task does no harm.
 
-    Before them stands the number of bytes of a value, 4 if all fit.
+    First the keys with the usual values, then the others, whose values take a byte each; larger ones follow with their places.
     """
-    width = 4 if all(int(v.max(initial=0)) < 1 << 32 for v in values) else 8
+    usual = np.all([v == x for v, x in zip(values, _usual(len(values)), strict=True)], axis=0) if len(keys) else np.zeros(0, bool)
+    rest = [v[~usual].astype("<u8") for v in values]
+    arrays = [*_key_table(keys[usual], bits), *_key_table(keys[~usual], bits)]
+    for v in rest:
+        large = np.flatnonzero(v >= 255)
+        arrays += [np.minimum(v, 255).astype(np.uint8), large.astype("<u8"), v[large]]
     store, place = fs.FileSystem.from_uri(folder)
     store.create_dir(place, recursive=True)
     own = f"{place}/.{name}-{uuid.uuid4().hex}"
     with store.open_output_stream(own) as out:
-        out.write(np.array([width], "<u8").tobytes())
-        out.write(keys.astype("<u8").tobytes())
-        for v in values:
-            out.write(v.astype(f"<u{width}").tobytes())
+        out.write(np.array([bits, *map(len, arrays)], "<u8").tobytes())
+        for x in arrays:
+            out.write(x.tobytes() + bytes(-x.nbytes % 8))  # every array begins at a multiple of 8
     store.move(own, f"{place}/{name}")
 
 
@@ -221,7 +254,7 @@ def _merge_words(folder: str, name: str, bits: int) -> Callable:
         keys, counts, _ = summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64))
         rows = []
         for shard, at in _by_shard(keys, bits):
-            _save(folder, f"{name}-{shard:07d}", keys[at], counts[at])
+            _save(folder, f"{name}-{shard:07d}", bits, keys[at], counts[at])
             many = np.flatnonzero(counts[at] * HOT > counts[at].sum())
             rows.append(("shard", shard, _packed(keys[at][many], counts[at][many].astype("<u4")), *_stats(counts[at])))
         yield _merged(rows)
@@ -234,7 +267,7 @@ def _merge_grams(folder: str, order: int, bits: int, hot: Array) -> Callable:
         columns, counts = [[] for _ in range(order)], []
         for _, blob in _blobs(batches):
             known, places, n = _unpacked(blob, "knn")
-            for column, x in zip(columns, places.reshape(order, -1), strict=True):
+            for column, x in zip(columns, np.cumsum(places.reshape(order, -1), axis=1, dtype="<u4"), strict=True):
                 column.append(known[x])
             counts.append(n.astype(np.int64))
         if not counts:
@@ -257,7 +290,7 @@ def _level(folder: str, level: int, bits: int, hot: Array, keys: Array, words: A
     """Writes the grams of an order and their contexts; the sums of contexts that are spread become rows."""
     for shard, span in _by_shard(keys, bits):
         n, of = counts[span], [x[span] for x in context]
-        _save(folder, f"grams{level}-{shard:07d}", keys[span], n)
+        _save(folder, f"grams{level}-{shard:07d}", bits, keys[span], n)
         spread = found_in(hot, of[0])[1]
         rows = [(f"shard{level}", shard, b"", *_stats(n))]
         for mine in (~spread, spread):
@@ -266,7 +299,7 @@ def _level(folder: str, level: int, bits: int, hot: Array, keys: Array, words: A
             if mine is spread:
                 rows += [("context", s, _packed(np.array([level], "<u4"), own[i], *(x[i] for x in sums)), *[0] * 6) for s, i in _by_shard(own, bits)]
             else:
-                _save(folder, f"contexts{level}-{shard:07d}", own, *sums)
+                _save(folder, f"contexts{level}-{shard:07d}", bits, own, *sums)
         yield _merged(rows)
 
 
@@ -278,7 +311,7 @@ def _merge_spread(folder: str, bits: int) -> Callable:
             own, place = np.unique(keys, return_inverse=True)
             sums = [np.bincount(place, x, len(own)).astype("<u8") for x in sums]
             for shard, at in _by_shard(own, bits):
-                _save(folder, f"spread{level}-{shard:07d}", own[at], *(x[at] for x in sums))
+                _save(folder, f"spread{level}-{shard:07d}", bits, own[at], *(x[at] for x in sums))
                 yield _rows([(shard, b"")])
 
     return merge
@@ -306,20 +339,70 @@ class Counts:
         return counts - np.concatenate([[0.0], self.discounts])[np.minimum(counts, 3)]
 
 
+class Shard:
+    """A shard's file, mapped into memory."""
+
+    def __init__(self, path: str, columns: int):
+        data = np.memmap(path, np.uint8, "r")
+        kinds = ["<u4", "<u4", "<u2"] * 2 + ["u1", "<u8", "<u8"] * columns
+        self.bits, *sizes = data[: 8 * (1 + len(kinds))].view("<u8").tolist()
+        at, arrays = 8 * (1 + len(kinds)), []
+        for kind, n in zip(kinds, sizes, strict=True):
+            size = n * np.dtype(kind).itemsize
+            arrays.append(data[at : at + size].view(kind))
+            at += size + -size % 8
+        self.usual, self.rest, self.values = arrays[:3], arrays[3:6], [arrays[i : i + 3] for i in range(6, len(arrays), 3)]
+
+    def _places(self, table: list[Array], keys: Array) -> tuple[Array, Array]:
+        """Places of sorted keys in a key table, and whether they are there."""
+        begins, low, high = table
+        if not len(low):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        own = (len(begins) - 1).bit_length() - 1
+        buckets = ((keys << np.uint64(self.bits)) >> np.uint64(64 - own)).astype(np.int64)
+        at, end = begins[buckets].astype(np.int64), begins[buckets + 1].astype(np.int64)
+        wanted, last = keys & np.uint64((1 << 48) - 1), len(low) - 1
+
+        def stored_at(places: Array) -> Array:
+            return (high[places].astype("<u8") << np.uint64(32)) | low[places]
+
+        upto = end.copy()
+        for _ in range(int((end - at).max(initial=0)).bit_length()):  # halve all buckets at once
+            middle = (at + upto) >> 1
+            below = (stored_at(np.minimum(middle, last)) < wanted) & (at < upto)
+            at, upto = np.where(below, middle + 1, at), np.where(below, upto, middle)
+        places = np.minimum(at, last)
+        return places, (at < end) & (stored_at(places) == wanted)
+
+    def look_up(self, keys: Array, out: Array) -> None:
+        """Puts the values of sorted keys into the columns of ``out``; a key that isn't there leaves them."""
+        _, there = self._places(self.usual, keys)
+        out[:, there] = _usual(len(out))[:, None]
+        open_keys = np.flatnonzero(~there)
+        places, there = self._places(self.rest, keys[open_keys])
+        found, places = open_keys[there], places[there]
+        for row, (small, large, full) in zip(out, self.values, strict=True):
+            values = small[places].astype(np.int64)
+            more = np.flatnonzero(values == 255)
+            values[more] = full[np.searchsorted(large, places[more])]
+            row[found] = values
+
+
 @lru_cache(4096)
-def _mapped(folder: str, name: str, columns: int) -> tuple[Array, ...]:
-    """A shard's key and value arrays, mapped into memory; empty if there is no such shard."""
+def _mapped(folder: str, name: str, columns: int) -> Shard | None:
+    """A shard; None if there is no such one. Of a store that isn't local the workers of a host share one copy."""
     store, place = fs.FileSystem.from_uri(folder)
     path = f"{place}/{name}"
     if store.get_file_info(path).type == fs.FileType.NotFound:
-        return tuple(np.empty(0, "<u8") for _ in range(columns))
-    if not isinstance(store, fs.LocalFileSystem):  # a copy beside the worker
-        path = os.path.join(tempfile.mkdtemp(prefix="model-"), name)
-        fs.copy_files(f"{place}/{name}", path, source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
-    data = np.memmap(path, np.uint8, "r")
-    width = int(data[:8].view("<u8")[0])
-    n = (len(data) - 8) // (8 + width * (columns - 1))
-    return data[8 : 8 + 8 * n].view("<u8"), *data[8 + 8 * n :].view(f"<u{width}").reshape(columns - 1, n)
+        return None
+    if not isinstance(store, fs.LocalFileSystem):
+        own = os.path.join(tempfile.gettempdir(), f"model-{md5(folder.encode()).hexdigest()}")
+        os.makedirs(own, exist_ok=True)
+        path, part = os.path.join(own, name), os.path.join(own, f".{name}-{uuid.uuid4().hex}")
+        if not os.path.exists(path):
+            fs.copy_files(f"{place}/{name}", part, source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
+            os.replace(part, path)
+    return Shard(path, columns)
 
 
 @dataclass(frozen=True)
@@ -336,10 +419,9 @@ class Model:
         """The values of sorted keys, a row for each column; 0 for a key that isn't there."""
         out = np.zeros((columns, len(keys)), dtype=np.int64)
         for shard, at in _by_shard(keys, self.bits):
-            known, *values = _mapped(self.folder, f"{name}-{shard:07d}", columns + 1)
-            places, there = found_in(known, keys[at])
-            for row, v in zip(out, values, strict=True):
-                row[at][there] = v[places[there]]
+            known = _mapped(self.folder, f"{name}-{shard:07d}", columns)
+            if known is not None:
+                known.look_up(keys[at], out[:, at])
         return out
 
     @property

@@ -31,7 +31,7 @@ PREDICTED = "Predicted_Attack"
 BATCH_ROWS = 1_000_000_000
 
 #: A forest is broadcast up to this size; beyond it rows and trees meet in a shuffle.
-SENT_BYTES = 256 << 20
+SENT_BYTES = 96 << 20
 
 #: Parts in which the rows of a leaf are dealt in that shuffle.
 PARTS = 8

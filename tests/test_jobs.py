@@ -104,3 +104,15 @@ def test_work_folder_follows_the_session(spark):
     folder = work_folder(spark, "x")
     assert folder != work_folder(spark, "x")
     assert not shared or folder.startswith(shared.rstrip("/"))
+
+
+def test_a_job_removes_its_work_folders(spark, monkeypatch):
+    from vigilog import session
+    from vigilog.sinks.files import found
+
+    monkeypatch.setattr(session, "_MADE", [])
+    assert session.written(spark.range(3), "kept").count() == 3
+    (folder,) = session._MADE
+    assert found(spark, folder)
+    session.remove_work(spark)
+    assert not found(spark, folder) and not session._MADE

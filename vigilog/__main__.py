@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from vigilog.operators.forests import TREES
 from vigilog.plans import jobs
-from vigilog.session import build_session
+from vigilog.session import build_session, remove_work
 
 
 def arguments() -> argparse.Namespace:
@@ -51,6 +53,13 @@ def main() -> None:
     chosen = vars(arguments())
     stage = chosen.pop("stage")
     spark = build_session(f"vigilog-{stage}")
+    try:
+        run(spark, stage, chosen)
+    finally:
+        remove_work(spark)
+
+
+def run(spark: SparkSession, stage: str, chosen: dict) -> None:
     if stage == "report":
         for row in jobs.run_report(spark, **chosen).orderBy("section", "ord").collect():
             print(row.line)

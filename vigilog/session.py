@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigilog.sinks.files import delete
+
+_MADE: list[str] = []
+
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the operators are tested under.
@@ -35,7 +39,15 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="vigilog-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(folder)
+    return folder
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete the work folders named since the last time: for a job that has written its results elsewhere."""
+    while _MADE:
+        delete(spark, _MADE.pop())
 
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:

@@ -5,6 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from vigilog.llm import kd_shards as kd
 from vigilog.llm.kd_shards import kd_shards, shard_digests
 
 
@@ -48,3 +49,35 @@ def test_ties_on_every_dimension(spark):
 def test_awkward_rows(awkward, empty):
     check(awkward, shard_digests(awkward).collect(), 40)
     assert shard_digests(empty).count() == 0
+
+
+def brute_tree(rows, dimensions, leaves, first=0):
+    """The shard of every row (a dict of keys and size), cutting sorted lists at the weighted share nearest to the target."""
+    if leaves == 1 or not rows:
+        return {r["i"]: first for r in rows}
+    extent = {d: max(r[d] >> 32 for r in rows) - min(r[d] >> 32 for r in rows) for d in dimensions}
+    d = max(dimensions, key=lambda x: extent[x])
+    half, total, below, n = leaves // 2, sum(r["size"] for r in rows), 0, 0
+    ordered, target = sorted(rows, key=lambda r: r[d]), total * (leaves // 2) / leaves
+    for r in ordered:
+        if below + r["size"] >= target:
+            n += target - below > below + r["size"] - target
+            break
+        below, n = below + r["size"], n + 1
+    return brute_tree(ordered[:n], dimensions, half, first) | brute_tree(ordered[n:], dimensions, leaves - half, first + half)
+
+
+@pytest.mark.parametrize("shards", [2, 5, 16, 40])
+def test_the_tree_against_sorted_lists(documents, shards):
+    dimensions = kd.DIMENSIONS
+    rows = [r.asDict() for r in kd.metadata(documents, dimensions).collect()]
+    for i, r in enumerate(rows):
+        r["i"] = i
+    for d in dimensions:
+        low, high = (f(r[f"d_{d}"] for r in rows) for f in (min, max))
+        scale = kd.GRID / (high - low) if high > low else 0.0
+        for r in rows:
+            r[f"k_{d}"] = (int((r[f"d_{d}"] - low) * scale) << kd.TIE_BITS) + r["tie"]
+    want = brute_tree(rows, [f"k_{d}" for d in dimensions], shards)
+    found = {r.doc_id: r.shard for r in kd_shards(documents, shards=shards).collect()}
+    assert found == {r["doc_id"]: want[r["i"]] for r in rows} and len(found) == len(rows)

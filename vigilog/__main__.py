@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from vigilog.operators.forests import TREES
 from vigilog.plans import jobs
 from vigilog.session import build_session, remove_work
+from vigilog.sources.event_store import batch_ledger
 
 
 def arguments() -> argparse.Namespace:
@@ -65,6 +66,7 @@ def run(spark: SparkSession, stage: str, chosen: dict) -> None:
             print(row.line)
     elif stage == "ingest":
         jobs.run_ingest(spark, **chosen).awaitTermination()
+        batch_ledger(spark, chosen["store"]).orderBy("stream_id", "batch_id").show(1000, truncate=False)
     elif stage == "live":
         jobs.run_live(spark, **chosen).awaitTermination()
     elif stage == "features":

@@ -100,6 +100,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a stream of Parquet files."""
+    """The same table as a stream of Parquet files; a stream wants a pattern, this one fits the table's name alone."""
     schema = read_events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
+    return spark.readStream.schema(schema).parquet(f"{events_path(sf_dir)[:-1]}[t]")

@@ -60,8 +60,3 @@ def start_ingest(
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = batch_writer(store, prepare)
     return events.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
-def progress_counts(query: StreamingQuery) -> dict[int, int]:
-    """Rows per recent micro-batch, from the stream's own progress: no second scan."""
-    return {p["batchId"]: p["numInputRows"] for p in query.recentProgress}

@@ -12,7 +12,7 @@ bits of the key, so a reader knows the file of a key without any list of files.
 Grams of every order are sharded by the last word of their context, so a shard knows the whole of a context and all words
 before a gram: the lower orders are counted where the highest one is merged. A last word with more than 1 in ``HOT`` of
 all tokens is spread over all shards by the word that follows; the sums of its contexts are dealt once more, by context.
-A shard's file holds keys in 6 bytes, those counted once without a value and the values of the others in a byte each.
+A shard's file holds keys in 5 or 6 bytes, those counted once without a value and the values of the others in a byte each.
 Workers map it into memory and look up the sorted keys of a slice of texts at once. Before a text stand as many
 begin tokens as a context has words; a gram that begins with one of them counts, like all others, once for each
 different token before it, so at the lower orders once, however many texts begin with it.
@@ -33,11 +33,13 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vigilog.llm.shared import stored, work_folder
+from vigilog.llm.shared import release, stored, work_folder
 from vigilog.llm.words import as_bytes, mixed, pieces, word_runs
 
 SHARD_BYTES = 16 << 20  # of training text for each shard, on average
-HELD_TOKENS = 3_000_000  # counted at once by a task
+HELD_TOKENS = 4_500_000  # counted at once by a task
+SLICE = 1 << 20  # of them hashed at once
+SCORED_BYTES = 1 << 21  # of text scored at once
 HOT = 1000
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
@@ -178,10 +180,12 @@ def _count_words(bits: int) -> Callable:
 def _count_grams(order: int, bits: int, hot: Array) -> Callable:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, starts in _token_blocks(batches):
-            words, codes = np.unique(np.append(tokens, BEGIN), return_inverse=True)
-            codes = codes.astype("<u4")
-            columns = [codes[:-1], *contexts_of(codes[:-1], starts, order, codes[-1])]
-            keys, counts, at = summed(gram_keys([words[x] for x in columns[1:]], tokens, bits, hot))
+            words = np.unique(np.append(tokens, BEGIN))
+            slices = [slice(a, a + SLICE) for a in range(0, len(tokens), SLICE)]
+            codes = np.concatenate([np.searchsorted(words, tokens[x]).astype("<u4") for x in slices])
+            columns = [codes, *contexts_of(codes, starts, order, np.searchsorted(words, BEGIN))]
+            keys = np.concatenate([gram_keys([words[c[x]] for c in columns[1:]], tokens[x], bits, hot) for x in slices])
+            keys, counts, at = summed(keys)
             columns, rows = [x[at] for x in columns], []
             for shard, span in _by_shard(keys, bits):
                 own = [x[span] for x in columns]
@@ -200,13 +204,14 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
 
 
 def _key_table(keys: Array, bits: int) -> tuple[Array, ...]:
-    """Sorted keys of a shard in 6 bytes each: where the keys of each bucket, given by the bits after the shard's, begin, then
-    the lower 4 and the next 2 bytes of every key. Shard and bucket give the upper 2 bytes at least.
+    """Sorted keys of a shard in 5 or 6 bytes each: where the keys of each bucket, given by the bits after the shard's, begin, then
+    the lower 4 bytes of every key and the rest. Shard and bucket give the bits above: 24 if there are 4 keys to a bucket then, else 16.
     """
-    own = max(1, 16 - bits, int(len(keys)).bit_length() - 5)
+    width = 1 if len(keys) >> max(1, 26 - bits) else 2
+    own = max(1, 8 * (4 - width) - bits, int(len(keys)).bit_length() - 4)
     buckets = (keys << np.uint64(bits)) >> np.uint64(64 - own)
     begins = np.searchsorted(buckets, np.arange((1 << own) + 1, dtype=np.uint64))
-    return begins.astype("<u4"), keys.astype("<u4"), (keys >> np.uint64(32)).astype("<u2")
+    return begins.astype("<u4"), keys.astype("<u4"), (keys >> np.uint64(32)).astype(f"<u{width}")
 
 
 def _usual(columns: int) -> Array:
@@ -229,7 +234,7 @@ def _save(folder: str, name: str, bits: int, keys: Array, *values: Array) -> Non
     store.create_dir(place, recursive=True)
     own = f"{place}/.{name}-{uuid.uuid4().hex}"
     with store.open_output_stream(own) as out:
-        out.write(np.array([bits, *map(len, arrays)], "<u8").tobytes())
+        out.write(np.array([bits, arrays[2].itemsize, arrays[5].itemsize, *map(len, arrays)], "<u8").tobytes())
         for x in arrays:
             out.write(x.tobytes() + bytes(-x.nbytes % 8))  # every array begins at a multiple of 8
     store.move(own, f"{place}/{name}")
@@ -344,9 +349,10 @@ class Shard:
 
     def __init__(self, path: str, columns: int):
         data = np.memmap(path, np.uint8, "r")
-        kinds = ["<u4", "<u4", "<u2"] * 2 + ["u1", "<u8", "<u8"] * columns
-        self.bits, *sizes = data[: 8 * (1 + len(kinds))].view("<u8").tolist()
-        at, arrays = 8 * (1 + len(kinds)), []
+        n = 6 + 3 * columns
+        self.bits, usual, rest, *sizes = data[: 8 * (3 + n)].view("<u8").tolist()
+        kinds = ["<u4", "<u4", f"<u{usual}", "<u4", "<u4", f"<u{rest}", *["u1", "<u8", "<u8"] * columns]
+        at, arrays = 8 * (3 + n), []
         for kind, n in zip(kinds, sizes, strict=True):
             size = n * np.dtype(kind).itemsize
             arrays.append(data[at : at + size].view(kind))
@@ -361,7 +367,7 @@ class Shard:
         own = (len(begins) - 1).bit_length() - 1
         buckets = ((keys << np.uint64(self.bits)) >> np.uint64(64 - own)).astype(np.int64)
         at, end = begins[buckets].astype(np.int64), begins[buckets + 1].astype(np.int64)
-        wanted, last = keys & np.uint64((1 << 48) - 1), len(low) - 1
+        wanted, last = keys & np.uint64((1 << (32 + 8 * high.itemsize)) - 1), len(low) - 1
 
         def stored_at(places: Array) -> Array:
             return (high[places].astype("<u8") << np.uint64(32)) | low[places]
@@ -467,17 +473,20 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, order:
 
     words = stored(dealt(texts.mapInArrow(_count_words(bits), _COUNTED)).mapInArrow(_merge_words(folder, "words", bits), _MERGED), folder, "word-stats")
     known = Counts.of(words)
+    release(texts.sparkSession)
     candidates = [_unpacked(bytes(r[0]), "kn") for r in words.where("kind = 'shard'").select("blob").toLocalIterator()]
     hot = np.sort(np.concatenate([[BEGIN], *(k[n.astype(np.int64) * HOT > known.total] for k, n in candidates)]).astype(np.uint64))
 
     grams = stored(dealt(texts.mapInArrow(_count_grams(order, bits, hot), _COUNTED)).mapInArrow(_merge_grams(folder, order, bits, hot), _MERGED), folder, "gram-stats")
     stored(dealt(grams.where("kind = 'context'").select("shard", "blob")).mapInArrow(_merge_spread(folder, bits), _COUNTED), folder, "spread-stats")
 
+    release(texts.sparkSession)
     following = dealt(grams.where("kind = 'word'").select("shard", "blob"))
     following = stored(following.mapInArrow(_merge_words(folder, "continuations", bits), _MERGED), folder, "continuation-stats")
     lower = Counts.of(following)
     r = following.where("kind = 'shard'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0", "n1", "n2")]).first()
     spare = lower.discounts[0] * r["n1"] + lower.discounts[1] * r["n2"] + lower.discounts[2] * (r["n0"] - r["n1"] - r["n2"])
+    release(texts.sparkSession)
     return Model(folder, bits, known, tuple(Counts.of(grams, f"shard{i}") for i in range(2, order + 1)), lower, hot, spare / lower.total if lower.total else 1.0)
 
 
@@ -486,13 +495,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     out = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", most=1 << 22):
-            found = np.zeros((4, batch.num_rows))
-            for first, tokens, bounds in token_runs(as_bytes(batch.column("text"))):
-                base, own, count = model.scores(tokens, contexts_of(tokens, bounds[:-1], model.order))
-                span = slice(first, first + len(bounds) - 1)
-                found[:, span] = [np.diff(bounds), *(np.add.reduceat(x, bounds[:-1]) for x in (count > 0, base, own))]
-            n, n_known, base, own = found
+        for batch in pieces(batches, "text", most=SCORED_BYTES):
+            runs = list(token_runs(as_bytes(batch.column("text"))))  # every text has its end, so its tokens are never none
+            tokens, sizes = np.concatenate([r[1] for r in runs]), np.concatenate([np.diff(r[2]) for r in runs])
+            starts = np.cumsum(sizes) - sizes
+            base, own, count = model.scores(tokens, contexts_of(tokens, starts, model.order))
+            n, n_known, base, own = [sizes, *(np.add.reduceat(x, starts) for x in (count > 0, base, own))]
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(n.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array([model.words.total] * batch.num_rows, pa.int64()), pa.array(base), pa.array(own)], names=out
             )

@@ -36,8 +36,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vigilog.llm.shared import release, stored, work_folder
 from vigilog.llm.words import as_bytes, mixed, pieces, word_runs
 
-SHARD_BYTES = 32 << 20  # of training text for each shard, on average
-HELD_TOKENS = 2_500_000  # counted at once by a task
+SHARD_BYTES = 16 << 20  # of training text for each shard, on average
+HELD_TOKENS = 2_000_000  # counted at once by a task
 SLICE = 1 << 20  # of them hashed at once
 SCORED_BYTES = 1 << 21  # of text scored at once
 HOT = 1000

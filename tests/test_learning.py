@@ -188,6 +188,40 @@ def test_trees_that_begin_as_sparks(spark, events, monkeypatch):
     assert scored.count() == 1000 and right > 650  # a row is in the bag of most trees if it is a training row
 
 
+def test_tops_of_more_trees_take_no_more_jobs(spark, tmp_path, monkeypatch):
+    """All tops grow in the same passes, and no leaf has more rows of its bag than a task grows."""
+    monkeypatch.setattr(growing, "LOCAL_ROWS", 100)
+    table = spark.range(1000).select(F.col("id").alias("row"), (F.col("id") * 37 % 1000).cast("double").alias("f0"), (F.col("id") % 20).cast("double").alias("f1"),
+                                     F.pmod(F.xxhash64("id"), F.lit(3)).cast("int").alias("label")).localCheckpoint()
+    jobs = []
+    for trees in (1, 6):
+        spark.sparkContext.setJobGroup(f"tops of {trees}", "")
+        groups = growing.fit_trees(table, ["f0", "f1"], 3, range(trees), 7, str(tmp_path / str(trees)), True)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"tops of {trees}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= 2 * jobs[0]
+    tops, found = growing.saved_tops(spark, str(tmp_path / "6" / "tops-0")), groups.collect()
+    x = np.array([[r.f0, r.f1] for r in table.orderBy("row").collect()])
+    for tree, top in tops.items():
+        bag = table.withColumn("w", growing.bag_weight(F.col("row"), F.lit(tree), 7)).orderBy("row").collect()
+        sizes = np.bincount(top.leaves(x)[[r.w > 0 for r in bag]])
+        assert 5 < (sizes > 0).sum() and sizes.max() <= 100
+        own = {r.leaf: growing.Group(r.asDict(), 3) for r in found if r.tree == tree}
+        for r, row, leaf in zip(bag, x, top.leaves(x), strict=True):
+            if r.w:
+                votes = np.zeros((1, 3))
+                own[leaf].vote(row[None], votes)
+                assert votes.argmax() == r.label and votes.max() == 1
+
+
+def test_packed_rows_come_back():
+    x, y = np.arange(12.0).reshape(4, 3), np.array([1, 2, 3, 4], "<u2")
+    back = growing.unpacked(growing.packed(x, y), ("<f8", 3), ("<u2", 0))
+    assert np.array_equal(back[0], x) and np.array_equal(back[1], y)
+    first, same = growing.summed_rows(np.array([[1.0, 0.0], [2.0, 0.0], [1.0, -0.0]]), np.array([0, 0, 0]))
+    assert same[0] == same[2] != same[1] and len(first) == 2
+
+
 def test_forest_survives_saving(spark, featured, tmp_path):
     save_model(featured.forest, str(tmp_path / "forest"))
     loaded = RandomForestClassificationModel.load(f"{current_version(spark, str(tmp_path / 'forest'))}/model")

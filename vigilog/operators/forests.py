@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import asdict, dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +33,12 @@ BATCH_ROWS = 1_000_000_000
 #: A forest is broadcast up to this size; beyond it rows and trees meet in a shuffle.
 SENT_BYTES = 96 << 20
 
-#: Parts in which the rows of a leaf are dealt in that shuffle.
-PARTS = 8
+#: Rows of a leaf that are dealt to one task in that shuffle, and the cells of votes a task sums up at once.
+PART_ROWS = 500_000
+VOTE_CELLS = 1 << 19
+
+_ASKED = "tree int, leaf bigint, part int, blob binary"
+_SHARES = "block bigint, tree int, blob binary"
 
 
 def code_columns(cols: EventColumns = EVENT) -> list[str]:
@@ -51,7 +55,7 @@ def fit_feature_forest(featured: DataFrame, trees: int = TREES, seed: int = SEED
 class CodeForest:
     """A forest on shared storage: its label table, the names of its classes, and its trees in parts of (folder name, trees, bytes).
 
-    ``first_trees`` says whether every tree begins as a saved one of Spark ML's, whose leaves the groups hang from.
+    ``first_trees`` says whether every tree has a top, whose leaves the groups hang from.
     """
 
     folder: str
@@ -73,6 +77,12 @@ class CodeForest:
     def groups(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(growing.GROUP_SCHEMA).parquet(*[f"{self.folder}/{name}" for name, *_ in self.parts])
 
+    def tops(self, spark: SparkSession) -> dict[int, growing.Top]:
+        if not self.first_trees:
+            return {t: growing.Top() for t in range(self.trees)}
+        folders = [f"{self.folder}/{name.replace('trees', 'tops')}" for name, *_ in self.parts]
+        return {t: top for folder in folders for t, top in growing.saved_tops(spark, folder).items()}
+
 
 def load_forest(spark: SparkSession, folder: str) -> CodeForest:
     about = json.loads(spark.read.text(f"{folder}/about").first().value)
@@ -130,17 +140,12 @@ def _sent(forest: CodeForest, spark: SparkSession):
     return _SENT[key]
 
 
-def _matrix(features: pa.Array) -> np.ndarray:
-    """The rows of an array column as rows of a matrix."""
-    return features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1) if len(features) else np.empty((0, 1))
-
-
 def _voting(sent, classes: int) -> Callable:
     @F.arrow_udf("array<double>")
     def votes(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         groups = [growing.Group(row, classes) for row in sent.value]
         for part in parts:
-            x = _matrix(part)
+            x = growing.matrix(part)
             found = np.zeros((len(x), classes))
             for group in groups:
                 group.vote(x, found)
@@ -149,23 +154,90 @@ def _voting(sent, classes: int) -> Callable:
     return votes
 
 
-def _vote_groups(classes: int) -> Callable:
-    def votes(key: tuple[pa.Scalar, ...], rows: pa.Table, groups: pa.Table) -> pa.Table:
-        x = _matrix(rows.column("features").combine_chunks())
-        found = np.zeros((len(x), classes))
-        for row in groups.to_pylist():
-            growing.Group(row, classes).vote(x, found)
-        place, cls = np.nonzero(found)
-        return pa.table({"vote_row": rows.column("vote_row").take(pa.array(place)), "cls": pa.array(cls.astype(np.int32)), "share": pa.array(found[place, cls])})
+def _count(tops: dict[int, growing.Top]) -> Callable:
+    """How many rows fall into each leaf of each tree."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in growing.chunks(batches):
+            x = growing.matrix(table["features"])
+            for tree, top in tops.items():
+                leaf, n = np.unique(top.leaves(x), return_counts=True)
+                yield pa.record_batch([pa.array([tree] * len(leaf), pa.int32()), pa.array(leaf), pa.array(n)], names=["tree", "leaf", "n"])
+
+    return count
+
+
+def _ask(tops: dict[int, growing.Top], parts: dict[tuple[int, int], int]) -> Callable:
+    """Rows packed by the tree and leaf they fall into, each slice of them in one of the leaf's parts."""
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in growing.chunks(batches):
+            x, ids = growing.matrix(table["features"]), table["vote_row"].to_numpy()
+            for tree, top in tops.items():
+                leaf = top.leaves(x)
+                order = np.argsort(leaf, kind="stable")
+                runs = np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1)
+                leaves = [int(leaf[run[0]]) for run in runs]
+                yield pa.record_batch(
+                    [
+                        pa.array([tree] * len(runs), pa.int32()),
+                        pa.array(leaves, pa.int64()),
+                        pa.array([crc32(ids[:1].tobytes()) % parts[tree, at] for at in leaves], pa.int32()),
+                        pa.array([growing.packed(ids[run], x[run]) for run in runs], pa.binary()),
+                    ],
+                    names=["tree", "leaf", "part", "blob"],
+                )
+
+    return ask
+
+
+def _vote_groups(classes: int, width: int, bits: int) -> Callable:
+    """The shares that the rows of a leaf get from its group, packed by block of rows."""
+
+    def votes(key: tuple[pa.Scalar, ...], asked: pa.Table, groups: pa.Table) -> pa.Table:
+        blocks, blobs = [], []
+        held = [growing.Group(row, classes) for row in groups.to_pylist()]
+        for blob in asked.column("blob"):
+            ids, x = growing.unpacked(blob.as_py(), ("<i8", 0), ("<f8", width))
+            x = np.ascontiguousarray(x)
+            found = np.zeros((len(x), classes))
+            for group in held:
+                group.vote(x, found)
+            place, cls = np.nonzero(found)
+            share, block = found[place, cls], ids[place] >> bits
+            for run in np.split(np.arange(len(place)), np.flatnonzero(np.diff(block)) + 1) if len(place) else []:
+                blocks.append(int(block[run[0]]))
+                blobs.append(growing.packed((ids[place[run]] & ((1 << bits) - 1)).astype("<u4"), cls[run].astype("<u2"), share[run]))
+        return pa.table({"block": pa.array(blocks, pa.int64()), "tree": pa.array([key[0].as_py()] * len(blocks), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
     return votes
 
 
+def _sum_votes(classes: int, bits: int) -> Callable:
+    """The votes of every row of a block, its shares summed in the order of the trees."""
+
+    def summed(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        cells = np.zeros(classes << bits)
+        seen = np.zeros(1 << bits, bool)
+        for blob in rows.sort_by("tree").column("blob"):
+            row, cls, share = growing.unpacked(blob.as_py(), ("<u4", 0), ("<u2", 0), ("<f8", 0))
+            place = row.astype(np.int64)
+            cells[place * classes + cls] += share  # a row is there once
+            seen[place] = True
+        there = np.flatnonzero(seen)
+        votes = cells.reshape(-1, classes)[there]
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(there) + 1, dtype=np.int32) * classes), pa.array(votes.ravel()))
+        return pa.table({"vote_row": pa.array((key[0].as_py() << bits) | there, pa.int64()), "votes": lists})
+
+    return summed
+
+
 def add_votes(rows: DataFrame, forest: CodeForest) -> DataFrame:
     """The rows with ``votes``: for each class the sum over all trees of its share of the leaf that the array ``features`` falls into.
 
-    A forest of up to ``SENT_BYTES`` without first trees is broadcast. Of a larger one each row meets the group of every tree in a
-    shuffle; equal votes of a row are summed before they meet. A stream can't do that, so such a forest scores micro-batches.
+    A forest of up to ``SENT_BYTES`` without tops is broadcast. Of a larger one each row meets the group of every tree in a
+    shuffle, in packed runs; a leaf that most rows fall into is dealt in parts, each of which meets a copy of its group. A stream
+    can't do that, so such a forest scores micro-batches.
     """
     spark, classes = rows.sparkSession, len(forest.classes)
     if forest.size <= SENT_BYTES and not forest.first_trees:
@@ -173,22 +245,17 @@ def add_votes(rows: DataFrame, forest: CodeForest) -> DataFrame:
     if rows.isStreaming:
         raise ValueError("this forest is too large to score a stream row by row: score its micro-batches")
     kept = written(rows.withColumn("vote_row", F.monotonically_increasing_id()), "votes")
-    asked = kept.select("vote_row", "features", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree"), F.lit(0).cast("bigint").alias("leaf"))
-    if forest.first_trees:
-        width = range(len(kept.select("features").first()[0])) if not kept.isEmpty() else range(1)
-        vectors = VectorAssembler(inputCols=[f"x{i}" for i in width], outputCol="vector").transform(
-            kept.select("vote_row", "features", *[F.get("features", F.lit(i)).alias(f"x{i}") for i in width])
-        ).select("vote_row", "features", "vector")
-        asked = None
-        for tree in range(forest.trees):
-            top = RandomForestClassificationModel.load(f"{forest.folder}/top-{tree}").setFeaturesCol("vector")
-            found = growing.leaf_of(top, vectors).select("vote_row", "features", F.lit(tree).alias("tree"), "leaf")
-            asked = found if asked is None else asked.unionByName(found)
-    # A leaf that most rows fall into is dealt in parts: each of them meets a copy of its group.
-    salted = asked.withColumn("part", F.pmod("vote_row", F.lit(PARTS)).cast("int"))
-    copies = forest.groups(spark).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    keys = ["tree", "leaf", "part"]
-    shares = salted.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(_vote_groups(classes), "vote_row bigint, cls int, share double")
-    summed = shares.groupBy("vote_row", "cls").agg(F.sum("share").alias("share")).groupBy("vote_row").agg(F.map_from_entries(F.collect_list(F.struct("cls", "share"))).alias("shares"))
-    votes = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: F.coalesce(F.try_element_at("shares", i.cast("int")), F.lit(0.0)))
-    return kept.join(summed, "vote_row").withColumn("votes", votes).drop("vote_row", "shares")
+    first = kept.select(F.size("features")).first()
+    if first is None:
+        return kept.withColumn("votes", F.array().cast("array<double>")).drop("vote_row")
+    tops, keys, width = forest.tops(spark), ["tree", "leaf", "part"], first[0]
+    counts = kept.select("features").mapInArrow(_count(tops), "tree int, leaf bigint, n bigint").groupBy("tree", "leaf").agg(F.sum("n").alias("n"))
+    held = [(r.tree, r.leaf, -(-r.n // PART_ROWS)) for r in counts.collect()]  # a leaf stands for as many rows as a task grows
+    tasks, bits = growing.partitions_for(sum(parts for *_, parts in held)), max(0, (VOTE_CELLS // classes).bit_length() - 1)
+    asked = kept.select("vote_row", "features").mapInArrow(_ask(tops, {(tree, leaf): parts for tree, leaf, parts in held}), _ASKED)
+    copies = forest.groups(spark).join(F.broadcast(spark.createDataFrame(held, "tree int, leaf bigint, parts int")), ["tree", "leaf"])
+    copies = copies.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    sides = [side.repartition(tasks, *keys).groupBy(*keys) for side in (asked, copies)]
+    shares = sides[0].cogroup(sides[1]).applyInArrow(_vote_groups(classes, width, bits), _SHARES)
+    summed = shares.groupBy("block").applyInArrow(_sum_votes(classes, bits), "vote_row bigint, votes array<double>")
+    return kept.join(summed, "vote_row").drop("vote_row")

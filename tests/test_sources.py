@@ -2,7 +2,7 @@ import pytest
 
 from vigilog.functions.casts import NA_TOKENS
 from vigilog.schema import EVENT_COLUMNS, EVENT_SCHEMA, STATIC_SCHEMA
-from vigilog.sources.csv_events import or_empty, read_csv_events, records_span_lines, typed_events
+from vigilog.sources.csv_events import by_header, or_empty, read_csv_events, records_span_lines, typed_events
 from vigilog.sources.event_store import read_event_store
 
 QUOTED = 'id,payload,atk\n1,"line1\nline2",DDoS\n2,"he said ""hi"", ok",Malware\n'
@@ -75,3 +75,14 @@ def test_typed_events_from_a_full_file(spark, csv):
     assert (row["Source Port"], row["Packet Length"], row["Anomaly Scores"], row["Protocol"]) == (443, None, 28.67, None)
     assert typed_events(read_csv_events(spark, path)).schema == STATIC_SCHEMA
     assert read_csv_events(spark, path, schema=EVENT_SCHEMA).columns == EVENT_COLUMNS
+
+
+def test_places_of_columns_are_worked_out_once_a_file(spark):
+    raw = spark.range(3).select(F.lit("file").alias("csv_file"), *[F.concat(F.lit(f"{n}-"), "id").alias(f"cell_{n}") for n in range(3)])
+    headers = spark.range(1).select(F.lit("file").alias("csv_file"), F.array(F.lit("c"), F.lit("a"), F.lit("b")).alias("csv_header"))
+    rows = by_header(raw, ["a", "b", "gone"], headers)
+    assert [tuple(r) for r in rows.orderBy("a").collect()] == [(f"1-{i}", f"2-{i}", None) for i in range(3)]
+    unlike = by_header(raw, ["a", "b", "gone"], headers.withColumn("csv_file", F.lit("other")))
+    assert [tuple(r) for r in unlike.orderBy("a").collect()] == [(f"0-{i}", f"1-{i}", f"2-{i}") for i in range(3)]
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "Join" in plan and "array_position" not in plan[: plan.index("Join")]

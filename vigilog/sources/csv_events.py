@@ -33,6 +33,9 @@ def records_span_lines(spark: SparkSession, path: str) -> bool:
 #: Where a raw row comes from, and the header of that file.
 _FILE, _HEADER = "csv_file", "csv_header"
 
+#: Where the known columns stand in such a file.
+_PLACES = "csv_places"
+
 
 #: Columns that the files of a path may have together.
 MOST_COLUMNS = 10_000
@@ -51,11 +54,11 @@ def _cells(names: Sequence[str]) -> Column:
 
 
 def _is_header(cells: Column, names: Sequence[str]) -> Column:
-    """Whether the first cell and most of all cells that are there are column names."""
+    """Whether the first cell and most of all cells that are there are column names; the others are looked at if the first one is."""
     known = [F.lit(n) for n in names]
     there = F.filter(cells, lambda c: c.isNotNull())
     given = F.filter(there, lambda c: c.isin(*known))
-    return F.coalesce(F.get(cells, 0).isin(*known) & (2 * F.size(given) > F.size(there)), F.lit(False))
+    return F.when(F.get(cells, 0).isin(*known), 2 * F.size(given) > F.size(there)).otherwise(F.lit(False))
 
 
 def other_headers(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame | None:
@@ -83,14 +86,13 @@ def by_header(raw: DataFrame, names: Sequence[str], headers: DataFrame) -> DataF
     ``headers`` holds a row for each file whose header may have another order, others go by position; Spark broadcasts it while
     it is small. A column that a file lacks is NULL there, one that isn't among ``names`` is left out.
     """
-    held = raw.join(headers, _FILE, "left").withColumn("csv_cells", F.array(*[F.col(c) for c in raw.columns if c != _FILE]))
-    rows = held.filter(~_is_header(F.col("csv_cells"), [*names, *[n for n in EVENT_SCHEMA.names if n not in names]]))
-
-    def named(i: int, name: str) -> Column:
-        place = F.when(F.col(_HEADER).isNull(), F.lit(i)).otherwise(F.array_position(_HEADER, name) - 1).cast("int")
-        return F.get("csv_cells", place).alias(name)
-
-    return rows.select(*[named(i, name) for i, name in enumerate(names)])
+    places = F.array(*[F.array_position(_HEADER, name).cast("int") - 1 for name in names])  # once for each file
+    own = F.coalesce(_PLACES, F.array(*[F.lit(i) for i in range(len(names))])).alias(_PLACES)
+    cells = F.array(*[F.col(c) for c in raw.columns if c != _FILE])
+    known = [*names, *[n for n in EVENT_SCHEMA.names if n not in names]]
+    held = raw.join(headers.select(_FILE, places.alias(_PLACES)), _FILE, "left").select(cells.alias("csv_cells"), own)
+    rows = held.filter(~_is_header(F.col("csv_cells"), known))
+    return rows.select(*[F.get("csv_cells", F.get(_PLACES, F.lit(i))).alias(name) for i, name in enumerate(names)])
 
 
 def named_rows(raw: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import LLM_SMALL, words
 
 from vigilog.llm import kneser_ney as kn, queries
-from vigilog.llm.shared import work_folder
+from vigilog.llm.shared import release, work_folder
 
 
 def discounts(counts) -> list[float]:
@@ -89,6 +93,53 @@ def test_awkward_rows(spark, awkward, empty):
     assert {r.train_tokens for r in found} == {0} and {r.score for r in found} == {0.0}
 
 
+def test_parts_split_the_shuffle(documents):
+    """Every gram is counted in one of the parts, and a part hands over about its share of the bytes."""
+    texts = [pa.record_batch([pa.array([r.text for r in documents.collect()])], names=["text"])]
+    hot, whole, split = np.array([kn.BEGIN]), {}, []
+    for shard, blob in kn._blobs(kn._count_grams(3, 4, hot)(texts)):
+        whole[shard] = blob
+    for part in range(4):
+        split.append(dict(kn._blobs(kn._count_grams(3, 4, hot, part, 4)(texts))))
+        assert {s >> 2 for s in split[-1]} == {part}
+    assert {s: b for x in split for s, b in x.items()} == whole and sum(map(len, split)) == len(whole)
+    assert max(sum(map(len, x.values())) for x in split) < 0.5 * sum(map(len, whole.values()))
+
+
+def test_contexts_followed_once_are_not_stored(documents):
+    """Contexts with the sums 1, 1, 0, 0 take no place; that they were seen is known from the grams below."""
+    texts = documents.where(~kn.held_out(documents.doc_id)).select("text")
+    model = kn.train(texts, work_folder(documents.sparkSession, "test"), shard_bytes=20_000, order=3)
+    store, place = kn.fs.FileSystem.from_uri(model.folder)
+    names = [f.base_name for f in store.get_file_info(kn.fs.FileSelector(place)) if f.base_name.startswith(("contexts", "spread2-", "spread3-"))]
+    shards = [kn._mapped(model.folder, name, 4) for name in names]
+    assert len(shards) > 16 and not any(len(s.usual[1]) for s in shards)
+    assert sum(len(s.rest[1]) for s in shards) > 100
+
+
+def test_finished_shuffles_are_gone_before_the_next_part(spark, documents, monkeypatch):
+    """While a part is counted, the shuffles of the parts before it are not on the disk any more."""
+    folders = [Path(f.getPath()) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: sum(f.stat().st_size for folder in folders for f in folder.glob("*/shuffle_*.data") if f.exists())
+    texts, left = documents.select("text"), []
+    handed = kn._count_grams(3, 4, np.array([kn.BEGIN]))(texts.toArrow().to_batches())
+    part = sum(len(blob) for _, blob in kn._blobs(handed)) / kn.PARTS
+
+    def letting_go(session):
+        release(session)
+        deadline = time.time() + 5
+        while shuffled() - before > part / 4 and time.time() < deadline:  # Spark deletes them in a thread of its own
+            time.sleep(0.1)
+        left.append(shuffled() - before)
+
+    release(spark)
+    time.sleep(1)
+    before = shuffled()
+    monkeypatch.setattr(kn, "release", letting_go)
+    kn.train(texts, work_folder(spark, "test"), shard_bytes=20_000, order=3)
+    assert len(left) >= kn.PARTS + 2 and max(left) < part / 4
+
+
 class BruteOfOrder:
     """Any order by its definition: raw counts at the top, numbers of different words before at the orders below."""
 

@@ -6,12 +6,14 @@ bits of the key, so a reader knows the file of a key without any list of files.
 
 * words: word hash -> count
 * grams of each order: hash of (context, word) -> count (highest order) or number of different words before (lower ones),
-  beside contexts: context hash -> total and numbers of words seen once, twice, more
+  beside contexts: context hash -> total and numbers of words seen once, twice, more; a context that was followed once is
+  not written, since the gram of the order below that is its words tells that it was seen
 * continuations: word hash -> number of different contexts
 
 Grams of every order are sharded by the last word of their context, so a shard knows the whole of a context and all words
 before a gram: the lower orders are counted where the highest one is merged. A last word with more than 1 in ``HOT`` of
 all tokens is spread over all shards by the word that follows; the sums of its contexts are dealt once more, by context.
+The shards are counted in ``PARTS`` runs over the texts, and the shuffle of a run is let go before the next one.
 A shard's file holds keys in 5 or 6 bytes, those counted once without a value and the values of the others in a byte each.
 Workers map it into memory and look up the sorted keys of a slice of texts at once. Before a text stand as many
 begin tokens as a context has words; a gram that begins with one of them counts, like all others, once for each
@@ -23,9 +25,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import md5
 
 import numpy as np
@@ -40,6 +43,8 @@ SHARD_BYTES = 16 << 20  # of training text for each shard, on average
 HELD_TOKENS = 2_000_000  # counted at once by a task
 SLICE = 1 << 20  # of them hashed at once
 SCORED_BYTES = 1 << 21  # of text scored at once
+LOOKED_UP = 1 << 15  # keys of a shard looked up at once
+PARTS = 4  # runs over the texts that count the grams, a power of 2
 HOT = 1000
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
@@ -89,14 +94,18 @@ def _context_hashes(context: list[Array]) -> Array:
     return out
 
 
-def gram_keys(context: list[Array], words: Array, bits: int, hot: Array) -> Array:
-    """The key of each gram: top bits of the last word of the context, or of its pair with the word if it is hot, then bits of all."""
+def gram_keys(context: list[Array], words: Array, bits: int, spread: Array) -> Array:
+    """The key of each gram: top bits of the last word of the context, or of its pair with the word if it is spread, then bits of all."""
     keys = mixed(_context_hashes(context) * _PAIR + words)
     if not bits:
         return keys
     top = np.uint64(64 - bits)
-    own = np.where(found_in(hot, context[0])[1], mixed(context[0] * _PAIR + words), context[0])
-    return (own >> top << top) | (keys >> np.uint64(bits))
+    return (_owners(context[0], words, spread) >> top << top) | (keys >> np.uint64(bits))
+
+
+def _owners(last: Array, words: Array, spread: Array) -> Array:
+    """Hashes whose top bits are the shards of grams, from the last words of their contexts."""
+    return np.where(spread, mixed(last * _PAIR + words), last)
 
 
 def context_keys(context: list[Array], bits: int, spread: Array) -> Array:
@@ -177,14 +186,21 @@ def _count_words(bits: int) -> Callable:
     return count
 
 
-def _count_grams(order: int, bits: int, hot: Array) -> Callable:
+def _count_grams(order: int, bits: int, hot: Array, part: int = 0, parts: int = 1) -> Callable:
+    """Counts the grams of one of ``parts`` equal spans of the shards."""
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, starts in _token_blocks(batches):
             words = np.unique(np.append(tokens, BEGIN))
             slices = [slice(a, a + SLICE) for a in range(0, len(tokens), SLICE)]
             codes = np.concatenate([np.searchsorted(words, tokens[x]).astype("<u4") for x in slices])
             columns = [codes, *contexts_of(codes, starts, order, np.searchsorted(words, BEGIN))]
-            keys = np.concatenate([gram_keys([words[c[x]] for c in columns[1:]], tokens[x], bits, hot) for x in slices])
+            spread = found_in(hot, words)[1]
+            if parts > 1:
+                top = np.uint64(65 - parts.bit_length())
+                mine = np.concatenate([_owners(words[columns[1][x]], tokens[x], spread[columns[1][x]]) >> top == part for x in slices])
+                tokens, columns = tokens[mine], [x[mine] for x in columns]
+            keys = np.concatenate([gram_keys([words[c[x]] for c in columns[1:]], tokens[x], bits, spread[columns[1][x]]) for x in slices])
             keys, counts, at = summed(keys)
             columns, rows = [x[at] for x in columns], []
             for shard, span in _by_shard(keys, bits):
@@ -219,12 +235,22 @@ def _usual(columns: int) -> Array:
     return np.array([1, 1, 0, 0][:columns], np.int64)
 
 
+def _are_usual(values: tuple[Array, ...]) -> Array:
+    return np.all([v == x for v, x in zip(values, _usual(len(values)), strict=True)], axis=0)
+
+
+def _save_contexts(folder: str, name: str, bits: int, keys: Array, *sums: Array) -> None:
+    """Writes the contexts but those with the usual sums: a reader knows from the grams below which contexts were seen."""
+    more = ~_are_usual(sums)
+    _save(folder, name, bits, keys[more], *(x[more] for x in sums))
+
+
 def _save(folder: str, name: str, bits: int, keys: Array, *values: Array) -> None:
     """Writes a shard's arrays under a name of its own, then moves them in place, so that a repeated task does no harm.
 
     First the keys with the usual values, then the others, whose values take a byte each; larger ones follow with their places.
     """
-    usual = np.all([v == x for v, x in zip(values, _usual(len(values)), strict=True)], axis=0) if len(keys) else np.zeros(0, bool)
+    usual = _are_usual(values)
     rest = [v[~usual].astype("<u8") for v in values]
     arrays = [*_key_table(keys[usual], bits), *_key_table(keys[~usual], bits)]
     for v in rest:
@@ -251,6 +277,11 @@ def _stats(counts: Array) -> tuple[int, ...]:
     return (int(counts.sum()), len(counts), *(int((counts == i).sum()) for i in (1, 2, 3, 4)))
 
 
+def _sums(merged: DataFrame) -> dict[str, list[int]]:
+    """The sums of the statistics of each kind."""
+    return {r[0]: list(r[1:]) for r in merged.groupBy("kind").agg(*[F.sum(x) for x in ("total", "n0", "n1", "n2", "n3", "n4")]).collect()}
+
+
 def _merge_words(folder: str, name: str, bits: int) -> Callable:
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [_unpacked(blob, "kn") for _, blob in _blobs(batches)]
@@ -269,43 +300,43 @@ def _merge_words(folder: str, name: str, bits: int) -> Callable:
 
 def _merge_grams(folder: str, order: int, bits: int, hot: Array) -> Callable:
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns, counts = [[] for _ in range(order)], []
-        for _, blob in _blobs(batches):
-            known, places, n = _unpacked(blob, "knn")
-            for column, x in zip(columns, np.cumsum(places.reshape(order, -1), axis=1, dtype="<u4"), strict=True):
-                column.append(known[x])
-            counts.append(n.astype(np.int64))
-        if not counts:
-            return
-        words, *context = [np.concatenate(x) for x in columns]
-        counts, columns = np.concatenate(counts), None
-        for level in range(order, 1, -1):
-            keys, counts, at = summed(gram_keys(context, words, bits, hot), counts)
-            words, context = words[at], [x[at] for x in context]
-            yield from _level(folder, level, bits, hot, keys, words, context, counts)
-            counts, context = None, context[:-1]  # a gram counts once for the one without its first word
-        for _, span in _by_shard(keys, bits):
-            own, times, _ = summed(words[span])
+        packed = defaultdict(list)
+        for shard, blob in _blobs(batches):
+            packed[shard].append(blob)
+        for shard in sorted(packed):  # a task may get several; one of them is unpacked at a time
+            columns, counts = [[] for _ in range(order)], []
+            for blob in packed.pop(shard):
+                known, places, n = _unpacked(blob, "knn")
+                for column, x in zip(columns, np.cumsum(places.reshape(order, -1), axis=1, dtype="<u4"), strict=True):
+                    column.append(known[x])
+                counts.append(n.astype(np.int64))
+            words, *context = [np.concatenate(x) for x in columns]
+            counts, columns = np.concatenate(counts), None
+            spread = found_in(hot, context[0])[1]
+            for level in range(order, 1, -1):
+                keys, counts, at = summed(gram_keys(context, words, bits, spread), counts)
+                words, context, spread = words[at], [x[at] for x in context], spread[at]
+                yield _level(folder, level, bits, shard, keys, context, spread, counts)
+                counts, context = None, context[:-1]  # a gram counts once for the one without its first word
+            own, times, _ = summed(words)
             yield _merged([("word", s, _packed(own[i], times[i].astype("<u4")), *[0] * 6) for s, i in _by_shard(own, bits)])
 
     return merge
 
 
-def _level(folder: str, level: int, bits: int, hot: Array, keys: Array, words: Array, context: list[Array], counts: Array) -> Iterator[pa.RecordBatch]:
-    """Writes the grams of an order and their contexts; the sums of contexts that are spread become rows."""
-    for shard, span in _by_shard(keys, bits):
-        n, of = counts[span], [x[span] for x in context]
-        _save(folder, f"grams{level}-{shard:07d}", bits, keys[span], n)
-        spread = found_in(hot, of[0])[1]
-        rows = [(f"shard{level}", shard, b"", *_stats(n))]
-        for mine in (~spread, spread):
-            own, place = np.unique(context_keys([x[mine] for x in of], bits, spread[mine]), return_inverse=True)
-            sums = [np.bincount(place, x[mine], len(own)).astype("<u8") for x in (n, n == 1, n == 2, n > 2)]
-            if mine is spread:
-                rows += [("context", s, _packed(np.array([level], "<u4"), own[i], *(x[i] for x in sums)), *[0] * 6) for s, i in _by_shard(own, bits)]
-            else:
-                _save(folder, f"contexts{level}-{shard:07d}", bits, own, *sums)
-        yield _merged(rows)
+def _level(folder: str, level: int, bits: int, shard: int, keys: Array, context: list[Array], spread: Array, counts: Array) -> pa.RecordBatch:
+    """Writes the grams of an order in a shard and their contexts; the sums of contexts that are spread become rows."""
+    _save(folder, f"grams{level}-{shard:07d}", bits, keys, counts)
+    rows = [(f"shard{level}", shard, b"", *_stats(counts))]
+    for mine in (~spread, spread):
+        own, place = np.unique(context_keys([x[mine] for x in context], bits, spread[mine]), return_inverse=True)
+        n = counts[mine]
+        sums = [np.bincount(place, x, len(own)).astype("<u8") for x in (n, n == 1, n == 2, n > 2)]
+        if mine is spread:
+            rows += [("context", s, _packed(np.array([level], "<u4"), own[i], *(x[i] for x in sums)), *[0] * 6) for s, i in _by_shard(own, bits)]
+        else:
+            _save_contexts(folder, f"contexts{level}-{shard:07d}", bits, own, *sums)
+    return _merged(rows)
 
 
 def _merge_spread(folder: str, bits: int) -> Callable:
@@ -316,7 +347,7 @@ def _merge_spread(folder: str, bits: int) -> Callable:
             own, place = np.unique(keys, return_inverse=True)
             sums = [np.bincount(place, x, len(own)).astype("<u8") for x in sums]
             for shard, at in _by_shard(own, bits):
-                _save(folder, f"spread{level}-{shard:07d}", bits, own[at], *(x[at] for x in sums))
+                _save_contexts(folder, f"spread{level}-{shard:07d}", bits, own[at], *(x[at] for x in sums))
                 yield _rows([(shard, b"")])
 
     return merge
@@ -331,13 +362,16 @@ class Counts:
     discounts: tuple[float, float, float]
 
     @staticmethod
-    def of(merged: DataFrame, kind: str = "shard") -> Counts:
-        r = merged.where(F.col("kind") == kind).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "n0", "n1", "n2", "n3", "n4")]).first()
-        n = [r[f"n{i}"] for i in range(5)]
+    def of(merged: DataFrame) -> Counts:
+        return Counts.from_sums(_sums(merged).get("shard", [0] * 6))
+
+    @staticmethod
+    def from_sums(sums: Sequence[int]) -> Counts:
+        total, *n = sums
         if min(n[1:]) == 0:  # too few counts to estimate from
-            return Counts(r["total"], n[0], (0.5, 0.75, 0.9))
+            return Counts(total, n[0], (0.5, 0.75, 0.9))
         y = n[1] / (n[1] + 2 * n[2])
-        return Counts(r["total"], n[0], tuple(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3)))
+        return Counts(total, n[0], tuple(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3)))
 
     def left(self, counts: Array) -> Array:
         """The counts after the discount."""
@@ -348,7 +382,7 @@ class Shard:
     """A shard's file, mapped into memory."""
 
     def __init__(self, path: str, columns: int):
-        data = np.memmap(path, np.uint8, "r")
+        data = np.asarray(np.memmap(path, np.uint8, "r"))  # slices of a plain array are made faster
         n = 6 + 3 * columns
         self.bits, usual, rest, *sizes = data[: 8 * (3 + n)].view("<u8").tolist()
         kinds = ["<u4", "<u4", f"<u{usual}", "<u4", "<u4", f"<u{rest}", *["u1", "<u8", "<u8"] * columns]
@@ -362,23 +396,27 @@ class Shard:
     def _places(self, table: list[Array], keys: Array) -> tuple[Array, Array]:
         """Places of sorted keys in a key table, and whether they are there."""
         begins, low, high = table
+        places, there = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         if not len(low):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+            return places, there
         own = (len(begins) - 1).bit_length() - 1
         buckets = ((keys << np.uint64(self.bits)) >> np.uint64(64 - own)).astype(np.int64)
-        at, end = begins[buckets].astype(np.int64), begins[buckets + 1].astype(np.int64)
-        wanted, last = keys & np.uint64((1 << (32 + 8 * high.itemsize)) - 1), len(low) - 1
-
-        def stored_at(places: Array) -> Array:
-            return (high[places].astype("<u8") << np.uint64(32)) | low[places]
-
-        upto = end.copy()
-        for _ in range(int((end - at).max(initial=0)).bit_length()):  # halve all buckets at once
-            middle = (at + upto) >> 1
-            below = (stored_at(np.minimum(middle, last)) < wanted) & (at < upto)
-            at, upto = np.where(below, middle + 1, at), np.where(below, upto, middle)
-        places = np.minimum(at, last)
-        return places, (at < end) & (stored_at(places) == wanted)
+        at = begins[buckets].astype(np.int64)
+        end = begins[buckets + 1].astype(np.int64)
+        while (end - at).sum() > 6 * len(keys):  # halve all buckets at once
+            middle = (at + end) >> 1
+            some = np.minimum(middle, len(low) - 1)
+            above = (high[some].astype("<u8") << np.uint64(32)) | low[some] > keys & np.uint64((1 << (32 + 8 * high.itemsize)) - 1)
+            at, end = np.where(above, at, middle), np.where(above, middle, end)
+        sizes = end - at
+        of = np.repeat(np.arange(len(keys)), sizes)  # what is left of a key's bucket is compared with it
+        near = np.arange(len(of)) + (end - np.cumsum(sizes))[of]
+        same = np.flatnonzero(low[near] == keys.astype("<u4")[of])
+        of, near = of[same], near[same]
+        same = high[near] == (keys >> np.uint64(32)).astype(high.dtype)[of]
+        of = of[same]
+        places[of], there[of] = near[same], True
+        return places, there
 
     def look_up(self, keys: Array, out: Array) -> None:
         """Puts the values of sorted keys into the columns of ``out``; a key that isn't there leaves them."""
@@ -421,36 +459,49 @@ class Model:
     hot: Array  # sorted
     spare: float  # what the discounts leave to the uniform distribution
 
-    def look_up(self, name: str, keys: Array, columns: int = 1) -> Array:
-        """The values of sorted keys, a row for each column; 0 for a key that isn't there."""
-        out = np.zeros((columns, len(keys)), dtype=np.int64)
+    def look_up(self, name: str, keys: Array) -> Array:
+        """The values of sorted keys; 0 for a key that isn't there."""
+        return self._look_up(name, keys, np.zeros((1, len(keys)), np.int64))[0]
+
+    def context_sums(self, name: str, keys: Array) -> Array:
+        """The sums of sorted keys of contexts that were seen, a row for each; those that aren't there have the usual ones."""
+        return self._look_up(name, keys, np.repeat(_usual(4)[:, None], len(keys), axis=1))
+
+    def _look_up(self, name: str, keys: Array, out: Array) -> Array:
         for shard, at in _by_shard(keys, self.bits):
-            known = _mapped(self.folder, f"{name}-{shard:07d}", columns)
+            known = _mapped(self.folder, f"{name}-{shard:07d}", len(out))
             if known is not None:
-                known.look_up(keys[at], out[:, at])
+                for a in range(at.start, at.stop, LOOKED_UP):
+                    some = slice(a, min(a + LOOKED_UP, at.stop))
+                    known.look_up(keys[some], out[:, some])
         return out
 
     @property
     def order(self) -> int:
         return len(self.grams) + 1
 
-    def scores(self, tokens: Array, context: list[Array]) -> tuple[Array, Array, Array]:
-        """Log10 probability of each token by the base and by the model, and its training count."""
+    def scores(self, tokens: Array, starts: Array) -> tuple[Array, Array, Array]:
+        """Log10 probability of each token by the base and by the model, and its training count; ``starts`` are the places where texts start."""
+        context = contexts_of(tokens, starts, self.order)
         words, at = np.unique(tokens, return_inverse=True)
-        count, kinds = self.look_up("words", words)[0], self.words.different + 1
+        count, kinds = self.look_up("words", words), self.words.different + 1
         base = np.log10((count + 0.5) / (self.words.total + 0.5 * kinds))
-        p = self._lower(self.look_up("continuations", words)[0], kinds)[at]
-        spread = found_in(self.hot, context[0])[1]
+        p = self._lower(self.look_up("continuations", words), kinds)[at]
+        spread, n = np.concatenate([[False], found_in(self.hot, words)[1][at[:-1]]]), count[at]
+        spread[starts] = True  # the begin token is hot
         for level, grams in enumerate(self.grams, 2):
-            own = context[: level - 1]
-            keys, gram = np.unique(gram_keys(own, tokens, self.bits, self.hot), return_inverse=True)
-            n = self.look_up(f"grams{level}", keys)[0][gram]
+            own, below = context[: level - 1], n > 0
+            seen = np.concatenate([[False], below[:-1]])  # a context was seen if the gram of the order below that ends before the word was
+            seen[starts] = self.words.total > 0
+            n, known = np.zeros(len(tokens), np.int64), np.flatnonzero(seen & below)
+            keys, place = np.unique(gram_keys([x[known] for x in own], tokens[known], self.bits, spread[known]), return_inverse=True)
+            n[known] = self.look_up(f"grams{level}", keys)[place]
             total, share = np.ones(len(tokens)), np.ones(len(tokens))
-            for name, mine in (("contexts", ~spread), ("spread", spread)):
+            for name, mine in (("contexts", np.flatnonzero(seen & ~spread)), ("spread", np.flatnonzero(seen & spread))):
                 keys, place = np.unique(context_keys([x[mine] for x in own], self.bits, spread[mine]), return_inverse=True)
-                sums = self.look_up(f"{name}{level}", keys, 4)
-                total[mine] = np.maximum(sums[0], 1)[place]
-                share[mine] = np.where(sums[0] > 0, np.asarray(grams.discounts) @ sums[1:] / np.maximum(sums[0], 1), 1.0)[place]
+                sums = self.context_sums(f"{name}{level}", keys)
+                total[mine] = sums[0][place]
+                share[mine] = (np.asarray(grams.discounts) @ sums[1:] / sums[0])[place]
             p = np.where(n > 0, grams.left(n), 0.0) / total + share * p
         return base[at], np.log10(p), count[at]
 
@@ -477,7 +528,13 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, order:
     candidates = [_unpacked(bytes(r[0]), "kn") for r in words.where("kind = 'shard'").select("blob").toLocalIterator()]
     hot = np.sort(np.concatenate([[BEGIN], *(k[n.astype(np.int64) * HOT > known.total] for k, n in candidates)]).astype(np.uint64))
 
-    grams = stored(dealt(texts.mapInArrow(_count_grams(order, bits, hot), _COUNTED)).mapInArrow(_merge_grams(folder, order, bits, hot), _MERGED), folder, "gram-stats")
+    counted, sums, parts = [], [], min(PARTS, shards)
+    for part in range(parts):
+        counting, merging = _count_grams(order, bits, hot, part, parts), _merge_grams(folder, order, bits, hot)
+        counted.append(stored(dealt(texts.mapInArrow(counting, _COUNTED)).mapInArrow(merging, _MERGED), folder, f"gram-stats-{part}"))
+        sums.append(_sums(counted[-1]))  # a shuffle can be let go only once another query has run
+        release(texts.sparkSession)
+    grams = reduce(DataFrame.unionAll, counted)
     stored(dealt(grams.where("kind = 'context'").select("shard", "blob")).mapInArrow(_merge_spread(folder, bits), _COUNTED), folder, "spread-stats")
 
     release(texts.sparkSession)
@@ -487,7 +544,7 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, order:
     r = following.where("kind = 'shard'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0", "n1", "n2")]).first()
     spare = lower.discounts[0] * r["n1"] + lower.discounts[1] * r["n2"] + lower.discounts[2] * (r["n0"] - r["n1"] - r["n2"])
     release(texts.sparkSession)
-    return Model(folder, bits, known, tuple(Counts.of(grams, f"shard{i}") for i in range(2, order + 1)), lower, hot, spare / lower.total if lower.total else 1.0)
+    return Model(folder, bits, known, tuple(Counts.from_sums(np.sum([x.get(f"shard{i}", [0] * 6) for x in sums], axis=0).tolist()) for i in range(2, order + 1)), lower, hot, spare / lower.total if lower.total else 1.0)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -499,7 +556,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             runs = list(token_runs(as_bytes(batch.column("text"))))  # every text has its end, so its tokens are never none
             tokens, sizes = np.concatenate([r[1] for r in runs]), np.concatenate([np.diff(r[2]) for r in runs])
             starts = np.cumsum(sizes) - sizes
-            base, own, count = model.scores(tokens, contexts_of(tokens, starts, model.order))
+            base, own, count = model.scores(tokens, starts)
             n, n_known, base, own = [sizes, *(np.add.reduceat(x, starts) for x in (count > 0, base, own))]
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(n.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array([model.words.total] * batch.num_rows, pa.int64()), pa.array(base), pa.array(own)], names=out

@@ -140,6 +140,39 @@ def test_finished_shuffles_are_gone_before_the_next_part(spark, documents, monke
     assert len(left) > kn.PARTS and max(left[: kn.PARTS + 1]) < part / 4  # after the words and after each part
 
 
+def test_tokens_are_searched_in_hot_words_alone(documents, monkeypatch):
+    """A run over a part of the shards does not look up each token among all words of its block."""
+    texts, hot = documents.select("text").toArrow().to_batches(), np.array([kn.BEGIN])
+    n = sum(len(tokens) for tokens, _ in kn._token_blocks(texts))
+    search, asked = np.searchsorted, []
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *x, **y: asked.append((len(a), np.size(v))) or search(a, v, *x, **y))
+    list(kn._count_grams(3, 4, hot, 0, 4)(texts))
+    assert n > 10_000 and sum(v for a, v in asked if a > len(hot)) < n / 2
+
+
+def test_keys_of_many_shards_are_looked_up_together(monkeypatch, tmp_path):
+    """The values are those of a dictionary, with shards that are missing and shards asked in several goes; a bucket holds few keys."""
+    rng, bits, folder = np.random.default_rng(5), 6, f"file://{tmp_path}"
+    keys = np.unique(rng.integers(0, 2**64, 200_000, dtype=np.uint64))
+    counts = np.where(rng.random(len(keys)) < 0.6, 1, rng.integers(1, 700, len(keys)))
+    shards = [(s, at) for s, at in kn._by_shard(keys, bits) if s not in (0, 7, 8, 63)]
+    for s, at in shards:
+        kn._save(folder, f"x-{s:07d}", bits, keys[at], counts[at])
+    known = {int(k): int(c) for s, at in shards for k, c in zip(keys[at], counts[at], strict=True)}
+    model = kn.Model(folder, bits, None, (), None, keys[:0], 1.0)
+    asked = np.unique(np.concatenate([rng.choice(keys, 20_000), rng.choice(keys, 500) ^ np.uint64(1), rng.integers(0, 2**64, 9000, dtype=np.uint64)]))
+    want = [known.get(k, 0) for k in asked.tolist()]
+    together, goes = kn.look_up, []
+    monkeypatch.setattr(kn, "look_up", lambda shards, *x: goes.append(len(shards)) or together(shards, *x))
+    assert model.look_up("x", asked).tolist() == want and len(goes) < len(shards) / 10
+    monkeypatch.setattr(kn, "LOOKED_UP", 100)
+    assert model.look_up("x", asked).tolist() == want and max(goes[1:]) < 4
+    assert model.look_up("x", asked[:0]).tolist() == [] and model.look_up("nothing", asked[:9]).tolist() == [0] * 9
+    own = keys[shards[0][1]]
+    begins, low, _ = kn._key_table(own, bits)
+    assert begins[-1] == len(low) == len(own) <= 4 * (len(begins) - 1)
+
+
 class BruteOfOrder:
     """Any order by its definition: raw counts at the top, numbers of different words before at the orders below."""
 

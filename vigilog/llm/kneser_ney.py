@@ -30,6 +30,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 from hashlib import md5
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ from vigilog.llm.words import as_bytes, mixed, pieces, word_runs
 SHARD_BYTES = 16 << 20  # of training text for each shard, on average
 HELD_TOKENS = 2_000_000  # counted at once by a task
 SLICE = 1 << 20  # of them hashed at once
-SCORED_BYTES = 1 << 21  # of text scored at once
-LOOKED_UP = 1 << 15  # keys of a shard looked up at once
-PARTS = 4  # runs over the texts that count the grams, a power of 2
+SCORED_BYTES = 1 << 22  # of text scored at once
+LOOKED_UP = 1 << 15  # keys looked up at once, of one shard or several
+PARTS = 2  # runs over the texts that count the grams, a power of 2
 HOT = 1000
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
@@ -87,6 +88,16 @@ def summed(keys: Array, weights: Array | None = None) -> tuple[Array, Array, Arr
     return keys[firsts], sums.astype(np.int64), order[firsts]
 
 
+def coded(tokens: Array) -> tuple[Array, Array]:
+    """Different tokens in order, and the place of each token among them: one pass over the tokens, only the different ones are sorted."""
+    found = pa.array(tokens).dictionary_encode()
+    words = found.dictionary.to_numpy()
+    order = np.argsort(words)
+    places = np.empty(len(words), "<u4")
+    places[order] = np.arange(len(words), dtype="<u4")
+    return words[order], places[found.indices.to_numpy()]
+
+
 def _context_hashes(context: list[Array]) -> Array:
     out = context[0]
     for x in context[1:]:
@@ -180,35 +191,43 @@ def _token_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Array, Ar
 def _count_words(bits: int) -> Callable:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, _ in _token_blocks(batches):
-            keys, counts, _ = summed(tokens)
+            keys, codes = coded(tokens)
+            counts = np.bincount(codes, minlength=len(keys))
             yield _rows([(s, _packed(keys[at], counts[at].astype("<u4"))) for s, at in _by_shard(keys, bits)])
 
     return count
 
 
+def _in_part(tokens: Array, last: Array, spread: Array, part: int, parts: int) -> Array:
+    """Places of the grams in one of ``parts`` equal spans of the shards; only those after words that are spread are hashed to know."""
+    top = np.uint64(65 - parts.bit_length())
+    mine = last >> top == part
+    pairs = np.flatnonzero(spread)
+    mine[pairs] = _owners(last[pairs], tokens[pairs], np.True_) >> top == part
+    return np.flatnonzero(mine)
+
+
 def _count_grams(order: int, bits: int, hot: Array, part: int = 0, parts: int = 1) -> Callable:
     """Counts the grams of one of ``parts`` equal spans of the shards."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, starts in _token_blocks(batches):
-            words = np.unique(np.append(tokens, BEGIN))
+            columns = [tokens, *contexts_of(tokens, starts, order)]
             slices = [slice(a, a + SLICE) for a in range(0, len(tokens), SLICE)]
-            codes = np.concatenate([np.searchsorted(words, tokens[x]).astype("<u4") for x in slices])
-            columns = [codes, *contexts_of(codes, starts, order, np.searchsorted(words, BEGIN))]
-            spread = found_in(hot, words)[1]
+            spread = np.concatenate([found_in(hot, columns[1][x])[1] for x in slices])
             if parts > 1:
-                top = np.uint64(65 - parts.bit_length())
-                mine = np.concatenate([_owners(words[columns[1][x]], tokens[x], spread[columns[1][x]]) >> top == part for x in slices])
-                tokens, columns = tokens[mine], [x[mine] for x in columns]
-            keys = np.concatenate([gram_keys([words[c[x]] for c in columns[1:]], tokens[x], bits, spread[columns[1][x]]) for x in slices])
+                mine = np.concatenate([_in_part(tokens[x], columns[1][x], spread[x], part, parts) + x.start for x in slices])
+                columns, spread = [x[mine] for x in columns], spread[mine]
+            tokens = None
+            keys = np.concatenate([gram_keys([c[x] for c in columns[1:]], columns[0][x], bits, spread[x]) for x in slices])
             keys, counts, at = summed(keys)
             columns, rows = [x[at] for x in columns], []
             for shard, span in _by_shard(keys, bits):
-                own = [x[span] for x in columns]
-                by_pair = np.argsort((own[1].astype(np.uint64) << np.uint64(32)) | own[0])  # equal words side by side
-                known, places = np.unique(np.concatenate([x[by_pair] for x in own]), return_inverse=True)  # a word is written once
-                places = np.diff(places.reshape(order, -1).astype("<u4"), prepend=np.zeros((order, 1), "<u4"), axis=1)
-                rows.append((shard, _packed(words[known], places.reshape(-1), counts[span][by_pair].astype("<u4"))))
+                known, places = np.unique(np.concatenate([x[span] for x in columns]), return_inverse=True)  # a word is written once
+                places = places.reshape(order, -1).astype("<u4")
+                by_pair = np.argsort((places[1].astype(np.uint64) << np.uint64(32)) | places[0])  # equal words side by side
+                places = np.diff(places[:, by_pair], axis=1, prepend=np.zeros((order, 1), "<u4"))
+                rows.append((shard, _packed(known, places.reshape(-1), counts[span][by_pair].astype("<u4"))))
             yield _rows(rows)
 
     return count
@@ -221,10 +240,12 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
 
 def _key_table(keys: Array, bits: int) -> tuple[Array, ...]:
     """Sorted keys of a shard in 5 or 6 bytes each: where the keys of each bucket, given by the bits after the shard's, begin, then
-    the lower 4 bytes of every key and the rest. Shard and bucket give the bits above: 24 if there are 4 keys to a bucket then, else 16.
+    the lower 4 bytes of every key and the rest. A bucket has 2 to 4 keys if there are enough; shard and bucket give the bits above,
+    24 if they are as many, else 16.
     """
-    width = 1 if len(keys) >> max(1, 26 - bits) else 2
-    own = max(1, 8 * (4 - width) - bits, int(len(keys)).bit_length() - 4)
+    fine = int(len(keys)).bit_length() - 2
+    width = 1 if fine > 0 and fine + bits >= 24 else 2
+    own = max(1, 8 * (4 - width) - bits, fine)
     buckets = (keys << np.uint64(bits)) >> np.uint64(64 - own)
     begins = np.searchsorted(buckets, np.arange((1 << own) + 1, dtype=np.uint64))
     return begins.astype("<u4"), keys.astype("<u4"), (keys >> np.uint64(32)).astype(f"<u{width}")
@@ -393,43 +414,55 @@ class Shard:
             at += size + -size % 8
         self.usual, self.rest, self.values = arrays[:3], arrays[3:6], [arrays[i : i + 3] for i in range(6, len(arrays), 3)]
 
-    def _places(self, table: list[Array], keys: Array) -> tuple[Array, Array]:
-        """Places of sorted keys in a key table, and whether they are there."""
-        begins, low, high = table
-        places, there = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        if not len(low):
-            return places, there
-        own = (len(begins) - 1).bit_length() - 1
-        buckets = ((keys << np.uint64(self.bits)) >> np.uint64(64 - own)).astype(np.int64)
-        at = begins[buckets].astype(np.int64)
-        end = begins[buckets + 1].astype(np.int64)
-        while (end - at).sum() > 6 * len(keys):  # halve all buckets at once
-            middle = (at + end) >> 1
-            some = np.minimum(middle, len(low) - 1)
-            above = (high[some].astype("<u8") << np.uint64(32)) | low[some] > keys & np.uint64((1 << (32 + 8 * high.itemsize)) - 1)
-            at, end = np.where(above, at, middle), np.where(above, middle, end)
-        sizes = end - at
-        of = np.repeat(np.arange(len(keys)), sizes)  # what is left of a key's bucket is compared with it
-        near = np.arange(len(of)) + (end - np.cumsum(sizes))[of]
-        same = np.flatnonzero(low[near] == keys.astype("<u4")[of])
-        of, near = of[same], near[same]
-        same = high[near] == (keys >> np.uint64(32)).astype(high.dtype)[of]
-        of = of[same]
-        places[of], there[of] = near[same], True
-        return places, there
-
-    def look_up(self, keys: Array, out: Array) -> None:
-        """Puts the values of sorted keys into the columns of ``out``; a key that isn't there leaves them."""
-        _, there = self._places(self.usual, keys)
-        out[:, there] = _usual(len(out))[:, None]
-        open_keys = np.flatnonzero(~there)
-        places, there = self._places(self.rest, keys[open_keys])
-        found, places = open_keys[there], places[there]
-        for row, (small, large, full) in zip(out, self.values, strict=True):
-            values = small[places].astype(np.int64)
-            more = np.flatnonzero(values == 255)
-            values[more] = full[np.searchsorted(large, places[more])]
-            row[found] = values
+
+def _found(tables: list[tuple[list[Array], slice]], bits: int, keys: Array) -> tuple[Array, Array, list[slice]]:
+    """Which of the sorted keys are in the key tables, their places there, and the span of each table in these; a table is asked for its span of the keys.
+
+    What can be done for the keys of all tables at once is: with many shards, few keys of a slice of texts go to each.
+    """
+    at, end, within = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), keys << np.uint64(bits)
+    for (begins, _, _), span in tables:
+        buckets = (within[span] >> np.uint64(65 - (len(begins) - 1).bit_length())).astype(np.int64)
+        at[span], end[span] = begins[buckets], begins[buckets + 1]
+    sizes = end - at
+    of = np.repeat(np.arange(len(keys)), sizes)  # what a key's bucket holds is compared with it
+    near = np.arange(len(of)) + np.repeat(end - np.cumsum(sizes), sizes)
+    starts = [span.start for _, span in tables]
+    spans = _spans(of, starts)
+    low = np.concatenate([table[1][near[span]] for (table, _), span in zip(tables, spans, strict=True)])
+    same = np.flatnonzero(low == np.repeat(keys.astype("<u4"), sizes))
+    of, near = of[same], near[same]
+    high, spans = keys[of] >> np.uint64(32), _spans(of, starts)
+    same = np.flatnonzero(np.concatenate([table[2][near[span]] == high[span].astype(table[2].dtype) for (table, _), span in zip(tables, spans, strict=True)]))
+    of, near = of[same], near[same]
+    return of, near, _spans(of, starts)
+
+
+def _spans(places: Array, starts: list[int]) -> list[slice]:
+    """The spans of the sorted places from each start to the next; there are none before the first."""
+    return [slice(a, b) for a, b in pairwise([*np.searchsorted(places, starts).tolist(), len(places)])]
+
+
+def look_up(shards: list[tuple[Shard, slice]], keys: Array, out: Array) -> None:
+    """Puts the values of sorted keys, a span of them for each shard, into the columns of ``out``; a key that isn't there leaves them."""
+    bits = shards[0][0].bits
+    of, places, spans = _found([(shard.rest, span) for shard, span in shards], bits, keys)
+    for i, row in enumerate(out):
+        values = np.concatenate([shard.values[i][0][places[span]] for (shard, _), span in zip(shards, spans, strict=True)]).astype(np.int64)
+        for (shard, _), span in zip(shards, spans, strict=True):
+            _, large, full = shard.values[i]
+            if len(large):
+                more = np.flatnonzero(values[span] == 255) + span.start
+                values[more] = full[np.searchsorted(large, places[more])]
+        row[of] = values
+    left = np.ones(len(keys), bool)
+    left[of] = False
+    left = np.flatnonzero(left)
+    usual = [(shard.usual, span) for shard, span in shards if len(shard.usual[1])]
+    if usual:
+        cuts = np.searchsorted(left, [(span.start, span.stop) for _, span in usual]).tolist()
+        of, _, _ = _found([(table, slice(*cut)) for (table, _), cut in zip(usual, cuts, strict=True)], bits, keys[left])
+        out[:, left[of]] = _usual(len(out))[:, None]
 
 
 @lru_cache(4096)
@@ -468,12 +501,17 @@ class Model:
         return self._look_up(name, keys, np.repeat(_usual(4)[:, None], len(keys), axis=1))
 
     def _look_up(self, name: str, keys: Array, out: Array) -> Array:
+        asked = []
         for shard, at in _by_shard(keys, self.bits):
             known = _mapped(self.folder, f"{name}-{shard:07d}", len(out))
             if known is not None:
-                for a in range(at.start, at.stop, LOOKED_UP):
-                    some = slice(a, min(a + LOOKED_UP, at.stop))
-                    known.look_up(keys[some], out[:, some])
+                asked += [(known, slice(a, min(a + LOOKED_UP, at.stop))) for a in range(at.start, at.stop, LOOKED_UP)]
+        first = 0
+        for i, (_, at) in enumerate(asked, 1):
+            start = asked[first][1].start
+            if i == len(asked) or asked[i][1].stop - start > LOOKED_UP:
+                look_up([(shard, slice(x.start - start, x.stop - start)) for shard, x in asked[first:i]], keys[start : at.stop], out[:, start : at.stop])
+                first = i
         return out
 
     @property
@@ -483,7 +521,7 @@ class Model:
     def scores(self, tokens: Array, starts: Array) -> tuple[Array, Array, Array]:
         """Log10 probability of each token by the base and by the model, and its training count; ``starts`` are the places where texts start."""
         context = contexts_of(tokens, starts, self.order)
-        words, at = np.unique(tokens, return_inverse=True)
+        words, at = coded(tokens)
         count, kinds = self.look_up("words", words), self.words.different + 1
         base = np.log10((count + 0.5) / (self.words.total + 0.5 * kinds))
         p = self._lower(self.look_up("continuations", words), kinds)[at]

@@ -214,6 +214,41 @@ def test_tops_of_more_trees_take_no_more_jobs(spark, tmp_path, monkeypatch):
                 assert votes.argmax() == r.label and votes.max() == 1
 
 
+def test_tasks_grow_the_trees_that_numpy_grows(spark):
+    """Rows of every kind of number, many of them equal, dealt and grown without a Python worker."""
+    kinds = [F.col("id") % 7, (F.col("id") * 37 % 300).cast("double"), F.col("id") % 90 - 45.5, F.col("id") % 11 * 1e9, F.col("id") % 13 / F.lit(10.0), F.col("id") % 70 * 0.1 + F.col("id") % 2 * 1e10]
+    table = spark.range(4000).select(F.col("id").alias("row"), *[k.cast("double").alias(f"f{i}") for i, k in enumerate(kinds)], F.pmod(F.xxhash64(F.col("id") % 2500), F.lit(4)).cast("int").alias("label"))
+    table = table.unionByName(table.withColumn("row", F.col("row") + 10_000)).localCheckpoint()
+    names = [f"f{i}" for i in range(len(kinds))]
+    groups = growing.fit_trees(table, names, 4, range(2), 7, "", False)
+    assert "InArrow" not in groups._jdf.queryExecution().toString()
+    for row in groups.collect():
+        bag = table.withColumn("w", growing.bag_weight(F.col("row"), F.lit(row.tree), 7)).filter("w > 0").collect()
+        x, y, w = (np.array([v(r) for r in bag]) for v in (lambda r: [r[n] for n in names], lambda r: r.label, lambda r: float(r.w)))
+        first, same = growing.summed_rows(x, y)
+        theirs = growing.grown(x[first], y[first], np.bincount(same, w), 4, 2, growing.group_key(7, row.tree, row.leaf))
+        own = growing.Group(row.asDict(), 4)
+        waiting, seen = [(0, 0)], 0
+        while waiting:
+            a, b = waiting.pop()
+            seen += 1
+            assert own.feature[a] == theirs[0][b] and own.threshold[a] == theirs[1][b]
+            if own.feature[a] >= 0:
+                waiting += [(own.child[a], theirs[2][b]), (own.child[a] + 1, theirs[2][b] + 1)]
+            elif own.value[a] >= 0:
+                assert own.value[a] == theirs[3][b]
+            else:
+                assert own.shares[-1 - own.value[a]].tolist() == theirs[4][-1 - theirs[3][b]].tolist()
+        assert seen == row.nodes == len(theirs[0]) > 1000
+
+
+def test_a_forest_votes_without_python_workers_for_its_trees(spark, events, coded, monkeypatch):
+    """Rows meet a forest that is too large to send in Java; only the sums of votes are Python's."""
+    monkeypatch.setattr(forests, "SENT_BYTES", 0)
+    plan = score_events(sec_all(events), coded.pipeline, VIEW)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapPartitions") >= 2 and plan.count("InArrow") + plan.count("InPandas") == 1
+
+
 def test_packed_rows_come_back():
     x, y = np.arange(12.0).reshape(4, 3), np.array([1, 2, 3, 4], "<u2")
     back = growing.unpacked(growing.packed(x, y), ("<f8", 3), ("<u2", 0))

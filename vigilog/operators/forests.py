@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ SENT_BYTES = 96 << 20
 PART_ROWS = 500_000
 VOTE_CELLS = 1 << 19
 
-_ASKED = "tree int, leaf bigint, part int, blob binary"
+_ASKED = "tree int, leaf bigint, part int, first bigint, blob binary"
 _SHARES = "block bigint, tree int, blob binary"
 
 
@@ -154,65 +153,6 @@ def _voting(sent, classes: int) -> Callable:
     return votes
 
 
-def _count(tops: dict[int, growing.Top]) -> Callable:
-    """How many rows fall into each leaf of each tree."""
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in growing.chunks(batches):
-            x = growing.matrix(table["features"])
-            for tree, top in tops.items():
-                leaf, n = np.unique(top.leaves(x), return_counts=True)
-                yield pa.record_batch([pa.array([tree] * len(leaf), pa.int32()), pa.array(leaf), pa.array(n)], names=["tree", "leaf", "n"])
-
-    return count
-
-
-def _ask(tops: dict[int, growing.Top], parts: dict[tuple[int, int], int]) -> Callable:
-    """Rows packed by the tree and leaf they fall into, each slice of them in one of the leaf's parts."""
-
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in growing.chunks(batches):
-            x, ids = growing.matrix(table["features"]), table["vote_row"].to_numpy()
-            for tree, top in tops.items():
-                leaf = top.leaves(x)
-                order = np.argsort(leaf, kind="stable")
-                runs = np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1)
-                leaves = [int(leaf[run[0]]) for run in runs]
-                yield pa.record_batch(
-                    [
-                        pa.array([tree] * len(runs), pa.int32()),
-                        pa.array(leaves, pa.int64()),
-                        pa.array([crc32(ids[:1].tobytes()) % parts[tree, at] for at in leaves], pa.int32()),
-                        pa.array([growing.packed(ids[run], x[run]) for run in runs], pa.binary()),
-                    ],
-                    names=["tree", "leaf", "part", "blob"],
-                )
-
-    return ask
-
-
-def _vote_groups(classes: int, width: int, bits: int) -> Callable:
-    """The shares that the rows of a leaf get from its group, packed by block of rows."""
-
-    def votes(key: tuple[pa.Scalar, ...], asked: pa.Table, groups: pa.Table) -> pa.Table:
-        blocks, blobs = [], []
-        held = [growing.Group(row, classes) for row in groups.to_pylist()]
-        for blob in asked.column("blob"):
-            ids, x = growing.unpacked(blob.as_py(), ("<i8", 0), ("<f8", width))
-            x = np.ascontiguousarray(x)
-            found = np.zeros((len(x), classes))
-            for group in held:
-                group.vote(x, found)
-            place, cls = np.nonzero(found)
-            share, block = found[place, cls], ids[place] >> bits
-            for run in np.split(np.arange(len(place)), np.flatnonzero(np.diff(block)) + 1) if len(place) else []:
-                blocks.append(int(block[run[0]]))
-                blobs.append(growing.packed((ids[place[run]] & ((1 << bits) - 1)).astype("<u4"), cls[run].astype("<u2"), share[run]))
-        return pa.table({"block": pa.array(blocks, pa.int64()), "tree": pa.array([key[0].as_py()] * len(blocks), pa.int32()), "blob": pa.array(blobs, pa.binary())})
-
-    return votes
-
-
 def _sum_votes(classes: int, bits: int) -> Callable:
     """The votes of every row of a block, its shares summed in the order of the trees."""
 
@@ -220,10 +160,14 @@ def _sum_votes(classes: int, bits: int) -> Callable:
         cells = np.zeros(classes << bits)
         seen = np.zeros(1 << bits, bool)
         for blob in rows.sort_by("tree").column("blob"):
-            row, cls, share = growing.unpacked(blob.as_py(), ("<u4", 0), ("<u2", 0), ("<f8", 0))
-            place = row.astype(np.int64)
-            cells[place * classes + cls] += share  # a row is there once
-            seen[place] = True
+            blob = blob.as_py()
+            pure, rest = np.frombuffer(blob, "<i4", 2).tolist()
+            at = 8
+            for n, shared in ((pure, False), (rest, True)):
+                place, cls = np.frombuffer(blob, "<u4", n, at).astype(np.int64), np.frombuffer(blob, "<u2", n, at + 4 * n)
+                at += 6 * n
+                cells[place * classes + cls] += np.frombuffer(blob, "<f8", n, at) if shared else 1  # a row is there once with a class
+                seen[place] = True
         there = np.flatnonzero(seen)
         votes = cells.reshape(-1, classes)[there]
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(there) + 1, dtype=np.int32) * classes), pa.array(votes.ravel()))
@@ -248,14 +192,23 @@ def add_votes(rows: DataFrame, forest: CodeForest) -> DataFrame:
     first = kept.select(F.size("features")).first()
     if first is None:
         return kept.withColumn("votes", F.array().cast("array<double>")).drop("vote_row")
-    tops, keys, width = forest.tops(spark), ["tree", "leaf", "part"], first[0]
-    counts = kept.select("features").mapInArrow(_count(tops), "tree int, leaf bigint, n bigint").groupBy("tree", "leaf").agg(F.sum("n").alias("n"))
+    tops, keys = forest.tops(spark), ["tree", "leaf", "part"]
+    wide, about = [F.col("features")[i] for i in range(first[0])], growing.spec([first[0]], *growing.about_tops(tops))
+    asking = kept.select("vote_row", *wide)
+    counts = growing.map_partitions(asking, "Ask", about + growing.spec(np.empty(0, int)), "tree int, leaf bigint, n bigint").groupBy("tree", "leaf").agg(F.sum("n").alias("n"))
     held = [(r.tree, r.leaf, -(-r.n // PART_ROWS)) for r in counts.collect()]  # a leaf stands for as many rows as a task grows
     tasks, bits = growing.partitions_for(sum(parts for *_, parts in held)), max(0, (VOTE_CELLS // classes).bit_length() - 1)
-    asked = kept.select("vote_row", "features").mapInArrow(_ask(tops, {(tree, leaf): parts for tree, leaf, parts in held}), _ASKED)
+    begins = dict(zip(tops, growing.about_tops(tops)[1].tolist()))
+    parts = np.ones(sum(len(top.feature) for top in tops.values()), int)
+    for tree, leaf, some in held:
+        parts[begins[tree] + leaf] = some
+    asked = growing.map_partitions(asking, "Ask", about + growing.spec(parts), _ASKED)
     copies = forest.groups(spark).join(F.broadcast(spark.createDataFrame(held, "tree int, leaf bigint, parts int")), ["tree", "leaf"])
     copies = copies.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    sides = [side.repartition(tasks, *keys).groupBy(*keys) for side in (asked, copies)]
-    shares = sides[0].cogroup(sides[1]).applyInArrow(_vote_groups(classes, width, bits), _SHARES)
+    nodes = ["feature", "threshold", "child", "value", "shares"]
+    asked = asked.select(*keys, F.lit(1).alias("kind"), "first", "blob", *[F.lit(None).cast("binary").alias(c) for c in nodes])
+    copies = copies.select(*keys, F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("first"), F.lit(None).cast("binary").alias("blob"), *nodes)
+    met = copies.unionByName(asked).repartition(tasks, *keys).sortWithinPartitions(*keys, "kind")
+    shares = growing.map_partitions(met, "Vote", growing.spec([first[0], classes, bits]), _SHARES)
     summed = shares.groupBy("block").applyInArrow(_sum_votes(classes, bits), "vote_row bigint, votes array<double>")
     return kept.join(summed, "vote_row").drop("vote_row")

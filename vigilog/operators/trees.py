@@ -3,13 +3,14 @@
 A bag is a weight for every row and tree, drawn from a hash, so it is the same whenever a task runs again. A table of up to
 ``LOCAL_ROWS`` rows makes one group for each tree. On a larger one every tree has a top, in whose leaves its bag has no more rows
 than that: all tops grow at once, a level for each pass over the rows, from histograms of the columns the nodes draw. Rows are
-dealt to groups in packed runs, equal ones summed. A group is grown level by level, all its open nodes at once: per node the
-best threshold of a random choice of columns, until nothing is left to part.
+dealt to groups in packed runs, equal ones summed. A group is grown node by node: the best threshold of a random choice of columns,
+until nothing is left to part. What is done row by row is done by the tasks of ``Trees.java``; ``grown`` grows the same trees by
+numpy, some ten times slower, and is what tests hold them against.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilog.operators.jvm import map_partitions, spec
+
 LOCAL_ROWS = 200_000
 
 #: Quantiles of a column over the whole table, between which tops part rows.
 QUANTILES = 127
 
-#: Rows packed at once by a task, and the bytes of histograms it holds; further nodes wait for a further pass.
-CHUNK = 1 << 17
-HISTOGRAM_BYTES = 64 << 20
+#: Bytes of histograms that a task holds; further nodes wait for a further pass.
+HISTOGRAM_BYTES = 32 << 20
 
 #: Most partitions that groups are dealt to.
 MOST_PARTITIONS = 8192
@@ -35,7 +37,6 @@ _BITS = 52
 _DRAWN = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120)])
 
 GROUP_SCHEMA = "tree int, leaf bigint, nodes int, feature binary, threshold binary, child binary, value binary, shares binary"
-_ARROW = pa.schema([("tree", pa.int32()), ("leaf", pa.int64()), ("nodes", pa.int32()), *[(n, pa.binary()) for n in ("feature", "threshold", "child", "value", "shares")]])
 
 TOP_SCHEMA = "tree int, feature binary, threshold binary, child binary"
 _DEALT = "tree int, leaf bigint, blob binary"
@@ -55,11 +56,6 @@ def bag_weight(row: Column, tree: Column, seed: int) -> Column:
     return sum((draw >= float(chance)).cast("int") for chance in _DRAWN[:-1])
 
 
-def _weights(draws: Array) -> Array:
-    """``bag_weight`` of draws."""
-    return np.searchsorted(_DRAWN[:-1], draws / float(1 << _BITS), side="right")
-
-
 def _by_node_and_code(node: Array, code: Array) -> tuple[Array, Array, Array]:
     """Nodes and codes in order, and the places where they stood: as one packed number where that has room."""
     bits = [int(a.max(initial=0)).bit_length() for a in (node, code)] + [len(node).bit_length()]
@@ -148,17 +144,33 @@ def _best_splits(x: Array, y: Array, w: Array, node: Array, counts: Array, featu
     return column, np.where(parted, ranks.cut(column, low, np.where(parted, high, low)), 0.0), parted
 
 
-def grown(x: Array, y: Array, w: Array, classes: int, columns: int, rng: np.random.Generator) -> tuple[Array, Array, Array, Array, Array]:
+def _mixed(v: Array) -> Array:
+    v = (v ^ (v >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    v = (v ^ (v >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return v ^ (v >> np.uint64(31))
+
+
+def group_key(seed: int, tree: int, leaf: int) -> int:
+    """The key of a group's first node."""
+    key = np.zeros(1, np.uint64)
+    for number in (seed, tree, leaf):
+        key = _mixed(key + np.uint64(number))
+    return int(key[0])
+
+
+def grown(x: Array, y: Array, w: Array, classes: int, columns: int, rng: np.random.Generator | int) -> tuple[Array, Array, Array, Array, Array]:
     """A tree over all rows as arrays by node: column (-1 in a leaf), threshold, left child (the right one follows), value, and shares.
 
-    The value of a leaf is its class; one whose rows can't be parted has the number of its row in ``shares``, as -1, -2 and so on.
+    The value of a leaf is its class; one whose rows can't be parted has the number of its row in ``shares``, as -1, -2 and so on. The
+    order in which a node tries columns follows from its key, and the keys of all nodes from the first one's, ``rng`` or drawn from it.
     """
     feature, threshold, child, value, shares = ([] for _ in range(5))
     ranks, width = _Ranks(x), x.shape[1]
     y = y.astype(np.uint16)  # sorted by counting
     at, node, made = np.arange(len(y)), np.zeros(len(y), np.int64), 1
-    open_nodes = 1
-    while open_nodes:
+    keys = np.array([rng if isinstance(rng, int) else rng.integers(1 << 63)], np.uint64)
+    steps = (np.arange(width, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    while open_nodes := len(keys):
         counts = np.bincount(node * classes + y[at], weights=w[at], minlength=open_nodes * classes).reshape(open_nodes, classes)
         own_feature, own_threshold, own_child = np.full(open_nodes, -1, np.int8), np.zeros(open_nodes), np.zeros(open_nodes, np.int32)
         own_value = counts.argmax(1).astype(np.int32)
@@ -167,7 +179,7 @@ def grown(x: Array, y: Array, w: Array, classes: int, columns: int, rng: np.rand
         rank[mixed] = np.arange(len(mixed))
         held = np.flatnonzero(rank[node] >= 0)
         at, node = at[held], rank[node[held]]
-        order = rng.random((len(mixed), width)).argsort(1)
+        order = _mixed(keys[mixed][:, None] + steps).argsort(1, kind="stable")
         column, low, high, parted = _splits(ranks.codes, y, w, at, node, counts[mixed], order, columns)
         own_value[mixed[~parted]] = -1 - len(shares) - np.arange((~parted).sum())
         shares.extend(counts[mixed[~parted]] / counts[mixed[~parted]].sum(1, keepdims=True))
@@ -181,7 +193,8 @@ def grown(x: Array, y: Array, w: Array, classes: int, columns: int, rng: np.rand
         at, node = at[held], node[held]
         rank = np.cumsum(parted) - 1
         right = ranks.codes[column[node], at] > low[node]
-        node, open_nodes = 2 * rank[node] + right, 2 * len(parts)
+        node = 2 * rank[node] + right
+        keys = _mixed((2 * keys[parts][:, None] + np.array([1, 2], np.uint64)).ravel())
     joined = [np.concatenate(part) for part in (feature, threshold, child, value)]
     return *joined, np.array(shares, float).reshape(-1, classes)
 
@@ -215,26 +228,6 @@ def unpacked(blob: bytes, *kinds: tuple[str, int]) -> list[Array]:
     return out
 
 
-def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of batches, ``CHUNK`` or a little more at a time."""
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= CHUNK:
-            yield pa.Table.from_batches(held)
-            held, n = [], 0
-    if n:
-        yield pa.Table.from_batches(held)
-
-
-def matrix(features: pa.ChunkedArray | pa.Array) -> Array:
-    """The rows of an array column as rows of a matrix."""
-    flat = pa.chunked_array(features) if isinstance(features, list) else features
-    values = flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
-    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1) if len(values) else np.empty((0, 1))
-
-
 @dataclass
 class Top:
     """The top of a tree: by node the column (-1 in a leaf), threshold and left child; beside them what is open as it grows."""
@@ -268,39 +261,41 @@ def saved_tops(spark: SparkSession, folder: str) -> dict[int, Top]:
     return {r.tree: Top.of(r) for r in spark.read.schema(TOP_SCHEMA).parquet(folder).collect()}
 
 
-def _drawn_rows(rows: DataFrame, features: Sequence[str], trees: Iterable[int], seed: int) -> DataFrame:
-    """Features as ``x``, the label, and the draws of some trees as ``draws``."""
-    draws = F.array(*[bag_draw(F.col("row"), F.lit(t), seed) for t in trees])
-    return rows.select(F.array(*features).alias("x"), "label", draws.alias("draws"))
+def matrix(features: pa.Array) -> Array:
+    """The rows of an array column as rows of a matrix."""
+    return features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1) if len(features) else np.empty((0, 1))
 
 
-def _histograms(tops: dict[int, Top], some: dict[int, list[int]], edges: list[Array], classes: int, columns: int) -> Callable:
-    """For each tree and open node of ``some`` the weights by column of its own, bin and class, and the rows as one class more."""
-    bins = 1 + max(map(len, edges))
+def about_tops(tops: dict[int, Top]) -> list[Array]:
+    """Tops as tasks take them: trees, where the nodes of each begin, and the nodes."""
+    starts = np.cumsum([0, *[len(top.feature) for top in tops.values()]])
+    nodes = [np.concatenate([[], *[getattr(top, part) for top in tops.values()]]) for part in ("feature", "child", "threshold")]
+    return [np.array(list(tops)), starts, nodes[0].astype(int), nodes[1].astype(int), nodes[2].astype(float)]
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {t: np.zeros((len(nodes), columns, bins, classes + 1)) for t, nodes in some.items()}
-        for table in chunks(batches):
-            x, y, draws = matrix(table["x"]), table["label"].to_numpy(), matrix(table["draws"])
-            places = np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edges)])
-            for i, (tree, nodes) in enumerate(some.items()):
-                top, w = tops[tree], _weights(draws[:, i])
-                rank = np.full(len(top.feature), -1)
-                rank[nodes] = np.arange(len(nodes))
-                own = rank[top.leaves(x)]
-                held = np.flatnonzero((own >= 0) & (w > 0))
-                own, cls, weight = own[held], y[held], w[held]
-                drawn = np.array([(top.open[n][0] + [-1] * columns)[top.open[n][1] : top.open[n][1] + columns] for n in nodes])
-                for slot in range(columns):
-                    column = drawn[own, slot]
-                    use = np.flatnonzero(column >= 0)
-                    cell = (own[use] * columns + slot) * bins + places[column[use], held[use]]
-                    flat = sums[tree].reshape(-1)
-                    flat += np.bincount(cell * (classes + 1) + cls[use], weight[use], len(flat))
-                    flat += np.bincount(cell * (classes + 1) + classes, None, len(flat))
-        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([packed(s.reshape(-1)) for s in sums.values()], pa.binary())], names=["tree", "blob"])
-
-    return count
+
+def _about_bags(seed: int) -> list[Array]:
+    return [_DRAWN[:-1], np.array([seed])]
+
+
+def _featured(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Number, features and label of the rows, as tasks take them."""
+    return rows.select("row", *features, "label")
+
+
+def _histograms(rows: DataFrame, tops: dict[int, Top], some: dict[int, list[int]], edges: list[Array], classes: int, columns: int, seed: int) -> DataFrame:
+    """For each tree and open node of ``some`` the weights by column of its own, bin and class, and the rows as one class more."""
+    growing = {t: tops[t] for t in some}
+    cuts = [0 if c < 0 else int(np.searchsorted(edges[c], v)) for top in growing.values() for c, v in zip(top.feature, top.threshold, strict=True)]
+    rank = [np.full(len(top.feature), -1) for top in growing.values()]
+    drawn = []
+    for own, (tree, nodes) in zip(rank, some.items(), strict=True):
+        own[nodes] = np.arange(len(nodes))
+        for order, place in (tops[tree].open[n] for n in nodes):
+            drawn.append((order + [-1] * columns)[place : place + columns])
+    sizes = [len(edges), columns, 1 + max(map(len, edges)), classes]
+    opened, begins = np.cumsum([0, *map(len, some.values())]), np.cumsum([0, *map(len, edges)])
+    about = spec(sizes, *about_tops(growing), *_about_bags(seed), cuts, np.concatenate(rank), opened, np.concatenate(drawn), begins, np.concatenate(edges).astype(float))
+    return map_partitions(rows, "Histograms", about, "tree int, blob binary")
 
 
 def _choose(tops: dict[int, Top], some: dict[int, list[int]], bins: int, classes: int, columns: int) -> Callable:
@@ -310,7 +305,7 @@ def _choose(tops: dict[int, Top], some: dict[int, list[int]], bins: int, classes
         tree = key[0].as_py()
         total, found = 0, []
         for blob in rows.column("blob").to_pylist():
-            total = total + unpacked(blob, ("<f8", 0))[0]
+            total = total + np.frombuffer(blob, "<i4").astype(float)
         for node, sums in zip(some[tree], total.reshape(-1, columns, bins, classes + 1), strict=True):
             order, place = tops[tree].open[node]
             left = np.cumsum(sums, axis=1)[:, :-1]
@@ -347,10 +342,10 @@ def _grow_tops(rows: DataFrame, features: Sequence[str], classes: int, trees: ra
 
     for tree, top in tops.items():
         top.open[0] = drawn(tree)
-    at_once = max(1, HISTOGRAM_BYTES // (8 * columns * bins * (classes + 1)))
+    at_once = max(1, HISTOGRAM_BYTES // (4 * columns * bins * (classes + 1)))
     while some := [(t, n) for t, top in tops.items() for n in sorted(top.open)][:at_once]:
         by_tree = {t: [n for u, n in some if u == t] for t in dict.fromkeys(t for t, _ in some)}
-        counted = _drawn_rows(rows, features, by_tree, seed).mapInArrow(_histograms(tops, by_tree, edges, classes, columns), "tree int, blob binary")
+        counted = _histograms(_featured(rows, features), tops, by_tree, edges, classes, columns, seed)
         best = counted.groupBy("tree").applyInArrow(_choose(tops, by_tree, bins, classes, columns), _SPLIT)
         for r in sorted(best.collect()):
             top = tops[r.tree]
@@ -367,45 +362,9 @@ def _grow_tops(rows: DataFrame, features: Sequence[str], classes: int, trees: ra
     return tops
 
 
-def _deal(tops: dict[int, Top]) -> Callable:
-    """The bags of all trees, packed by tree and leaf: different rows, labels and the sums of their weights."""
-
-    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches):
-            x, y, draws = matrix(table["x"]), table["label"].to_numpy(), matrix(table["draws"])
-            first, same = summed_rows(x, y)
-            x, y = x[first], y[first].astype("<u2")
-            for i, (tree, top) in enumerate(tops.items()):
-                w = np.bincount(same, _weights(draws[:, i]), len(first)).astype("<u4")
-                leaf = top.leaves(x)
-                rows = np.flatnonzero(w)
-                rows = rows[np.argsort(leaf[rows], kind="stable")]
-                runs = np.split(rows, _starts(leaf[rows])[1:]) if len(rows) else []
-                blobs = [packed(x[run], y[run], w[run]) for run in runs]
-                yield pa.record_batch(
-                    [pa.array([tree] * len(runs), pa.int32()), pa.array([int(leaf[run[0]]) for run in runs], pa.int64()), pa.array(blobs, pa.binary())],
-                    names=["tree", "leaf", "blob"],
-                )
-
-    return deal
-
-
-def _grow_group(width: int, classes: int, columns: int, seed: int) -> Callable:
-    def grow(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        tree, leaf = (k.as_py() for k in key)
-        parts = [unpacked(blob.as_py(), ("<f8", width), ("<u2", 0), ("<u4", 0)) for blob in rows.column("blob")]
-        x, y, w = (np.concatenate(part) for part in zip(*parts, strict=True))
-        first, same = summed_rows(x, y)
-        parts = grown(x[first], y[first].astype(np.int64), np.bincount(same, w, len(first)), classes, columns, np.random.default_rng([seed, tree, leaf]))
-        arrays = [[tree], [leaf], [len(parts[0])], *[[part.tobytes()] for part in parts]]
-        return pa.Table.from_arrays([pa.array(a, t) for a, t in zip(arrays, _ARROW.types, strict=True)], schema=_ARROW)
-
-    return grow
-
-
 def partitions_for(groups: int) -> int:
-    """Partitions that groups are dealt to: few of them meet in one."""
-    return max(1, min(MOST_PARTITIONS, 2 * groups))
+    """Partitions that groups are dealt to: few of them meet in one where they are few, some four where they are many."""
+    return max(1, min(MOST_PARTITIONS, 2 * groups, max(200, groups // 4)))
 
 
 def fit_trees(rows: DataFrame, features: Sequence[str], classes: int, trees: range, seed: int, folder: str, first_trees: bool) -> DataFrame:
@@ -419,19 +378,25 @@ def fit_trees(rows: DataFrame, features: Sequence[str], classes: int, trees: ran
         table = spark.createDataFrame([top.row(t) for t, top in tops.items()], TOP_SCHEMA)
         table.coalesce(1).write.mode("overwrite").parquet(f"{folder}/tops-{trees.start}")
     groups = sum(top.feature.count(-1) for top in tops.values())
-    dealt = _drawn_rows(rows, features, trees, seed).mapInArrow(_deal(tops), _DEALT).repartition(partitions_for(groups), "tree", "leaf")
-    return dealt.groupBy("tree", "leaf").applyInArrow(_grow_group(len(features), classes, columns, seed), GROUP_SCHEMA)
+    dealt = map_partitions(_featured(rows, features), "Deal", spec([len(features)], *about_tops(tops), *_about_bags(seed)), _DEALT)
+    keys = ["tree", "leaf"]
+    together = dealt.repartition(partitions_for(groups), *keys).sortWithinPartitions(*keys)
+    return map_partitions(together, "Grow", spec([len(features), classes, columns, seed]), GROUP_SCHEMA)
+
+
+def _unzipped(blob: bytes, kind: type) -> Array:
+    """An array of a group, as its task has compressed it."""
+    length = int(np.frombuffer(blob, "<i4", 1)[0])
+    return np.frombuffer(pa.decompress(blob[4:], length, codec="zstd", asbytes=True) if length else b"", kind)
 
 
 class Group:
     """A grown group that votes."""
 
     def __init__(self, row: dict, classes: int):
-        self.feature = np.frombuffer(row["feature"], np.int8)
-        self.threshold = np.frombuffer(row["threshold"], float)
-        self.child = np.frombuffer(row["child"], np.int32)
-        self.value = np.frombuffer(row["value"], np.int32)
-        self.shares = np.frombuffer(row["shares"], float).reshape(-1, classes)
+        parts = zip((row[p] for p in ("feature", "threshold", "child", "value", "shares")), (np.int8, float, np.int32, np.int32, float), strict=True)
+        self.feature, self.threshold, self.child, self.value, shares = (_unzipped(blob, kind) for blob, kind in parts)
+        self.shares = shares.reshape(-1, classes)
 
     def vote(self, x: Array, votes: Array) -> None:
         """Add the shares of the leaf that each row falls into."""
